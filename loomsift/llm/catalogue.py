@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import bpe, url_filter
+from . import bpe, decontaminate, language, url_filter
+from .common import crc_fold
 
 #: Vocabulary files of public tokenizers; a parameter of every operator that needs one.
 BYTE_BPE_JSON, BYTE_BPE_RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
@@ -57,8 +58,46 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.fit(docs, usable=crc_fold(F.col("doc_id"), 5) != 0)
+    return language.predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", (crc_fold(F.col("doc_id"), 5) == 0).alias("held_out"), "lang_pred", "score", "rejected"
+    )
+
+
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.find(docs, table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "n_words", "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        decontaminate.contaminated().alias("contaminated"),
+    )
+
+
+_WORDS = "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+OP5_SQL = f"""
+WITH item AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS words FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+win AS (
+  SELECT DISTINCT item, least(13, len(words)) AS n, array_to_string(words[i : i + least(13, len(words)) - 1], ' ') AS w
+  FROM (SELECT item, words, unnest(range(1, greatest(1, len(words) - 12) + 1)) AS i FROM item WHERE len(words) > 0)
+),
+doc AS (SELECT doc_id, row_number() OVER () AS rid, coalesce({_WORDS}, []) AS words FROM documents),
+part AS (SELECT rid, n, words, unnest(range(1, len(words) - n + 2)) AS i FROM doc, (SELECT DISTINCT n FROM win)),
+hit AS (SELECT rid, i, n, item FROM (SELECT rid, i, n, array_to_string(words[i : i + n - 1], ' ') AS w FROM part) JOIN win USING (n, w)),
+covered AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS p FROM hit) GROUP BY rid),
+found AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT rid, item FROM hit) GROUP BY rid)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM doc LEFT JOIN covered USING (rid) LEFT JOIN found USING (rid)
+"""
+
+
 QUERIES = {
+    "op1_language": op1_language,
     "op3_url_filter": op3_url_filter,
+    "op5_decontaminate": op5_decontaminate,
     "op6_byte_bpe": op6_byte_bpe,
 }
-ORACLES = {"op3_url_filter": OP3_SQL}
+ORACLES = {"op3_url_filter": OP3_SQL, "op5_decontaminate": OP5_SQL}
