@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import bpe, decontaminate, language, url_filter
+from . import bpe, decontaminate, jaccard_join, language, url_filter
 from .common import crc_fold
 
 #: Vocabulary files of public tokenizers; a parameter of every operator that needs one.
@@ -94,10 +94,15 @@ FROM doc LEFT JOIN covered USING (rid) LEFT JOIN found USING (rid)
 """
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 QUERIES = {
     "op1_language": op1_language,
     "op3_url_filter": op3_url_filter,
     "op5_decontaminate": op5_decontaminate,
     "op6_byte_bpe": op6_byte_bpe,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 ORACLES = {"op3_url_filter": OP3_SQL, "op5_decontaminate": OP5_SQL}
