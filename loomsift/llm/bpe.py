@@ -31,7 +31,9 @@ from pyspark.sql import types as T
 from .common import binaries, raw_texts, small_batches
 
 #: Pieces a worker remembers; beyond that it forgets all and starts anew.
-MEMORY = 800_000
+MEMORY = 400_000
+#: Texts encoded at a time.
+ROWS = 250
 #: Longer pieces are not remembered.
 LONG_PIECE = 64
 
@@ -178,7 +180,7 @@ def encode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = once(shared, Encoder)
         lengths = np.array([len(t) for t in token_bytes(shared.value)]) if offsets else None
-        for batch in small_batches(batches):
+        for batch in small_batches(batches, ROWS):
             raw = [t or b"" for t in raw_texts(batch.column(text_col))]
             ids = encoder.encode([t.decode("utf-8", "replace") for t in raw])
             made = {out: int_lists(ids)}
@@ -202,7 +204,7 @@ def decode(df: DataFrame, vocabulary: str, ids_col: str = "ids", out: str = "dec
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = shared.value.__getitem__
-        for batch in small_batches(batches):
+        for batch in small_batches(batches, ROWS):
             parts = [b"".join(map(of, ids.values.to_numpy().tolist())) if ids.is_valid else b"" for ids in batch.column(ids_col)]
             yield _with_column(batch, names, {out: binaries(parts)})
 
