@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import bpe, decontaminate, jaccard_join, language, url_filter
+from . import bpe, decontaminate, jaccard_join, language, ngram_lm, url_filter
 from .common import crc_fold
 
 #: Vocabulary files of public tokenizers; a parameter of every operator that needs one.
@@ -66,6 +66,15 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = crc_fold(F.col("doc_id"), 7) == 2
+    model = ngram_lm.fit(docs, usable=~held_out)
+    return ngram_lm.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontaminate.find(docs, table(spark, sf_dir, "benchmark")).select(
@@ -101,6 +110,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language": op1_language,
     "op3_url_filter": op3_url_filter,
+    "op4_ngram_lm": op4_ngram_lm,
     "op5_decontaminate": op5_decontaminate,
     "op6_byte_bpe": op6_byte_bpe,
     "op10_jaccard_join": op10_jaccard_join,
