@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import bpe, decontaminate, jaccard_join, language, ngram_lm, url_filter
+from . import bpe, decontaminate, jaccard_join, language, ngram_lm, token_files, url_filter
 from .common import crc_fold
 
 #: Vocabulary files of public tokenizers; a parameter of every operator that needs one.
 BYTE_BPE_JSON, BYTE_BPE_RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
+END_ID = 2
 
 #: host, path, verdict
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -66,6 +67,16 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    vocabulary = bpe.load_vocabulary(public_tokenizers.path(BYTE_BPE_JSON))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_files.round_trip(docs, vocabulary, END_ID).select(
+        "doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
+    )
+
+
 def op4_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = crc_fold(F.col("doc_id"), 7) == 2
@@ -110,6 +121,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language": op1_language,
     "op3_url_filter": op3_url_filter,
+    "op2_token_files": op2_token_files,
     "op4_ngram_lm": op4_ngram_lm,
     "op5_decontaminate": op5_decontaminate,
     "op6_byte_bpe": op6_byte_bpe,
