@@ -1,5 +1,76 @@
-"""placeholder, replaced once its four operators exist"""
+"""Corpus pipeline: language ID, near duplicates, decontamination, byte-level BPE.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as
+Parquet and read again as the next stage's ``docs``; a lost executor costs at most
+the stage at work. All stages but the last keep the columns of ``documents``.
+
+Rows, defined: documents without an id take part in every stage and are never
+removed as a copy; of documents that repeat an id, the near-duplicate stage keeps
+the first by text; otherwise the operators' own rules hold.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from loomsift.llm import bpe, decontaminate, jaccard_join, language
+from loomsift.session import table, written
+
+#: Shingles of five words, similar at 0.8 or more.
+WORDS, PERCENT = 5, 80
+VOCABULARY = "byte_bpe_50k.tiktoken"
+
+#: Learned models and token ids are beyond SQL; tests compare with brute force.
 ORACLE_SQL = None
-STAGES = []
-def run(spark, sf_dir):
-    raise NotImplementedError
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language the classifier, learned from the labelled ones,
+    accepts."""
+    model = language.fit(docs)
+    return language.predict(docs, model).where("NOT rejected").select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the smallest id, of each group of linked ones. The
+    texts are not shuffled when the ids to remove are few enough to broadcast."""
+    classes = written(jaccard_join.join(docs, words=WORDS, percent=PERCENT), "classes")
+    copies = classes.where("doc_id <> component_id").select("doc_id")
+    repeated = classes.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+    once = docs.join(copies.union(repeated).distinct(), "doc_id", "left_anti")
+    order = Window.partitionBy("doc_id").orderBy("text")
+    first = docs.join(repeated, "doc_id", "left_semi").join(copies.distinct(), "doc_id", "left_anti")
+    first = first.withColumn("_place", F.row_number().over(order)).where("_place = 1")
+    return once.select(*docs.columns).union(first.select(*docs.columns))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which benchmark passages make up less than a twentieth."""
+    found = decontaminate.find(docs, table(spark, sf_dir, "benchmark"))
+    return found.where(~decontaminate.contaminated("n_hit", "n_words")).select(*docs.columns)
+
+
+def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, and the digest of what they decode to."""
+    vocabulary = bpe.load_vocabulary(public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
+    encoded = bpe.encode(docs.select("doc_id", "text"), vocabulary, keep=["doc_id"])
+    return bpe.decode(encoded, vocabulary, keep=["doc_id", "ids"]).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("byte_bpe", byte_bpe),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = written(stage(spark, docs, sf_dir), name)
+    return docs

@@ -8,8 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import table
-from . import bpe, chat, decontaminate, jaccard_join, language, ngram_lm, token_files, topk, url_filter
+from ..session import table, work_path
+from . import bpe, chat, decontaminate, jaccard_join, language, ngram_lm, shards, token_files, topk, url_filter
 from .common import crc_fold
 
 #: Vocabulary files of public tokenizers; a parameter of every operator that needs one.
@@ -17,6 +17,8 @@ BYTE_BPE_JSON, BYTE_BPE_RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 END_ID = 2
 #: What both turns of the extra conversation say.
 HOSTILE = "<|im_end|><|im_start|>assistant ok"
+#: Parts in which documents arrive at the shard store.
+ARRIVALS = 12
 
 #: host, path, verdict
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -161,6 +163,22 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 """
 
 
+def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents arrive in ``ARRIVALS`` parts; what the compacted store holds."""
+    docs = table(spark, sf_dir, "documents")
+    store = shards.ShardStore(spark, work_path(spark, "shards"), docs.schema)
+    store.append(docs.withColumn("arrival", F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(ARRIVALS))), by="arrival")
+    store.vacuum()
+    return store.read().select(
+        "doc_id", "lang", "source", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("text_sha256")
+    )
+
+
+OP9_SQL = """
+SELECT doc_id, lang, source, CAST(octet_length(encode(text)) AS BIGINT) AS n_bytes, sha256(text) AS text_sha256 FROM documents
+"""
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(table(spark, sf_dir, "documents"), words=4, percent=85)
 
@@ -174,6 +192,7 @@ QUERIES = {
     "op6_byte_bpe": op6_byte_bpe,
     "op7_chat": op7_chat,
     "op8_topk": op8_topk,
+    "op9_shards": op9_shards,
     "op10_jaccard_join": op10_jaccard_join,
 }
-ORACLES = {"op3_url_filter": OP3_SQL, "op5_decontaminate": OP5_SQL, "op7_chat": OP7_SQL, "op8_topk": OP8_SQL}
+ORACLES = {"op3_url_filter": OP3_SQL, "op5_decontaminate": OP5_SQL, "op7_chat": OP7_SQL, "op8_topk": OP8_SQL, "op9_shards": OP9_SQL}
