@@ -41,13 +41,13 @@ from .bpe import once
 from .common import ASCII_LOWER, binaries, mix, raw_texts
 
 #: Bits per entered level, and bits set for one entry within its 64-bit word.
-BITS, PROBES = 12, 4
+BITS, PROBES = 9, 4
 #: Most bytes of filters and word counts that are broadcast together.
 GROUP_BYTES = 224 << 20
 #: Input bytes per slice of the hash space.
 SLICE_BYTES = 4 << 20
 #: Words of texts counted at once.
-CHUNK = 4_000_000
+CHUNK = 2_000_000
 #: Weight of the unigram estimate, in counts.
 MASS = 30.0
 
@@ -240,18 +240,17 @@ class Model:
     def load(self, group: list[int]) -> Slices:
         rows = self.rows.where(F.col("slice").isin(group) if len(group) < self.slices else F.lit(True)).orderBy("slice")
         start, size = np.full(self.slices, -1, np.int64), np.ones(self.slices, np.int64)
-        words, known, count, at = [], [], [], 0
+        total = rows.agg(F.sum(F.octet_length("bits")).alias("bits"), F.sum("v").alias("v")).first()
+        words = np.empty((total.bits or 0) // 8, _U)
+        known, count = np.empty(total.v or 0, _U), np.empty(total.v or 0, np.uint32 if self.n < 1 << 32 else np.int64)
+        at = seen = 0
         for r in rows.toLocalIterator():
-            words.append(np.frombuffer(r.bits, _U))
-            start[r.slice], size[r.slice] = at, len(words[-1])
-            at += len(words[-1])
-            known.append(np.frombuffer(r.known, _U))
-            n = np.frombuffer(r["count"], "<i8")
-            count.append(n)
-        join = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
-        exact = join(count, np.int64)
-        exact = exact.astype(np.uint32) if exact.max(initial=0) < 1 << 32 else exact
-        return Slices(64 - self.slices.bit_length() + 1, start, size, join(words, _U), join(known, _U), exact)
+            bits, names = np.frombuffer(r.bits, _U), np.frombuffer(r.known, _U)
+            start[r.slice], size[r.slice] = at, len(bits)
+            words[at : at + len(bits)] = bits
+            known[seen : seen + len(names)], count[seen : seen + len(names)] = names, np.frombuffer(r["count"], "<i8")
+            at, seen = at + len(bits), seen + len(names)
+        return Slices(64 - self.slices.bit_length() + 1, start, size, words, known, count)
 
 
 def fit(docs: DataFrame, text: str = "text", usable: Column | None = None) -> Model:
@@ -298,8 +297,10 @@ def _scan(df: DataFrame, shared: Broadcast, kept: list[str], carried: bool, last
                 ends = np.cumsum([len(t) for t in texts]) - 1
                 h = np.concatenate(texts)
                 previous = before(h, ends)
-                count = held.counts(h).astype(np.int64)
-                single, double = held.levels(h), held.levels(pair(previous, h))
+                # A frequent word is looked up once, whatever its level.
+                word, of = np.unique(h, return_inverse=True)
+                count, single = held.counts(word).astype(np.int64)[of], held.levels(word)[of]
+                double = held.levels(pair(previous, h))
                 if carried:
                     count += np.frombuffer(b"".join(batch.column("counts").to_pylist()), "<i8")
                     levels = np.frombuffer(b"".join(batch.column("levels").to_pylist()), "<u1").reshape(-1, 2)
