@@ -297,10 +297,11 @@ def _scan(df: DataFrame, shared: Broadcast, kept: list[str], carried: bool, last
                 ends = np.cumsum([len(t) for t in texts]) - 1
                 h = np.concatenate(texts)
                 previous = before(h, ends)
-                # A frequent word is looked up once, whatever its level.
+                # What is frequent is looked up once, whatever its level.
                 word, of = np.unique(h, return_inverse=True)
                 count, single = held.counts(word).astype(np.int64)[of], held.levels(word)[of]
-                double = held.levels(pair(previous, h))
+                bigram, of = np.unique(pair(previous, h), return_inverse=True)
+                double = held.levels(bigram)[of]
                 if carried:
                     count += np.frombuffer(b"".join(batch.column("counts").to_pylist()), "<i8")
                     levels = np.frombuffer(b"".join(batch.column("levels").to_pylist()), "<u1").reshape(-1, 2)
