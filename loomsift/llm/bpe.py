@@ -30,13 +30,25 @@ from pyspark.sql import types as T
 
 from .common import binaries, raw_texts, small_batches
 
-#: Pieces a worker remembers; beyond that it forgets all and starts anew.
+#: Pieces a worker remembers; beyond that it forgets all but short ones.
 MEMORY = 400_000
+SHORT_PIECE = 7
 #: Texts encoded at a time.
 ROWS = 250
 #: Longer pieces are not remembered.
 LONG_PIECE = 64
 
+# Fixed value: the splitting pattern for which texts may be cut into pieces.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+# End of fixed values.
+
+#: The same, for texts of ASCII and Latin letters only, where its classes are short.
+_LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+_ONLY_LATIN = re.compile(rf"[\x00-\x7f{_LATIN}]*").fullmatch
+_PARTS = re.compile(
+    rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LATIN}]+| ?[0-9]+| ?[^\s{_LATIN}0-9]+|\s+(?!\S)|\s+", re.ASCII
+).findall
+
 _UNSAFE = re.compile(r"\s ")
 _CUT = re.compile(r"(?<=\S)(?= )")
 
@@ -98,14 +110,34 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(vocabulary)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.later: dict[str, bytes] = {}  # pieces after a space, without it
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [array("I", e.ids).tobytes() for e in found]
+        # Added tokens are left out: their strings in a text are ordinary text.
+        self.model, self.splitter = self.tokenizer.model, self.tokenizer.pre_tokenizer
+        splitter = json.loads(vocabulary)["pre_tokenizer"]
+        steps = splitter.get("pretokenizers", [splitter])
+        #: Whether pieces may be encoded one by one.
+        self.cut = any(x.get("pattern") == {"Regex": PATTERN} or (x["type"] == "ByteLevel" and x["use_regex"]) for x in steps)
+        self.shown = {b: c for b, c in enumerate(byte_characters()) if chr(b) != c}
+        self.characters = byte_characters()
+        self.later: dict[str, bytes] = {}  #: ids of pieces after a space, without it
+
+    def _ids(self, text: str) -> bytes:
+        """Ids of a text without the library's per-call wrapping: the pattern and the
+        byte table, then the library's BPE model on each part."""
+        if self.cut and text.isascii():
+            if text[:1] == " " and text[1:].isalpha():
+                return array("I", [t.id for t in self.model.tokenize("\u0120" + text[1:])]).tobytes()
+            parts = [part if part.isprintable() and part[0] != " " else part.translate(self.shown) for part in _PARTS(text)]
+        elif self.cut and _ONLY_LATIN(text):
+            of = self.characters.__getitem__
+            parts = ["".join(map(of, part.encode())) for part in _PARTS(text)]
+        else:
+            parts = [part for part, _ in self.splitter.pre_tokenize_str(text)] if text else []
+        tokenize = self.model.tokenize
+        return array("I", [t.id for part in parts for t in tokenize(part)]).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        if not self.cut:
+            return [self._ids(text) for text in texts]
         split = []
         for text in texts:
             if _UNSAFE.search(text):
@@ -117,12 +149,14 @@ class Encoder:
         for pieces in split:
             wanted.update(pieces[1:])
         known = self.later
-        if len(known) > MEMORY:
-            known.clear()
+        if len(known) > MEMORY:  # short pieces are the frequent ones
+            kept = {k: v for k, v in known.items() if len(k) <= SHORT_PIECE}
+            self.later = known = kept if len(kept) < MEMORY // 2 else {}
         new = list(wanted.difference(known))
-        found = dict(zip(new, self._ids([" " + piece for piece in new]), strict=True))
-        known.update(found)
-        first = self._ids([pieces[0] for pieces in split])
+        ids = self._ids
+        for piece in new:
+            known[piece] = ids(" " + piece)
+        first = [ids(pieces[0]) for pieces in split]
         out = [b"".join([start, *map(known.__getitem__, pieces[1:])]) for start, pieces in zip(first, split, strict=True)]
         for piece in new:
             if len(piece) > LONG_PIECE:

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import work_path, written
-from .bpe import Encoder, once
+from .bpe import Encoder, once, token_bytes
 from .common import binaries, raw_texts, small_batches
 
 CHUNK, BLOCK, LANES = 1 << 20, 1 << 14, 64
@@ -161,6 +161,7 @@ def write(docs: DataFrame, vocabulary: str, path: str, end: int, id_col: str = "
     and ``path``/chunks."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(vocabulary)
+    narrow = "<u2" if max(end, len(token_bytes(vocabulary)) - 1) < 1 << 16 else "<u4"
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     # Ranges of the id: few enough for full chunks, many enough to spread.
@@ -174,7 +175,8 @@ def write(docs: DataFrame, vocabulary: str, path: str, end: int, id_col: str = "
 
         def flush() -> pa.RecordBatch:
             lengths = [len(p) // 4 for p in parts]
-            values = [[shard], [chunk], [first], [held], [ids], [lengths], [b"".join(parts)]]
+            plain = np.frombuffer(b"".join(parts), "<u4").astype(narrow).tobytes()
+            values = [[shard], [chunk], [first], [held], [ids], [lengths], [plain]]
             types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, types, strict=True)], ["shard", "chunk", "first", "total", "ids", "lengths", "payload"])
 
@@ -190,13 +192,13 @@ def write(docs: DataFrame, vocabulary: str, path: str, end: int, id_col: str = "
         if ids:
             yield flush()
 
-    plain = written(dealt.mapInArrow(cut, _CHUNKS), "tokens", compression="none")
+    plain = written(dealt.mapInArrow(cut, _CHUNKS), "tokens", compression="zstd")
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
             for content in batch.column(0).to_pylist():
-                n = np.bincount(np.frombuffer(content, "<u4"), minlength=len(total))
+                n = np.bincount(np.frombuffer(content, narrow), minlength=len(total))
                 n[: len(total)] += total
                 total = n
         found = np.flatnonzero(total)
@@ -213,7 +215,7 @@ def write(docs: DataFrame, vocabulary: str, path: str, end: int, id_col: str = "
     def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = once(coder_of, Coder)
         for batch in small_batches(batches, 1):
-            payload = [coder.encode(np.frombuffer(x, "<u4")) for x in batch.column("payload").to_pylist()]
+            payload = [coder.encode(np.frombuffer(x, narrow)) for x in batch.column("payload").to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], binaries(payload)], batch.schema.names)
 
     plain.mapInArrow(compress, _CHUNKS).write.option("compression", "none").parquet(f"{path}/chunks")
