@@ -70,7 +70,7 @@ def document(spark: SparkSession, path: str) -> dict | None:
     return json.loads(spark.read.text(path, wholetext=True).first()[0])
 
 
-ENVELOPE = T.StructType.fromDDL(
+ENVELOPE = (
     "date string, collected_at string, total_signals long, sources map<string,long>, signals array<struct<"
     "source:string,title:string,url:string,summary:string,published:string,authors:array<string>,categories:array<string>,score:long,comments:long>>"
 )
