@@ -55,10 +55,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and the digest of what they decode to."""
     vocabulary = bpe.load_vocabulary(public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
-    encoded = bpe.encode(docs.select("doc_id", "text"), vocabulary, keep=["doc_id"])
-    return bpe.decode(encoded, vocabulary, keep=["doc_id", "ids"]).select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256")
-    )
+    coded = bpe.round_trip(docs.select("doc_id", "text"), vocabulary, keep=["doc_id"])
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES = [

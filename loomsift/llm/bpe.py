@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from .common import binaries, raw_texts, small_batches
 
 #: Pieces a worker remembers; beyond that it forgets all but short ones.
-MEMORY = 400_000
+MEMORY = 300_000
 SHORT_PIECE = 7
 #: Texts encoded at a time.
 ROWS = 250
@@ -245,6 +245,34 @@ def decode(df: DataFrame, vocabulary: str, ids_col: str = "ids", out: str = "dec
     return kept.mapInArrow(run, schema)
 
 
+def round_trip(df: DataFrame, vocabulary: str, text_col: str = "text", out: str = "ids", decoded: str = "decoded", keep: Iterable[str] | None = None) -> DataFrame:
+    """``encode`` and ``decode`` in one pass, so that a task needs one Python worker
+    and ids cross to it once: adds ``out`` and, read back from those ids,
+    ``decoded``."""
+    shared = df.sparkSession.sparkContext.broadcast(vocabulary)
+    kept = df if keep is None else df.select(*dict.fromkeys([*keep, text_col]))
+    schema = _schema(kept if keep is None else kept.select(*keep), **{out: T.ArrayType(T.IntegerType()), decoded: T.BinaryType()})
+    names = schema.names
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        both = once(shared, Codec)
+        for batch in small_batches(batches, ROWS):
+            ids = both.encoder.encode([(t or b"").decode("utf-8", "replace") for t in raw_texts(batch.column(text_col))])
+            yield _with_column(batch, names, {out: int_lists(ids), decoded: binaries([both.decode(i) for i in ids])})
+
+    return kept.mapInArrow(run, schema)
+
+
+class Codec:
+    """An encoder and the table that reverses it."""
+
+    def __init__(self, vocabulary: str):
+        self.encoder, self.table = Encoder(vocabulary), token_bytes(vocabulary)
+
+    def decode(self, ids: bytes) -> bytes:
+        return b"".join(map(self.table.__getitem__, array("I", ids)))
+
+
 def readable(parts: Iterable[bytes]) -> Iterator[str]:
     """Decode a stream of token bytes to text piece by piece: bytes of a
     character that isn't complete yet wait for the next token."""

@@ -55,12 +55,11 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     vocabulary = bpe.load_vocabulary(public_tokenizers.path(BYTE_BPE_RANKS), public_tokenizers.PATTERN)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = bpe.encode(docs, vocabulary, keep=["doc_id"]).select(
-        "doc_id", "ids", F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256")
-    )
-    return bpe.decode(encoded, vocabulary, keep=["doc_id", "ids", "ids_sha256"]).select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")
-    )
+    coded = bpe.round_trip(docs, vocabulary, keep=["doc_id"])
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
 
 
 def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:

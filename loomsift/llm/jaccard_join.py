@@ -48,7 +48,7 @@ from .common import ASCII_LOWER, binaries, mix, raw_texts
 from .components import components
 
 #: Most sets of a candidate component that one block holds.
-BLOCK = 1024
+BLOCK = 256
 #: Shingle columns compared at once, and rows of other small sets beside them.
 COLUMNS = 4096
 #: Input bytes for each slice of the signature space.

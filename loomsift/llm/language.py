@@ -173,7 +173,7 @@ def _softmax(x: np.ndarray) -> np.ndarray:
 class Scorer:
     """Sums score-table rows over texts; remembers each distinct word's sum."""
 
-    MEMORY = 400_000
+    MEMORY = 200_000
 
     def __init__(self, model: Model):
         self.model = model
