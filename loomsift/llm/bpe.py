@@ -3,9 +3,9 @@
 The vocabulary comes as a rank file (base64 token, rank) or as a file of the
 tokenizers library; it is read on the driver and shipped as one broadcast, whose
 size is that of the vocabulary. Texts are cut where the splitting pattern always
-cuts (before a space that follows a non-space), so each distinct piece is
-encoded once per worker and looked up afterwards; the result is that of encoding
-the whole text.
+cuts (before a space that follows a non-space), so each distinct word is
+encoded once per worker and looked up afterwards, and other pieces are put together
+from their parts; the result is that of encoding the whole text.
 
 Rows, defined: a null text counts as empty and gives an empty list; repeated
 rows and ties are encoded one by one; an empty table gives an empty table; other
@@ -28,15 +28,17 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import binaries, raw_texts, small_batches
+from .common import binaries, bounded_batches, raw_texts, small_batches
 
-#: Pieces a worker remembers; beyond that it forgets all but short ones.
-MEMORY = 300_000
-SHORT_PIECE = 7
+#: Words a worker remembers; beyond that it forgets all but short ones.
+MEMORY = 500_000
+SHORT_WORD = 7
+#: Pieces with punctuation that are remembered besides, before all are forgotten.
+COMPOUNDS = 150_000
 #: Texts encoded at a time.
-ROWS = 250
-#: Longer pieces are not remembered.
-LONG_PIECE = 64
+ROWS = 500
+#: Longer words are not remembered.
+LONG_WORD = 64
 
 # Fixed value: the splitting pattern for which texts may be cut into pieces.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -118,7 +120,9 @@ class Encoder:
         self.cut = any(x.get("pattern") == {"Regex": PATTERN} or (x["type"] == "ByteLevel" and x["use_regex"]) for x in steps)
         self.shown = {b: c for b, c in enumerate(byte_characters()) if chr(b) != c}
         self.characters = byte_characters()
-        self.later: dict[str, bytes] = {}  #: ids of pieces after a space, without it
+        self.words: dict[str, bytes] = {}  #: ids of a space and a word, by the word
+        self.parts: dict[str, bytes] = {}  #: ids of other parts
+        self.compounds: list[str] = []  #: those of ``words`` that aren't words
 
     def _ids(self, text: str) -> bytes:
         """Ids of a text without the library's per-call wrapping: the pattern and the
@@ -145,24 +149,51 @@ class Encoder:
                 split.append([first, *(piece[1:] for piece in rest)])
             else:
                 split.append(text.split(" "))
-        wanted = set()
+        wanted: set[str] = set()
         for pieces in split:
             wanted.update(pieces[1:])
-        known = self.later
-        if len(known) > MEMORY:  # short pieces are the frequent ones
-            kept = {k: v for k, v in known.items() if len(k) <= SHORT_PIECE}
-            self.later = known = kept if len(kept) < MEMORY // 2 else {}
-        new = list(wanted.difference(known))
+        known = self.words
+        if len(known) > MEMORY + COMPOUNDS:  # short words are the frequent ones
+            kept = {k: v for k, v in known.items() if len(k) <= SHORT_WORD}
+            self.words = known = kept if len(kept) < MEMORY // 2 else {}
+            self.compounds.clear()
+        if len(self.parts) > MEMORY:
+            self.parts.clear()
+        new = wanted.difference(known)
+        compound = [piece for piece in new if not piece.isalpha() or len(piece) > LONG_WORD]
+        new.difference_update(compound)
         ids = self._ids
-        for piece in new:
-            known[piece] = ids(" " + piece)
-        first = [ids(pieces[0]) for pieces in split]
+        for word in new:
+            known[word] = ids(" " + word)
+        for piece in compound:
+            known[piece] = self._compound(" " + piece)
+        self.compounds += compound
+        first = [self._compound(pieces[0]) for pieces in split]
         out = [b"".join([start, *map(known.__getitem__, pieces[1:])]) for start, pieces in zip(first, split, strict=True)]
-        for piece in new:
-            if len(piece) > LONG_PIECE:
-                del known[piece]
+        if len(self.compounds) > COMPOUNDS:
+            for piece in self.compounds:
+                known.pop(piece, None)
+            self.compounds.clear()
         return out
 
+    def _compound(self, text: str) -> bytes:
+        """Ids of a piece that isn't a plain word: those of its parts, in order."""
+        if not _ONLY_LATIN(text):
+            return self._ids(text)
+        out = []
+        for part in _PARTS(text):
+            found = self.words.get(part[1:]) if part[:1] == " " else self.parts.get(part)
+            if found is None:
+                found = self._ids(part)
+                if len(part) > LONG_WORD:
+                    pass
+                elif part[:1] != " ":
+                    self.parts[part] = found
+                elif part[1:].isalpha():
+                    self.words[part[1:]] = found
+            out.append(found)
+        return b"".join(out)
+
 
 _LOADED: dict[object, object] = {}
 
@@ -176,6 +207,11 @@ def once(shared: Broadcast, make: Callable) -> object:
     return _LOADED[key]
 
 
+def forget() -> None:
+    """Drop what an earlier task of this worker has loaded."""
+    _LOADED.clear()
+
+
 def int_lists(parts: list[bytes]) -> pa.Array:
     ends = np.cumsum([0, *(len(p) // 4 for p in parts)], dtype=np.int64).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(parts), "<i4")))
@@ -207,7 +243,7 @@ def encode(
     shared = df.sparkSession.sparkContext.broadcast(vocabulary)
     ints = T.ArrayType(T.IntegerType())
     new = {out: ints} | ({f"{out}_starts": ints, f"{out}_ends": ints} if offsets else {})
-    kept = df if keep is None else df.select(*dict.fromkeys([*keep, text_col]))
+    kept = bounded_batches(df) if keep is None else bounded_batches(df).select(*dict.fromkeys([*keep, text_col]))
     schema = _schema(kept if keep is None else kept.select(*keep), **new)
     names = schema.names
 
@@ -232,7 +268,7 @@ def decode(df: DataFrame, vocabulary: str, ids_col: str = "ids", out: str = "dec
     split over tokens come together again, as bytes are joined before anything
     reads them as text. A null list gives no bytes; an unknown id fails."""
     shared = df.sparkSession.sparkContext.broadcast(token_bytes(vocabulary))
-    kept = df if keep is None else df.select(*dict.fromkeys([*keep, ids_col]))
+    kept = bounded_batches(df) if keep is None else bounded_batches(df).select(*dict.fromkeys([*keep, ids_col]))
     schema = _schema(kept if keep is None else kept.select(*keep), **{out: T.BinaryType()})
     names = schema.names
 
@@ -250,7 +286,7 @@ def round_trip(df: DataFrame, vocabulary: str, text_col: str = "text", out: str
     and ids cross to it once: adds ``out`` and, read back from those ids,
     ``decoded``."""
     shared = df.sparkSession.sparkContext.broadcast(vocabulary)
-    kept = df if keep is None else df.select(*dict.fromkeys([*keep, text_col]))
+    kept = bounded_batches(df) if keep is None else bounded_batches(df).select(*dict.fromkeys([*keep, text_col]))
     schema = _schema(kept if keep is None else kept.select(*keep), **{out: T.ArrayType(T.IntegerType()), decoded: T.BinaryType()})
     names = schema.names
 

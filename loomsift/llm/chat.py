@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import Encoder, int_lists, once, token_bytes
-from .common import small_batches
+from .common import bounded_batches, small_batches
 
 #: The marks as they show in rendered text.
 START_MARK, END_MARK = "<|im_start|>", "<|im_end|>"
@@ -106,7 +106,7 @@ def format_turns(
 ) -> DataFrame:
     """One row per turn: conv, position (from 0), start (token offset), ids, loss."""
     shared = conversations.sparkSession.sparkContext.broadcast(vocabulary)
-    rows = conversations.select(
+    rows = bounded_batches(conversations).select(
         F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"),
         F.coalesce(F.col(role_col), F.lit("")).alias("role"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
     )

@@ -6,7 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -39,6 +39,33 @@ def binaries(parts: list[bytes]) -> pa.Array:
     return pa.array(parts, pa.binary())
 
 
+#: Rows that Spark hands to Python at once; texts may be long.
+ARROW_ROWS = 1000
+_ROWS_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """Lower the session's Arrow batches to ``ARROW_ROWS`` if they are larger."""
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(_ROWS_SETTING)) <= ARROW_ROWS:
+        conf.set(_ROWS_SETTING, str(ARROW_ROWS))
+    return df
+
+
+def input_bytes(df: DataFrame, text_col: str) -> int:
+    """The plan's own estimate (files: their size); where there is none, the texts
+    are measured."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size >= 1 << 60:
+        size = df.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    return size
+
+
+def slices_for(size: int, each: int) -> int:
+    """A power of two of slices of about ``each`` bytes of input, 64 at least."""
+    return 1 << max(6, min(30, (size // each).bit_length()))
+
+
 _U = np.uint64
 
 

@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 
 from ..session import written
 from .bpe import once
-from .common import raw_texts, small_batches
+from .common import bounded_batches, raw_texts, small_batches
 
 WINDOW = 13
 #: Most bytes of item text that one automaton, and so one broadcast, may hold.
@@ -121,7 +121,7 @@ def find(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: st
     groups = -(-total // GROUP_BYTES) or 1
     known = known.withColumn("group", F.pmod(F.xxhash64("item"), F.lit(groups)))
     kept = [c for c in docs.columns if c not in STATE.names]
-    out = docs.select(*kept)
+    out = bounded_batches(docs).select(*kept)
     for group in range(groups):
         own = known.where(F.col("group") == group).select("item", "text").collect()  # bounded by GROUP_BYTES
         shared = spark.sparkContext.broadcast(([(r.item, r.text.encode()) for r in own], window))

@@ -44,7 +44,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import written
-from .common import ASCII_LOWER, binaries, mix, raw_texts
+from .bpe import forget
+from .common import ASCII_LOWER, binaries, bounded_batches, input_bytes, mix, raw_texts, slices_for
 from .components import components
 
 #: Most sets of a candidate component that one block holds.
@@ -160,12 +161,6 @@ def signatures(hashes: np.ndarray, rule: Rule, sums: np.ndarray | None = None) -
     return np.concatenate(out)
 
 
-def _slices(df: DataFrame) -> int:
-    """A power of two of slices, in proportion to the input."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return 1 << max(6, min(30, (size // SLICE_BYTES).bit_length()))
-
-
 _PACKED = "slice int, kind int, a binary, b binary, n binary"
 _FOUND = "kind int, a long, b long, n long"
 
@@ -185,6 +180,7 @@ def _pack(slices: int, kind: int, where: np.ndarray, *columns: np.ndarray) -> li
 
 def _signed(docs: DataFrame, n: int, rule: Rule, slices: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         done: set[int] = set()  # sets that this task has signed, so that copies sign once
         for batch in batches:
             for at in range(0, batch.num_rows, 2000):
@@ -303,8 +299,8 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
     """One row per document: id, n_shingles, component_id and n_links, the number
     of other documents that it links with directly."""
     rule = Rule(percent)
-    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    slices = _slices(docs)
+    docs = bounded_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    slices = slices_for(input_bytes(docs, "text"), SLICE_BYTES)
     packed = _signed(docs, words, rule, slices)
     met = written(packed.groupBy("slice").applyInArrow(_met, _FOUND), "met")
     ids = met.where("kind = 0").select(F.col("a").alias("id"), F.col("b").alias("key"), F.col("n").alias("n_shingles"))
@@ -342,9 +338,10 @@ def _contents(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     names = ["key", "component", "i", "j", "block", "copies", "hashes"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                rows = batch.slice(at, 500)
+            for at in range(0, batch.num_rows, 200):
+                rows = batch.slice(at, 200)
                 out = []
                 key, component, blocks, copies = (rows.column(i).to_pylist() for i in range(4))
                 for k, c, m, n, text in zip(key, component, blocks, copies, raw_texts(rows.column(4)), strict=True):

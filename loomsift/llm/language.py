@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .bpe import once
-from .common import mix, small_batches
+from .common import bounded_batches, mix, small_batches
 
 UNKNOWN = "und"
 _RUN = re.compile(r"[^\W\d_]+")
@@ -107,7 +107,7 @@ def _bags(labelled: DataFrame, settings: Settings) -> list[tuple[str, np.ndarray
 
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang", settings: Settings = Settings(), usable: Column | None = None) -> Model | None:
     """Learn from a bounded sample of the ``usable`` labelled rows."""
-    rows = docs.where(F.col(key).isNotNull() & F.col(text).isNotNull() & F.col(label).isNotNull())
+    rows = bounded_batches(docs).where(F.col(key).isNotNull() & F.col(text).isNotNull() & F.col(label).isNotNull())
     rows = rows if usable is None else rows.where(usable)
     counts = rows.groupBy(F.col(label).cast("string").alias("label")).count().orderBy("label").limit(settings.labels + 1).collect()
     if len(counts) > settings.labels:
@@ -218,7 +218,7 @@ def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFra
     """``docs`` with lang_pred, score and rejected; same-named columns are replaced."""
     names = ["lang_pred", "score", "rejected"]
     kept = [c for c in docs.columns if c not in names]
-    docs = docs.select(*kept)
+    docs = bounded_batches(docs).select(*kept)
     if model is None:
         return docs.select("*", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected"))
     shared = docs.sparkSession.sparkContext.broadcast(model)

@@ -37,8 +37,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import written
-from .bpe import once
-from .common import ASCII_LOWER, binaries, mix, raw_texts
+from .bpe import forget, once
+from .common import ASCII_LOWER, binaries, bounded_batches, input_bytes, mix, raw_texts, slices_for
 
 #: Bits per entered level, and bits set for one entry within its 64-bit word.
 BITS, PROBES = 9, 4
@@ -177,6 +177,7 @@ def _count(texts: DataFrame, slices: int) -> DataFrame:
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         held, size = [], 0
         for batch in batches:
             for text in raw_texts(batch.column(0)):
@@ -211,11 +212,6 @@ def _merge(table: pa.Table) -> pa.Table:
     })
 
 
-def _slice_count(df: DataFrame) -> int:
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return 1 << max(6, min(30, (size // SLICE_BYTES).bit_length()))
-
-
 @dataclass
 class Model:
     """A written table, one row per slice, and its totals."""
@@ -254,9 +250,9 @@ class Model:
 
 
 def fit(docs: DataFrame, text: str = "text", usable: Column | None = None) -> Model:
-    rows = docs if usable is None else docs.where(usable)
+    rows = bounded_batches(docs) if usable is None else bounded_batches(docs).where(usable)
     texts = rows.select(F.col(text).alias("text"))
-    slices = _slice_count(texts)
+    slices = slices_for(input_bytes(texts, "text"), SLICE_BYTES)
     table = written(_count(texts, slices).groupBy("slice").applyInArrow(_merge, "slice int, bits binary, known binary, count binary, n long, v long"), "ngrams")
     totals = table.agg(F.sum("n").alias("n"), F.sum("v").alias("v")).first()
     return Model(table, slices, totals.n or 0, totals.v or 0)
@@ -269,7 +265,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` without its text, with n_tokens, n_known, train_tokens, base_score
     and score; same-named columns are replaced."""
     kept = [c for c in docs.columns if c not in {text, "counts", "levels", *(n for n, _ in _FIELDS)}]
-    context = docs.sparkSession.sparkContext
+    context = bounded_batches(docs).sparkSession.sparkContext
     out = docs.select(*kept, F.col(text).alias("text"))
     groups = model.groups()
     for i, group in enumerate(groups):

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from ..session import work_path, written
 from .bpe import Encoder, once, token_bytes
-from .common import binaries, raw_texts, small_batches
+from .common import binaries, bounded_batches, input_bytes, raw_texts, small_batches
 
 CHUNK, BLOCK, LANES = 1 << 20, 1 << 14, 64
 #: Frequencies sum to 2 ** SCALE.
@@ -162,8 +162,8 @@ def write(docs: DataFrame, vocabulary: str, path: str, end: int, id_col: str = "
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(vocabulary)
     narrow = "<u2" if max(end, len(token_bytes(vocabulary)) - 1) < 1 << 16 else "<u4"
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    rows = bounded_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    size = input_bytes(rows, "text")
     # Ranges of the id: few enough for full chunks, many enough to spread.
     n = partitions or max(spark.sparkContext.defaultParallelism * 2, -(-size // (16 << 20)))
     dealt = rows.repartitionByRange(n, F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first(), "text")
