@@ -6,6 +6,7 @@ are the engine's.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -153,9 +154,9 @@ def scenarios(
     rows = spark.createDataFrame(templates, "category string, sub long, format string, template string, min_len int, max_tokens int")
     if categories is not None:
         rows = rows.where(F.col("category").isin(*categories))
-    sizes = rows.groupBy("category").agg(F.count("*").alias("k"))
-    numbered = spark.range(n).select(F.col("id").alias("idx")).join(F.broadcast(sizes))  # templates are a fixed list
-    wanted = numbered.withColumn("sub", F.pmod("idx", "k"))
+    sizes = Counter(t[0] for t in templates if categories is None or t[0] in categories)
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("category"), F.lit(k).alias("k")) for c, k in sizes.items()]))
+    wanted = spark.range(n).select(F.col("id").alias("idx"), each.alias("e")).select("idx", "e.category", F.pmod("idx", "e.k").alias("sub"))
     prompt = F.col("template")
     for name, pool in pools.items():
         prompt = F.replace(prompt, F.lit("{" + name + "}"), pick(pool, seed, F.col("category"), F.col("idx"), F.lit(name)))
