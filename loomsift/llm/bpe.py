@@ -31,10 +31,10 @@ from pyspark.sql import types as T
 from .common import binaries, bounded_batches, raw_texts, small_batches
 
 #: Words a worker remembers; beyond that it forgets all but short ones.
-MEMORY = 500_000
+MEMORY = 300_000
 SHORT_WORD = 7
 #: Pieces with punctuation that are remembered besides, before all are forgotten.
-COMPOUNDS = 150_000
+COMPOUNDS = 80_000
 #: Texts encoded at a time.
 ROWS = 500
 #: Longer words are not remembered.
