@@ -49,7 +49,7 @@ from .common import ASCII_LOWER, binaries, bounded_batches, input_bytes, mix, ra
 from .components import components
 
 #: Most sets of a candidate component that one block holds.
-BLOCK = 256
+BLOCK = 1024
 #: Shingle columns compared at once, and rows of other small sets beside them.
 COLUMNS = 4096
 #: Input bytes for each slice of the signature space.
