@@ -13,12 +13,13 @@
    ``slack`` + 1 first-level parts must agree, and only a set with so many parts
    that have empty subsets signs those, too. Either one of two linked sets has
    fewer, and a filled subset agrees, or both sign the empty ones: no link is lost.
-3. Equal signatures give candidate edges between neighbours in a bucket (never all
-   its pairs); their components hold every linked pair.
-4. Within a candidate component, sets are compared exactly. Components above
-   ``BLOCK`` sets are cut into blocks by hash, one task for each pair of blocks,
-   and each task returns a spanning forest of the links it finds: no pairs are
-   emitted, and no task holds more than two blocks.
+3. Equal signatures give candidate edges from a bucket's members to the least of them
+   (never all its pairs); their components hold every linked pair.
+4. Within a candidate component, sets are compared exactly. A component above
+   ``BLOCK`` sets is cut into blocks by hash, one task for each pair of blocks, or
+   compared bucket by bucket, whichever repeats fewer sets. Each task returns a
+   spanning forest of the links it finds: no pairs are emitted, and no task holds
+   more than two blocks.
 5. Components of those forests, joined back to all documents, give each one the
    smallest id that links reach.
 
@@ -49,7 +50,7 @@ from .common import ASCII_LOWER, binaries, bounded_batches, input_bytes, mix, ra
 from .components import components
 
 #: Most sets of a candidate component that one block holds.
-BLOCK = 1024
+BLOCK = 512
 #: Shingle columns compared at once, and rows of other small sets beside them.
 COLUMNS = 4096
 #: Input bytes for each slice of the signature space.
@@ -216,21 +217,30 @@ def _long(parts: list[bytes]) -> np.ndarray:
 
 
 def _met(table: pa.Table) -> pa.Table:
-    """Of one slice: its documents, and an edge between neighbours of a bucket."""
+    """Of one slice: its documents; and of each bucket with several sets its members
+    (a), with the least of them (b) and a name of the membership (n). Buckets that
+    hold the same sets are one."""
     kind = np.array(table.column("kind").to_pylist())
     a, b, n = (table.column(c).to_pylist() for c in ("a", "b", "n"))
     pick = lambda column, k: _long([x for x, y in zip(column, kind, strict=True) if y == k])
     signature, key = pick(a, 1), pick(b, 1)
     order = np.lexsort((key, signature))
     signature, key = signature[order], key[order]
-    pairs = np.flatnonzero((signature[1:] == signature[:-1]) & (key[1:] != key[:-1]))
-    edges = np.unique(np.stack([key[pairs], key[pairs + 1]], axis=1), axis=0) if len(pairs) else np.zeros((0, 2), np.int64)
+    if len(key):
+        new = np.concatenate([[True], (signature[1:] != signature[:-1]) | (key[1:] != key[:-1])])
+        signature, key = signature[new], key[new]
+    start = np.flatnonzero(np.concatenate([[True], signature[1:] != signature[:-1]])) if len(key) else np.zeros(0, np.int64)
+    size = np.diff(np.append(start, len(key)))
+    name = np.add.reduceat(mix(key.view(_U)), start).view(np.int64) if len(key) else np.zeros(0, np.int64)
+    many = np.flatnonzero(size > 1)
+    chosen = many[np.unique(name[many], return_index=True)[1]]
+    row = np.repeat(start[chosen], size[chosen]) + np.arange(size[chosen].sum()) - np.repeat(np.cumsum(size[chosen]) - size[chosen], size[chosen])
     ids = pick(a, 0)
     return pa.table({
-        "kind": pa.array(np.repeat([0, 1], [len(ids), len(edges)]), pa.int32()),
-        "a": np.concatenate([ids, edges[:, 0]]),
-        "b": np.concatenate([pick(b, 0), edges[:, 1]]),
-        "n": np.concatenate([pick(n, 0), np.zeros(len(edges), np.int64)]),
+        "kind": pa.array(np.repeat([0, 1], [len(ids), len(row)]), pa.int32()),
+        "a": np.concatenate([ids, key[row]]),
+        "b": np.concatenate([pick(b, 0), np.repeat(key[start[chosen]], size[chosen])]),
+        "n": np.concatenate([pick(n, 0), np.repeat(name[chosen], size[chosen])]),
     })
 
 
@@ -273,8 +283,8 @@ def _verifier(rule: Rule):
     def run(table: pa.Table) -> pa.Table:
         """Each set of a block pair: the root of its component and its links."""
         rows = {}
-        for key, block, copies, hashes in zip(*(table.column(c).to_pylist() for c in ("key", "block", "copies", "hashes")), strict=True):
-            rows[key] = (block, copies, np.frombuffer(hashes, _U))
+        for key, block, copies, hashes, buckets in zip(*(table.column(c).to_pylist() for c in ("key", "block", "copies", "hashes", "buckets")), strict=True):
+            rows[key] = (block, copies, np.frombuffer(hashes, _U), np.frombuffer(buckets, np.int64))
         keys = sorted(rows, key=lambda k: (rows[k][0], k))
         first, last = table.column("i")[0].as_py(), table.column("j")[0].as_py()
         sets = [rows[k][2] for k in keys]
@@ -288,6 +298,11 @@ def _verifier(rule: Rule):
         linked[b, a] |= near.T
         np.fill_diagonal(linked, False)
         root = forest(linked)
+        if table.column("by_bucket")[0].as_py():  # of the buckets a pair shares, the least counts its link
+            unit = table.column("unit")[0].as_py()
+            for x, y in zip(*np.nonzero(np.triu(linked)), strict=True):
+                if np.intersect1d(rows[keys[x]][3], rows[keys[y]][3], assume_unique=True)[0] != unit:
+                    linked[x, y] = linked[y, x] = False
         return pa.table({
             "key": pa.array(keys, pa.int64()), "root": pa.array([keys[r] for r in root], pa.int64()), "links": pa.array(linked @ copies, pa.int64()),
         })
@@ -305,15 +320,15 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
     met = written(packed.groupBy("slice").applyInArrow(_met, _FOUND), "met")
     ids = met.where("kind = 0").select(F.col("a").alias("id"), F.col("b").alias("key"), F.col("n").alias("n_shingles"))
     sets = ids.where("n_shingles > 0").groupBy("key").agg(F.min(F.when(F.col("id") != _NO_ID, F.col("id"))).alias("least"), F.count("*").alias("copies"))
-    candidates = components(met.where("kind = 1").select("a", "b").distinct())
-    blocks = candidates.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    # One row of each candidate set is fetched again by its id.
+    members = met.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("least"), F.col("n").alias("bucket"))
+    candidates = components(members.select(F.col("key").alias("a"), F.col("least").alias("b")).distinct())
+    # One row of each candidate set is fetched again by its id, for all its units.
     wanted = (
-        candidates.join(blocks, "component")
-        .join(sets, F.col("node") == F.col("key"))
-        .select(F.coalesce("least", F.lit(_NO_ID)).alias("id"), "key", "component", "blocks", "copies")
-    )
-    compared = _contents(docs, wanted, words).groupBy("component", "i", "j").applyInArrow(_verifier(rule), "key long, root long, links long")
+        _units(members.select("key", "bucket").distinct(), candidates)
+        .groupBy("key").agg(F.collect_list(F.struct("by_bucket", "unit", "blocks")).alias("units"))
+        .join(sets, "key").select(F.coalesce("least", F.lit(_NO_ID)).alias("id"), "key", "units", "copies")
+    )
+    compared = _contents(docs, wanted, words).groupBy("by_bucket", "unit", "i", "j").applyInArrow(_verifier(rule), "key long, root long, links long")
     compared = written(compared, "compared")
     classes = components(compared.select(F.col("key").alias("a"), F.col("root").alias("b")).distinct())
     links = compared.groupBy("key").agg(F.sum("links").alias("links"))
@@ -332,28 +347,55 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
     )
 
 
+def _units(members: DataFrame, candidates: DataFrame) -> DataFrame:
+    """(key, by_bucket, unit, blocks): where a set is compared with others. A component
+    up to BLOCK sets is one unit. A larger one is cut into blocks or compared bucket
+    by bucket, whichever repeats fewer sets: dense groups of near copies share many
+    buckets, chains through common passages few. Either way every two sets that share
+    a signature meet."""
+    sizes = candidates.groupBy("component").agg(F.count("*").alias("m"))
+    sized = candidates.select(F.col("node").alias("key"), "component").join(sizes, "component")
+    large = sized.where(F.col("m") > BLOCK)
+    by_size = members.join(members.groupBy("bucket").agg(F.count("*").alias("size")), "bucket").join(large, "key")
+    blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
+    cost = by_size.groupBy("component").agg(F.sum(blocks("size")).alias("rows"), F.first("m").alias("m"))
+    cut = cost.where(F.col("rows") < F.col("m") * blocks("m")).select("component")
+    whole = sized.join(cut, "component", "left_anti").select("key", F.lit(0).alias("by_bucket"), F.col("component").alias("unit"), blocks("m").alias("blocks"))
+    parts = by_size.join(cut, "component").select("key", F.lit(1).alias("by_bucket"), F.col("bucket").alias("unit"), blocks("size").alias("blocks"))
+    return whole.union(parts)
+
+
 def _contents(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """The hashes of the wanted sets, once for each block pair they take part in."""
-    texts = docs.select(F.coalesce("id", F.lit(_NO_ID)).alias("id"), "text").join(wanted, "id").select("key", "component", "blocks", "copies", "text")
-    names = ["key", "component", "i", "j", "block", "copies", "hashes"]
+    texts = docs.select(F.coalesce("id", F.lit(_NO_ID)).alias("id"), "text").join(wanted, "id").select("key", "units", "copies", "text")
+    names = ["key", "by_bucket", "unit", "i", "j", "block", "copies", "buckets", "hashes"]
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
+        out, size = [], 0
+
+        def full() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names)
+
         for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                rows = batch.slice(at, 200)
-                out = []
-                key, component, blocks, copies = (rows.column(i).to_pylist() for i in range(4))
-                for k, c, m, n, text in zip(key, component, blocks, copies, raw_texts(rows.column(4)), strict=True):
-                    hashes = shingles(text, words)
-                    if set_key(hashes) != k:  # another text under a repeated id
-                        continue
-                    own = int(mix(np.array([k], np.int64).view(_U))[0] % _U(m))
-                    content = hashes.tobytes()
-                    out += [(k, c, min(own, x), max(own, x), own, n, content) for x in range(m)]
-                if out:
-                    cols = list(zip(*out, strict=True))
-                    types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names)
-
-    return texts.mapInArrow(run, "key long, component long, i int, j int, block int, copies long, hashes binary")
+            key, units, copies = (batch.column(i).to_pylist() for i in range(3))
+            for k, own_units, n, text in zip(key, units, copies, raw_texts(batch.column(3)), strict=True):
+                hashes = shingles(text, words)
+                if set_key(hashes) != k:  # another text under a repeated id
+                    continue
+                place = int(mix(np.array([k], np.int64).view(_U))[0])
+                content = hashes.tobytes()
+                buckets = np.sort(np.array([u["unit"] for u in own_units if u["by_bucket"]], np.int64)).tobytes()
+                for u in own_units:
+                    own = place % u["blocks"]
+                    for x in range(u["blocks"]):
+                        out.append((k, u["by_bucket"], u["unit"], min(own, x), max(own, x), own, n, buckets, content))
+                        size += len(content) + len(buckets)
+                        if size > 4 << 20:
+                            yield full()
+                            out, size = [], 0
+        if out:
+            yield full()
+
+    return texts.mapInArrow(run, "key long, by_bucket int, unit long, i int, j int, block int, copies long, buckets binary, hashes binary")
