@@ -20,12 +20,12 @@ null key are predicted, never learned from. Only key, text and label are read.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,7 +34,7 @@ from .bpe import once
 from .common import bounded_batches, mix, small_batches
 
 UNKNOWN = "und"
-_RUN = re.compile(r"[^\W\d_]+")
+_RUN = regex.compile(r"\p{L}+")
 
 
 @dataclass(frozen=True)

@@ -17,6 +17,8 @@ def test_language(spark, odd_docs, no_docs):
     rows = {r.doc_id: r for r in language.predict(odd_docs, model).collect()}
     assert rows[2].lang_pred == rows[1].lang_pred == rows[4].lang_pred == "und" and rows[4].score == 0 and rows[4].rejected
     assert rows[5].lang_pred == "en" and rows[5].score == 1
+    numbers = spark.createDataFrame([(0, "½ ² Ⅷ 12 _")], "doc_id long, text string")  # numbers, no letters
+    assert language.predict(numbers, model).first().lang_pred == "und"
     assert language.predict(odd_docs, model).count() == odd_docs.count()
     assert language.fit(no_docs) is None
     assert {r.lang_pred for r in language.predict(odd_docs, None).collect()} == {"und"}
@@ -133,7 +135,7 @@ def test_bpe(spark, odd_docs, no_docs, ranks):
     assert both.count() == odd_docs.count() and bpe.round_trip(no_docs, ranks).count() == 0
 
 
-@settings(max_examples=300, deadline=None)
+@settings(max_examples=120, deadline=None)
 @given(st.lists(st.text(" \n\t'stlréçabz09.*-\x1c\xa0日😀", max_size=30), max_size=4))
 def test_pieces_give_whole_texts(ranks, texts):
     import base64
@@ -269,7 +271,7 @@ def test_jaccard_near_copies(spark, monkeypatch, words, percent, block):
 @pytest.mark.parametrize("percent", [70, 80, 85, 95])
 def test_linked_sets_share_a_signature(percent):
     random, rule = np.random.default_rng(percent), jaccard_join.Rule(percent)
-    for _ in range(1500):
+    for _ in range(500):
         size = int(random.integers(1, 220))
         common = random.integers(0, 2**64, size, dtype=np.uint64)
         most = size * (100 - percent) // percent  # different elements that keep the pair linked
