@@ -6,6 +6,7 @@ goes below the folder the cluster names in ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -61,9 +62,17 @@ def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     spark = df.sparkSession
     path = work_path(spark, name)
     df.write.options(**options).parquet(path)
+    reclaim(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def reclaim(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that nobody holds any more: it does
+    so when the driver collects garbage, which may be long after a stage was written."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def release(spark: SparkSession) -> None:
     """Delete all this application's written tables."""
     path = spark._jvm.org.apache.hadoop.fs.Path(
