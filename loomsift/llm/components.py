@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import shared_root
+from ..session import reclaim, shared_root
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -48,4 +48,5 @@ def components(edges: DataFrame) -> DataFrame:
         if now == before:
             break
         before = now
+    reclaim(edges.sparkSession)  # shuffles of the steps, and of what was written before them
     return nodes.join(stars, nodes.node == stars.a, "left").select("node", F.coalesce("b", "node").alias("component"))
