@@ -228,22 +228,6 @@ def test_jaccard_edges(spark, odd_docs, no_docs):
     assert jaccard_join.join(no_docs).count() == 0
 
 
-def test_jaccard_by_bucket(spark, monkeypatch):
-    """A chain of candidates above BLOCK that is cheaper by bucket than by block pair."""
-    from test_catalogue import brute_components
-
-    monkeypatch.setattr(jaccard_join, "BLOCK", 4)
-    random = np.random.default_rng(5)
-    words = [f"c{random.integers(10**6)}" for _ in range(900)]
-    texts = [" ".join(words[i : i + 60]) for i in range(0, 840, 7)] + [" ".join(words[i : i + 60]) for i in range(0, 800, 100)]
-    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    seen = []
-    monkeypatch.setattr(jaccard_join, "_units", lambda m, c, f=jaccard_join._units: seen.append(f(m, c)) or seen[-1])
-    found = {r.doc_id: (r.n_shingles, r.component_id, r.n_links) for r in jaccard_join.join(df, words=1, percent=75).collect()}
-    assert found == brute_components(list(enumerate(texts)), 1, 75)
-    assert seen[0].where("by_bucket = 1").count() > 0
-
-
 def near_copies(random, n, size, words=4000):
     base = [f"w{random.integers(words)}" for _ in range(size)]
     out = []
