@@ -195,6 +195,37 @@ class Encoder:
         return b"".join(out)
 
 
+class MarkedEncoder(Encoder):
+    """An encoder for which the file's added tokens in a text are those tokens, as in
+    the library's ``encode``: texts are cut there and the parts encoded one by one."""
+
+    def __init__(self, vocabulary: str):
+        super().__init__(vocabulary)
+        added = [t for t in json.loads(vocabulary)["added_tokens"] if t["content"]]
+        #: The longest of those that start at a place counts.
+        self.marks = re.compile("|".join(re.escape(t["content"]) for t in sorted(added, key=lambda t: -len(t["content"])))) if added else None
+        self.mark_ids = {t["content"]: array("I", [t["id"]]).tobytes() for t in added}
+        #: Whether no token takes spaces beside it or has to stand alone.
+        self.plain = not any(t.get(k) for t in added for k in ("lstrip", "rstrip", "single_word"))
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        held = [i for i, text in enumerate(texts) if self.marks.search(text)] if self.marks else []
+        if not held:
+            return super().encode(texts)
+        if not self.plain:
+            out = super().encode([text if not self.marks.search(text) else "" for text in texts])
+            for i in held:
+                out[i] = array("I", self.tokenizer.encode(texts[i], add_special_tokens=False).ids).tobytes()
+            return out
+        parts = [self.marks.split(text) for text in texts]
+        coded = iter(super().encode([part for own in parts for part in own]))
+        out = []
+        for text, own in zip(texts, parts, strict=True):
+            marks = [self.mark_ids[m] for m in self.marks.findall(text)] if len(own) > 1 else []
+            out.append(b"".join(x for part, mark in zip(own, [*marks, b""], strict=True) for x in (next(coded), mark)))
+        return out
+
+
 _LOADED: dict[object, object] = {}
 
 

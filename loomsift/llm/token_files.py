@@ -14,6 +14,9 @@ block from its checkpoint alone, checks it before it decodes, and refuses damage
 data. Files are Parquet containers of chunks, so that Spark's committers make them
 whole or absent; ``chunks`` also lists each document's id and length.
 
+Ids are those of the library's ``encode`` without its post-processor: an added token
+of the vocabulary file that a text holds is that token, not ordinary text.
+
 Rows, defined: a null or empty text has only the end id; repeated rows and ids are
 written one by one, equal ids in the order of their texts; null ids come first;
 empty tables give no rows. Only the id and text columns are read.
@@ -32,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import work_path, written
-from .bpe import Encoder, once, token_bytes
+from .bpe import MarkedEncoder, once, token_bytes
 from .common import binaries, bounded_batches, input_bytes, raw_texts, small_batches
 
 CHUNK, BLOCK, LANES = 1 << 20, 1 << 14, 64
@@ -169,7 +172,7 @@ def write(docs: DataFrame, vocabulary: str, path: str, end: int, id_col: str = "
     dealt = rows.repartitionByRange(n, F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first(), "text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = once(shared, Encoder)
+        encoder = once(shared, MarkedEncoder)
         shard, stop = TaskContext.get().partitionId(), struct.pack("<I", end)
         ids, parts, held, first, chunk = [], [], 0, 0, 0
 
