@@ -129,7 +129,7 @@ WITH {CHATS_SQL}, s AS (SELECT conv_id, list_filter(messages, lambda m: m.role =
 SELECT conv_id, unnest(range(1, least(len(u), len(a)) + 1)) AS place, unnest(list_transform(range(1, least(len(u), len(a)) + 1), lambda i: left(u[i].content, 30) || '|' || left(a[i].content, 30))) AS pair FROM s
 """)
 def zip_positional(spark: SparkSession, sf_dir: str) -> DataFrame:
-    said = lambda role: F.transform(F.filter("messages", lambda m: m["role"] == role), lambda m: F.substring(m["content"], 1, 30))
+    said = lambda role: F.transform(F.filter("messages", lambda m: m["role"] == role), lambda m: m["content"])
     rows = chats(spark, sf_dir).select("conv_id", F.posexplode(R.zipped(said("user"), said("assistant"))).alias("place", "z"))
     return rows.select("conv_id", (F.col("place") + 1).cast("long").alias("place"), F.concat("z.left", F.lit("|"), "z.right").alias("pair"))
 

@@ -11,3 +11,10 @@ FIRST_LINE = "split_part(text, chr(10), 1)"
 @pytest.mark.parametrize("name", ["title_filter", "briefing_lines", "briefing_prompt", "journal_prompt"])
 def test_title_is_the_whole_first_line(name, spark, sf_dir, duck):
     same_rows(QUERIES[name](spark, sf_dir), duck, ORACLES[name].replace(f"left({FIRST_LINE}, 80)", FIRST_LINE))
+
+
+def test_zip_holds_whole_messages(spark, sf_dir, duck):
+    sql = ORACLES["zip_positional"]
+    for side in "ua":
+        sql = sql.replace(f"left({side}[i].content, 30)", f"{side}[i].content")
+    same_rows(QUERIES["zip_positional"](spark, sf_dir), duck, sql)
