@@ -5,8 +5,9 @@ Parquet and read again as the next stage's ``docs``; a lost executor costs at mo
 the stage at work. All stages but the last keep the columns of ``documents``.
 
 Rows, defined: documents without an id take part in every stage and are never
-removed as a copy; of documents that repeat an id, the near-duplicate stage keeps
-the first by text; otherwise the operators' own rules hold.
+removed as a copy; documents that repeat an id are each judged by their own text,
+and of a group's documents that share its smallest id the first by text stays;
+otherwise the operators' own rules hold.
 """
 
 from __future__ import annotations
@@ -35,15 +36,20 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest id, of each group of linked ones. The
-    texts are not shuffled when the ids to remove are few enough to broadcast."""
-    classes = written(jaccard_join.join(docs, words=WORDS, percent=PERCENT), "classes")
+    texts are not shuffled when the ids to remove are few enough to broadcast;
+    documents that share an id are told apart by the sets of their texts."""
+    classes = written(jaccard_join.join(docs, words=WORDS, percent=PERCENT, sets=True), "classes")
     copies = classes.where("doc_id <> component_id").select("doc_id")
     repeated = classes.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
     once = docs.join(copies.union(repeated).distinct(), "doc_id", "left_anti")
-    order = Window.partitionBy("doc_id").orderBy("text")
-    first = docs.join(repeated, "doc_id", "left_semi").join(copies.distinct(), "doc_id", "left_anti")
-    first = first.withColumn("_place", F.row_number().over(order)).where("_place = 1")
-    return once.select(*docs.columns).union(first.select(*docs.columns))
+    several = jaccard_join.keyed(docs.join(repeated, "doc_id", "left_semi").select(*docs.columns), "_set", words=WORDS)
+    judged = classes.join(repeated, "doc_id", "left_semi").select("doc_id", F.col("set_key").alias("_set"), "component_id", "class_key").distinct()
+    known = several.join(judged, ["doc_id", "_set"])
+    alone = known.where("class_key IS NULL")
+    # A group's smallest id may name several of its documents: the first by text stays.
+    order = Window.partitionBy("class_key").orderBy("text", *(c for c in docs.columns if c != "text"))
+    first = known.where("class_key IS NOT NULL AND doc_id = component_id").withColumn("_place", F.row_number().over(order)).where("_place = 1")
+    return once.select(*docs.columns).union(alone.select(*docs.columns)).union(first.select(*docs.columns))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -42,6 +42,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import written
 from .bpe import forget
@@ -295,22 +296,24 @@ def _verifier(rule: Rule):
     return run
 
 
-def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, percent: int = 85) -> DataFrame:
+def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, percent: int = 85, sets: bool = False) -> DataFrame:
     """One row per document: id, n_shingles, component_id and n_links, the number
-    of other documents that it links with directly."""
+    of other documents that it links with directly. With ``sets`` also the document's
+    set_key and class_key, which its component's documents have in common (null for an
+    empty set); they tell documents apart that share an id."""
     rule = Rule(percent)
     docs = bounded_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     slices = slices_for(input_bytes(docs, "text"), SLICE_BYTES)
     packed = _signed(docs, words, rule, slices)
     met = written(packed.groupBy("slice").applyInArrow(_met, _FOUND), "met")
     ids = met.where("kind = 0").select(F.col("a").alias("id"), F.col("b").alias("key"), F.col("n").alias("n_shingles"))
-    sets = ids.where("n_shingles > 0").groupBy("key").agg(F.min(F.when(F.col("id") != _NO_ID, F.col("id"))).alias("least"), F.count("*").alias("copies"))
+    named_sets = ids.where("n_shingles > 0").groupBy("key").agg(F.min(F.when(F.col("id") != _NO_ID, F.col("id"))).alias("least"), F.count("*").alias("copies"))
     candidates = components(met.where("kind = 1").select("a", "b").distinct())
     blocks = candidates.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     # One row of each candidate set is fetched again by its id.
     wanted = (
         candidates.join(blocks, "component")
-        .join(sets, F.col("node") == F.col("key"))
+        .join(named_sets, F.col("node") == F.col("key"))
         .select(F.coalesce("least", F.lit(_NO_ID)).alias("id"), "key", "component", "blocks", "copies")
     )
     compared = _contents(docs, wanted, words).groupBy("component", "i", "j").applyInArrow(_verifier(rule), "key long, root long, links long")
@@ -318,20 +321,37 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
     classes = components(compared.select(F.col("key").alias("a"), F.col("root").alias("b")).distinct())
     links = compared.groupBy("key").agg(F.sum("links").alias("links"))
     known = (
-        sets.join(classes, F.col("key") == F.col("node"), "left")
+        named_sets.join(classes, F.col("key") == F.col("node"), "left")
         .join(links, "key", "left")
         .select("key", "least", F.coalesce("component", "key").alias("class"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     )
     named = known.groupBy("class").agg(F.min("least").alias("component_id"))
-    result = ids.join(known.join(named, "class").select("key", "component_id", "n_links"), "key", "left")
+    extra = ["class"] if sets else []
+    result = ids.join(known.join(named, "class").select("key", "component_id", "n_links", *extra), "key", "left")
     own = F.when(F.col("id") != _NO_ID, F.col("id"))
     return result.select(
         own.alias(id_col), "n_shingles",
         F.when(F.col("n_shingles") == 0, own).otherwise(F.col("component_id")).alias("component_id"),
         F.when(F.col("n_shingles") == 0, F.lit(0)).otherwise(F.col("n_links")).cast("long").alias("n_links"),
+        *([F.col("key").alias("set_key"), F.col("class").alias("class_key")] if sets else []),
     )
 
 
+def keyed(docs: DataFrame, out: str = "set_key", text_col: str = "text", words: int = 4) -> DataFrame:
+    """``docs`` with ``out``, the key of the text's set as ``join`` gives it."""
+    docs = bounded_batches(docs)
+    schema = T.StructType([*docs.schema.fields, T.StructField(out, T.LongType())])
+    names = schema.names
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
+        for batch in batches:
+            keys = [set_key(shingles(t, words)) for t in raw_texts(batch.column(text_col))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.int64())], names)
+
+    return docs.mapInArrow(run, schema)
+
+
 def _contents(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """The hashes of the wanted sets, once for each block pair they take part in."""
     texts = docs.select(F.coalesce("id", F.lit(_NO_ID)).alias("id"), "text").join(wanted, "id").select("key", "component", "blocks", "copies", "text")
