@@ -1,6 +1,8 @@
 """Whole results, where a twin's SQL still cuts texts as the query once did."""
 
+import duckdb
 import pytest
+from pyspark.sql import functions as F
 from twins import same_rows
 
 from loomsift.plans.catalogue import ORACLES, QUERIES
@@ -18,3 +20,16 @@ def test_zip_holds_whole_messages(spark, sf_dir, duck):
     for side in "ua":
         sql = sql.replace(f"left({side}[i].content, 30)", f"{side}[i].content")
     same_rows(QUERIES["zip_positional"](spark, sf_dir), duck, sql)
+
+
+@pytest.mark.parametrize("name", ["eval_scores", "eval_scores_agg"])
+@pytest.mark.parametrize("items", [0, 7, 60])
+def test_predictions_go_by_the_number_of_items(name, items, spark, sf_dir, tmp_path):
+    con = duckdb.connect()
+    for table in ("conversations", "labels"):
+        spark.read.parquet(f"{sf_dir}/{table}.parquet").coalesce(1).write.parquet(f"{tmp_path}/{table}.parquet")
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
+    spark.range(items).select(F.col("id").alias("item_id"), F.repeat(F.lit("x"), F.col("id").cast("int") * 9 + 1).alias("text")).coalesce(1).write.parquet(f"{tmp_path}/benchmark.parquet")
+    con.execute(f"CREATE VIEW benchmark AS SELECT * FROM '{tmp_path}/benchmark.parquet/*.parquet'")
+    sql = ORACLES[name].replace("pair_id % 40", "pair_id % (SELECT count(*) FROM benchmark)")
+    same_rows(QUERIES[name](spark, str(tmp_path)), con, sql)
