@@ -3,14 +3,16 @@
 A text is the average of the embeddings of its letter 1- to 4-grams (with word
 marks, hashed to ``buckets``); a softmax layer over that average gives the
 languages. Both are trained by stochastic gradient descent in numpy on at most
-``Settings.sample`` labelled rows (by default about 800 a language, chosen by a
-hash of the key, exact copies once). Part of that sample is held back to fit the
-temperature that calibrates the probabilities and the threshold below which a
-prediction is rejected.
+``Settings.sample`` labelled rows (by default about 800 a language, fewer for each
+where there are more than 256 languages, but never none; chosen by a hash of the
+key, exact copies once). Part of that sample, never all rows of a language, is held
+back to fit the temperature that calibrates the probabilities and the threshold
+below which a prediction is rejected.
 
 As the layers are linear, embeddings and softmax weights fold into one score
-table of buckets x languages, which is broadcast (its size is fixed by the
-settings), and a worker sums each distinct word's scores once.
+table of buckets x languages, which is broadcast, and a worker sums each distinct
+word's scores once. Beyond ``Settings.folded`` languages they stay apart, and the
+sums are of embeddings, so that the table doesn't grow with the languages.
 
 Rows, defined: a null text or one without letters is ``und`` with score 0 and is
 rejected; without any labelled row all texts are; repeated rows are predicted one
@@ -26,7 +28,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,6 +37,8 @@ from .common import bounded_batches, mix, small_batches
 
 UNKNOWN = "und"
 _RUN = regex.compile(r"\p{L}+")
+#: Places that hashed keys fall into.
+STEPS = 1 << 30
 
 
 @dataclass(frozen=True)
@@ -43,7 +47,10 @@ class Settings:
     dims: int = 16
     longest: int = 4
     per_label: int = 800  #: labelled rows to learn from, for each label
-    labels: int = 256  #: more distinct labels than this raise an error
+    sample: int = 800 * 256  #: labelled rows to learn from in all, or one for each label
+    labels: int | None = None  #: more distinct labels than this raise an error, if given
+    folded: int = 256  #: labels up to which the layers are folded
+    cells: int = 1 << 22  #: rows times labels scored at once
     epochs: int = 12
     rate: float = 4.0
     held_back: int = 5  #: one in so many sampled rows calibrates
@@ -51,19 +58,25 @@ class Settings:
     surest: float = 0.5  #: the threshold is never above this
     seed: int = 7
 
-    @property
-    def sample(self) -> int:
-        return self.per_label * self.labels
-
 
 @dataclass
 class Model:
     labels: list[str]
-    scores: np.ndarray  #: buckets x labels, embeddings times weights
+    scores: np.ndarray  #: buckets x labels, embeddings times weights; embeddings if there is a layer
     bias: np.ndarray
     temperature: float
     threshold: float
     settings: Settings
+    layer: np.ndarray | None = None  #: weights that aren't folded into the scores
+
+    def logits(self, means: np.ndarray) -> np.ndarray:
+        """Of rows of averaged scores."""
+        return (means if self.layer is None else means @ self.layer) + self.bias
+
+    def blocks(self, rows: int) -> list[slice]:
+        """Rows cut so that their logits stay small."""
+        each = max(1, self.settings.cells // max(1, len(self.labels)))
+        return [slice(at, at + each) for at in range(0, rows, each)]
 
 
 def subwords(pieces: list[str], settings: Settings) -> tuple[np.ndarray, np.ndarray]:
@@ -109,19 +122,24 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str = "
     """Learn from a bounded sample of the ``usable`` labelled rows."""
     rows = bounded_batches(docs).where(F.col(key).isNotNull() & F.col(text).isNotNull() & F.col(label).isNotNull())
     rows = rows if usable is None else rows.where(usable)
-    counts = rows.groupBy(F.col(label).cast("string").alias("label")).count().orderBy("label").limit(settings.labels + 1).collect()
-    if len(counts) > settings.labels:
+    name = F.col(label).cast("string")
+    place = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(STEPS))
+    many = settings.sample // settings.per_label
+    found = rows.groupBy(name.alias("label")).count()
+    counts = found.orderBy("label").limit(1 + (many if settings.labels is None else max(many, settings.labels))).collect()
+    if settings.labels is not None and len(counts) > settings.labels:
         raise ValueError(f"more than {settings.labels} distinct labels")
     if not counts:
         return None
-    steps = 1 << 30
-    share = F.create_map(*[x for r in counts for x in (F.lit(r.label), F.lit(min(steps, steps * settings.per_label // r["count"])))])
-    name = F.col(label).cast("string")
-    chosen = (
-        rows.where(F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(steps)) < share[name])
-        .select(name.alias("label"), F.col(text).alias("text"))
-        .dropDuplicates()
-    )
+    if len(counts) <= many:
+        share = F.create_map(*[x for r in counts for x in (F.lit(r.label), F.lit(min(STEPS, STEPS * settings.per_label // r["count"])))])
+        picked = rows.where(place < share[name]).select(name.alias("label"), F.col(text).alias("text"))
+    else:
+        each = max(1, settings.sample // found.count())
+        lettered = rows.where(F.col(text).rlike(r"\p{L}")).select(name.alias("label"), F.col(text).alias("text"), place.alias("place"))
+        order = Window.partitionBy("label").orderBy("place", "text")
+        picked = lettered.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= each).select("label", "text")
+    chosen = picked.dropDuplicates()
     bags = _bags(chosen, settings)
     return train(bags, settings) if bags else None
 
@@ -134,6 +152,11 @@ def train(bags: list[tuple[str, np.ndarray, np.ndarray]], settings: Settings) ->
     held = set(order[:: settings.held_back].tolist()) if len(bags) >= 10 * settings.held_back else set()
     weights = [n / n.sum() for _, _, n in bags]
     target = [number[b[0]] for b in bags]
+    taught = {target[i] for i in order.tolist() if i not in held}
+    for i in sorted(held):  # a label that would be held back as a whole
+        if target[i] not in taught:
+            held.discard(i)
+            taught.add(target[i])
     vectors = random.uniform(-1, 1, (settings.buckets, settings.dims)) / settings.dims
     layer = np.zeros((settings.dims, len(labels)))
     bias = np.zeros(len(labels))
@@ -150,19 +173,26 @@ def train(bags: list[tuple[str, np.ndarray, np.ndarray]], settings: Settings) ->
             layer -= rate * np.outer(x, gradient)
             bias -= 0.1 * rate * gradient
             vectors[bags[i][1]] -= rate * weights[i][:, None] * back
-    scores = vectors @ layer
+    apart = len(labels) > settings.folded
+    scores = vectors if apart else vectors @ layer
     judged = sorted(held) or learned
-    logits = np.array([weights[i] @ scores[bags[i][1]] + bias for i in judged])
+    model = Model(labels, scores, bias, 1.0, 0.0, settings, layer if apart else None)
+    means = np.array([weights[i] @ scores[bags[i][1]] for i in judged])
     truth = np.array([target[i] for i in judged])
+    cuts = model.blocks(len(judged))
 
     def loss(t: float) -> float:
-        return -np.log(_softmax(logits / t)[np.arange(len(truth)), truth] + 1e-12).mean()
+        return sum(-np.log(_softmax(model.logits(means[c]) / t)[np.arange(len(truth[c])), truth[c]] + 1e-12).sum() for c in cuts) / len(truth)
 
-    temperature = min(np.geomspace(0.1, 10, 61).tolist(), key=loss)
-    sure = _softmax(logits / temperature)
-    right = sure.max(axis=1)[sure.argmax(axis=1) == truth]
-    threshold = min(settings.surest, float(np.quantile(right, settings.rejected))) if len(right) else 0.0
-    return Model(labels, scores.astype(np.float32), bias, temperature, threshold, settings)
+    model.temperature = min(np.geomspace(0.1, 10, 61).tolist(), key=loss)
+    right = []
+    for c in cuts:
+        sure = _softmax(model.logits(means[c]) / model.temperature)
+        right.append(sure.max(axis=1)[sure.argmax(axis=1) == truth[c]])
+    right = np.concatenate(right)
+    model.threshold = min(settings.surest, float(np.quantile(right, settings.rejected))) if len(right) else 0.0
+    model.scores = scores.astype(np.float32)
+    return model
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -181,12 +211,12 @@ class Scorer:
 
     def forget(self) -> None:
         self.row: dict[str, int] = {}
-        self.table = np.zeros((0, len(self.model.labels) + 1))
+        self.table = np.zeros((0, self.model.scores.shape[1] + 1))
 
     def _learn(self, new: list[str]) -> None:
         m = self.model
         bucket, owner = subwords(new, m.settings)
-        sums = [np.bincount(owner, m.scores[bucket, k], len(new)) for k in range(len(m.labels))]
+        sums = [np.bincount(owner, m.scores[bucket, k], len(new)) for k in range(m.scores.shape[1])]
         rows = np.stack([*sums, np.bincount(owner, minlength=len(new))], axis=1)
         self.row.update(zip(new, range(len(self.table), len(self.table) + len(new)), strict=True))
         self.table = np.concatenate([self.table, rows])
@@ -203,14 +233,17 @@ class Scorer:
         new = sorted(wanted.difference(self.row))
         if new:
             self._learn(new)
-        sums = np.zeros((len(texts), len(m.labels) + 1))
+        sums = np.zeros((len(texts), m.scores.shape[1] + 1))
         for i, pieces in enumerate(split):
             at = np.fromiter(map(self.row.__getitem__, pieces), np.int64, len(pieces))
             sums[i] = self.table[at].sum(axis=0)
         letters = sums[:, -1] > 0
-        sure = _softmax((sums[:, :-1] / np.maximum(sums[:, -1:], 1) + m.bias) / m.temperature)
-        best = sure.argmax(axis=1)
-        score = np.where(letters, sure.max(axis=1), 0.0)
+        means = sums[:, :-1] / np.maximum(sums[:, -1:], 1)
+        best, score = np.zeros(len(texts), np.int64), np.zeros(len(texts))
+        for c in m.blocks(len(texts)):
+            sure = _softmax(m.logits(means[c]) / m.temperature)
+            best[c], score[c] = sure.argmax(axis=1), sure.max(axis=1)
+        score[~letters] = 0
         return [m.labels[b] if ok else UNKNOWN for b, ok in zip(best.tolist(), letters, strict=True)], score, ~letters | (score < m.threshold)
 
 
