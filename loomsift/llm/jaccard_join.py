@@ -13,13 +13,20 @@
    ``slack`` + 1 first-level parts must agree, and only a set with so many parts
    that have empty subsets signs those, too. Either one of two linked sets has
    fewer, and a filled subset agrees, or both sign the empty ones: no link is lost.
-3. Equal signatures give candidate edges between neighbours in a bucket (never all
-   its pairs); their components hold every linked pair.
-4. Within a candidate component, sets are compared exactly. Components above
+3. A bucket of equal signatures that holds at most ``FEW`` sets gives its pairs. The
+   sets of fuller buckets (families of copies, passages that many texts share) sign
+   again by the next, more selective entry of ``ROUNDS``, which is complete in itself;
+   buckets that are still full after the last one are chained from neighbour to
+   neighbour, never paired.
+4. Each set has a sketch: its hashes added up in parts, a byte each. Two sets differ
+   in as many hashes at least as their sketches do in parts, so pairs whose sketches
+   differ too much are no links; the others, and the chains, are candidate edges,
+   whose components hold every linked pair.
+5. Within a candidate component, sets are compared exactly. Components above
    ``BLOCK`` sets are cut into blocks by hash, one task for each pair of blocks,
    and each task returns a spanning forest of the links it finds: no pairs are
    emitted, and no task holds more than two blocks.
-5. Components of those forests, joined back to all documents, give each one the
+6. Components of those forests, joined back to all documents, give each one the
    smallest id that links reach.
 
 Rows, defined: null, empty and word-less texts have an empty set, linked with
@@ -42,19 +49,28 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..session import written
 from .bpe import forget
-from .common import ASCII_LOWER, binaries, bounded_batches, input_bytes, mix, raw_texts, slices_for
+from .common import ASCII_LOWER, binaries, bounded_batches, input_bytes, mix, raw_texts, slices_for, small_batches
 from .components import components
 
+#: How sets sign, round by round: second-level parts, how many of them a subset leaves
+#: out, and how many parts a subset keeps where so few differences are allowed that
+#: one first-level part will do.
+ROUNDS = ((3, 1, 2), (7, 3, 4))
+#: Differences up to which one first-level part will do.
+ONE_PART = 6
+#: Most sets of a bucket that is paired.
+FEW = 32
 #: Most sets of a candidate component that one block holds.
 BLOCK = 256
 #: Shingle columns compared at once, and rows of other small sets beside them.
 COLUMNS = 4096
 #: Input bytes for each slice of the signature space.
 SLICE_BYTES = 4 << 20
+#: Bytes to count for each shingle that signs again, which makes some seven signatures.
+SIGNED_BYTES = 24
 
 _U = np.uint64
 _NO_ID = np.iinfo(np.int64).min
@@ -108,8 +124,12 @@ class Rule:
             band += 1
         return band
 
-    def plan(self, band: int) -> Plan:
-        return _plan(self, band)
+    def differences(self, sizes: int | np.ndarray) -> int | np.ndarray:
+        """Most hashes in which two linked sets differ whose sizes add up to ``sizes``."""
+        return sizes * (100 - self.percent) // (100 + self.percent)
+
+    def plan(self, band: int, number: int = 0) -> Plan:
+        return _plan(self, band, ROUNDS[number])
 
 
 @lru_cache(None)
@@ -118,24 +138,33 @@ def _limits(percent: int, band: int) -> int:
 
 
 @lru_cache(None)
-def _plan(rule: Rule, band: int) -> Plan:
+def _plan(rule: Rule, band: int, entry: tuple[int, int, int]) -> Plan:
     # The smaller of two linked sets is at most b, the larger at most a.
     b = rule.limit(band + 1) - 1
     a = b * 100 // rule.percent
-    k = (a + b) * (100 - rule.percent) // (100 + rule.percent)
-    if k <= 6:
-        return Plan(band, k, 1, k + 2, k, 0)
-    least, slack, base = rule.limit(band), 0, k // 2 + 1
+    k = rule.differences(a + b)
+    n2, k2, kept = entry
+    if k <= ONE_PART:
+        return Plan(band, k, 1, k + kept, k, 0)
+    least, slack, base = rule.limit(band), 0, k // (k2 + 1) + 1
     for _ in range(4):  # parts with an empty subset that a set has, and a margin
         n1 = base + slack
-        mean = n1 * min(1.0, 3 * math.exp(-2 * least / n1 / 3))
+        mean = n1 * min(1.0, math.comb(n2, k2) * math.exp(-(n2 - k2) * least / n1 / n2))
         slack = math.ceil(mean + 2.5 * math.sqrt(mean))
         slack = min(slack, base // 2)
-    return Plan(band, k, base + slack, 3, 1, slack)
+    return Plan(band, k, base + slack, n2, k2, slack)
+
+
+@lru_cache(None)
+def _subsets(plan: Plan) -> tuple[np.ndarray, np.ndarray]:
+    """The second-level parts each subset keeps, and a salt for each subset."""
+    kept = np.array(list(itertools.combinations(range(plan.n2), plan.n2 - plan.k2)))
+    name = (plan.band + 1) * 0xC2B2AE3D27D4EB4F + (plan.n2 * 64 + plan.k2) * 0x9FB21C651E98DF25
+    return kept, np.array([((number + 1) * 0x9E3779B97F4A7C15 + name) % (1 << 64) for number in range(len(kept))], _U)
 
 
-def signatures(hashes: np.ndarray, rule: Rule, sums: np.ndarray | None = None) -> np.ndarray:
-    """The signatures of a non-empty sorted set."""
+def signatures(hashes: np.ndarray, rule: Rule, number: int = 0) -> np.ndarray:
+    """The signatures of a non-empty sorted set in a round."""
     own = rule.band(len(hashes))
     sums = np.concatenate([np.zeros(1, _U), np.cumsum(mix(hashes), dtype=_U)])
     top = hashes >> _U(32)
@@ -143,96 +172,206 @@ def signatures(hashes: np.ndarray, rule: Rule, sums: np.ndarray | None = None) -
     for band in (own - 1, own):
         if band < 0:
             continue
-        plan = rule.plan(band)
+        plan = rule.plan(band, number)
         parts = plan.n1 * plan.n2
         # A hash h lies in part top(h) * parts >> 32; parts are runs of the sorted set.
         part_of = (top * _U(parts)) >> _U(32)
         at = np.searchsorted(part_of, np.arange(parts + 1, dtype=_U))
         size = np.diff(at).reshape(plan.n1, plan.n2)
         value = mix(sums[at[1:]] - sums[at[:-1]] + np.arange(1, parts + 1, dtype=_U)).reshape(plan.n1, plan.n2)
-        values, filled = [], []
-        for number, kept in enumerate(itertools.combinations(range(plan.n2), plan.n2 - plan.k2)):
-            kept = list(kept)
-            salt = _U(((number + 1) * 0x9E3779B97F4A7C15 + (band + 1) * 0xC2B2AE3D27D4EB4F) % (1 << 64))
-            values.append(mix(value[:, kept].sum(axis=1, dtype=_U) + np.arange(plan.n1, dtype=_U) * _U(0xD6E8FEB86659FD93) + salt))
-            filled.append(size[:, kept].sum(axis=1) > 0)
-        values, filled = np.stack(values), np.stack(filled)
-        gaps = plan.n1 - np.count_nonzero(filled.all(axis=0))
+        kept, salt = _subsets(plan)
+        values = mix(value[:, kept].sum(axis=2, dtype=_U) + (np.arange(plan.n1, dtype=_U) * _U(0xD6E8FEB86659FD93))[:, None] + salt)
+        filled = size[:, kept].sum(axis=2) > 0
+        gaps = plan.n1 - np.count_nonzero(filled.all(axis=1))
         out.append(values.ravel() if gaps > plan.slack else values[filled])
     return np.concatenate(out)
 
 
-_PACKED = "slice int, kind int, a binary, b binary, n binary"
-_FOUND = "kind int, a long, b long, n long"
+def sketch(hashes: np.ndarray, rule: Rule) -> bytes:
+    """One byte for each of 2**n runs of the hash domain: the sum of its hashes."""
+    bits = max(0, int(2 * rule.differences(2 * len(hashes))) - 1).bit_length()
+    run = (hashes >> _U(63 - bits) >> _U(1)).astype(np.int64)
+    # Sums of bytes are exact in doubles.
+    return np.bincount(run, mix(hashes) & _U(255), 1 << bits).astype(np.int64).astype(np.uint8).tobytes()
+
+
+def _folded(sketches: list[bytes], length: int) -> np.ndarray:
+    """Sketches as rows, neighbouring runs added up until ``length`` are left."""
+    rows = np.frombuffer(b"".join(sketches), np.uint8).reshape(len(sketches), length, -1)
+    return rows.sum(axis=2, dtype=np.uint8)
 
 
-def _pack(slices: int, kind: int, where: np.ndarray, *columns: np.ndarray) -> list[tuple]:
-    """One row per slice of the top bits of ``where``, holding its values."""
+def may_link(a: list[bytes], b: list[bytes], sizes: np.ndarray, rule: Rule) -> np.ndarray:
+    """Whether pairs may link, by their sketches and the sum of their sizes."""
+    shape = np.array([[len(x), len(y)] for x, y in zip(a, b, strict=True)])
+    out = np.zeros(len(a), bool)
+    for x, y in np.unique(shape, axis=0):
+        rows = np.flatnonzero((shape == (x, y)).all(axis=1))
+        length = min(x, y)
+        differ = (_folded([a[r] for r in rows], length) != _folded([b[r] for r in rows], length)).sum(axis=1)
+        out[rows] = differ <= rule.differences(sizes[rows])
+    return out
+
+
+#: Of kind 0: ids, set keys, sizes, hashes of the texts. Of kind 1: low halves of
+#: signatures, places of their sets among the keys, keys. Of kind 2: keys, sizes,
+#: lengths of sketches, sketches.
+_PACKED = "slice int, kind int, a binary, b binary, c binary, d binary"
+#: Of kind 0: id, set key, size, hash of the text. Of kind 1 a pair, of kind 2 an edge
+#: of a chain, as set keys. Of kind 3: set key, size, sketch.
+_FOUND = "kind int, a long, b long, n long, h long, sketch binary"
+
+
+def _cuts(slices: int, where: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """An order by slice of the top bits of ``where``, and (slice, from, to) in it."""
     number = (where >> _U(64 - slices.bit_length() + 1)).astype(np.int64)
     order = np.argsort(number, kind="stable")
     number = number[order]
-    cuts = np.flatnonzero(np.diff(number, prepend=-1))
-    sorted_ = [c[order] for c in columns]
-    return [
-        (int(number[s]), kind, *(c[s:e].tobytes() for c in sorted_), *[b""] * (3 - len(columns)))
-        for s, e in zip(cuts, [*cuts[1:], len(number)], strict=True)
-    ]
+    starts = np.flatnonzero(np.diff(number, prepend=-1))
+    return order, [(int(number[s]), int(s), int(e)) for s, e in zip(starts, [*starts[1:], len(number)], strict=True)]
+
+
+def _pack_signatures(signed: list[np.ndarray], keys: list[int], slices: int) -> list[tuple]:
+    """One row per slice, holding its signatures."""
+    every, owner = np.concatenate(signed), np.repeat(np.arange(len(signed)), [len(s) for s in signed])
+    order, cuts = _cuts(slices, every)
+    low, owner, table = every[order].astype(np.uint32), owner[order], np.array(keys, np.int64)
+    out = []
+    for number, s, e in cuts:
+        new = np.diff(owner[s:e], prepend=-1) > 0  # owners ascend within a slice
+        place = (np.cumsum(new) - 1).astype(np.uint16)
+        out.append((number, 1, low[s:e].tobytes(), place.tobytes(), table[owner[s:e][new]].tobytes(), b""))
+    return out
+
+
+def _packed_batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True))
+    return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int32()) for c in columns[:2]), *map(binaries, columns[2:])], ["slice", "kind", "a", "b", "c", "d"])
 
 
 def _signed(docs: DataFrame, n: int, rule: Rule, slices: int) -> DataFrame:
+    """Documents, sketches and first-round signatures, packed by slice."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
         done: set[int] = set()  # sets that this task has signed, so that copies sign once
-        for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                rows = batch.slice(at, 2000)
-                ids = rows.column(0).fill_null(_NO_ID).to_numpy(zero_copy_only=False).astype(np.int64)
-                sets = [shingles(t, n) for t in raw_texts(rows.column(1))]
-                keys = [set_key(s) for s in sets]
-                signed, owner = [], []
-                if len(done) > 200_000:
-                    done.clear()
-                for key, hashes in zip(keys, sets, strict=True):
-                    if key not in done and len(hashes):
-                        done.add(key)
-                        signed.append(signatures(hashes, rule))
-                        owner.append(key)
-                key_array = np.array(keys, np.int64)
-                packed = _pack(slices, 0, key_array.view(_U), ids, key_array, np.array([len(s) for s in sets], np.int64)) if keys else []
-                if signed:
-                    every = np.concatenate(signed)
-                    packed += _pack(slices, 1, every, every.view(np.int64), np.repeat(np.array(owner, np.int64), [len(s) for s in signed]))
-                if packed:
-                    columns = list(zip(*packed, strict=True))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int32()), *map(binaries, columns[2:])],
-                        ["slice", "kind", "a", "b", "n"],
-                    )
+        for rows in small_batches(batches):
+            if not rows.num_rows:
+                continue
+            ids = rows.column(0).fill_null(_NO_ID).to_numpy(zero_copy_only=False).astype(np.int64)
+            texts = rows.column(2).to_numpy(zero_copy_only=False).astype(np.int64)
+            sets = [shingles(t, n) for t in raw_texts(rows.column(1))]
+            keys = [set_key(s) for s in sets]
+            fresh = []
+            if len(done) > 200_000:
+                done.clear()
+            for at, (key, hashes) in enumerate(zip(keys, sets, strict=True)):
+                if key not in done and len(hashes):
+                    done.add(key)
+                    fresh.append(at)
+            key_array, sizes = np.array(keys, np.int64), np.array([len(s) for s in sets], np.int64)
+            sketches = {at: sketch(sets[at], rule) for at in fresh}
+            order, cuts = _cuts(slices, key_array.view(_U))
+            packed = []
+            for number, s, e in cuts:
+                own = order[s:e]
+                packed.append((number, 0, *(c[own].tobytes() for c in (ids, key_array, sizes, texts))))
+                drawn = [at for at in own.tolist() if at in sketches]
+                if drawn:
+                    lengths = np.array([len(sketches[at]) for at in drawn], np.int64)
+                    packed.append((number, 2, key_array[drawn].tobytes(), sizes[drawn].tobytes(), lengths.tobytes(), b"".join(sketches[at] for at in drawn)))
+            if fresh:
+                packed += _pack_signatures([signatures(sets[at], rule) for at in fresh], [keys[at] for at in fresh], slices)
+            yield _packed_batch(packed)
 
     return docs.mapInArrow(run, _PACKED)
 
 
+def _signed_again(texts: DataFrame, n: int, rule: Rule, number: int, slices: int) -> DataFrame:
+    """Signatures of a later round, of texts that come with their set's key."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
+        for rows in small_batches(batches, 100):
+            sets = zip(rows.column("key").to_pylist(), (shingles(t, n) for t in raw_texts(rows.column("text"))), strict=True)
+            known = {key: hashes for key, hashes in sets if set_key(hashes) == key}
+            if known:
+                yield _packed_batch(_pack_signatures([signatures(s, rule, number) for s in known.values()], list(known), slices))
+
+    return texts.mapInArrow(run, _PACKED)
+
+
 def _long(parts: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(parts), np.int64)
 
 
-def _met(table: pa.Table) -> pa.Table:
-    """Of one slice: its documents, and an edge between neighbours of a bucket."""
-    kind = np.array(table.column("kind").to_pylist())
-    a, b, n = (table.column(c).to_pylist() for c in ("a", "b", "n"))
-    pick = lambda column, k: _long([x for x, y in zip(column, kind, strict=True) if y == k])
-    signature, key = pick(a, 1), pick(b, 1)
-    order = np.lexsort((key, signature))
+def paired(signature: np.ndarray, key: np.ndarray, few: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of the sets in buckets of at most ``few``, and chains through fuller ones
+    (rows of two keys, each row once)."""
+    pairs, chains = [np.zeros((0, 2), np.int64)], np.zeros((0, 2), np.int64)
+    order = np.argsort(signature)
+    signature, key = signature[order], key[order]
+    same = signature[1:] == signature[:-1]
+    if not same.any():
+        return pairs[0], chains
+    shared = np.append(same, False) | np.insert(same, 0, False)
+    signature, key = signature[shared], key[shared]
+    order = np.lexsort((key, signature))  # a set that several tasks signed counts once
     signature, key = signature[order], key[order]
-    pairs = np.flatnonzero((signature[1:] == signature[:-1]) & (key[1:] != key[:-1]))
-    edges = np.unique(np.stack([key[pairs], key[pairs + 1]], axis=1), axis=0) if len(pairs) else np.zeros((0, 2), np.int64)
-    ids = pick(a, 0)
-    return pa.table({
-        "kind": pa.array(np.repeat([0, 1], [len(ids), len(edges)]), pa.int32()),
-        "a": np.concatenate([ids, edges[:, 0]]),
-        "b": np.concatenate([pick(b, 0), edges[:, 1]]),
-        "n": np.concatenate([pick(n, 0), np.zeros(len(edges), np.int64)]),
-    })
+    new = np.append(True, (signature[1:] != signature[:-1]) | (key[1:] != key[:-1]))
+    signature, key = signature[new], key[new]
+    start = np.flatnonzero(np.append(True, signature[1:] != signature[:-1]))
+    size = np.diff(np.append(start, len(key)))
+    full = np.repeat(size > few, size)
+    couple = lambda left, lag: np.unique(np.stack([key[left], key[left + lag]], axis=1), axis=0)
+    for lag in range(1, min(few, len(key))):
+        pairs.append(couple(np.flatnonzero((signature[lag:] == signature[:-lag]) & ~full[lag:]), lag))
+    chains = couple(np.flatnonzero((signature[1:] == signature[:-1]) & full[1:]), 1)
+    return np.unique(np.concatenate(pairs), axis=0), chains
+
+
+def _meeting(few: int):
+    def run(table: pa.Table) -> pa.Table:
+        """Of one slice: its documents, sketches, pairs and chains."""
+        kind = table.column("kind").to_pylist()
+        a, b, c, d = (table.column(x).to_pylist() for x in "abcd")
+        pick = lambda column, k: [x for x, y in zip(column, kind, strict=True) if y == k]
+        docs = [_long(pick(x, 0)) for x in (a, b, c, d)]
+        signature = np.frombuffer(b"".join(pick(a, 1)), np.uint32)
+        keys = [np.frombuffer(t, np.int64)[np.frombuffer(p, np.uint16)] for p, t in zip(pick(b, 1), pick(c, 1), strict=True)]
+        pairs, chains = paired(signature, np.concatenate(keys) if keys else np.zeros(0, np.int64), few)
+        drawn_keys, first = np.unique(_long(pick(a, 2)), return_index=True)
+        sizes, lengths, drawn = _long(pick(b, 2))[first], _long(pick(c, 2)), b"".join(pick(d, 2))
+        ends = np.cumsum(lengths)
+        sketches = [drawn[ends[i] - lengths[i] : ends[i]] for i in first.tolist()]
+        counts = [len(docs[0]), len(pairs), len(chains), len(drawn_keys)]
+        none = lambda n: np.zeros(n, np.int64)
+        return pa.table({
+            "kind": pa.array(np.repeat([0, 1, 2, 3], counts), pa.int32()),
+            "a": np.concatenate([docs[0], pairs[:, 0], chains[:, 0], drawn_keys]),
+            "b": np.concatenate([docs[1], pairs[:, 1], chains[:, 1], drawn_keys]),
+            "n": np.concatenate([docs[2], none(counts[1] + counts[2]), sizes]),
+            "h": np.concatenate([docs[3], none(sum(counts[1:]))]),
+            "sketch": pa.array([*[None] * sum(counts[:3]), *sketches], pa.binary()),
+        })
+
+    return run
+
+
+def _promising(pairs: DataFrame, sketches: DataFrame, rule: Rule) -> DataFrame:
+    """The pairs that their sketches don't rule out."""
+    both = pairs
+    for side in ("a", "b"):
+        both = both.join(sketches.select(F.col("a").alias(side), F.col("n").alias(f"n_{side}"), F.col("sketch").alias(f"s_{side}")), side)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches):
+            if batch.num_rows:
+                sizes = batch.column("n").to_numpy()
+                keep = may_link(batch.column("s_a").to_pylist(), batch.column("s_b").to_pylist(), sizes, rule)
+                yield batch.select(["a", "b"]).filter(pa.array(keep))
+
+    return both.select("a", "b", (F.col("n_a") + F.col("n_b")).alias("n"), "s_a", "s_b").mapInArrow(run, "a long, b long")
 
 
 def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -298,24 +437,37 @@ def _verifier(rule: Rule):
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, percent: int = 85, sets: bool = False) -> DataFrame:
     """One row per document: id, n_shingles, component_id and n_links, the number
-    of other documents that it links with directly. With ``sets`` also the document's
-    set_key and class_key, which its component's documents have in common (null for an
-    empty set); they tell documents apart that share an id."""
+    of other documents that it links with directly. With ``sets`` also text_key, the
+    xxhash64 of the text, which tells documents apart that share an id, and class_key,
+    which a component's documents have in common (null for an empty set)."""
     rule = Rule(percent)
-    docs = bounded_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    docs = bounded_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("h"))
     slices = slices_for(input_bytes(docs, "text"), SLICE_BYTES)
     packed = _signed(docs, words, rule, slices)
-    met = written(packed.groupBy("slice").applyInArrow(_met, _FOUND), "met")
-    ids = met.where("kind = 0").select(F.col("a").alias("id"), F.col("b").alias("key"), F.col("n").alias("n_shingles"))
-    named_sets = ids.where("n_shingles > 0").groupBy("key").agg(F.min(F.when(F.col("id") != _NO_ID, F.col("id"))).alias("least"), F.count("*").alias("copies"))
-    candidates = components(met.where("kind = 1").select("a", "b").distinct())
+    met = written(packed.groupBy("slice").applyInArrow(_meeting(FEW), _FOUND), "met")
+    ids = met.where("kind = 0").select(F.col("a").alias("id"), F.col("b").alias("key"), F.col("n").alias("n_shingles"), "h")
+    # A set's first document by id stands for it; without any id, the first by text.
+    named_sets = ids.where("n_shingles > 0").groupBy("key").agg(
+        F.min(F.when(F.col("id") != _NO_ID, F.col("id"))).alias("least"), F.min(F.struct("id", "h")).alias("row"),
+        F.first("n_shingles").alias("size"), F.count("*").alias("copies"),
+    )
+    named_sets = written(named_sets.select("key", "least", "row.id", "row.h", "size", "copies"), "sets")
+    pairs, chains = met.where("kind = 1"), met.where("kind = 2")
+    for number in range(1, len(ROUNDS)):
+        again = chains.select(F.col("a").alias("key")).union(chains.select("b")).distinct().join(named_sets, "key").select("id", "h", "key", "size")
+        again = written(again, "again")
+        total = again.agg(F.sum("size")).first()[0]
+        if not total:
+            break
+        texts = docs.select(F.coalesce("id", F.lit(_NO_ID)).alias("id"), "text", "h").join(again, ["id", "h"]).select("key", "text")
+        found = _signed_again(texts, words, rule, number, slices_for(total * SIGNED_BYTES, SLICE_BYTES))
+        found = written(found.groupBy("slice").applyInArrow(_meeting(FEW), _FOUND), "met-again")
+        pairs, chains = pairs.union(found.where("kind = 1")), found.where("kind = 2")
+    promising = _promising(pairs.select("a", "b").distinct(), met.where("kind = 3"), rule)
+    candidates = components(promising.union(chains.select("a", "b")).distinct())
     blocks = candidates.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    # One row of each candidate set is fetched again by its id.
-    wanted = (
-        candidates.join(blocks, "component")
-        .join(named_sets, F.col("node") == F.col("key"))
-        .select(F.coalesce("least", F.lit(_NO_ID)).alias("id"), "key", "component", "blocks", "copies")
-    )
+    # One row of each candidate set is fetched again.
+    wanted = candidates.join(blocks, "component").join(named_sets, F.col("node") == F.col("key")).select("id", "h", "key", "component", "blocks", "copies")
     compared = _contents(docs, wanted, words).groupBy("component", "i", "j").applyInArrow(_verifier(rule), "key long, root long, links long")
     compared = written(compared, "compared")
     classes = components(compared.select(F.col("key").alias("a"), F.col("root").alias("b")).distinct())
@@ -333,28 +485,13 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
         own.alias(id_col), "n_shingles",
         F.when(F.col("n_shingles") == 0, own).otherwise(F.col("component_id")).alias("component_id"),
         F.when(F.col("n_shingles") == 0, F.lit(0)).otherwise(F.col("n_links")).cast("long").alias("n_links"),
-        *([F.col("key").alias("set_key"), F.col("class").alias("class_key")] if sets else []),
+        *([F.col("h").alias("text_key"), F.col("class").alias("class_key")] if sets else []),
     )
 
 
-def keyed(docs: DataFrame, out: str = "set_key", text_col: str = "text", words: int = 4) -> DataFrame:
-    """``docs`` with ``out``, the key of the text's set as ``join`` gives it."""
-    docs = bounded_batches(docs)
-    schema = T.StructType([*docs.schema.fields, T.StructField(out, T.LongType())])
-    names = schema.names
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        forget()
-        for batch in batches:
-            keys = [set_key(shingles(t, words)) for t in raw_texts(batch.column(text_col))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.int64())], names)
-
-    return docs.mapInArrow(run, schema)
-
-
 def _contents(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """The hashes of the wanted sets, once for each block pair they take part in."""
-    texts = docs.select(F.coalesce("id", F.lit(_NO_ID)).alias("id"), "text").join(wanted, "id").select("key", "component", "blocks", "copies", "text")
+    texts = docs.select(F.coalesce("id", F.lit(_NO_ID)).alias("id"), "text", "h").join(wanted, ["id", "h"]).select("key", "component", "blocks", "copies", "text")
     names = ["key", "component", "i", "j", "block", "copies", "hashes"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -366,7 +503,7 @@ def _contents(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
                 key, component, blocks, copies = (rows.column(i).to_pylist() for i in range(4))
                 for k, c, m, n, text in zip(key, component, blocks, copies, raw_texts(rows.column(4)), strict=True):
                     hashes = shingles(text, words)
-                    if set_key(hashes) != k:  # another text under a repeated id
+                    if set_key(hashes) != k:  # another text of the same 64-bit hash
                         continue
                     own = int(mix(np.array([k], np.int64).view(_U))[0] % _U(m))
                     content = hashes.tobytes()

@@ -239,12 +239,13 @@ def near_copies(random, n, size, words=4000):
     return out
 
 
-@pytest.mark.parametrize(("words", "percent", "block"), [(4, 85, 256), (5, 80, 7), (1, 70, 7)])
-def test_jaccard_near_copies(spark, monkeypatch, words, percent, block):
-    """Sizes from one shingle to hundreds, small blocks, against all pairs."""
+@pytest.mark.parametrize(("words", "percent", "block", "few"), [(4, 85, 256, 32), (5, 80, 7, 3), (1, 70, 7, 2), (4, 85, 5, 1)])
+def test_jaccard_near_copies(spark, monkeypatch, words, percent, block, few):
+    """Sizes from one shingle to hundreds, small blocks and buckets, against all pairs."""
     from test_catalogue import brute_components
 
     monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    monkeypatch.setattr(jaccard_join, "FEW", few)
     random = np.random.default_rng(words)
     texts = [t for size in (1, 3, 5, 8, 12, 20, 33, 50, 90, 160, 300) for t in near_copies(random, 14, size)]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
@@ -263,4 +264,25 @@ def test_linked_sets_share_a_signature(percent):
         cut = random.integers(0, most + 1)
         a, b = np.unique(np.concatenate([common, extra[:cut]])), np.unique(np.concatenate([common, extra[cut:]]))
         assert 100 * size >= percent * (size + most)
-        assert np.intersect1d(jaccard_join.signatures(a, rule), jaccard_join.signatures(b, rule)).size
+        for number in range(len(jaccard_join.ROUNDS)):
+            assert np.intersect1d(jaccard_join.signatures(a, rule, number), jaccard_join.signatures(b, rule, number)).size
+        assert jaccard_join.may_link([jaccard_join.sketch(a, rule)], [jaccard_join.sketch(b, rule)], np.array([len(a) + len(b)]), rule).all()
+
+
+def test_sketches_tell_most_sets_apart():
+    random, rule = np.random.default_rng(1), jaccard_join.Rule(80)
+    sets = [np.unique(np.concatenate([random.integers(0, 2**64, 250, dtype=np.uint64), np.arange(70, dtype=np.uint64) << np.uint64(57)])) for _ in range(60)]
+    drawn = [jaccard_join.sketch(s, rule) for s in sets]
+    may = jaccard_join.may_link(drawn[:-1], drawn[1:], np.array([len(a) + len(b) for a, b in zip(sets, sets[1:], strict=False)]), rule)
+    assert not may.any()
+
+
+def test_jaccard_repeated_and_missing_ids(spark):
+    """Many rows under one id or none: each is fetched by its own text."""
+    near = lambda n: " ".join(f"t{n // 2}x{i}" for i in range(40 + n % 2))
+    rows = [(None, near(n)) for n in range(2000)] + [(7, near(n)) for n in range(2000, 4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = jaccard_join.join(docs, sets=True).collect()
+    assert len(found) == 4000 and {r.n_links for r in found} == {1}
+    assert {r.component_id for r in found if r.doc_id == 7} == {7} and {r.component_id for r in found if r.doc_id is None} == {None}
+    assert len({r.class_key for r in found}) == 2000
