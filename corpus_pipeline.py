@@ -2,12 +2,13 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as
 Parquet and read again as the next stage's ``docs``; a lost executor costs at most
-the stage at work. All stages but the last keep the columns of ``documents``.
+the stage at work. All stages but the last keep the columns of ``documents`` and any
+others, whatever their names.
 
 Rows, defined: documents without an id take part in every stage and are never
 removed as a copy; documents that repeat an id are each judged by their own text,
 and of a group's documents that share its smallest id the first by text stays;
-otherwise the operators' own rules hold.
+empty tables give no rows; otherwise the operators' own rules hold.
 """
 
 from __future__ import annotations
@@ -27,39 +28,57 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 ORACLE_SQL = None
 
 
+def _apart(docs: DataFrame) -> DataFrame:
+    """``docs`` under names that no operator uses."""
+    return docs.toDF(*(f"in_{place}" for place in range(len(docs.columns))))
+
+
+def _named(docs: DataFrame, column: str) -> str:
+    return f"in_{docs.columns.index(column)}"
+
+
+def _back(found: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs``, as they were."""
+    return found.select(*(F.col(f"in_{place}").alias(name) for place, name in enumerate(docs.columns)))
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the classifier, learned from the labelled ones,
-    accepts."""
+    accepts. Texts that are null, empty or without letters are rejected."""
     model = language.fit(docs)
-    return language.predict(docs, model).where("NOT rejected").select(*docs.columns)
+    return _back(language.predict(_apart(docs), model, text=_named(docs, "text")).where("NOT rejected"), docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group of linked ones. The
-    texts are not shuffled when the ids to remove are few enough to broadcast;
-    documents that share an id are told apart by the sets of their texts."""
+    """One document, that of the smallest id, of each group of linked ones. Rows are
+    removed by id and text, so documents that share an id are each judged by their
+    own text; of a group's rows that share its smallest id the first by text stays.
+    Documents without an id, and texts without words, always stay."""
     classes = written(jaccard_join.join(docs, words=WORDS, percent=PERCENT, sets=True), "classes")
-    copies = classes.where("doc_id <> component_id").select("doc_id")
-    repeated = classes.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
-    once = docs.join(copies.union(repeated).distinct(), "doc_id", "left_anti")
-    several = jaccard_join.keyed(docs.join(repeated, "doc_id", "left_semi").select(*docs.columns), "_set", words=WORDS)
-    judged = classes.join(repeated, "doc_id", "left_semi").select("doc_id", F.col("set_key").alias("_set"), "component_id", "class_key").distinct()
-    known = several.join(judged, ["doc_id", "_set"])
-    alone = known.where("class_key IS NULL")
-    # A group's smallest id may name several of its documents: the first by text stays.
-    order = Window.partitionBy("class_key").orderBy("text", *(c for c in docs.columns if c != "text"))
-    first = known.where("class_key IS NOT NULL AND doc_id = component_id").withColumn("_place", F.row_number().over(order)).where("_place = 1")
-    return once.select(*docs.columns).union(alone.select(*docs.columns)).union(first.select(*docs.columns))
+    grouped = classes.where("class_key IS NOT NULL AND doc_id IS NOT NULL")
+    tied = grouped.where("doc_id = component_id").groupBy("class_key").agg(F.count("*").alias("n")).where("n > 1").select("class_key")
+    tied = written(grouped.where("doc_id = component_id").join(tied, "class_key").select("doc_id", "text_key", "class_key").distinct(), "tied")
+    gone = grouped.where("doc_id <> component_id").select("doc_id", "text_key").union(tied.select("doc_id", "text_key"))
+    inner, key, text = _apart(docs), _named(docs, "doc_id"), _named(docs, "text")
+    inner = inner.select("*", F.col(key).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("text_key"))
+    kept = _back(inner.join(gone.distinct(), ["doc_id", "text_key"], "left_anti"), docs)
+    if tied.isEmpty():
+        return kept
+    order = Window.partitionBy("class_key").orderBy(text, *(c for c in inner.columns if c.startswith("in_") and c != text))
+    first = inner.join(tied, ["doc_id", "text_key"]).withColumn("place", F.row_number().over(order)).where("place = 1")
+    return kept.union(_back(first, docs))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which benchmark passages make up less than a twentieth."""
-    found = decontaminate.find(docs, table(spark, sf_dir, "benchmark"))
-    return found.where(~decontaminate.contaminated("n_hit", "n_words")).select(*docs.columns)
+    """Documents of which benchmark passages make up less than a twentieth; null and
+    empty texts hold none."""
+    found = decontaminate.find(_apart(docs), table(spark, sf_dir, "benchmark"), text_col=_named(docs, "text"))
+    return _back(found.where(~decontaminate.contaminated("n_hit", "n_words")), docs)
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, and the digest of what they decode to."""
+    """Token ids of every document, and the digest of what they decode to; a null text
+    counts as empty."""
     vocabulary = bpe.load_vocabulary(public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
     coded = bpe.round_trip(docs.select("doc_id", "text"), vocabulary, keep=["doc_id"])
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
