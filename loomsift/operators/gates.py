@@ -107,17 +107,33 @@ def _spread(code: np.ndarray) -> np.ndarray:
 
 
 def degenerate_line(line: str) -> bool:
-    if len(line) < UNIT * TIMES:
+    """Whether ``UNIT`` or more characters repeat ``TIMES`` times without a gap.
+
+    Such a stretch has a smallest period d, and a window of d characters or more recurs
+    in it after d characters, no sooner. So for windows of 40, 80, 160, ... characters,
+    the distance to the next equal window gives every period that a window covers, and
+    positions in a row with one distance give the stretch's length: a sort for each
+    window size, in place of a comparison for each period.
+    """
+    n = len(line)
+    if n < UNIT * TIMES:
         return False
     code = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), "<u4")
-    # A unit repeated three times repeats its first 40 characters three times.
-    if np.unique(_windows(code, UNIT), return_counts=True)[1].max(initial=0) < TIMES:
-        return False
-    for lag in range(UNIT, len(code) // TIMES + 1):
-        same = code[:-lag] == code[lag:]
-        edges = np.flatnonzero(np.diff(np.concatenate([[0], same.view(np.int8), [0]])))
-        if len(edges) and (edges[1::2] - edges[::2]).max() >= lag * (TIMES - 1):
+    size = UNIT
+    while size < n:
+        h = _windows(code, size)
+        order = np.argsort(h, kind="stable")
+        equal = np.flatnonzero(h[order[1:]] == h[order[:-1]])
+        if not len(equal):
+            return False
+        after = np.zeros(len(h), np.int64)
+        after[order[equal]] = order[equal + 1] - order[equal]
+        starts = np.flatnonzero(np.diff(after, prepend=-1))
+        lag, row = after[starts], np.diff(starts, append=len(after))
+        unit = lag * -(-UNIT // np.maximum(lag, 1))
+        if ((lag > 0) & (lag <= size) & (row + size - 1 + lag >= TIMES * unit)).any():
             return True
+        size *= 2
     return False
 
 
@@ -128,7 +144,7 @@ def _degenerate(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 def degenerate(text: Column) -> Column:
     """An Arrow UDF: a regular expression with a back-reference takes the square of
-    a line's length for every text, this one only where 40 characters recur."""
+    a line's length, this one a few sorts."""
     return F.pandas_udf(_degenerate, "boolean")(F.when(F.length(text) >= UNIT * TIMES, text))
 
 
