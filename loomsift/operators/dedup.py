@@ -29,5 +29,7 @@ def per_group(df: DataFrame, group: Sequence[Column], order: Sequence[Column], n
 
 
 def against_ledger(df: DataFrame, ledger: DataFrame, key: str) -> DataFrame:
-    """Rows whose key the ledger doesn't hold."""
-    return df.join(ledger.select(key).distinct(), key, "left_anti")
+    """Rows whose key the ledger doesn't hold. A null key is one key, as for
+    ``first_wins``."""
+    known = ledger.select(F.col(key).alias("_known")).distinct()
+    return df.join(known, df[key].eqNullSafe(known["_known"]), "left_anti")

@@ -1,24 +1,29 @@
 """Text generation behind a small protocol, in two tiers, with retries.
 
-A generator is any picklable object with ``complete(prompt, max_tokens)``. Calls run
-in ``mapInPandas``, a session per partition; since a retried task calls again, a
-tier's results are written before they are branched on, keyed by the prompt's hash.
+A generator is any picklable object with ``complete(prompt, max_tokens)``; ``Http`` asks
+a server. Calls run in ``mapInArrow``, a few at a time in each task. Since a task that
+is run again calls again, either tier's results are written, keyed by the prompt's hash,
+before anything reads them, and each distinct prompt is asked for once.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
+import os
+import re
 import time
-from collections.abc import Callable, Iterator
-from dataclasses import dataclass
-from typing import Protocol
-
-import pandas as pd
+import urllib.error
+import urllib.request
+from collections.abc import Callable, Iterator, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
+from typing import Any, Protocol
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..functions.text import drop_thinking
 from ..session import written
 
 
@@ -45,6 +50,61 @@ class Echo:
         return " ".join(self.words[seed[i % 32] % len(self.words)] for i in range(size))
 
 
+@dataclass(frozen=True)
+class Wire:
+    """How one kind of server is asked: the names it has for things, and where the text
+    lies in its answer."""
+
+    answer: tuple[str | int, ...]
+    limit: str = "max_tokens"
+    options: str | None = None  #: the field that holds limit and sampling; the top level if None
+    extra: Mapping[str, Any] = field(default_factory=dict)
+
+    def payload(self, model: str, messages: list[dict[str, str]], max_tokens: int, sampling: Mapping[str, float]) -> dict[str, Any]:
+        settings = {self.limit: max_tokens, **sampling}
+        return {"model": model, "messages": messages, **self.extra, **(settings if self.options is None else {self.options: settings})}
+
+    def text(self, reply: Any) -> str:
+        for place in self.answer:
+            reply = reply[place]
+        return reply.strip()
+
+
+# The public shapes of the two chat interfaces.
+CHAT_COMPLETIONS = Wire(answer=("choices", 0, "message", "content"))
+OLLAMA_CHAT = Wire(answer=("message", "content"), limit="num_predict", options="options", extra={"stream": False})
+# End of fixed values.
+
+
+@dataclass(frozen=True)
+class Http:
+    """A chat model behind a URL. ``key_variable`` names the environment variable of the
+    workers that holds the key, so that no key travels with a plan."""
+
+    url: str
+    model: str
+    wire: Wire = CHAT_COMPLETIONS
+    system: str | None = None
+    sampling: Mapping[str, float] = field(default_factory=lambda: {"temperature": 0.7})
+    key_variable: str | None = None
+    timeout: float = 120
+
+    def complete(self, prompt: str, max_tokens: int) -> str:
+        said = [{"role": "system", "content": self.system}] if self.system is not None else []
+        payload = self.wire.payload(self.model, [*said, {"role": "user", "content": prompt}], max_tokens, self.sampling)
+        headers = {"Content-Type": "application/json"}
+        if self.key_variable and (key := os.environ.get(self.key_variable)):
+            headers["Authorization"] = f"Bearer {key}"
+        request = urllib.request.Request(self.url, json.dumps(payload).encode(), headers)
+        try:
+            with urllib.request.urlopen(request, timeout=self.timeout) as reply:
+                return self.wire.text(json.load(reply))
+        except urllib.error.HTTPError as error:
+            raise GenerationError(error.code, f"{error.code} {error.reason}") from error
+        except (OSError, ValueError, LookupError, TypeError, AttributeError) as error:  # no connection, or no such answer
+            raise GenerationError(0, f"{type(error).__name__}: {error}") from error
+
+
 # Which statuses end retrying, and the added seconds of the others.
 FATAL = {403}
 FATAL_WHEN_LAST = {402}
@@ -54,13 +114,17 @@ RETRIES = 4
 # End of fixed values.
 
 
+_THOUGHT = re.compile(r"<think>.*?</think>\s*", re.DOTALL)
+
+
 def attempt(call: Callable[[], str], least: int, retries: int = RETRIES, sleep: Callable[[float], None] = time.sleep) -> tuple[str | None, int, str | None]:
-    """Text (or None), attempts and error. Waits 2 ** attempt plus a bit after an
-    error; a text of ``least`` characters or fewer is asked for again at once."""
+    """Text (or None) without its thinking, attempts, and error. Waits 2 ** attempt plus
+    a bit after an error; a text of ``least`` characters or fewer, once its thinking is
+    dropped, is asked for again at once."""
     error = None
     for n in range(retries):
         try:
-            text = call()
+            text = _THOUGHT.sub("", call())
         except GenerationError as e:
             error = str(e)
             if e.status in FATAL or (e.status in FATAL_WHEN_LAST and n + 1 == retries):
@@ -74,23 +138,45 @@ def attempt(call: Callable[[], str], least: int, retries: int = RETRIES, sleep:
     return None, retries, error
 
 
-_RESULT = T.StructType([T.StructField("raw", T.StringType()), T.StructField("attempts", T.IntegerType()), T.StructField("error", T.StringType())])
+#: Calls that one task has open at a time.
+CALLS = 8
+_ASKED = "prompt_key string, text string, attempts int, error string"
+
+
+def prompt_key(prompt: Column, max_tokens: Column, min_len: Column) -> Column:
+    """What a completion is kept under."""
+    return F.sha2(F.concat_ws(":", max_tokens.cast("string"), min_len.cast("string"), prompt), 256)
+
+
+def generate(df: DataFrame, generator: Generator, prompt: str = "prompt", max_tokens: str = "max_tokens", min_len: str = "min_len", retries: int = RETRIES, calls: int = CALLS) -> DataFrame:
+    """Adds text (null without one of more than half of min_len characters), attempts
+    and error. Each distinct prompt is asked for once, and what came is written, so
+    reading the result again asks nobody."""
+    keyed = df.withColumn("prompt_key", prompt_key(F.col(prompt), F.col(max_tokens), F.col(min_len)))
+    wanted = keyed.groupBy("prompt_key").agg(*(F.first(c).alias(n) for c, n in ((prompt, "prompt"), (max_tokens, "most"), (min_len, "least"))))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with ThreadPoolExecutor(calls) as pool:
+            ask = lambda row: attempt(lambda: generator.complete(row["prompt"], row["most"]), row["least"] // 2, retries)
+            for batch in batches:
+                rows = batch.to_pylist()
+                done = [(row["prompt_key"], *told) for row, told in zip(rows, pool.map(ask, rows), strict=True)]
+                columns = list(zip(*done, strict=True)) if done else [()] * 4
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(columns[0], pa.string()), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.int32()), pa.array(columns[3], pa.string())],
+                    ["prompt_key", "text", "attempts", "error"],
+                )
 
-def generate(df: DataFrame, generator: Generator, prompt: str = "prompt", max_tokens: str = "max_tokens", min_len: str = "min_len", retries: int = RETRIES) -> DataFrame:
-    """Adds text (thinking dropped; null if shorter than half of min_len), attempts
-    and error."""
-    names = [f.name for f in _RESULT.fields]
-    schema = T.StructType([*df.schema.fields, *_RESULT.fields])
+    asked = written(wanted.where(F.col("prompt").isNotNull()).mapInArrow(run, _ASKED), "completions")
+    return keyed.join(asked, "prompt_key", "left").select(*df.columns, "text", "attempts", "error")
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            done = [attempt(lambda p=p, m=m: generator.complete(p, int(m)), int(n) // 2, retries) for p, m, n in zip(frame[prompt], frame[max_tokens], frame[min_len], strict=True)]
-            yield frame.assign(**{n: [d[i] for d in done] for i, n in enumerate(names)})
 
-    text = drop_thinking(F.col("raw"))
-    accepted = F.length(text) > F.floor(F.col(min_len) / 2)
-    return df.mapInPandas(run, schema).withColumn("text", F.when(accepted, text)).drop("raw")
+def calls_by_kind(df: DataFrame) -> DataFrame:
+    """One row: calls in all, rows that ended with an error, and rows with a text."""
+    return df.agg(
+        F.coalesce(F.sum("attempts"), F.lit(0)).cast("long").alias("total"),
+        F.count_if(F.col("error").isNotNull()).alias("error"), F.count("text").alias("completed"),
+    )
 
 
 def two_tier(
@@ -99,10 +185,11 @@ def two_tier(
 ) -> DataFrame:
     """Run ``first``; rows whose text doesn't pass go to ``second``. ``tier`` says
     which made the text. With ``recheck`` the second's texts must pass too; without,
-    any text of it counts. Rows that end without a text have tier ``failed``."""
+    any text of it counts. Rows that end without a text have tier ``failed``. What
+    either tier made is written before it is read."""
     made = written(first(df).withColumn("_ok", F.coalesce(passes, F.lit(False))), "first-tier")
     good = made.where("_ok").drop("_ok").withColumn("tier", F.lit("gen"))
-    again = second(made.where("NOT _ok").select(*df.columns))
+    again = written(second(made.where("NOT _ok").select(*df.columns)), "second-tier")
     fine = F.col("text").isNotNull() & (F.coalesce(passes, F.lit(False)) if recheck else F.lit(True))
     again = again.withColumn("tier", F.when(fine, "rewrite").otherwise("failed"))
     return good.unionByName(again)

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Iterator, Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def count_by(df: DataFrame, key: Column, name: str, default: str = "unknown") -> DataFrame:
@@ -43,34 +47,65 @@ def progress(df: DataFrame, elapsed_s: Column) -> DataFrame:
     )
 
 
-#: Rows of one digest block.
+def file_digest(df: DataFrame, rank: str, line: Column, by: Sequence[str] = ()) -> DataFrame:
+    """Per ``by`` group: rows and the SHA-256 of the file that holds the group's lines in
+    rank order, each closed by a newline, whatever their number.
+
+    The hash runs through a file from its start to its end, so the lines of one file
+    pass through one task: sorted by Spark, which spills, and streamed, never held.
+    ``tree_digest`` is for sets too large for that.
+    """
+    rows = df.select(*by, F.col(rank).alias("_at"), F.encode(F.concat(line, F.lit("\n")), "utf-8").alias("_line"))
+    dealt = rows.repartition(*by) if by else rows.repartition(1)
+    schema = T.StructType([*(rows.schema[c] for c in by), T.StructField("n", T.LongType()), T.StructField("sha256", T.StringType())])
+    names = schema.names
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def closed() -> pa.RecordBatch:
+            return pa.RecordBatch.from_pylist([dict(zip(names, (*group, n, seen.hexdigest()), strict=True))], schema=to_arrow_schema(schema))
+
+        group, n, seen = None, 0, hashlib.sha256()
+        for batch in batches:
+            keys = list(zip(*(batch.column(c).to_pylist() for c in by), strict=True)) if by else [()] * batch.num_rows
+            for key, text in zip(keys, batch.column("_line").to_pylist(), strict=True):
+                if key != group:
+                    if n:
+                        yield closed()
+                    group, n, seen = key, 0, hashlib.sha256()
+                n += 1
+                seen.update(text)
+        if n:
+            yield closed()
+
+    return dealt.sortWithinPartitions(*by, "_at").mapInArrow(run, schema)
+
+
+#: Rows of one block of a tree digest.
 BLOCK = 4096
 
 
-def ordered_digest(df: DataFrame, rank: str, line: Column, by: Sequence[str] = (), block: int = BLOCK) -> DataFrame:
-    """Per ``by`` group: rows and the SHA-256 over lines in rank order, each closed by a
-    newline. Ranks start at 1 without gaps. Up to ``block`` rows it is the hash of
-    the file's bytes; beyond, that of the block hashes in order, level by level, so
-    no task gathers more than ``block`` lines."""
+def tree_digest(df: DataFrame, rank: str, line: Column, by: Sequence[str] = (), block: int = BLOCK) -> DataFrame:
+    """Per ``by`` group: rows and ``tree_sha256``, for sets of any size, with no task that
+    sees more than ``block`` lines: lines are hashed block by block in rank order, the
+    block hashes again, level by level, until one is left. Ranks start at 1 without
+    gaps. This is never the hash of a file, not even of a single block's."""
     rows = df.select(*by, (F.col(rank) - 1).alias("_at"), F.concat(line, F.lit("\n")).alias("_line"), F.lit(1).cast("long").alias("_n"))
-    size = df.agg(F.max(rank)).first()[0] or 0
+    size, level = df.agg(F.max(rank)).first()[0] or 0, 0
     while True:
-        size = -(-size // block)
+        size, level = -(-size // block), level + 1
         gathered = rows.groupBy(*by, F.floor(F.col("_at") / block).alias("_block")).agg(
             F.sum("_n").alias("_n"), F.array_sort(F.collect_list(F.struct("_at", "_line"))).alias("_lines")
         )
-        rows = gathered.select(
-            *by, F.col("_block").alias("_at"), "_n",
-            F.sha2(F.array_join(F.transform("_lines", lambda s: s["_line"]), ""), 256).alias("_line"),
-        )
+        text = F.concat(F.lit(f"level {level}\n"), F.array_join(F.transform("_lines", lambda s: s["_line"]), ""))
+        rows = gathered.select(*by, F.col("_block").alias("_at"), "_n", F.sha2(text, 256).alias("_line"))
         if size <= 1:
-            return rows.select(*by, F.col("_n").alias("n"), F.col("_line").alias("sha256"))
+            return rows.select(*by, F.col("_n").alias("n"), F.col("_line").alias("tree_sha256"))
 
 
-def manifest(valid: DataFrame, line: Column, name: str, rejected: Column, all_pairs: DataFrame) -> DataFrame:
-    """One row: name, pair_count, count and digest of either split, rejected.
-    ``valid`` has split and, within it, ``place`` (1-based)."""
-    digests = ordered_digest(valid, "place", line, ["split"])
+def manifest(valid: DataFrame, line: Column, name: str, rejected: Column, all_pairs: DataFrame, paths: Mapping[str, str] | None = None) -> DataFrame:
+    """One row: name, pair_count, count and file digest of either split, rejected, and
+    the splits' paths if they are given. ``valid`` has split and, within it, ``place``."""
+    digests = file_digest(valid, "place", line, ["split"])
     of = lambda split, what: F.max(F.when(F.col("split") == split, F.col(what)))
     sides = digests.agg(*[of(s, c).alias(f"{s}_{c}") for s in ("train", "eval") for c in ("n", "sha256")])
     empty = F.sha2(F.lit(""), 256)
@@ -79,5 +114,6 @@ def manifest(valid: DataFrame, line: Column, name: str, rejected: Column, all_pa
         F.lit(name).alias("name"), "pair_count",
         *[F.coalesce(f"{s}_n", F.lit(0)).alias(f"{s}_count") for s in ("train", "eval")],
         *[F.coalesce(f"{s}_sha256", empty).alias(f"{s}_sha256") for s in ("train", "eval")],
+        *[F.lit(paths[s]).alias(f"{s}_path") for s in ("train", "eval") if paths],
         "rejected",
     )

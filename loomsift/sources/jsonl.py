@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import strip
+from ..operators.profile import file_digest
 
 
 def _fs(spark: SparkSession, path: str):
@@ -22,6 +24,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop)
 
 
+def listed(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder; none if it doesn't exist."""
+    fs, hadoop = _fs(spark, folder)
+    return sorted(s.getPath().getName() for s in fs.listStatus(hadoop)) if fs.exists(hadoop) else []
+
+
 def lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """(source_ord, file, line) of all non-blank lines; missing files are skipped.
     ``source_ord`` is the place of the file in ``paths``. Text files are split at
@@ -55,11 +63,7 @@ def latest(spark: SparkSession, folder: str, prefix: str = "signals_", suffix: s
     """An explicit path if it exists, else the greatest matching name, else None."""
     if explicit is not None and exists(spark, explicit):
         return explicit
-    fs, hadoop = _fs(spark, folder)
-    if not fs.exists(hadoop):
-        return None
-    names = [s.getPath().getName() for s in fs.listStatus(hadoop)]
-    found = max((n for n in names if n.startswith(prefix) and n.endswith(suffix)), default=None)
+    found = max((n for n in listed(spark, folder) if n.startswith(prefix) and n.endswith(suffix)), default=None)
     return f"{folder}/{found}" if found else None
 
 
@@ -91,15 +95,30 @@ def write_jsonl(df: DataFrame, path: str, line: Column | None = None, order: Seq
     rows.select(text.alias("value")).write.mode(mode).text(path)
 
 
+def write_hashed(df: DataFrame, path: str, rank: str, line: Column, files: int = 1) -> Row:
+    """Lines in rank order, as ``files`` part files that make up one JSONL file when they
+    are joined by name; (n, sha256, path) of that file."""
+    rows = df.select(F.col(rank).alias("rank"), line.alias("value"))
+    rows.repartitionByRange(files, "rank").sortWithinPartitions("rank").select("value").write.mode("overwrite").text(path)
+    none = Row(n=0, sha256=hashlib.sha256().hexdigest())
+    found = file_digest(rows, "rank", F.col("value")).first() or none
+    return Row(n=found.n, sha256=found.sha256, path=path)
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """A small driver-side document, written whole or not at all."""
+    """A small driver-side document, written whole or not at all: a finished draft takes
+    the path over in one step, so a reader finds the old document or the new one."""
     fs, hadoop = _fs(spark, path)
     draft = spark._jvm.org.apache.hadoop.fs.Path(path + ".draft")
     out = fs.create(draft, True)
     out.write(bytearray(text.encode()))
     out.close()
-    fs.delete(hadoop, False)
-    fs.rename(draft, hadoop)
+    jvm = spark._jvm
+    options = jvm.org.apache.hadoop.fs.Options.Rename
+    over = spark.sparkContext._gateway.new_array(options, 1)
+    over[0] = options.OVERWRITE
+    whole = fs.makeQualified(draft)
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(whole.toUri(), spark._jsc.hadoopConfiguration()).rename(whole, fs.makeQualified(hadoop), over)
 
 
 def write_json(spark: SparkSession, path: str, content: dict) -> None:

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from loomsift.functions import score, text
 from loomsift.operators import contracts, gates, generate, policy, profile, render, split
-from loomsift.operators.dedup import first_wins
+from loomsift.operators.dedup import against_ledger, first_wins
 from loomsift.operators.evaluate import predicted, results
-from loomsift.runtime import AlreadyRegistered, Config, Registry, Runtime, Transform, UnknownTransform
 from loomsift.sources import feeds, jsonl
+from loomsift.streaming import incremental
 
 
 def one(spark, column, **values):
@@ -65,6 +65,23 @@ def test_degenerate_bounds(unit, hit):
     assert gates.degenerate_line("".join(chr(200 + i) for i in range(unit)) * 3) is hit
 
 
+def test_degenerate_where_windows_recur_within_a_unit():
+    x, y = "".join(chr(300 + i) for i in range(25)) * 1, "".join(chr(400 + i) for i in range(45))
+    unit = "".join({"x": x + "!", "y": y}[c] for c in "xxyyxy")
+    assert gates.degenerate_line("a" + unit * 3 + "b") and not gates.degenerate_line(unit * 2 + unit[:-1])
+
+
+def test_degenerate_takes_long_lines():
+    import random
+    import time
+
+    draw = random.Random(5)
+    passage, rest = ("".join(chr(draw.randint(97, 122)) for _ in range(n)) for n in (60, 330_000))
+    began = time.process_time()
+    assert not gates.degenerate_line(rest + passage + rest[::-1] + passage + rest[::2] * 2 + passage)
+    assert time.process_time() - began < 10
+
+
 def test_first_failing_gate_wins(spark):
     rows = spark.createDataFrame([("short",), ("a" * 700,), ("Some Name 12% of 1999, $5M. " * 30,)], "t string")
     reasons = [r.reason for r in gates.gated(rows, F.col("t"), F.lit("company"), gates.FIRST).collect()]
@@ -132,16 +149,30 @@ def test_ranks_are_global(spark):
     assert [r.id for r in rows] == sorted(range(3000), key=lambda i: hashlib.sha256(f"1:{i}".encode()).hexdigest())
 
 
-def test_ordered_digest(spark):
+@pytest.mark.parametrize("n", [1, 4095, 4096, 4097, 20_000])
+def test_file_digest_is_that_of_the_file(spark, tmp_path, n):
     import hashlib
 
-    rows = spark.range(1, 11).select(F.col("id").alias("rank"), F.concat(F.lit("é"), F.col("id").cast("string")).alias("line"))
+    rows = spark.range(1, n + 1).repartition(3).select(F.col("id").alias("rank"), F.concat(F.lit("é"), F.col("id").cast("string")).alias("line"), F.when(F.col("id") > 0, "x").alias("part"))
+    whole = "".join(f"é{i}\n" for i in range(1, n + 1)).encode()
+    assert [tuple(r) for r in profile.file_digest(rows, "rank", F.col("line")).collect()] == [(n, hashlib.sha256(whole).hexdigest())]
+    found = profile.file_digest(rows.union(spark.createDataFrame([(5, "b", None), (2, "a", None)], "rank long, line string, part string")), "rank", F.col("line"), ["part"])
+    assert {r.part: (r.n, r.sha256) for r in found.collect()} == {"x": (n, hashlib.sha256(whole).hexdigest()), None: (2, hashlib.sha256(b"a\nb\n").hexdigest())}
+    told = jsonl.write_hashed(rows, f"{tmp_path}/o", "rank", F.col("line"), files=3)
+    parts = sorted((tmp_path / "o").glob("part-*"))
+    assert (told.n, told.sha256) == (n, hashlib.sha256(whole).hexdigest()) and b"".join(p.read_bytes() for p in parts) == whole
+    assert profile.file_digest(rows.limit(0), "rank", F.col("line")).count() == 0
+
+
+def test_tree_digest(spark):
+    import hashlib
+
+    sha = lambda level, *parts: hashlib.sha256("".join([f"level {level}\n", *parts]).encode()).hexdigest()
     lines = [f"é{i}\n" for i in range(1, 11)]
-    whole = profile.ordered_digest(rows, "rank", F.col("line")).first()
-    assert (whole.n, whole.sha256) == (10, hashlib.sha256("".join(lines).encode()).hexdigest())
-    parts = [hashlib.sha256("".join(lines[i : i + 4]).encode()).hexdigest() for i in (0, 4, 8)]
-    tree = profile.ordered_digest(rows, "rank", F.col("line"), block=4).first()
-    assert (tree.n, tree.sha256) == (10, hashlib.sha256("".join(parts).encode()).hexdigest())
+    rows = spark.range(1, 11).select(F.col("id").alias("rank"), F.concat(F.lit("é"), F.col("id").cast("string")).alias("line"))
+    assert tuple(profile.tree_digest(rows, "rank", F.col("line")).first()) == (10, sha(1, *lines))
+    tree = profile.tree_digest(rows, "rank", F.col("line"), block=4).first()
+    assert (tree.n, tree.tree_sha256) == (10, sha(2, *(sha(1, *lines[i : i + 4]) for i in (0, 4, 8))))
 
 
 def test_policies(spark):
@@ -175,6 +206,68 @@ def test_retries():
     assert generate.attempt(refuse, 5, sleep=waits.append)[1:] == (1, "fatal: 403")
 
 
+def test_thinking_goes_before_the_length_test():
+    replies = iter(["<think>" + "long " * 50 + "</think>  tiny", "<think>x</think> an answer"])
+    assert generate.attempt(lambda: next(replies), 5) == ("an answer", 2, None)
+
+
+@pytest.fixture()
+def server():
+    """A local stand-in for either kind of server; what it was asked."""
+    import json
+    import threading
+    from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
+
+    class Handler(BaseHTTPRequestHandler):
+        def do_POST(self):
+            payload = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+            asked.append((self.path, self.headers.get("Authorization"), payload))
+            text = f" <think>hm</think> re: {payload['messages'][-1]['content']} "
+            body = {"/chat": {"choices": [{"message": {"content": text}}]}, "/ollama": {"message": {"content": text}}}.get(self.path)
+            self.send_response(200 if body or self.path == "/odd" else 403)
+            self.end_headers()
+            self.wfile.write(json.dumps(body).encode())
+
+        def log_message(self, *args):
+            pass
+
+    asked: list = []
+    web = ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=web.serve_forever, daemon=True).start()
+    yield f"http://127.0.0.1:{web.server_port}", asked
+    web.shutdown()
+
+
+def test_http_generators(server, monkeypatch):
+    url, asked = server
+    monkeypatch.setenv("MODEL_KEY", "k")
+    chat = generate.Http(f"{url}/chat", "m", system="be brief", key_variable="MODEL_KEY")
+    assert generate.attempt(lambda: chat.complete("hello there", 9), 5) == ("re: hello there", 1, None)
+    assert asked[-1] == ("/chat", "Bearer k", {"model": "m", "messages": [{"role": "system", "content": "be brief"}, {"role": "user", "content": "hello there"}], "max_tokens": 9, "temperature": 0.7})
+    local = generate.Http(f"{url}/ollama", "m", generate.OLLAMA_CHAT, sampling={"top_p": 0.9})
+    assert local.complete("x", 7).endswith("re: x")
+    assert asked[-1][1:] == (None, {"model": "m", "messages": [{"role": "user", "content": "x"}], "stream": False, "options": {"num_predict": 7, "top_p": 0.9}})
+    for path, status in (("/none", 403), ("/odd", 0)):
+        with pytest.raises(generate.GenerationError) as caught:
+            generate.Http(f"{url}{path}", "m").complete("x", 1)
+        assert caught.value.status == status
+    with pytest.raises(generate.GenerationError):
+        generate.Http("http://127.0.0.1:9/none", "m").complete("x", 1)
+
+
+def test_each_prompt_is_asked_for_once(spark, server):
+    url, asked = server
+    rows = spark.createDataFrame([(i, p, 64, 4) for i, p in enumerate(["one", "two", "one", None])], "i long, prompt string, max_tokens int, min_len int")
+    done = generate.generate(rows, generate.Http(f"{url}/chat", "m"))
+    wanted = {0: ("re: one", 1), 1: ("re: two", 1), 2: ("re: one", 1), 3: (None, None)}
+    for _ in range(2):
+        assert {r.i: (r.text, r.attempts) for r in done.collect()} == wanted
+    assert len(asked) == 2
+    tiers = generate.two_tier(rows.where("prompt IS NOT NULL"), lambda d: d.withColumn("text", F.lit(None).cast("string")).withColumn("attempts", F.lit(1)).withColumn("error", F.lit("e")), lambda d: generate.generate(d, generate.Http(f"{url}/chat", "m")), F.length("text") > 3)
+    assert tiers.count() == 3 and {r.tier for r in tiers.collect()} == {"rewrite"} and len(asked) == 4
+    assert tuple(generate.calls_by_kind(done).first()) == (3, 0, 3)
+
+
 def test_two_tiers_recheck(spark):
     rows = spark.createDataFrame([("ok long",), ("bad",)], "prompt string")
     run = lambda recheck: {r.prompt: r.tier for r in generate.two_tier(rows, lambda d: d.withColumn("text", F.col("prompt")), lambda d: d.withColumn("text", F.lit("tiny")), F.length("text") > 5, recheck).collect()}
@@ -219,27 +312,67 @@ def test_jsonl_and_latest(spark, tmp_path):
     assert jsonl.document(spark, f"{tmp_path}/out.json") == {"é": 1}
 
 
-def test_runtime():
-    class Double(Transform):
-        required = ("x",)
+def test_documents_are_replaced_whole(spark, tmp_path):
+    for n in range(2):
+        jsonl.write_json(spark, f"file://{tmp_path}/d.json", {"n": n})
+        assert jsonl.document(spark, f"file://{tmp_path}/d.json") == {"n": n}
+    assert [p.name for p in tmp_path.iterdir() if not p.name.endswith(".crc")] == ["d.json"]
+
+
+def test_ledgers_hold_null_keys(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "a"), (2, None), (3, None), (4, "b")], "i long, k string")
+    assert [r.i for r in against_ledger(rows, rows.where("i < 3"), "k").collect()] == [4]
+    out = f"{tmp_path}/out"
+    added = lambda *ids: sorted(r.i for r in incremental.append_new(rows.where(F.col("i").isin(*ids)), out, F.col("k"), [F.col("i")]).collect())
+    assert added(1, 2, 3) == [1, 2] and added(3, 4) == [4] and added(1, 2, 3, 4) == []
+    assert sorted((r.i, r.k) for r in incremental.appended(spark, out, rows.schema).collect()) == [(1, "a"), (2, None), (4, "b")]
+    (tmp_path / "out/keys/batch=2/_SUCCESS").unlink()  # an unfinished batch doesn't count and is written over
+    assert incremental.appended(spark, out, rows.schema).count() == 3 and added(1) == []
+
+
+def test_incremental_runs_tell_their_progress(spark, tmp_path):
+    seen = []
+    run = lambda: incremental.run_once(spark, f"{tmp_path}/in", rows.schema, f"{tmp_path}/out", f"{tmp_path}/state", F.col("k"), [F.col("i")], lambda df: df.where("i <> 4"), snapshot=seen.append)
+    rows = spark.createDataFrame([(1, "a"), (2, None), (3, None), (4, "b")], "i long, k string")
+    rows.write.parquet(f"{tmp_path}/in")
+    run()
+    spark.createDataFrame([(5, None), (6, "c")], rows.schema).write.mode("append").parquet(f"{tmp_path}/in")
+    run()
+    assert seen == [{"batch": 0, "read": 4, "new": 3, "kept": 2}, {"batch": 1, "read": 2, "new": 1, "kept": 1}]
+    assert sorted(r.i for r in incremental.result(spark, f"{tmp_path}/out").collect()) == [1, 2, 6]
+
+
+def test_runtime(spark):
+    from loomsift import runtime as R
+
+    @R.step("double", rows="x bigint")
+    def double(rows):
+        return {"out": rows.select((F.col("x") * 2).alias("x"))}
+
+    steps, seen = R.catalogue(double), []
+    rows = spark.createDataFrame([(2,)], "x bigint")
+    assert R.watched(steps["double"], "r1", seen.append)(rows=rows)["out"].first().x == 4
+    assert [(e.kind, e.transform, e.run) for e in seen] == [("start", "double", "r1"), ("end", "double", "r1")]
+    with pytest.raises(R.BadInput, match="rows: missing"):
+        R.watched(double, "r2", seen.append)()
+    with pytest.raises(R.BadInput, match="rows.x: string, not bigint"):
+        double(rows=rows.select(F.col("x").cast("string")))
+    assert [e.kind for e in seen] == ["start", "end", "start"]  # no end after an error
+    with pytest.raises(TypeError, match="DataFrames"):
+        R.step("none", rows="")(lambda rows: {"out": 5})(rows=rows)
+    with pytest.raises(TypeError):
+        R.step("none")(5)
+    with pytest.raises(ValueError, match="taken: double"):
+        steps | R.catalogue(double)
+    with pytest.raises(KeyError, match="double"):
+        steps["other"]
+    assert list(steps) == ["double"] and len(steps.without("double")) == 0 and "double" in steps
+    with pytest.raises(KeyError):
+        steps.without("other")
 
-        def apply(self, inputs):
-            return {"y": inputs["x"] * 2} if inputs["x"] else 5
 
-    runtime, seen = Runtime(), []
-    runtime.registry.register("double", Double)
-    runtime.hooks.append(lambda event, context: seen.append((event, context.run_id)))
-    assert runtime.execute("double", "r1", {"x": 2}) == {"y": 4} and seen == [("start", "r1"), ("end", "r1")]
-    with pytest.raises(ValueError, match="x"):
-        runtime.execute("double", "r2", {})
-    with pytest.raises(TypeError):
-        runtime.execute("double", "r3", {"x": 0})
-    assert ("end", "r2") not in seen
-    with pytest.raises(AlreadyRegistered):
-        runtime.registry.register("double", Double)
-    with pytest.raises(TypeError):
-        Registry().register("x", int)
-    with pytest.raises(UnknownTransform):
-        runtime.registry.get("none")
-    runtime.registry.unregister("double")
-    assert len(runtime.registry) == 0 and Config().pairs["score"] == 0.7
+def test_folders(monkeypatch):
+    from loomsift.runtime import Folders
+
+    monkeypatch.setenv("LOOMSIFT_DATA_DIR", "/d")
+    assert Folders().data == "/d" and Folders(output="/o").output == "/o"
