@@ -244,8 +244,11 @@ def forget() -> None:
 
 
 def int_lists(parts: list[bytes]) -> pa.Array:
-    ends = np.cumsum([0, *(len(p) // 4 for p in parts)], dtype=np.int64).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(parts), "<i4")))
+    """Lists of ids as one array, whose offsets have 32 bits."""
+    ends = np.cumsum([0, *(len(p) // 4 for p in parts)], dtype=np.int64)
+    if ends[-1] >= 1 << 31:
+        raise OverflowError(f"{ends[-1]} ids in one batch of {len(parts)} texts")
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.frombuffer(b"".join(parts), "<i4")))
 
 
 def character_spans(text: bytes, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

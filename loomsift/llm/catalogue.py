@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..session import table, work_path
 from . import bpe, chat, decontaminate, jaccard_join, language, ngram_lm, shards, token_files, topk, url_filter
-from .common import crc_fold
+from .common import crc_fold, free_name
 
 #: Vocabulary files of public tokenizers; a parameter of every operator that needs one.
 BYTE_BPE_JSON, BYTE_BPE_RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
@@ -166,7 +166,8 @@ def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents arrive in ``ARRIVALS`` parts; what the compacted store holds."""
     docs = table(spark, sf_dir, "documents")
     store = shards.ShardStore(spark, work_path(spark, "shards"), docs.schema)
-    store.append(docs.withColumn("arrival", F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(ARRIVALS))), by="arrival")
+    arrival = free_name("arrival", docs.columns)
+    store.append(docs.withColumn(arrival, F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(ARRIVALS))), by=arrival)
     store.vacuum()
     return store.read().select(
         "doc_id", "lang", "source", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("text_sha256")

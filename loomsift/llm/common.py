@@ -61,6 +61,42 @@ def input_bytes(df: DataFrame, text_col: str) -> int:
     return size
 
 
+def text_bytes(df: DataFrame, text_col: str) -> int:
+    """Bytes of all texts, whatever files they lie in."""
+    return df.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+
+
+#: Bits of the maps that tell which rows a join may want: 8 MB of them at most.
+MAP_BITS = 26
+_PAGE_BITS = 15  # of one page, as ``bitmap_construct_agg`` makes them
+
+
+def marked(df: DataFrame, keys: DataFrame, on: list[str], out: str) -> DataFrame:
+    """``df`` with ``out``: false where no row of ``keys`` has its ``on`` columns (none
+    of them null), true where one may. A bitmap of hashes is broadcast, never more than
+    2 ** ``MAP_BITS`` bits of it, however many keys there are; the fuller it is, the more
+    rows are true."""
+    at = F.pmod(F.xxhash64(*on), F.lit(1 << MAP_BITS))
+    page, place = F.shiftright(at, _PAGE_BITS).cast("int"), at.bitwiseAND(F.lit((1 << _PAGE_BITS) - 1))
+    pages = keys.select(page.alias("_page"), place.alias("_place")).repartition("_page").groupBy("_page").agg(F.bitmap_construct_agg("_place").alias("_map"))
+    byte = F.conv(F.hex(F.substring("_map", (F.shiftright(place, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    hit = F.coalesce(F.getbit(byte, place.bitwiseAND(F.lit(7)).cast("int")) == 1, F.lit(False))
+    return df.withColumn("_page", page).join(F.broadcast(pages), "_page", "left").withColumn(out, hit).drop("_page", "_map")
+
+
+def fetched(df: DataFrame, wanted: DataFrame, on: list[str]) -> DataFrame:
+    """The inner join on ``on``; rows of ``df`` that can't take part aren't shuffled."""
+    return marked(df, wanted, on, "_may").where("_may").drop("_may").join(wanted, on)
+
+
+def free_name(name: str, taken: Iterable[str]) -> str:
+    """``name``, with marks behind it until no column has it in any case."""
+    lower = {t.lower() for t in taken}
+    while name.lower() in lower:
+        name += "_"
+    return name
+
+
 def slices_for(size: int, each: int) -> int:
     """A power of two of slices of about ``each`` bytes of input, 64 at least."""
     return 1 << max(6, min(30, (size // each).bit_length()))

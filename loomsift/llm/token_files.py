@@ -31,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import work_path, written
@@ -39,6 +39,8 @@ from .bpe import MarkedEncoder, once, token_bytes
 from .common import binaries, bounded_batches, input_bytes, raw_texts, small_batches
 
 CHUNK, BLOCK, LANES = 1 << 20, 1 << 14, 64
+#: Input bytes of a range of ids, which one task encodes and one base stands for.
+RANGE_BYTES = 64 << 20
 #: Frequencies sum to 2 ** SCALE.
 SCALE = 20
 _U = np.uint64
@@ -168,7 +170,7 @@ def write(docs: DataFrame, vocabulary: str, path: str, end: int, id_col: str = "
     rows = bounded_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     size = input_bytes(rows, "text")
     # Ranges of the id: few enough for full chunks, many enough to spread.
-    n = partitions or max(spark.sparkContext.defaultParallelism * 2, -(-size // (16 << 20)))
+    n = partitions or max(spark.sparkContext.defaultParallelism * 2, -(-size // RANGE_BYTES))
     dealt = rows.repartitionByRange(n, F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first(), "text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,12 +235,10 @@ def read(spark: SparkSession, path: str, id_col: str = "doc_id") -> DataFrame:
     table = spark.read.parquet(f"{path}/table").first()["content"]
     shared = spark.sparkContext.broadcast(bytes(table))
     chunks = spark.read.schema(_CHUNKS).parquet(f"{path}/chunks")
-    shards = chunks.groupBy("shard").agg(F.sum("total").alias("total")).orderBy("shard").collect()  # one row per shard
-    before, bases = 0, {}
-    for r in shards:
-        bases[r.shard] = before
-        before += r.total
-    base_of = spark.sparkContext.broadcast(bases)
+    # One row for each range of RANGE_BYTES: few enough for one window, and to broadcast.
+    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    bases = chunks.groupBy("shard").agg(F.sum("total").alias("total")).select("shard", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
+    placed = chunks.join(F.broadcast(bases), "shard")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = once(shared, Coder)
@@ -247,11 +247,11 @@ def read(spark: SparkSession, path: str, id_col: str = "doc_id") -> DataFrame:
                 content = coder.decode(row["payload"]).astype("<u4").tobytes()
                 lengths = np.array(row["lengths"], np.int64)
                 ends = np.cumsum(lengths)
-                starts = ends - lengths + row["first"] + base_of.value[row["shard"]]
+                starts = ends - lengths + row["first"] + row["base"]
                 parts = [content[4 * (e - n) : 4 * e] for e, n in zip(ends.tolist(), lengths.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(row["ids"], pa.int64()), pa.array(starts, pa.int64()), binaries(parts)], [id_col, "start", "ids"])
 
-    return chunks.mapInArrow(run, f"`{id_col}` long, start long, ids binary")
+    return placed.mapInArrow(run, f"`{id_col}` long, start long, ids binary")
 
 
 def round_trip(docs: DataFrame, vocabulary: str, end: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -4,7 +4,7 @@ Each task reads its shard of the candidates in tiles, multiplies a tile with the
 broadcast queries, selects the best of each tile, and merges them into the
 running list of every query; the lists of the tasks then merge in a tree of
 ``FAN`` shards at a time. Queries are broadcast in blocks of at most
-``BLOCK_BYTES``; the candidates are scanned once per block. Scores are exact: tiles
+``BLOCK_BYTES``, some blocks at a time; the candidates are scanned once per block. Scores are exact: tiles
 whose products fit 53 bits use floating point, others Python integers (scores
 beyond 64 bits are held at the ends of that range).
 
@@ -25,10 +25,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import written
 from .bpe import once
 
 #: Most bytes of quantised queries that are broadcast together.
 BLOCK_BYTES = 8 << 20
+#: Blocks that are broadcast at a time; their lists are written before the next ones.
+BLOCKS_AT_ONCE = 16
 #: Candidates and queries of one product.
 TILE, QUERIES_AT_ONCE = 4096, 512
 #: Lists merged at one node of the tree.
@@ -92,12 +95,25 @@ def search(vectors: DataFrame, asked: Column, k: int = 10, id_col: str = "vec_id
     queries = rows.where(asked).groupBy("id").agg(F.min("v").alias("v"))
     size = queries.agg(F.sum(8 * F.size("v") + 16)).first()[0] or 0
     blocks = -(-size // BLOCK_BYTES) or 1
-    found = None
-    for b in range(blocks):
-        own = queries.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b).collect()  # bounded by BLOCK_BYTES
-        lists = _scan(rows, spark.sparkContext.broadcast([(r.id, r.v) for r in own]), k)
-        found = lists if found is None else found.union(lists)
-    return _merged(found, rows.rdd.getNumPartitions(), k)
+    shards = rows.rdd.getNumPartitions()
+    if blocks > 1:  # each block is then read from its own folder
+        block = F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block")
+        queries = written(queries.select("id", "v", block), "queries", by="block")
+    merged = None
+    for first in range(0, blocks, BLOCKS_AT_ONCE):
+        found, held = None, []
+        for b in range(first, min(blocks, first + BLOCKS_AT_ONCE)):
+            own = (queries.where(F.col("block") == b) if blocks > 1 else queries).select("id", "v").collect()  # about BLOCK_BYTES
+            held.append(spark.sparkContext.broadcast([(r.id, r.v) for r in own]))
+            lists = _scan(rows, held[-1], k)
+            found = lists if found is None else found.union(lists)
+        best = _merged(found, shards, k)
+        if blocks > BLOCKS_AT_ONCE:  # these blocks are done, so their broadcasts may go
+            best = written(best, "best")
+            for shared in held:
+                shared.destroy()
+        merged = best if merged is None else merged.union(best)
+    return merged
 
 
 def _scan(rows: DataFrame, shared, k: int) -> DataFrame:

@@ -116,7 +116,7 @@ def test_decontaminate(spark, odd_docs, no_docs, monkeypatch):
     assert texts[0][start:end].startswith("W0") and texts[0][start:end].endswith("w14")
     assert (rows[1].n_hit, rows[1].items, [texts[1][s:e] for s, e in rows[1].spans]) == (4, ["2"], ["short-item", "other words"])
     assert [rows[i].n_hit for i in (2, 3, 4)] == [0, 0, 0] and rows[3].n_words == 0
-    monkeypatch.setattr(decontaminate, "GROUP_BYTES", 30)  # several automata, hits carried along
+    monkeypatch.setattr(decontaminate, "NODES", 30)  # several automata, hits carried along
     assert {r.doc_id: r for r in decontaminate.find(docs, items).collect()} == rows
     assert decontaminate.find(odd_docs, items.limit(0)).agg(F.sum("n_hit")).first()[0] == 0
     assert decontaminate.find(no_docs, items).count() == 0
