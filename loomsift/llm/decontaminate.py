@@ -6,9 +6,10 @@ text); an item with fewer words, but some, is one window. All windows form one
 automaton over normalised text; each document is scanned once, and the words that
 any occurrence covers are mapped back to character offsets of the original.
 
-The benchmark is measured before it is collected: above ``GROUP_BYTES`` it is
-split into groups of items below that size, each with its own automaton, and the
-documents are scanned once per group with the hits carried along.
+The windows are measured before they are collected. An automaton has a node for each
+of their bytes at most, and takes some 50 bytes a node in a worker, so above ``NODES``
+distinct windows are dealt by hash into groups of that many bytes, each with its own
+automaton, and the documents are scanned once per group with the hits carried along.
 
 Rows, defined: a null or empty text has no words and no hits; an item without an
 id or without words takes no part; items that repeat an id count once; repeated
@@ -31,11 +32,11 @@ from pyspark.sql import types as T
 
 from ..session import written
 from .bpe import once
-from .common import bounded_batches, raw_texts, small_batches
+from .common import binaries, bounded_batches, raw_texts, small_batches
 
 WINDOW = 13
-#: Most bytes of item text that one automaton, and so one broadcast, may hold.
-GROUP_BYTES = 32 << 20
+#: Nodes of one automaton: distinct windows are dealt into groups of so many bytes.
+NODES = 6_000_000
 
 _KEPT = b"0123456789abcdefghijklmnopqrstuvwxyz"
 #: Byte to its normal form: A-Z to a-z, other ASCII that isn't a word to a space.
@@ -64,19 +65,14 @@ def windows_of(text: bytes, size: int) -> set[bytes]:
 class Automaton:
     """Windows to find; a byte of UTF-8 is one character of the automaton."""
 
-    def __init__(self, content: tuple[list[tuple[str, bytes]], int]):
-        items, size = content
-        owners: dict[bytes, set[str]] = {}
-        for item, text in items:
-            for window in windows_of(text, size):
-                owners.setdefault(window, set()).add(item)
+    def __init__(self, windows: list[tuple[bytes, list[str]]]):
         self.found = ahocorasick.Automaton()
-        for window, names in owners.items():
+        for window, names in windows:
             shown = f" {window.decode('latin-1')} "
             self.found.add_word(shown, (len(shown), shown.count(" ") - 1, names))
-        if owners:
+        self.empty = not windows
+        if windows:
             self.found.make_automaton()
-        self.empty = not owners
 
     def hits(self, words: list[bytes]) -> tuple[set[str], np.ndarray]:
         """The items found, and a mask over the words that are hit."""
@@ -88,7 +84,7 @@ class Automaton:
         for end, (length, n, names) in self.found.iter(text):
             starts.append(end - length + 1)
             counts.append(n)
-            items |= names
+            items.update(names)
         if not starts:
             return items, np.zeros(0, bool)
         spaces = np.flatnonzero(np.frombuffer(text.encode("latin-1"), np.uint8) == 32)
@@ -117,20 +113,34 @@ def find(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: st
     spans (character offsets of each run of hit words)."""
     spark = docs.sparkSession
     known = items.select(F.col(item_col).cast("string").alias("item"), F.col(item_text).alias("text")).where("item IS NOT NULL AND text IS NOT NULL")
-    total = known.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    groups = -(-total // GROUP_BYTES) or 1
-    known = known.withColumn("group", F.pmod(F.xxhash64("item"), F.lit(groups)))
+    windows = _windows(known, window).groupBy("window").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    total = windows.agg(F.sum(F.octet_length("window") + 2)).first()[0] or 0
+    groups = -(-total // NODES) or 1
+    if groups > 1:
+        windows = written(windows.withColumn("group", F.pmod(F.xxhash64("window"), F.lit(groups))), "windows", by="group")
     kept = [c for c in docs.columns if c not in STATE.names]
     out = bounded_batches(docs).select(*kept)
     for group in range(groups):
-        own = known.where(F.col("group") == group).select("item", "text").collect()  # bounded by GROUP_BYTES
-        shared = spark.sparkContext.broadcast(([(r.item, r.text.encode()) for r in own], window))
+        own = (windows.where(F.col("group") == group) if groups > 1 else windows).collect()  # windows of about NODES bytes
+        shared = spark.sparkContext.broadcast([(bytes(r.window), r["items"]) for r in own])
         out = _scan(out, shared, text_col, kept, group > 0)
         if group + 1 < groups:  # one automaton at a time in a worker
             out = written(out, "decontaminate")
     return out
 
 
+def _windows(items: DataFrame, size: int) -> DataFrame:
+    """(item, window) of each item's windows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, 100):
+            for item, text in zip(batch.column("item").to_pylist(), raw_texts(batch.column("text")), strict=True):
+                found = list(windows_of(text, size))
+                yield pa.RecordBatch.from_arrays([pa.array([item] * len(found), pa.string()), binaries(found)], ["item", "window"])
+
+    return items.mapInArrow(run, "item string, window binary")
+
+
 def _scan(df: DataFrame, shared: Broadcast, text_col: str, kept: list[str], carried: bool) -> DataFrame:
     schema = T.StructType([*(df.schema[c] for c in kept), *STATE.fields])
 
