@@ -14,7 +14,10 @@ with each text, so the model may be any size while a worker holds one group.
 
 The probability of a word after its predecessor is the Dirichlet-smoothed
 (c2 + mass * p1) / (c1 + mass) with p1 = (c + 1) / (N + V + 1), all c from the
-filter. A text's tokens are its words, then one end; the first word follows a
+filter; a word's count that is read as more than N, or a bigram's as more than its
+context's, is held down to that, so no probability is above 1. The filter's shape
+follows the training texts' bytes, never the files they lie in, so equal rows give
+equal scores. A text's tokens are its words, then one end; the first word follows a
 start mark.
 
 Rows, defined: a null or empty text is the single token end; repeated rows count
@@ -38,14 +41,14 @@ from pyspark.sql import types as T
 
 from ..session import written
 from .bpe import forget, once
-from .common import ASCII_LOWER, binaries, bounded_batches, input_bytes, mix, raw_texts, slices_for
+from .common import ASCII_LOWER, binaries, bounded_batches, mix, raw_texts, slices_for, text_bytes
 
 #: Bits per entered level, and bits set for one entry within its 64-bit word.
 BITS, PROBES = 9, 4
 #: Most bytes of filters and word counts that are broadcast together.
 GROUP_BYTES = 224 << 20
-#: Input bytes per slice of the hash space.
-SLICE_BYTES = 4 << 20
+#: Bytes of training text per slice of the hash space.
+SLICE_BYTES = 8 << 20
 #: Words of texts counted at once.
 CHUNK = 2_000_000
 #: Weight of the unigram estimate, in counts.
@@ -252,7 +255,7 @@ class Model:
 def fit(docs: DataFrame, text: str = "text", usable: Column | None = None) -> Model:
     rows = bounded_batches(docs) if usable is None else bounded_batches(docs).where(usable)
     texts = rows.select(F.col(text).alias("text"))
-    slices = slices_for(input_bytes(texts, "text"), SLICE_BYTES)
+    slices = slices_for(text_bytes(texts, "text"), SLICE_BYTES)
     table = written(_count(texts, slices).groupBy("slice").applyInArrow(_merge, "slice int, bits binary, known binary, count binary, n long, v long"), "ngrams")
     totals = table.agg(F.sum("n").alias("n"), F.sum("v").alias("v")).first()
     return Model(table, slices, totals.n or 0, totals.v or 0)
@@ -323,16 +326,17 @@ def _scored(h, previous, first, ends, count, single, double, n: int, v: int) ->
     total = n + v + 1
     base = np.log10((count + 1) / total)
     # The context's count: that of the token before, of the end at a text's start.
-    held = count_of(single)
+    held = np.minimum(count_of(single), n)
     context = np.empty(len(h))
     context[1:] = held[:-1]
     context[first] = held[ends]
-    smooth = np.log10((count_of(double) + MASS * (held + 1) / total) / (context + MASS))
+    together = np.minimum(count_of(double), context)
+    smooth = np.log10((together + MASS * (held + 1) / total) / (context + MASS))
     sizes = ends - first + 1
     return [
         pa.array(sizes.astype(np.int64)),
         pa.array(np.add.reduceat((count > 0).astype(np.int64), first)),
         pa.array(np.full(len(first), n, np.int64)),
         pa.array(np.add.reduceat(base, first)),
-        pa.array(np.minimum(np.add.reduceat(smooth, first), 0.0)),
+        pa.array(np.add.reduceat(smooth, first)),
     ]
