@@ -3,9 +3,9 @@
 A text is the average of the embeddings of its letter 1- to 4-grams (with word
 marks, hashed to ``buckets``); a softmax layer over that average gives the
 languages. Both are trained by stochastic gradient descent in numpy on at most
-``Settings.sample`` labelled rows (by default about 800 a language, fewer for each
-where there are more than 256 languages, but never none; chosen by a hash of the
-key, exact copies once). Part of that sample, never all rows of a language, is held
+``Settings.sample`` labelled rows (by default 800 a language, fewer for each where
+there are more than 256 languages, but never none; chosen by a hash of key and text,
+exact copies once) and ``Settings.entries`` subwords of theirs. Part of that sample, never all rows of a language, is held
 back to fit the temperature that calibrates the probabilities and the threshold
 below which a prediction is rejected.
 
@@ -48,6 +48,7 @@ class Settings:
     longest: int = 4
     per_label: int = 800  #: labelled rows to learn from, for each label
     sample: int = 800 * 256  #: labelled rows to learn from in all, or one for each label
+    entries: int = 1 << 26  #: distinct subwords of all sampled rows; long rows keep their most frequent ones
     labels: int | None = None  #: more distinct labels than this raise an error, if given
     folded: int = 256  #: labels up to which the layers are folded
     cells: int = 1 << 22  #: rows times labels scored at once
@@ -102,15 +103,18 @@ def subwords(pieces: list[str], settings: Settings) -> tuple[np.ndarray, np.ndar
     return np.concatenate(buckets), np.concatenate(owners)
 
 
-def _bags(labelled: DataFrame, settings: Settings) -> list[tuple[str, np.ndarray, np.ndarray]]:
-    """Label, distinct buckets and their weights of each row; a row is never
-    larger than ``buckets`` entries, however long its text."""
+def _bags(labelled: DataFrame, settings: Settings, most: int) -> list[tuple[str, np.ndarray, np.ndarray]]:
+    """Label, distinct buckets and their weights of each row; of a row with more than
+    ``most`` buckets, the most frequent ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, 200):
             out = []
             for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 found, n = np.unique(subwords(text.split(), settings)[0], return_counts=True)
+                if len(found) > most:
+                    keep = np.sort(np.lexsort((found, -n))[:most])
+                    found, n = found[keep], n[keep]
                 out.append((label, found.astype("<i4").tobytes(), n.astype("<i4").tobytes()))
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)] if out else [pa.array([], t) for t in (pa.string(), pa.binary(), pa.binary())], ["label", "found", "n"])
 
@@ -122,26 +126,35 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str = "
     """Learn from a bounded sample of the ``usable`` labelled rows."""
     rows = bounded_batches(docs).where(F.col(key).isNotNull() & F.col(text).isNotNull() & F.col(label).isNotNull())
     rows = rows if usable is None else rows.where(usable)
-    name = F.col(label).cast("string")
-    place = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(STEPS))
+    rows = rows.select(F.col(label).cast("string").alias("label"), F.col(text).alias("text"), F.pmod(F.xxhash64(F.col(key).cast("string"), F.col(text)), F.lit(STEPS)).alias("place"))
     many = settings.sample // settings.per_label
-    found = rows.groupBy(name.alias("label")).count()
+    found = rows.groupBy("label").count()
     counts = found.orderBy("label").limit(1 + (many if settings.labels is None else max(many, settings.labels))).collect()
     if settings.labels is not None and len(counts) > settings.labels:
         raise ValueError(f"more than {settings.labels} distinct labels")
     if not counts:
         return None
     if len(counts) <= many:
-        share = F.create_map(*[x for r in counts for x in (F.lit(r.label), F.lit(min(STEPS, STEPS * settings.per_label // r["count"])))])
-        picked = rows.where(place < share[name]).select(name.alias("label"), F.col(text).alias("text"))
+        # Half as many again as wanted, so that the limit is met by nearly every label.
+        share = F.create_map(*[x for r in counts for x in (F.lit(r.label), F.lit(min(STEPS, STEPS * 3 * settings.per_label // (2 * r["count"]) + 1)))])
+        bags = _learned(rows.where(F.col("place") < share[F.col("label")]), settings.per_label, len(counts), settings)
+        # A label whose copies the hash has all passed over is drawn from all its rows.
+        left = {r.label for r in counts} - {b[0] for b in bags}
+        if left:
+            bags += _learned(rows.where(F.col("label").isin(*left)), settings.per_label, len(counts), settings)
     else:
-        each = max(1, settings.sample // found.count())
-        lettered = rows.where(F.col(text).rlike(r"\p{L}")).select(name.alias("label"), F.col(text).alias("text"), place.alias("place"))
-        order = Window.partitionBy("label").orderBy("place", "text")
-        picked = lettered.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= each).select("label", "text")
-    chosen = picked.dropDuplicates()
-    bags = _bags(chosen, settings)
-    return train(bags, settings) if bags else None
+        labels = found.count()
+        bags = _learned(rows, max(1, settings.sample // labels), labels, settings)
+    return train(sorted(bags, key=lambda b: (b[0], b[1].tobytes(), b[2].tobytes())), settings) if bags else None
+
+
+def _learned(rows: DataFrame, each: int, labels: int, settings: Settings) -> list[tuple[str, np.ndarray, np.ndarray]]:
+    """At most ``each`` distinct lettered rows of every label, as bags."""
+    lettered = rows.where(F.col("text").rlike(r"\p{L}"))
+    order = Window.partitionBy("label").orderBy("place", "text")
+    picked = lettered.withColumn("rank", F.dense_rank().over(order)).where(F.col("rank") <= each).select("label", "text", "place")
+    picked = picked.dropDuplicates(["label", "text"]).select("label", "text")
+    return _bags(picked, settings, max(1, settings.entries // (each * labels)))
 
 
 def train(bags: list[tuple[str, np.ndarray, np.ndarray]], settings: Settings) -> Model:
