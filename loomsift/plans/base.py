@@ -59,7 +59,7 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ITEMS_SQL = """items AS (
   SELECT d.doc_id AS ordinal, CASE WHEN source = 'src3' THEN 'arxiv' ELSE source END AS source,
-    left(split_part(text, chr(10), 1), 80) AS title, text AS summary, l.quality * d.doc_id AS score,
+    split_part(text, chr(10), 1) AS title, text AS summary, l.quality * d.doc_id AS score,
     CASE WHEN l.doc_id IS NOT NULL THEN d.doc_id % 7 END AS comments,
     CASE WHEN source = 'src3' THEN list_transform(range(1, d.doc_id % 5 + 2), lambda i: 'A. Author ' || i) END AS authors
   FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
