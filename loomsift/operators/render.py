@@ -1,20 +1,16 @@
-"""Row sets to text: report prompts, chat text, scenario prompts.
+"""Row sets to text: report prompts and chat text.
 
-Wording is a parameter (``ReportStyle``, template rows); structure, order and limits
-are the engine's.
+Wording is a parameter (``ReportStyle``); structure, order and limits are the engine's.
 """
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import head
-from .split import pick, round_robin
 
 # How many lines a report shows, and how much of a summary.
 NEWS, PAPERS, AUTHORS, NEWS_SUMMARY = 15, 10, 3, 200
@@ -128,45 +124,6 @@ def messages_of(turns: DataFrame, key: str, order: str, role: str, text: str) ->
     return turns.groupBy(key).agg(F.transform(told, lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content"))).alias("messages"))
 
 
-# Scenario prompts
-
-#: Own template rows: category, sub-scenario, format, prompt, min_len, max_tokens.
-TEMPLATES = [
-    ("briefing", 0, "morning", "Brief a reader on {topic} in {city}.", 600, 2048),
-    ("briefing", 1, "evening", "Sum up what happened to {topic} in {city} today.", 600, 2048),
-    ("trends", 0, "trend", "Explain where {topic} is heading, seen from {city}.", 1000, 3072),
-    ("trends", 1, "contrast", "Compare two views on {topic} in {city}.", 1000, 3072),
-    ("company", 0, "profile", "Profile a company that works on {topic} in {city}.", 600, 2048),
-    ("culture", 0, "essay", "Write about people around {topic} in {city}.", 500, 1536),
-    ("market", 0, "numbers", "Give the numbers behind {topic} in {city}.", 500, 1536),
-    ("journal", 0, "week", "Write the journal of a week on {topic} in {city}.", 1500, 4096),
-]
-TOPICS = ("storage engines", "speech models", "open data", "chip supply", "field robots")
-CITIES = ("Lagos", "Lima", "Oslo", "Pune")
-
-
-def scenarios(
-    spark: SparkSession, n: int, seed: int = 42, templates: Sequence[tuple] = TEMPLATES, pools: Mapping[str, Sequence[str]] | None = None,
-    categories: Sequence[str] | None = None,
-) -> DataFrame:
-    """n numbered scenarios per category: sub-scenarios in turn, pools chosen by hash."""
-    pools = pools or {"topic": TOPICS, "city": CITIES}
-    rows = spark.createDataFrame(templates, "category string, sub long, format string, template string, min_len int, max_tokens int")
-    if categories is not None:
-        rows = rows.where(F.col("category").isin(*categories))
-    sizes = Counter(t[0] for t in templates if categories is None or t[0] in categories)
-    each = F.explode(F.array(*[F.struct(F.lit(c).alias("category"), F.lit(k).alias("k")) for c, k in sizes.items()]))
-    wanted = spark.range(n).select(F.col("id").alias("idx"), each.alias("e")).select("idx", "e.category", F.pmod("idx", "e.k").alias("sub"))
-    prompt = F.col("template")
-    for name, pool in pools.items():
-        prompt = F.replace(prompt, F.lit("{" + name + "}"), pick(pool, seed, F.col("category"), F.col("idx"), F.lit(name)))
-    return wanted.join(F.broadcast(rows), ["category", "sub"]).select("category", "idx", "sub", "format", prompt.alias("prompt"), "min_len", "max_tokens")
-
-
-def sub_scenario(index: Column, k: int) -> Column:
-    return round_robin(index, k)
-
-
 def zipped(left: Column, right: Column) -> Column:
     """Pairs by position, cut to the shorter list."""
     n = F.least(F.size(left), F.size(right))

@@ -93,8 +93,8 @@ def weighted(remaining: Mapping[str, int], where: Column) -> Column:
     return out
 
 
-def round_robin(index: Column, k: int) -> Column:
-    return F.pmod(index, F.lit(k))
+def round_robin(index: Column, k: int | Column) -> Column:
+    return F.pmod(index, k if isinstance(k, Column) else F.lit(k))
 
 
 def work_queue(spark, target: int, done: DataFrame, key: str = "idx", margin: float = 0.2) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import render as R
+from ..operators import scenarios as C
 from ..operators import split as S
 from ..operators.dedup import first_wins, per_group
 from ..operators.generate import Echo, generate, two_tier
@@ -126,7 +127,7 @@ def chat_template(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""
 WITH {CHATS_SQL}, s AS (SELECT conv_id, list_filter(messages, lambda m: m.role = 'user') AS u, list_filter(messages, lambda m: m.role = 'assistant') AS a FROM chats)
-SELECT conv_id, unnest(range(1, least(len(u), len(a)) + 1)) AS place, unnest(list_transform(range(1, least(len(u), len(a)) + 1), lambda i: left(u[i].content, 30) || '|' || left(a[i].content, 30))) AS pair FROM s
+SELECT conv_id, unnest(range(1, least(len(u), len(a)) + 1)) AS place, unnest(list_transform(range(1, least(len(u), len(a)) + 1), lambda i: u[i].content || '|' || a[i].content)) AS pair FROM s
 """)
 def zip_positional(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = lambda role: F.transform(F.filter("messages", lambda m: m["role"] == role), lambda m: m["content"])
@@ -159,28 +160,82 @@ def two_tier_stub(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "tier", F.length("text").cast("long").alias("n"))
 
 
-_TEMPLATES_SQL = ", ".join(str(t) for t in R.TEMPLATES)
+_KEYED = "'42:' || family || ':' || category || ':' || idx || ':"
 
 
-@query(f"""
-WITH t(category, sub, format, template, min_len, max_tokens) AS (VALUES {_TEMPLATES_SQL}),
-n AS (SELECT category, count(*) AS k FROM t GROUP BY category),
-i AS (SELECT category, range AS idx, range % k AS sub FROM n, range(40))
-SELECT category, idx, sub, format, replace(replace(template,
-  '{{topic}}', {list(R.TOPICS)}[CAST(CAST('0x' || left(sha256('42:' || category || ':' || idx || ':topic'), 8) AS BIGINT) % {len(R.TOPICS)} AS INTEGER) + 1]),
-  '{{city}}', {list(R.CITIES)}[CAST(CAST('0x' || left(sha256('42:' || category || ':' || idx || ':city'), 8) AS BIGINT) % {len(R.CITIES)} AS INTEGER) + 1]) AS prompt,
-  CAST(min_len AS INTEGER) AS min_len, CAST(max_tokens AS INTEGER) AS max_tokens
-FROM i JOIN t USING (category, sub)
-""")
+def _listed(names) -> str:
+    return "[" + ", ".join("'" + n.replace("'", "''") + "'" for n in names) + "]"
+
+
+def _one_sql(members, key: str) -> str:
+    return f"{_listed(members)}[CAST(CAST('0x' || left(sha256({_KEYED}{key}'), 8) AS BIGINT) % {len(members)} AS INTEGER) + 1]"
+
+
+def _some_sql(members, n: int, key: str) -> str:
+    return f"list_transform(list_sort(list_transform({_listed(members)}, lambda x: sha256({_KEYED}{key}:' || x) || x))[1:{n}], lambda y: substr(y, 65))"
+
+
+def _slot_sql(slot: C.Slot, place: int) -> str:
+    own, also = C.POOLS.get(slot.pool, ()), C.POOLS.get(slot.also, ())
+    if slot.kind == "outline":
+        return "outline"
+    if slot.kind == "number":
+        return f"CAST({slot.low} + CAST('0x' || left(sha256({_KEYED}{place}'), 8) AS BIGINT) % {slot.n} AS VARCHAR)"
+    if slot.kind == "one":
+        return _one_sql([*own, *also], str(place))
+    if slot.kind == "pairs":
+        left, right = _some_sql(own, slot.n, str(place)), _some_sql(also, slot.n, f"{place}:also")
+        return f"array_to_string(list_transform(range(1, {min(slot.n, len(own), len(also))} + 1), lambda i: '- ' || ({left})[i] || ': ' || ({right})[i]), chr(10))"
+    some = _some_sql(own, slot.n, str(place))
+    return f"array_to_string({some}, '; ')" if slot.kind == "row" else f"'- ' || array_to_string({some}, chr(10) || '- ')"
+
+
+def _prompt_sql(branch: C.Branch) -> str:
+    parts, slots = C.cut(branch.template)
+    text = lambda part: "'" + part.replace("'", "''").replace("\n", "' || chr(10) || '") + "'"
+    return " || ".join([x for i, slot in enumerate(slots) for x in (text(parts[i]), _slot_sql(slot, i))] + [text(parts[-1])])
+
+
+def _scenarios_sql(n: int, families: tuple[str, ...] | None = None, categories: tuple[str, ...] | None = None) -> str:
+    own = [b for b in C.BRANCHES if (families is None or b.family in families) and (categories is None or b.category in categories)]
+    turns = {(b.family, b.category): max(x.sub for x in own if (x.family, x.category) == (b.family, b.category)) + 1 for b in own}
+    rows = ", ".join(f"('{f}', '{c}', {k})" for (f, c), k in turns.items())
+    at = lambda b: f"WHEN family = '{b.family}' AND category = '{b.category}' AND sub = {b.sub} THEN"
+    formats = " ".join(f"{at(b)} {_one_sql(b.formats, 'format')}" for b in own)
+    prompts = " ".join(f"{at(b)} {_prompt_sql(b)}" for b in own)
+    specs = ", ".join(f"('{f}', {_listed([C.OUTLINES[f]])}[1], {least}, {most})" for f, (least, most) in C.FORMAT_LIMITS.items())
+    return f"""t(family, category, k) AS (VALUES {rows}),
+i AS (SELECT family, category, range AS idx, range % k AS sub FROM t, range({n})),
+f AS (SELECT *, CASE {formats} END AS format FROM i),
+o(format, outline, min_len, max_tokens) AS (VALUES {specs}),
+scenario AS (SELECT family, category, idx, sub, format, CASE {prompts} END AS prompt, CAST(min_len AS INTEGER) AS min_len, CAST(max_tokens AS INTEGER) AS max_tokens FROM f JOIN o USING (format))"""
+
+
+@query(f"WITH {_scenarios_sql(40)} SELECT * FROM scenario")
 def prompt_scenarios(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.scenarios(spark, 40)
+    return C.scenarios(spark, 40)
+
+
+@query(f"WITH {_scenarios_sql(30, families=('cascade',))} SELECT family, category, idx, prompt FROM scenario ORDER BY family, category, idx LIMIT 20")
+def dry_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The head that a trial run would ask for."""
+    return C.head(C.scenarios(spark, 30, families=["cascade"]), most=1000, dry_run=20).select("family", "category", "idx", "prompt")
+
 
+_ECHO = Echo()
 
-@query()
+
+@query(f"""
+WITH {_scenarios_sql(10, categories=('culture', 'market', 'gap_detection'))}, s AS (SELECT *, sha256('gen:' || prompt) AS h FROM scenario),
+e AS (SELECT *, least(max_tokens, 40 + CAST('0x' || left(h, 2) AS BIGINT)) AS n FROM s),
+w AS (SELECT *, CAST(list_sum(list_transform(range(0, n), lambda i: length({_listed(_ECHO.words)}[CAST(CAST('0x' || substr(h, CAST(i % 32 * 2 + 1 AS INTEGER), 2) AS BIGINT) % {len(_ECHO.words)} AS INTEGER) + 1]))) + n - 1 AS BIGINT) AS size FROM e)
+SELECT family, category, idx, CASE WHEN size > min_len // 2 THEN 1 ELSE 4 END AS attempts, CASE WHEN size > min_len // 2 THEN NULL ELSE 'too short' END AS error,
+  CASE WHEN size > min_len // 2 THEN CAST(size AS INTEGER) END AS n_chars FROM w
+""")
 def generated_stub(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scenarios completed by the deterministic Python stub; attempts and errors."""
-    done = generate(R.scenarios(spark, 10, categories=["culture", "market"]), Echo())
-    return done.select("category", "idx", "attempts", "error", F.length("text").alias("n_chars"))
+    done = generate(C.scenarios(spark, 10, categories=["culture", "market", "gap_detection"]), _ECHO)
+    return done.select("family", "category", "idx", "attempts", "error", F.length("text").alias("n_chars"))
 
 
 RSS = """<rss version="2.0"><channel><item><title> First </title><link>http://a/1</link><description>&lt;p&gt;Hi &lt;b&gt;there&lt;/b&gt;&lt;/p&gt;</description><pubDate>Mon</pubDate></item>
@@ -192,7 +247,12 @@ PAPERS = """<feed xmlns="http://www.w3.org/2005/Atom"><entry><id>http://p/1</id>
  things</summary><published>2024</published><author><name>X</name></author><author><name>Y</name></author><link href="http://p/1.html" type="text/html"/><category term="cs.AI"/><category term="cs.CL"/></entry></feed>"""
 
 
-@query()
+@query("""
+SELECT * FROM (VALUES
+  (0, 'a', 0, 'First', 'http://a/1', 'Hi there', 'Mon', NULL), (0, 'a', 1, 'Second', 'http://a/2', 'neural nets', '', NULL),
+  (1, 'b', 0, 'One', 'http://b/1', 's', '2024', NULL), (2, 'arxiv', 0, 'A paper', 'http://p/1.html', 'On neural things', '2024', 'X,Y')
+) v(source_ord, source, place, title, url, summary, published, authors)
+""")
 def xml_feed_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Literal payloads of each kind, one of them broken."""
     rows = lambda *r: spark.createDataFrame(list(r), "source string, body string")
