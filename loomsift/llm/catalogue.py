@@ -183,6 +183,23 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(table(spark, sf_dir, "documents"), words=4, percent=85)
 
 
+OP10_SQL = """
+WITH RECURSIVE doc AS (
+  SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS rid, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS words FROM documents
+), place AS (SELECT rid, words, unnest(range(1, greatest(1, len(words) - 3) + 1)) AS i FROM doc WHERE len(words) > 0
+), shingle AS (SELECT DISTINCT rid, sha256(array_to_string(words[i : i + least(4, len(words)) - 1], ' ')) AS g FROM place
+), size AS (SELECT rid, count(*) AS n FROM shingle GROUP BY rid
+), common AS (SELECT a.rid AS x, b.rid AS y, count(*) AS c FROM shingle a JOIN shingle b ON a.g = b.g AND a.rid < b.rid GROUP BY 1, 2
+), one AS (SELECT x, y FROM common JOIN size p ON p.rid = x JOIN size q ON q.rid = y WHERE 100 * c >= 85 * (p.n + q.n - c)
+), link AS (SELECT x, y FROM one UNION ALL SELECT y, x FROM one
+), reach AS (SELECT x, y FROM link UNION SELECT r.x, l.y FROM reach r JOIN link l ON r.y = l.x
+), least AS (SELECT x AS rid, min(doc_id) AS component_id FROM reach JOIN doc ON rid = y GROUP BY x
+), linked AS (SELECT x AS rid, count(*) AS n_links FROM link GROUP BY x)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, doc_id) AS component_id, coalesce(n_links, 0) AS n_links
+FROM doc LEFT JOIN size USING (rid) LEFT JOIN least USING (rid) LEFT JOIN linked USING (rid)
+"""
+
+
 QUERIES = {
     "op1_language": op1_language,
     "op3_url_filter": op3_url_filter,
@@ -195,4 +212,4 @@ QUERIES = {
     "op9_shards": op9_shards,
     "op10_jaccard_join": op10_jaccard_join,
 }
-ORACLES = {"op3_url_filter": OP3_SQL, "op5_decontaminate": OP5_SQL, "op7_chat": OP7_SQL, "op8_topk": OP8_SQL, "op9_shards": OP9_SQL}
+ORACLES = {"op3_url_filter": OP3_SQL, "op5_decontaminate": OP5_SQL, "op7_chat": OP7_SQL, "op8_topk": OP8_SQL, "op9_shards": OP9_SQL, "op10_jaccard_join": OP10_SQL}

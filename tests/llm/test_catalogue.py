@@ -8,6 +8,8 @@ from collections import Counter
 import numpy as np
 import public_tokenizers as P
 import pytest
+import regex
+from pyspark.sql import functions as F
 from twins import same_rows
 
 from loomsift.llm.catalogue import ORACLES, QUERIES
@@ -32,6 +34,45 @@ def test_language_accuracy(spark, sf_dir, docs):
     assert sum(rows[i].lang_pred == lang for i, lang in held) >= 0.9 * len(held)
 
 
+def plain_prediction(model, text):
+    """Label and probability by loops over letters, without any memory or batch."""
+    s, runs = model.settings, []
+    run = ""
+    for c in (text or "").lower() + " ":
+        if regex.match(r"\p{L}", c):
+            run += c
+        elif run:
+            runs.append(f"<{run}>")
+            run = ""
+    grams = [r[i : i + n] for r in runs for n in range(1, s.longest + 1) for i in range(len(r) - n + 1) if r[i : i + n] not in "<>"]
+    if not grams:
+        return "und", 0.0
+    total = np.zeros(len(model.labels))
+    for gram in grams:
+        h = 0
+        for c in gram:
+            h = (h * 1_000_003 + ord(c)) % 2**64
+        h = (h + len(gram)) % 2**64
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            h = (h ^ (h >> shift)) * factor % 2**64
+        total += model.scores[(h ^ (h >> 31)) % s.buckets]
+    raised = np.exp((total / len(grams) + model.bias) / model.temperature)
+    return model.labels[int(raised.argmax())], float(raised.max() / raised.sum())
+
+
+def test_language_is_the_plain_forward_pass(spark, sf_dir, docs):
+    from loomsift.llm import language
+    from loomsift.session import table
+
+    model = language.fit(table(spark, sf_dir, "documents"))
+    some = sorted(docs, key=lambda d: len(d[1] or ""))[:120]
+    rows = {r.doc_id: r for r in language.predict(spark.createDataFrame(some, "doc_id long, text string, lang string"), model).collect()}
+    for i, text, _ in some:
+        label, sure = plain_prediction(model, text)
+        assert rows[i].lang_pred == label and abs(rows[i].score - sure) < 1e-4
+        assert rows[i].rejected == (label == "und" or rows[i].score < model.threshold)
+
+
 def test_token_files(spark, sf_dir, docs):
     from tokenizers import Tokenizer
 
@@ -59,6 +100,38 @@ def test_ngram_base(spark, sf_dir, docs):
     assert sum(rows[i].score for i in words if held[i]) > sum(rows[i].base_score for i in words if held[i])
 
 
+def test_ngram_score_by_exact_counts(spark, sf_dir, docs):
+    """The same formula over dictionaries; the filter may only read a count too high."""
+    from loomsift.llm import ngram_lm
+
+    rows = {r.doc_id: r for r in QUERIES["op4_ngram_lm"](spark, sf_dir).collect()}
+    words = {i: [*(text or "").encode().translate(ASCII_LOWER).split(), None] for i, text, _ in docs}
+    taught = [ws for i, ws in words.items() if zlib.crc32(str(i).encode()) % 7 != 2]
+    single, double = Counter(w for ws in taught for w in ws), Counter(x for ws in taught for x in zip(["start", *ws], ws))
+    n, v = sum(single.values()), len(single)
+    read = {c: float(ngram_lm.count_of(ngram_lm.level_of(np.array([c])))[0]) for c in {*single.values(), *double.values()}} | {0: 0.0}
+    off = []
+    for i, ws in words.items():
+        score = 0.0
+        for before, word in zip([None, *ws], ws):
+            held, context = min(read[single[word]], n), min(read[single[before]], n)
+            together = min(read[double[(before if before is not None else "start"), word]], context)
+            score += math.log10((together + ngram_lm.MASS * (held + 1) / (n + v + 1)) / (context + ngram_lm.MASS))
+        assert rows[i].score <= 0
+        off.append(abs(rows[i].score - score) / len(ws))
+    assert np.mean(off) < 0.02 and max(off) < 0.5
+
+
+def test_ngram_scores_follow_rows_not_files(spark, sf_dir):
+    from loomsift.llm import ngram_lm
+    from loomsift.session import table
+
+    frame = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scores = lambda rows: sorted((r.doc_id, r.score) for r in ngram_lm.score(rows, ngram_lm.fit(rows)).collect())
+    a, b = scores(frame), scores(frame.repartition(7, "doc_id").sortWithinPartitions(F.desc("doc_id")))
+    assert [i for i, _ in a] == [i for i, _ in b] and np.allclose([s for _, s in a], [s for _, s in b])
+
+
 def test_byte_bpe(spark, sf_dir, docs):
     import base64
 
