@@ -17,15 +17,16 @@ Metric = Callable[[Column, Column], Column]
 METRICS: dict[str, Metric] = {"length_ratio": length_ratio, "exact_match": exact_match}
 
 
-def predicted(df: DataFrame, predict: Callable[[str], str] | None, instruction: str, out: str = "prediction") -> DataFrame:
-    """Adds predictions: by a Python function over Arrow batches, or empty ones."""
+def predicted(df: DataFrame, predict: Callable | None, instruction: str, out: str = "prediction", batched: bool = False) -> DataFrame:
+    """Adds predictions: by a Python function over Arrow batches, or empty ones. The
+    function takes a text, or, if ``batched``, a Series of them, as a model would."""
     if predict is None:
         return df.withColumn(out, F.lit(""))
 
     @F.pandas_udf("string")
     def apply(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            yield batch.map(predict)
+            yield predict(batch) if batched else batch.map(predict)
 
     return df.withColumn(out, apply(F.col(instruction)))
 

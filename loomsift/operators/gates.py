@@ -148,12 +148,13 @@ def degenerate(text: Column) -> Column:
     return F.pandas_udf(_degenerate, "boolean")(F.when(F.length(text) >= UNIT * TIMES, text))
 
 
-def metrics(df: DataFrame, text: Column, category: Column, profile: GateProfile) -> DataFrame:
-    """Each count as a column of its own, computed once. The degeneration test only
-    sees texts that pass the length check."""
+def measures(text: Column, category: Column, profile: GateProfile) -> dict[str, Column]:
+    """The counts a verdict needs, by name; a null text counts as empty. The degeneration
+    test only sees texts that pass the length check."""
+    text = F.coalesce(text, F.lit(""))
     least = lookup(profile.lengths, category, profile.length)
     long_enough = F.length(text) >= least
-    return df.withColumns({
+    return {
         "n_chars_": F.length(text).cast("long"),
         "need_chars": least,
         "n_banned": count_any(text, profile.banned),
@@ -163,28 +164,34 @@ def metrics(df: DataFrame, text: Column, category: Column, profile: GateProfile)
         "n_structure": structure(text),
         "needs_structure": F.lit(True) if profile.structured is None else category.isin(*profile.structured),
         "is_degenerate": F.coalesce(degenerate(F.when(long_enough, text)), F.lit(False)) if profile.degenerate else F.lit(False),
-    })
+    }
 
 
-def verdict(profile: GateProfile) -> Column:
+def _reason(of: Mapping[str, Column], profile: GateProfile) -> Column:
     """``pass`` or the first failing check, in the gate's order."""
-    said = lambda name, n, of=None: F.concat(F.lit(f"{name}_"), F.col(n).cast("string"), *([F.lit("/"), F.col(of).cast("string")] if of else []))
-    out = F.when(F.col("n_chars_") < F.col("need_chars"), said("too_short", "n_chars_", "need_chars"))
-    out = out.when(F.col("is_degenerate"), F.lit("degenerate"))
-    out = out.when(F.col("n_banned") > profile.banned_most, said("corporate_speak", "n_banned"))
+    said = lambda name, n, need=None: F.concat(F.lit(f"{name}_"), of[n].cast("string"), *([F.lit("/"), of[need].cast("string")] if need else []))
+    out = F.when(of["n_chars_"] < of["need_chars"], said("too_short", "n_chars_", "need_chars"))
+    out = out.when(of["is_degenerate"], F.lit("degenerate"))
+    out = out.when(of["n_banned"] > profile.banned_most, said("corporate_speak", "n_banned"))
     if profile.generic_most is not None:
-        out = out.when(F.col("n_generic") > profile.generic_most, said("generic_blog", "n_generic"))
-    out = out.when(F.col("n_specifics") < F.col("need_specifics"), said("vague", "n_specifics", "need_specifics"))
-    out = out.when(F.col("needs_structure") & (F.col("n_structure") < profile.structure), said("no_structure", "n_structure"))
+        out = out.when(of["n_generic"] > profile.generic_most, said("generic_blog", "n_generic"))
+    out = out.when(of["n_specifics"] < of["need_specifics"], said("vague", "n_specifics", "need_specifics"))
+    out = out.when(of["needs_structure"] & (of["n_structure"] < profile.structure), said("no_structure", "n_structure"))
     return out.otherwise(F.lit("pass"))
 
 
 def gated(df: DataFrame, text: Column, category: Column, profile: GateProfile) -> DataFrame:
-    """``df`` with passed and reason."""
-    measured = metrics(df, text, category, profile).withColumn("reason", verdict(profile))
+    """``df`` with passed and reason. Each count is a column of its own, computed once."""
+    counts = measures(text, category, profile)
+    measured = df.withColumns(counts).withColumn("reason", _reason({name: F.col(name) for name in counts}, profile))
     return measured.select(*df.columns, (F.col("reason") == "pass").alias("passed"), "reason")
 
 
+def passing(text: Column, category: Column, profile: GateProfile) -> Column:
+    """Whether a text passes, as one expression."""
+    return _reason(measures(text, category, profile), profile) == "pass"
+
+
 @dataclass(frozen=True)
 class HeaderGate:
     """A format's minimum length and the headers its text must hold."""

@@ -8,7 +8,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from loomsift.functions import score, text
-from loomsift.operators import contracts, gates, generate, policy, profile, render, split
+from loomsift import runtime, transforms
+from loomsift.operators import contracts, gates, generate, policy, profile, render, scenarios, split
 from loomsift.operators.dedup import against_ledger, first_wins
 from loomsift.operators.evaluate import predicted, results
 from loomsift.sources import feeds, jsonl
@@ -185,6 +186,7 @@ def test_scores(spark):
     assert one(spark, score.length_ratio(F.col("a"), F.col("b")), a="", b="") == 0.0
     assert one(spark, score.exact_match(F.col("a"), F.col("b")), a=" x\n", b="x") == 1.0
     rows = predicted(spark.createDataFrame([("ab", "AB")], "instruction string, response string"), str.upper, "instruction")
+    assert predicted(rows.select("instruction"), lambda texts: texts.str.upper(), "instruction", batched=True).first().prediction == "AB"
     found = {r.metric: r.score for r in results(rows, F.col("prediction"), F.col("response"), "r", "m", "t").collect()}
     assert found == {"length_ratio": 1.0, "exact_match": 1.0}
 
@@ -371,6 +373,60 @@ def test_runtime(spark):
         steps.without("other")
 
 
+def test_scenarios(spark):
+    assert scenarios.cut("a {x} b {y+z} {1..28}{x:2}{x*3}{x=y*2}\n{outline}") == (
+        ["a ", " b ", " ", "", "", "", "\n", ""],
+        [scenarios.Slot("one", "x"), scenarios.Slot("one", "y", "z"), scenarios.Slot("number", n=28, low=1), scenarios.Slot("row", "x", n=2),
+         scenarios.Slot("lines", "x", n=3), scenarios.Slot("pairs", "x", "y", 2), scenarios.Slot("outline")],
+    )
+    branches = [scenarios.Branch("f", "c", 0, ("BRIEFING",), "{x} {none}|{x:9}|{x=y*3}"), scenarios.Branch("f", "c", 1, ("JOURNAL",), "{5..5} {y+x} {{x}}")]
+    pools = {"x": ("a{y}", "b"), "y": ("q",)}
+    rows = scenarios.scenarios(spark, 6, branches=branches, pools=pools).orderBy("idx").collect()
+    assert [(r.sub, r.format, r.min_len, r.max_tokens) for r in rows] == [(i % 2, *(("BRIEFING", 600, 2048), ("JOURNAL", 1500, 4096))[i % 2]) for i in range(6)]
+    for r in rows[::2]:
+        one, row, lines = r.prompt.split("|")
+        assert one in ("a{y} ", "b ") and sorted(row.split("; ")) == ["a{y}", "b"] and lines in ("- a{y}: q", "- b: q")
+    assert all(r.prompt.startswith("5 ") and r.prompt.split()[1] in ("q", "a{y}", "b") for r in rows[1::2])
+    assert scenarios.head(scenarios.scenarios(spark, 6, branches=branches, pools=pools), most=5, dry_run=2).count() == 2
+    used = {p for b in scenarios.BRANCHES for s in scenarios.cut(b.template)[1] for p in (s.pool, s.also) if p}
+    assert used <= set(scenarios.POOLS) and {f for b in scenarios.BRANCHES for f in b.formats} == set(scenarios.FORMAT_LIMITS) == set(scenarios.OUTLINES)
+    turns = {}
+    for b in scenarios.BRANCHES:
+        turns.setdefault((b.family, b.category), []).append(b.sub)
+    assert all(subs == list(range(len(subs))) for subs in turns.values())
+
+
+def test_built_in_transforms(spark, tmp_path):
+    steps = transforms.built_in()
+    assert list(steps) == ["assemble", "collect", "cook", "evaluate", "factory"]
+    line = lambda i, score=0.9, n=150: '{"instruction":"%s","response":"%s","score":%s,"domain":"d"}' % ("i" * n, f"r{i} " * 100, score)
+    lines = spark.createDataFrame([(i, line(i)) for i in range(100)] + [(100, line(1, 0.1)), (101, "{"), (102, line(2, n=5)), (103, None)], "ordinal bigint, line string")
+    paths = {"train": f"{tmp_path}/train", "eval": f"{tmp_path}/eval"}
+    made = transforms.manufacturing("set", paths=paths)(lines=lines)
+    told = made["manifest"].first()
+    assert (told.pair_count, told.train_count, told.eval_count, told.rejected, told.train_path) == (100, 95, 5, 4, paths["train"])
+    import hashlib
+
+    for split in paths:
+        whole = b"".join(p.read_bytes() for p in sorted((tmp_path / split).glob("part-*")))
+        assert hashlib.sha256(whole).hexdigest() == told[f"{split}_sha256"] and whole.count(b"\n") == told[f"{split}_count"]
+    said = [("user", "q"), ("user", "q"), ("assistant", "a" * 300)]
+    records = spark.createDataFrame([(0, "k", None, said[1:]), (1, "k", "x", said), (2, "m", "x", said), (3, "n", "x", said[:2])], steps["assemble"].inputs["records"])
+    made = steps["assemble"](records=records)
+    assert [r.ordinal for r in made["eval"].collect()] == [2] and made["train"].count() == 0  # 0 hides 1, and then fails
+    for _ in range(2):
+        transforms.evaluating(str.upper, "r", path=f"{tmp_path}/log")(pairs=spark.createDataFrame([("ab", "AB")], "instruction string, response string"))
+    log = spark.read.json(f"{tmp_path}/log")
+    assert log.count() == 4 and set(log.columns) == {"run_id", "model", "metric", "score", "samples", "timestamp"}
+    with pytest.raises(runtime.BadInput):
+        steps["factory"](lines=lines.select("line"))
+
+
+def test_null_texts_fail_gates(spark):
+    rows = spark.createDataFrame([(None,)], "t string")
+    assert gates.gated(rows, F.col("t"), F.lit("company"), gates.FIRST).first().reason == "too_short_0/600"
+
+
 def test_folders(monkeypatch):
     from loomsift.runtime import Folders
 
