@@ -124,7 +124,7 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     told = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     hostile = spark.createDataFrame([(-1, i, role, HOSTILE) for i, role in enumerate(("user", "assistant"))], told.schema)
     formatted = chat.format_turns(told.union(hostile), vocabulary)
-    return chat.digests(chat.read_turns(formatted, vocabulary)).withColumnRenamed("conv", "conv_id")
+    return chat.digests(formatted, vocabulary).withColumnRenamed("conv", "conv_id")
 
 
 OP7_SQL = f"""

@@ -8,9 +8,9 @@ follow). The loss mask covers the content of the chosen roles: +1 where such a
 segment begins and -1 where it ends, summed along the tokens.
 
 Output keeps one row per turn with its token offset in the conversation, so that no
-conversation, however long, must fit one row; digests stream over sorted turns with
-constant memory. A digest of one conversation is sequential by nature: its turns
-pass through one task.
+conversation, however long, must fit one row; digests stream over a conversation's
+turns where they lie, with constant memory. A digest of one conversation is
+sequential by nature: its turns pass through one task.
 
 Rows, defined: null roles and texts are empty; a null conversation id is one
 conversation; turns that tie are ordered by their tokens, repeated rows stay; null
@@ -130,6 +130,13 @@ def format_turns(
     )
 
 
+def _read(template: Template, ids: list[int], loss: list[bool]) -> tuple[str, str, str, str]:
+    """Role, text, text under the mask, and formatted text of one turn."""
+    role, text = template.parse(ids)
+    covered = template.text([i for i, x in zip(ids, loss, strict=True) if x])
+    return unescape_role(role), unescape(text), unescape(covered), template.render(ids)
+
+
 def read_turns(formatted: DataFrame, vocabulary: str) -> DataFrame:
     """From ids and mask alone: conv, position, role, text, loss_text, rendered."""
     shared = formatted.sparkSession.sparkContext.broadcast(vocabulary)
@@ -138,11 +145,7 @@ def read_turns(formatted: DataFrame, vocabulary: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         template = once(shared, Template)
         for batch in small_batches(batches):
-            out = []
-            for ids, loss in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                role, text = template.parse(ids)
-                covered = template.text([i for i, x in zip(ids, loss, strict=True) if x])
-                out.append((unescape_role(role), unescape(text), unescape(covered), template.render(ids)))
+            out = [_read(template, ids, loss) for ids, loss in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
             texts = [pa.array(c, pa.string()) for c in zip(*out, strict=True)] if out else [pa.array([], pa.string())] * 4
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *texts], ["conv", "position", "role", "text", "loss_text", "rendered"])
 
@@ -151,36 +154,38 @@ def read_turns(formatted: DataFrame, vocabulary: str) -> DataFrame:
     )
 
 
-def digests(turns: DataFrame) -> DataFrame:
-    """Per conversation: counts and SHA-256 digests over its turns in order. Streams
-    over sorted rows; holds one hash state, never a conversation."""
-    kind = turns.schema["conv"].dataType.simpleString()
+def digests(formatted: DataFrame, vocabulary: str) -> DataFrame:
+    """Per conversation, read back from ids and mask: counts and SHA-256 digests over its
+    turns in order.
+
+    The turns of ``format_turns`` lie by conversation and in order already, so they are
+    grouped without another shuffle and streamed batch by batch; a group holds the states
+    of two hashes, never a conversation. The hashes run through a conversation from its
+    start to its end, which is why one task reads all of it. Turns out of order fail.
+    """
+    shared = formatted.sparkSession.sparkContext.broadcast(vocabulary)
+    kind = formatted.schema["conv"].dataType.simpleString()
     names = ["conv", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        types = None
-        state: list | None = None
-
-        def closed(done: list[list]) -> pa.RecordBatch:
-            columns = list(zip(*((c, n, h.hexdigest(), m, g.hexdigest(), k) for c, n, h, m, g, k in done), strict=True))
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [types, pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()], strict=True)], names)
-
-        for batch in batches:
-            types, done = batch.column(0).type, []
-            for conv, role, text, loss, rendered in zip(*(batch.column(c).to_pylist() for c in ("conv", "role", "text", "loss_text", "rendered")), strict=True):
-                if state is None or state[0] != conv:
-                    if state:
-                        done.append(state)
-                    state = [conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
-                state[1] += 1
-                state[2].update(f"{role}\n{text}\n".encode())
-                state[3] += len(loss)
-                state[4].update(loss.encode())
-                state[5] += len(rendered)
-            if done:
-                yield closed(done)
-        if state:
-            yield closed([state])
-
-    dealt = turns.repartition("conv").sortWithinPartitions("conv", "position")
-    return dealt.mapInArrow(run, f"conv {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+        template = once(shared, Template)
+        conv, n, loss_chars, formatted_chars = None, 0, 0, 0
+        turns, covered = hashlib.sha256(), hashlib.sha256()
+        for batch in small_batches(batches):
+            conv = batch.column(0).slice(0, 1) if batch.num_rows else conv
+            for position, ids, loss in zip(*(batch.column(c).to_pylist() for c in (1, 2, 3)), strict=True):
+                if position != n:
+                    raise ValueError(f"turn {position} comes in place {n}")
+                n += 1
+                role, text, under, rendered = _read(template, ids, loss)
+                turns.update(f"{role}\n{text}\n".encode())
+                covered.update(under.encode())
+                loss_chars += len(under)
+                formatted_chars += len(rendered)
+        if n:
+            row = [pa.array([n], pa.int64()), pa.array([turns.hexdigest()]), pa.array([loss_chars], pa.int64()), pa.array([covered.hexdigest()]), pa.array([formatted_chars], pa.int64())]
+            yield pa.RecordBatch.from_arrays([conv, *row], names)
+
+    return formatted.select("conv", "position", "ids", "loss").groupBy("conv").applyInArrow(
+        run, f"conv {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
+    )
