@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Hex digits of the hash that name a bucket.
-DIGITS = 3
+DIGITS = 4
 BUCKETS = 16**DIGITS
 
 # Sizes of the two splits.
