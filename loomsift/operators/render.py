@@ -64,18 +64,22 @@ def _summary(summary: Column, n: int) -> Column:
     return F.when(_present(summary), F.concat(F.lit("\n  "), head(summary, n))).otherwise("")
 
 
-def briefing_lines(items: DataFrame, order: str) -> DataFrame:
-    """(section, place, line) of the lines a briefing shows. Items have source,
-    title, summary, score, comments, authors, and a total order."""
+def briefing_lines(items: DataFrame, order: str, details: DataFrame | None = None) -> DataFrame:
+    """(section, place, line) of the lines a briefing shows. Items have source, title,
+    summary, authors and a total order, and score and comments of their own or in
+    ``details``, a row for each ``order``, which only the items that are shown look up."""
     paper = F.coalesce(F.col("source"), F.lit("")) == PAPER_SOURCE
-    line = F.when(paper, paper_line(F.col("title"), F.col("summary"), F.col("authors"))).otherwise(
-        news_line(F.col("title"), F.col("summary"), F.col("score"), F.col("comments"))
-    )
-    rows = items.select(F.when(paper, "papers").otherwise("news").alias("section"), F.col(order).alias("_order"), line.alias("line"))
-    place = F.row_number().over(Window.partitionBy("section").orderBy("_order"))
+    rows = items.withColumn("section", F.when(paper, "papers").otherwise("news"))
+    place = F.row_number().over(Window.partitionBy("section").orderBy(order))
     limit = F.when(F.col("section") == "papers", PAPERS).otherwise(NEWS)
     # The window's bound lets Spark limit each group before the shuffle.
-    return rows.withColumn("place", place).where(F.col("place") <= max(NEWS, PAPERS)).where(F.col("place") <= limit).drop("_order")
+    shown = rows.withColumn("place", place).where(F.col("place") <= max(NEWS, PAPERS)).where(F.col("place") <= limit)
+    if details is not None:
+        shown = shown.join(details, order, "left")
+    line = F.when(F.col("section") == "papers", paper_line(F.col("title"), F.col("summary"), F.col("authors"))).otherwise(
+        news_line(F.col("title"), F.col("summary"), F.col("score"), F.col("comments"))
+    )
+    return shown.select("section", line.alias("line"), "place")
 
 
 def _joined(lines: DataFrame, section: str) -> Column:
@@ -83,10 +87,10 @@ def _joined(lines: DataFrame, section: str) -> Column:
     return F.array_join(F.transform(own, lambda s: s["line"]), "\n")
 
 
-def briefing_prompt(items: DataFrame, order: str, date: str, style: ReportStyle = ReportStyle()) -> DataFrame:
+def briefing_prompt(items: DataFrame, order: str, date: str, style: ReportStyle = ReportStyle(), details: DataFrame | None = None) -> DataFrame:
     """One row: prompt. Sections without items are left out."""
     counts = items.agg(F.count("*").alias("n"), F.count_distinct(F.coalesce("source", F.lit("unknown"))).alias("sources"))
-    lines = briefing_lines(items, order)  # at most NEWS + PAPERS rows
+    lines = briefing_lines(items, order, details)  # at most NEWS + PAPERS rows
     parts = lines.agg(_joined(lines, "news").alias("news"), _joined(lines, "papers").alias("papers"))
     section = lambda title, c: F.when(_present(F.col(c)), F.concat(F.lit(title + "\n"), F.col(c), F.lit("\n\n"))).otherwise("")
     prompt = F.concat(

@@ -45,18 +45,21 @@ def category_sql(i: str, names: tuple[str, ...] = CATEGORIES) -> str:
 
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as feed items: the title is the whole first line, one source in twenty is
-    the paper source; scores from labels where there are some."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    labels = table(spark, sf_dir, "labels").select("doc_id", (F.col("quality") * F.col("doc_id")).alias("score"))
-    return docs.join(labels, "doc_id", "left").select(
+    the paper source. Their scores are ``scores``."""
+    return table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("ordinal"),
         F.when(F.col("source") == "src3", "arxiv").otherwise(F.col("source")).alias("source"),
-        F.substring_index("text", "\n", 1).alias("title"), F.col("text").alias("summary"), "score",
-        F.when(F.col("score").isNotNull(), F.col("doc_id") % 7).alias("comments"),
+        F.substring_index("text", "\n", 1).alias("title"), F.col("text").alias("summary"),
         F.when(F.col("source") == "src3", F.transform(F.sequence(F.lit(1), (F.col("doc_id") % 5 + 1).cast("int")), lambda i: F.concat(F.lit("A. Author "), i.cast("string")))).alias("authors"),
     )
 
 
+def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score and comments of the items that have a label."""
+    labels = table(spark, sf_dir, "labels")
+    return labels.select(F.col("doc_id").alias("ordinal"), (F.col("quality") * F.col("doc_id")).alias("score"), (F.col("doc_id") % 7).alias("comments"))
+
+
 ITEMS_SQL = """items AS (
   SELECT d.doc_id AS ordinal, CASE WHEN source = 'src3' THEN 'arxiv' ELSE source END AS source,
     split_part(text, chr(10), 1) AS title, text AS summary, l.quality * d.doc_id AS score,

@@ -15,7 +15,7 @@ from ..session import table, work_path
 from ..sources import feeds
 from ..sources.jsonl import lines, parsed, write_jsonl
 from ..streaming.incremental import result, run_once
-from .base import CHATS_SQL, ITEMS_SQL, category, category_sql, chats, items, query
+from .base import CHATS_SQL, ITEMS_SQL, category, category_sql, chats, items, query, scores
 
 _RANKED = "r AS (SELECT doc_id, source, row_number() OVER (ORDER BY sha256('42:' || doc_id), doc_id) AS rank, count(*) OVER () AS total FROM documents)"
 
@@ -91,7 +91,7 @@ _LINES = f"""{ITEMS_SQL}, lined AS (
 
 @query(f"WITH {_LINES} SELECT section, CAST(place AS INTEGER) AS place, line FROM shown")
 def briefing_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.briefing_lines(items(spark, sf_dir), "ordinal")
+    return R.briefing_lines(items(spark, sf_dir), "ordinal", scores(spark, sf_dir))
 
 
 _STYLE = R.ReportStyle()
@@ -105,7 +105,7 @@ WITH {_LINES} SELECT 'Write the daily briefing for 2024-05-01.' || chr(10) || ch
   || '{_STYLE.closing}' AS prompt
 """)
 def briefing_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.briefing_prompt(items(spark, sf_dir), "ordinal", "2024-05-01")
+    return R.briefing_prompt(items(spark, sf_dir), "ordinal", "2024-05-01", details=scores(spark, sf_dir))
 
 
 @query(f"""
