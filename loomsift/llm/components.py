@@ -44,9 +44,9 @@ def components(edges: DataFrame) -> DataFrame:
     before = None
     while True:
         stars = _small_star(_large_star(stars)).checkpoint()
+        reclaim(edges.sparkSession)  # shuffles of the last step, and what it read
         now = stars.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             break
         before = now
-    reclaim(edges.sparkSession)  # shuffles of the steps, and of what was written before them
     return nodes.join(stars, nodes.node == stars.a, "left").select("node", F.coalesce("b", "node").alias("component"))

@@ -16,12 +16,12 @@
 3. A bucket of equal signatures that holds at most ``FEW`` sets gives its pairs. The
    sets of fuller buckets (families of copies, passages that many texts share) sign
    again by the next, more selective entry of ``ROUNDS``, which is complete in itself;
-   buckets that are still full after the last one are chained from neighbour to
-   neighbour, never paired.
-4. Each set has a sketch: its hashes added up in parts, a byte each. Two sets differ
-   in as many hashes at least as their sketches do in parts, so pairs whose sketches
-   differ too much are no links; the others, and the chains, are candidate edges,
-   whose components hold every linked pair.
+   buckets that are still full after the last one are chained, never paired.
+4. Each set has a sketch: its hashes added up in parts, half a byte each. Two sets differ
+   in as many hashes at least as their sketches do in parts, so sets whose sketches
+   differ too much have no link. That rules out most pairs; and the sets that chains
+   connect are compared by their sketches, in blocks, into spanning forests of what
+   is left. The components of both hold every linked pair.
 5. Within a candidate component, sets are compared exactly. Components above
    ``BLOCK`` sets are cut into blocks by hash, one task for each pair of blocks,
    and each task returns a spanning forest of the links it finds: no pairs are
@@ -52,25 +52,27 @@ from pyspark.sql import functions as F
 
 from ..session import written
 from .bpe import forget
-from .common import ASCII_LOWER, binaries, bounded_batches, input_bytes, mix, raw_texts, slices_for, small_batches
+from .common import ASCII_LOWER, binaries, bounded_batches, fetched, input_bytes, marked, mix, raw_texts, slices_for, small_batches
 from .components import components
 
 #: How sets sign, round by round: second-level parts, how many of them a subset leaves
 #: out, and how many parts a subset keeps where so few differences are allowed that
 #: one first-level part will do.
-ROUNDS = ((3, 1, 2), (7, 3, 4))
+ROUNDS = ((3, 1, 2), (5, 2, 4))
 #: Differences up to which one first-level part will do.
 ONE_PART = 6
 #: Most sets of a bucket that is paired.
-FEW = 32
+FEW = 8
+#: Most sketches that one block holds, and bytes of them compared at once.
+SKETCHES, COMPARED = 1024, 1 << 24
 #: Most sets of a candidate component that one block holds.
 BLOCK = 256
 #: Shingle columns compared at once, and rows of other small sets beside them.
 COLUMNS = 4096
 #: Input bytes for each slice of the signature space.
 SLICE_BYTES = 4 << 20
-#: Bytes to count for each shingle that signs again, which makes some seven signatures.
-SIGNED_BYTES = 24
+#: Bytes to count for each shingle that signs again, which makes two or three signatures.
+SIGNED_BYTES = 10
 
 _U = np.uint64
 _NO_ID = np.iinfo(np.int64).min
@@ -188,31 +190,75 @@ def signatures(hashes: np.ndarray, rule: Rule, number: int = 0) -> np.ndarray:
 
 
 def sketch(hashes: np.ndarray, rule: Rule) -> bytes:
-    """One byte for each of 2**n runs of the hash domain: the sum of its hashes."""
-    bits = max(0, int(2 * rule.differences(2 * len(hashes))) - 1).bit_length()
-    run = (hashes >> _U(63 - bits) >> _U(1)).astype(np.int64)
-    # Sums of bytes are exact in doubles.
-    return np.bincount(run, mix(hashes) & _U(255), 1 << bits).astype(np.int64).astype(np.uint8).tobytes()
+    """Half a byte for each of 2**n runs of the hash domain: the sum of its hashes."""
+    bits = max(1, int(2 * rule.differences(2 * len(hashes)) - 1).bit_length())
+    run = (hashes >> _U(64 - bits)).astype(np.int64)
+    sums = np.bincount(run, mix(hashes) & _U(15), 1 << bits).astype(np.int64) & 15  # exact in doubles
+    return (sums[::2] | sums[1::2] << 4).astype(np.uint8).tobytes()
 
 
 def _folded(sketches: list[bytes], length: int) -> np.ndarray:
     """Sketches as rows, neighbouring runs added up until ``length`` are left."""
-    rows = np.frombuffer(b"".join(sketches), np.uint8).reshape(len(sketches), length, -1)
-    return rows.sum(axis=2, dtype=np.uint8)
+    rows = np.frombuffer(b"".join(sketches), np.uint8).reshape(len(sketches), -1)
+    runs = np.stack([rows & 15, rows >> 4], axis=2).reshape(len(sketches), length, -1)
+    return runs.sum(axis=2, dtype=np.uint8) & 15
 
 
-def may_link(a: list[bytes], b: list[bytes], sizes: np.ndarray, rule: Rule) -> np.ndarray:
-    """Whether pairs may link, by their sketches and the sum of their sizes."""
-    shape = np.array([[len(x), len(y)] for x, y in zip(a, b, strict=True)])
-    out = np.zeros(len(a), bool)
-    for x, y in np.unique(shape, axis=0):
-        rows = np.flatnonzero((shape == (x, y)).all(axis=1))
+def may_link(a: list[bytes], b: list[bytes], size_a: np.ndarray, size_b: np.ndarray, rule: Rule) -> np.ndarray:
+    """Whether pairs may link, by their sizes and sketches."""
+    out = 100 * np.minimum(size_a, size_b) >= rule.percent * np.maximum(size_a, size_b)
+    shape = np.array([[2 * len(x), 2 * len(y)] for x, y in zip(a, b, strict=True)]).reshape(-1, 2)
+    for x, y in np.unique(shape[out], axis=0):
+        rows = np.flatnonzero((shape == (x, y)).all(axis=1) & out)
         length = min(x, y)
         differ = (_folded([a[r] for r in rows], length) != _folded([b[r] for r in rows], length)).sum(axis=1)
-        out[rows] = differ <= rule.differences(sizes[rows])
+        out[rows] = differ <= rule.differences(size_a[rows] + size_b[rows])
     return out
 
 
+def _sketched(rule: Rule):
+    def run(table: pa.Table) -> pa.Table:
+        """A spanning forest of the sets of a block pair that may link."""
+        rows = {k: (b, n, s) for k, b, n, s in zip(*(table.column(c).to_pylist() for c in ("key", "block", "n", "sketch")), strict=True)}
+        first, last = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+        keys = sorted(rows, key=lambda k: (len(rows[k][2]), k))
+        block, sizes = np.array([rows[k][0] for k in keys]), np.array([rows[k][1] for k in keys])
+        length = np.array([2 * len(rows[k][2]) for k in keys])
+        may = np.zeros((len(keys), len(keys)), bool)
+        for x in np.unique(length):
+            for y in np.unique(length[length >= x]):
+                left, right = np.flatnonzero((length == x) & (block == first)), np.flatnonzero((length == y) & (block == last))
+                may[np.ix_(left, right)] = _near(left, right, keys, rows, sizes, x, rule)
+                if x != y and first != last:
+                    left, right = np.flatnonzero((length == x) & (block == last)), np.flatnonzero((length == y) & (block == first))
+                    may[np.ix_(left, right)] = _near(left, right, keys, rows, sizes, x, rule)
+        may |= may.T
+        np.fill_diagonal(may, False)
+        root = forest(may)
+        edges = np.flatnonzero(root != np.arange(len(keys)))
+        names = np.array(keys, np.int64)
+        return pa.table({"a": names[root[edges]], "b": names[edges]})
+
+    return run
+
+
+def _near(left: np.ndarray, right: np.ndarray, keys: list[int], rows: dict, sizes: np.ndarray, length: int, rule: Rule) -> np.ndarray:
+    """Whether sets may link, left by right, by sketches of at least ``length`` runs."""
+    out = np.zeros((len(left), len(right)), bool)
+    if not out.size:
+        return out
+    small, large = np.minimum(sizes[left][:, None], sizes[right]), np.maximum(sizes[left][:, None], sizes[right])
+    like = 100 * small >= rule.percent * large
+    if not like.any():
+        return out
+    a, b = (_folded([rows[keys[r]][2] for r in part], length) for part in (left, right))
+    most = rule.differences(small + large)
+    step = max(1, COMPARED // b.size)
+    for at in range(0, len(left), step):
+        out[at : at + step] = (a[at : at + step, None, :] != b).sum(axis=2) <= most[at : at + step]
+    return out & like
+
+
 #: Of kind 0: ids, set keys, sizes, hashes of the texts. Of kind 1: low halves of
 #: signatures, places of their sets among the keys, keys. Of kind 2: keys, sizes,
 #: lengths of sketches, sketches.
@@ -258,7 +304,7 @@ def _signed(docs: DataFrame, n: int, rule: Rule, slices: int) -> DataFrame:
         for rows in small_batches(batches):
             if not rows.num_rows:
                 continue
-            ids = rows.column(0).fill_null(_NO_ID).to_numpy(zero_copy_only=False).astype(np.int64)
+            ids = rows.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
             texts = rows.column(2).to_numpy(zero_copy_only=False).astype(np.int64)
             sets = [shingles(t, n) for t in raw_texts(rows.column(1))]
             keys = [set_key(s) for s in sets]
@@ -306,8 +352,8 @@ def _long(parts: list[bytes]) -> np.ndarray:
 
 
 def paired(signature: np.ndarray, key: np.ndarray, few: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of the sets in buckets of at most ``few``, and chains through fuller ones
-    (rows of two keys, each row once)."""
+    """Pairs of the sets in buckets of at most ``few``, and for the fuller ones a forest
+    that connects the sets of each (rows of two keys, each row once)."""
     pairs, chains = [np.zeros((0, 2), np.int64)], np.zeros((0, 2), np.int64)
     order = np.argsort(signature)
     signature, key = signature[order], key[order]
@@ -327,7 +373,25 @@ def paired(signature: np.ndarray, key: np.ndarray, few: int) -> tuple[np.ndarray
     for lag in range(1, min(few, len(key))):
         pairs.append(couple(np.flatnonzero((signature[lag:] == signature[:-lag]) & ~full[lag:]), lag))
     chains = couple(np.flatnonzero((signature[1:] == signature[:-1]) & full[1:]), 1)
-    return np.unique(np.concatenate(pairs), axis=0), chains
+    return np.unique(np.concatenate(pairs), axis=0), rooted(chains)
+
+
+def rooted(edges: np.ndarray) -> np.ndarray:
+    """A forest with the same components: edges from the least node of each."""
+    nodes, place = np.unique(edges, return_inverse=True)
+    a, b = place.reshape(edges.shape).T
+    least = np.arange(len(nodes))
+    while True:
+        low = np.minimum(least[a], least[b])
+        after = least.copy()
+        np.minimum.at(after, a, low)
+        np.minimum.at(after, b, low)
+        after = after[after]
+        if (after == least).all():
+            break
+        least = after
+    below = np.flatnonzero(least != np.arange(len(nodes)))
+    return np.stack([nodes[least[below]], nodes[below]], axis=1)
 
 
 def _meeting(few: int):
@@ -358,8 +422,16 @@ def _meeting(few: int):
     return run
 
 
+def _drawn(sketches: DataFrame, edges: DataFrame) -> DataFrame:
+    """Sketches that the edges may need; the others aren't shuffled."""
+    keys = edges.select("a").union(edges.select("b"))
+    return marked(sketches, keys, ["a"], "may").where("may").drop("may")
+
+
 def _promising(pairs: DataFrame, sketches: DataFrame, rule: Rule) -> DataFrame:
     """The pairs that their sketches don't rule out."""
+    pairs = written(pairs, "pairs")
+    sketches = _drawn(sketches, pairs)
     both = pairs
     for side in ("a", "b"):
         both = both.join(sketches.select(F.col("a").alias(side), F.col("n").alias(f"n_{side}"), F.col("sketch").alias(f"s_{side}")), side)
@@ -367,11 +439,23 @@ def _promising(pairs: DataFrame, sketches: DataFrame, rule: Rule) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
             if batch.num_rows:
-                sizes = batch.column("n").to_numpy()
-                keep = may_link(batch.column("s_a").to_pylist(), batch.column("s_b").to_pylist(), sizes, rule)
+                sizes = (batch.column(c).to_numpy() for c in ("n_a", "n_b"))
+                keep = may_link(batch.column("s_a").to_pylist(), batch.column("s_b").to_pylist(), *sizes, rule)
                 yield batch.select(["a", "b"]).filter(pa.array(keep))
 
-    return both.select("a", "b", (F.col("n_a") + F.col("n_b")).alias("n"), "s_a", "s_b").mapInArrow(run, "a long, b long")
+    return both.select("a", "b", "n_a", "n_b", "s_a", "s_b").mapInArrow(run, "a long, b long")
+
+
+def _forests(chains: DataFrame, sketches: DataFrame, rule: Rule) -> DataFrame:
+    """Edges between the sets that chains connect and whose sketches allow a link."""
+    held = written(components(chains), "held")
+    sketches = _drawn(sketches, held.select(F.col("node").alias("a"), F.col("node").alias("b")))
+    blocks = held.groupBy("component").agg(F.ceil(F.count("*") / SKETCHES).cast("int").alias("blocks"))
+    drawn = sketches.select(F.col("a").alias("node"), "n", "sketch")
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    rows = held.join(blocks, "component").join(drawn, "node").select(F.col("node").alias("key"), "component", own.alias("block"), "n", "sketch", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    rows = rows.select("key", "component", "block", "n", "sketch", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    return rows.groupBy("component", "i", "j").applyInArrow(_sketched(rule), "a long, b long")
 
 
 def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -441,7 +525,8 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
     xxhash64 of the text, which tells documents apart that share an id, and class_key,
     which a component's documents have in common (null for an empty set)."""
     rule = Rule(percent)
-    docs = bounded_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("h"))
+    own_id = F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("id")
+    docs = bounded_batches(docs).select(own_id, F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("h"))
     slices = slices_for(input_bytes(docs, "text"), SLICE_BYTES)
     packed = _signed(docs, words, rule, slices)
     met = written(packed.groupBy("slice").applyInArrow(_meeting(FEW), _FOUND), "met")
@@ -459,15 +544,16 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
         total = again.agg(F.sum("size")).first()[0]
         if not total:
             break
-        texts = docs.select(F.coalesce("id", F.lit(_NO_ID)).alias("id"), "text", "h").join(again, ["id", "h"]).select("key", "text")
+        texts = fetched(docs, again, ["id", "h"]).select("key", "text")
         found = _signed_again(texts, words, rule, number, slices_for(total * SIGNED_BYTES, SLICE_BYTES))
         found = written(found.groupBy("slice").applyInArrow(_meeting(FEW), _FOUND), "met-again")
         pairs, chains = pairs.union(found.where("kind = 1")), found.where("kind = 2")
     promising = _promising(pairs.select("a", "b").distinct(), met.where("kind = 3"), rule)
-    candidates = components(promising.union(chains.select("a", "b")).distinct())
+    candidates = components(promising.union(_forests(chains.select("a", "b").distinct(), met.where("kind = 3"), rule)).distinct())
     blocks = candidates.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     # One row of each candidate set is fetched again.
     wanted = candidates.join(blocks, "component").join(named_sets, F.col("node") == F.col("key")).select("id", "h", "key", "component", "blocks", "copies")
+    wanted = written(wanted, "wanted")
     compared = _contents(docs, wanted, words).groupBy("component", "i", "j").applyInArrow(_verifier(rule), "key long, root long, links long")
     compared = written(compared, "compared")
     classes = components(compared.select(F.col("key").alias("a"), F.col("root").alias("b")).distinct())
@@ -491,7 +577,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
 
 def _contents(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """The hashes of the wanted sets, once for each block pair they take part in."""
-    texts = docs.select(F.coalesce("id", F.lit(_NO_ID)).alias("id"), "text", "h").join(wanted, ["id", "h"]).select("key", "component", "blocks", "copies", "text")
+    texts = fetched(docs, wanted, ["id", "h"]).select("key", "component", "blocks", "copies", "text")
     names = ["key", "component", "i", "j", "block", "copies", "hashes"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

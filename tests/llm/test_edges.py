@@ -165,10 +165,22 @@ def test_chat(spark, json_vocabulary):
     assert read == {1: [("user", "<|im_start|>"), ("assistant", ""), ("assistant", "<\\|im_end|>\n"), ("assistant", "<\\|im_end|>\n")], 2: [("assistant", "é😀"), ("a\nb", "")], None: [("", "x")]}
     for f in formatted.collect():
         assert len(f.ids) == len(f.loss)
-    digest = {r.conv: r for r in chat.digests(chat.read_turns(formatted, json_vocabulary)).collect()}
+    digest = {r.conv: r for r in chat.digests(formatted, json_vocabulary).collect()}
     assert digest[2].loss_chars == 2 and digest[2].loss_sha256 == hashlib.sha256("é😀".encode()).hexdigest()
     assert (digest[1].n_turns, digest[1].loss_chars) == (4, 24)
-    assert chat.digests(chat.read_turns(chat.format_turns(rows.limit(0), json_vocabulary), json_vocabulary)).count() == 0
+    assert digest[None].n_turns == 1 and set(digest) == {1, 2, None}
+    assert chat.digests(chat.format_turns(rows.limit(0), json_vocabulary), json_vocabulary).count() == 0
+    plan = chat.digests(formatted, json_vocabulary)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1  # by conversation, of ids, once
+    with pytest.raises(Exception, match="comes in place"):
+        chat.digests(formatted.withColumn("position", F.lit(1)), json_vocabulary).collect()
+
+
+def test_long_conversations_are_streamed(spark, json_vocabulary):
+    told = spark.range(5000).select(F.lit(3).alias("conv_id"), "id", F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"), F.concat(F.lit("t"), "id").alias("text"))
+    found = chat.digests(chat.format_turns(told, json_vocabulary, turn_col="id"), json_vocabulary).collect()
+    whole = hashlib.sha256("".join(f"{('user', 'assistant')[i % 2]}\nt{i}\n" for i in range(5000)).encode()).hexdigest()
+    assert [(r.n_turns, r.turns_sha256) for r in found] == [(5000, whole)]
 
 
 def brute_topk(rows, asked, k):
@@ -246,6 +258,7 @@ def test_jaccard_near_copies(spark, monkeypatch, words, percent, block, few):
 
     monkeypatch.setattr(jaccard_join, "BLOCK", block)
     monkeypatch.setattr(jaccard_join, "FEW", few)
+    monkeypatch.setattr(jaccard_join, "SKETCHES", block)
     random = np.random.default_rng(words)
     texts = [t for size in (1, 3, 5, 8, 12, 20, 33, 50, 90, 160, 300) for t in near_copies(random, 14, size)]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
@@ -266,15 +279,68 @@ def test_linked_sets_share_a_signature(percent):
         assert 100 * size >= percent * (size + most)
         for number in range(len(jaccard_join.ROUNDS)):
             assert np.intersect1d(jaccard_join.signatures(a, rule, number), jaccard_join.signatures(b, rule, number)).size
-        assert jaccard_join.may_link([jaccard_join.sketch(a, rule)], [jaccard_join.sketch(b, rule)], np.array([len(a) + len(b)]), rule).all()
+        assert jaccard_join.may_link([jaccard_join.sketch(a, rule)], [jaccard_join.sketch(b, rule)], np.array([len(a)]), np.array([len(b)]), rule).all()
 
 
 def test_sketches_tell_most_sets_apart():
     random, rule = np.random.default_rng(1), jaccard_join.Rule(80)
     sets = [np.unique(np.concatenate([random.integers(0, 2**64, 250, dtype=np.uint64), np.arange(70, dtype=np.uint64) << np.uint64(57)])) for _ in range(60)]
     drawn = [jaccard_join.sketch(s, rule) for s in sets]
-    may = jaccard_join.may_link(drawn[:-1], drawn[1:], np.array([len(a) + len(b) for a, b in zip(sets, sets[1:], strict=False)]), rule)
-    assert not may.any()
+    size = np.array([len(s) for s in sets])
+    assert not jaccard_join.may_link(drawn[:-1], drawn[1:], size[:-1], size[1:], rule).any()
+    small = jaccard_join.sketch(sets[0][:40], rule)
+    assert not jaccard_join.may_link([small], drawn[:1], np.array([40]), size[:1], rule).any()
+
+
+def test_sketch_cells_miss_no_link(monkeypatch):
+    """Blocks of mixed sizes: every linked pair of a cell is in one tree."""
+    import pyarrow as pa
+
+    random, rule = np.random.default_rng(2), jaccard_join.Rule(80)
+    sets = [np.unique(random.integers(0, 2**64, n, dtype=np.uint64)) for n in (3, 9, 30, 31, 64, 65, 130)]
+    sets += [np.unique(np.append(s[: len(s) - len(s) // 12], random.integers(0, 2**64, len(s) // 12, dtype=np.uint64))) for s in sets for _ in range(4)]
+    names = [jaccard_join.set_key(s) for s in sets]
+    for i, j in ((0, 0), (0, 1)):
+        block = [(k % 2) * j for k in range(len(sets))]
+        table = pa.table({"key": names, "n": [len(s) for s in sets], "block": block, "sketch": [jaccard_join.sketch(s, rule) for s in sets], "i": [i] * len(sets), "j": [j] * len(sets)})
+        found = jaccard_join._sketched(rule)(table)
+        root = {n: n for n in names}
+        for a, b in zip(found.column("a").to_pylist(), found.column("b").to_pylist()):
+            root[b] = a
+        for x, a in enumerate(sets):
+            for y, b in enumerate(sets[:x]):
+                common = len(np.intersect1d(a, b))
+                if (not j or block[x] != block[y]) and 100 * common >= 80 * (len(a) + len(b) - common):
+                    assert root[names[x]] == root[names[y]]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 30), st.integers(0, 30)), max_size=40))
+def test_rooted_forests_keep_components(edges):
+    edges = np.array([e for e in edges if e[0] != e[1]], np.int64).reshape(-1, 2)
+    root = {i: i for i in range(31)}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, b in edges.tolist():
+        low, high = sorted((find(a), find(b)))
+        root[high] = low
+    assert sorted(map(tuple, jaccard_join.rooted(edges).tolist())) == sorted((find(i), i) for i in range(31) if find(i) != i)
+
+
+def test_maps_pass_every_wanted_row(spark, monkeypatch):
+    from loomsift.llm import common
+
+    rows = spark.range(5000).select("id", (F.col("id") % 7).alias("h"))
+    wanted = rows.where("id % 50 = 3").withColumn("key", F.col("id") + 1)
+    for bits in (26, 16):
+        monkeypatch.setattr(common, "MAP_BITS", bits)
+        assert common.marked(rows, wanted, ["id", "h"], "may").where("may").count() in range(100, 700)
+        assert common.fetched(rows, wanted, ["id", "h"]).agg(F.count("*"), F.sum(F.col("key") - F.col("id"))).first() == (100, 100)
+    assert common.fetched(rows, wanted.limit(0), ["id", "h"]).count() == 0
 
 
 def test_jaccard_repeated_and_missing_ids(spark):
