@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomsift.llm import bpe, decontaminate, jaccard_join, language
+from loomsift.llm.common import fetched, marked
 from loomsift.session import table, written
 
 #: Shingles of five words, similar at 0.8 or more.
@@ -61,11 +62,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     gone = grouped.where("doc_id <> component_id").select("doc_id", "text_key").union(tied.select("doc_id", "text_key"))
     inner, key, text = _apart(docs), _named(docs, "doc_id"), _named(docs, "text")
     inner = inner.select("*", F.col(key).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("text_key"))
-    kept = _back(inner.join(gone.distinct(), ["doc_id", "text_key"], "left_anti"), docs)
+    on = ["doc_id", "text_key"]
+    # No text is shuffled but those of the few rows that the map is wrong about.
+    judged = marked(inner, gone, on, "may_go").withColumn("may_go", F.col("may_go") & F.col("doc_id").isNotNull())
+    wrong = written(judged.where("may_go").select(*on).distinct().join(gone.distinct(), on, "left_anti"), "wrong")
+    kept = _back(judged.where("NOT may_go"), docs)
+    if not wrong.isEmpty():
+        kept = kept.union(_back(fetched(inner, wrong, on), docs))
     if tied.isEmpty():
         return kept
     order = Window.partitionBy("class_key").orderBy(text, *(c for c in inner.columns if c.startswith("in_") and c != text))
-    first = inner.join(tied, ["doc_id", "text_key"]).withColumn("place", F.row_number().over(order)).where("place = 1")
+    first = inner.join(tied, on).withColumn("place", F.row_number().over(order)).where("place = 1")
     return kept.union(_back(first, docs))
 
 
