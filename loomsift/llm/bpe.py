@@ -16,6 +16,9 @@ Texts may be of any length.
 from __future__ import annotations
 
 import base64
+import contextlib
+import ctypes
+import gc
 import json
 import os
 import re
@@ -233,14 +236,18 @@ def once(shared: Broadcast, make: Callable) -> object:
     """``make(shared.value)``, made once per worker and broadcast."""
     key = (shared._path, make.__qualname__)
     if key not in _LOADED:
-        _LOADED.clear()
+        forget()
         _LOADED[key] = make(shared.value)
     return _LOADED[key]
 
 
 def forget() -> None:
-    """Drop what an earlier task of this worker has loaded."""
-    _LOADED.clear()
+    """Drop what an earlier task of this worker has loaded, and give the memory back."""
+    if _LOADED:
+        _LOADED.clear()
+        gc.collect()
+        with contextlib.suppress(OSError, AttributeError):  # another C library
+            ctypes.CDLL(None).malloc_trim(0)
 
 
 def int_lists(parts: list[bytes]) -> pa.Array:

@@ -31,6 +31,20 @@ def test_language_rejects_labels_beyond_the_bound(spark):
         language.fit(rows, "id", settings=language.Settings(labels=8))
 
 
+def test_language_sample_is_bounded_by_key_and_text(spark, monkeypatch):
+    """One key for a whole label, and a label of copies alone."""
+    seen = []
+    monkeypatch.setattr(language, "train", lambda bags, settings: seen.append(bags))
+    word = F.translate(F.format_string("%04d", F.col("id").cast("int")), "0123456789", "abcdefghij")
+    rows = spark.range(900).select(F.when(F.col("id") < 300, 7).otherwise(F.col("id")).alias("doc_id"), F.when(F.col("id") < 600, word).otherwise("the same").alias("text"), (F.col("id") / 300).cast("int").cast("string").alias("lang"))
+    copies = spark.range(3000).select(F.lit(5).cast("long").alias("doc_id"), F.lit("one text").alias("text"), F.lit("copies").alias("lang"))
+    settings = language.Settings(per_label=20, sample=2000, entries=20 * 4 * 6)
+    language.fit(rows.union(copies), settings=settings)
+    (bags,) = seen
+    count = {label: sum(b[0] == label for b in bags) for label in ("0", "1", "2", "copies")}
+    assert count == {"0": 20, "1": 20, "2": 1, "copies": 1} and max(len(b[1]) for b in bags) == 6
+
+
 def test_token_files(spark, odd_docs, no_docs, json_vocabulary):
     rows = token_files.round_trip(odd_docs, json_vocabulary, 2).collect()
     assert len(rows) == odd_docs.count()
@@ -123,13 +137,13 @@ def test_decontaminate(spark, odd_docs, no_docs, monkeypatch):
 
 
 def test_bpe(spark, odd_docs, no_docs, ranks):
-    coded = bpe.encode(odd_docs, ranks, offsets=True)
+    coded, table = bpe.encode(odd_docs, ranks, offsets=True), bpe.token_bytes(ranks)
     for r in bpe.decode(coded, ranks).collect():
         text = r.text or ""
         assert bytes(r.decoded).decode() == text and len(r.ids) == len(r.ids_starts)
         assert not text or (r.ids_starts[0] == 0 and r.ids_ends[-1] == len(text))
         assert all(a <= b for a, b in zip(r.ids_starts, r.ids_ends))
-        assert "".join(bpe.readable(bpe.token_bytes(ranks)[i] for i in r.ids)) == text
+        assert "".join(bpe.readable(table[i] for i in r.ids)) == text
     both = bpe.round_trip(odd_docs, ranks)
     assert both.columns == [c for c in odd_docs.columns if c not in ("ids", "decoded")] + ["ids", "decoded"]
     assert both.count() == odd_docs.count() and bpe.round_trip(no_docs, ranks).count() == 0
@@ -229,6 +243,23 @@ def test_shards(spark, odd_docs, no_docs, tmp_path):
     assert store.read().count() == 8 * odd_docs.count() and store.read().columns == odd_docs.columns
 
 
+def test_shards_keep_a_column_named_arrival(spark, odd_docs, tmp_path):
+    from loomsift.llm.catalogue import QUERIES
+
+    odd_docs.withColumn("Arrival", F.lit(3)).withColumn("arrival_", F.lit("x")).coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = QUERIES["op9_shards"](spark, str(tmp_path)).collect()
+    assert sorted(repr(r.doc_id) for r in rows) == sorted(repr(r.doc_id) for r in odd_docs.collect())
+
+
+def test_shards_do_not_list_files(spark, odd_docs, tmp_path):
+    store = shards.ShardStore(spark, f"file://{tmp_path}/s", odd_docs.schema, fan=3)
+    store.append(odd_docs.repartition(7))
+    (run,) = store.manifest()["runs"]
+    assert run["files"] > 1 and set(run) == {"run", "files", "bytes", "rows"} and run["rows"] == odd_docs.count()
+    store.append(odd_docs, compact=False)
+    assert store.vacuum() == 0 and store.read().count() == 2 * odd_docs.count()
+
+
 def test_jaccard_edges(spark, odd_docs, no_docs):
     rows = {}
     for r in jaccard_join.join(odd_docs).collect():
