@@ -9,7 +9,7 @@ from ..operators import render as R
 from ..operators import scenarios as C
 from ..operators import split as S
 from ..operators.dedup import first_wins, per_group
-from ..operators.generate import Echo, generate, two_tier
+from ..operators.generate import Echo, calls_by_kind, generate, two_tier
 from ..operators.profile import progress
 from ..session import table, work_path
 from ..sources import feeds
@@ -225,17 +225,29 @@ def dry_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 _ECHO = Echo()
 
 
-@query(f"""
+_STUB_SQL = f"""
 WITH {_scenarios_sql(10, categories=('culture', 'market', 'gap_detection'))}, s AS (SELECT *, sha256('gen:' || prompt) AS h FROM scenario),
 e AS (SELECT *, least(max_tokens, 40 + CAST('0x' || left(h, 2) AS BIGINT)) AS n FROM s),
-w AS (SELECT *, CAST(list_sum(list_transform(range(0, n), lambda i: length({_listed(_ECHO.words)}[CAST(CAST('0x' || substr(h, CAST(i % 32 * 2 + 1 AS INTEGER), 2) AS BIGINT) % {len(_ECHO.words)} AS INTEGER) + 1]))) + n - 1 AS BIGINT) AS size FROM e)
-SELECT family, category, idx, CASE WHEN size > min_len // 2 THEN 1 ELSE 4 END AS attempts, CASE WHEN size > min_len // 2 THEN NULL ELSE 'too short' END AS error,
-  CASE WHEN size > min_len // 2 THEN CAST(size AS INTEGER) END AS n_chars FROM w
-""")
+w AS (SELECT *, CAST(list_sum(list_transform(range(0, n), lambda i: length({_listed(_ECHO.words)}[CAST(CAST('0x' || substr(h, CAST(i % 32 * 2 + 1 AS INTEGER), 2) AS BIGINT) % {len(_ECHO.words)} AS INTEGER) + 1]))) + n - 1 AS BIGINT) AS size FROM e),
+stub AS (SELECT family, category, idx, CASE WHEN size > min_len // 2 THEN 1 ELSE 4 END AS attempts, CASE WHEN size > min_len // 2 THEN NULL ELSE 'too short' END AS error,
+  CASE WHEN size > min_len // 2 THEN CAST(size AS INTEGER) END AS n_chars FROM w)
+"""
+
+
+def _stub(spark: SparkSession) -> DataFrame:
+    return generate(C.scenarios(spark, 10, categories=["culture", "market", "gap_detection"]), _ECHO)
+
+
+@query(f"{_STUB_SQL} SELECT * FROM stub")
 def generated_stub(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scenarios completed by the deterministic Python stub; attempts and errors."""
-    done = generate(C.scenarios(spark, 10, categories=["culture", "market", "gap_detection"]), _ECHO)
-    return done.select("family", "category", "idx", "attempts", "error", F.length("text").alias("n_chars"))
+    return _stub(spark).select("family", "category", "idx", "attempts", "error", F.length("text").alias("n_chars"))
+
+
+@query(f"{_STUB_SQL} SELECT CAST(sum(attempts) AS BIGINT) AS total, count(error) AS error, count(n_chars) AS completed FROM stub")
+def call_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calls of the stub in all, rows that ended with an error, rows with a text."""
+    return calls_by_kind(_stub(spark))
 
 
 RSS = """<rss version="2.0"><channel><item><title> First </title><link>http://a/1</link><description>&lt;p&gt;Hi &lt;b&gt;there&lt;/b&gt;&lt;/p&gt;</description><pubDate>Mon</pubDate></item>
