@@ -84,7 +84,11 @@ bad AS (SELECT DISTINCT rid FROM unit JOIN line USING (lid) WHERE substr(line, i
 """
 
 
-@query(f"{_DEGENERATE} SELECT doc_id, rid IN (SELECT rid FROM bad) AS degenerate FROM (SELECT doc_id, row_number() OVER () AS rid FROM documents)")
+#: Twins that are too slow for whole tables; tests run them on the smallest.
+SLOW = {"gate_degenerate": f"{_DEGENERATE} SELECT doc_id, rid IN (SELECT rid FROM bad) AS degenerate FROM (SELECT doc_id, row_number() OVER () AS rid FROM documents)"}
+
+
+@query()
 def gate_degenerate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs(spark, sf_dir).select("doc_id", G.degenerate(F.col("text")).alias("degenerate"))
 
@@ -118,11 +122,14 @@ def gate_verdict_v2_loose(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.gated(docs(spark, sf_dir, CATEGORIES_2), F.col("text"), F.col("category"), LOOSE).select("doc_id", "passed", "reason")
 
 
-@query(
+SLOW["gate_verdict_full"] = (
     f"{_DEGENERATE}, named AS (SELECT doc_id, row_number() OVER () AS rid FROM documents), "
     + _verdict_sql(_DOCS, G.FIRST_LENGTHS, 500, G.FIRST_SPECIFICS, 5, G.SPECIFIC, 2, None, 3, "category IN ('briefing', 'journal')").strip().removeprefix("WITH")
     .replace("WHEN n_banned >", "WHEN doc_id IN (SELECT doc_id FROM named WHERE rid IN (SELECT rid FROM bad)) THEN 'degenerate' WHEN n_banned >", 1)
 )
+
+
+@query()
 def gate_verdict_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole first gate, degeneration included."""
     return G.gated(docs(spark, sf_dir), F.col("text"), F.col("category"), replace(FIRST, degenerate=True)).select("doc_id", "passed", "reason")
