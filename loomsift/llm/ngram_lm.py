@@ -49,8 +49,8 @@ BITS, PROBES = 9, 4
 GROUP_BYTES = 224 << 20
 #: Bytes of training text per slice of the hash space.
 SLICE_BYTES = 8 << 20
-#: Words of texts counted at once.
-CHUNK = 2_000_000
+#: Words of texts counted at once, and texts scored at once.
+CHUNK, ROWS = 1_200_000, 250
 #: Weight of the unigram estimate, in counts.
 MASS = 30.0
 
@@ -290,8 +290,8 @@ def _scan(df: DataFrame, shared: Broadcast, kept: list[str], carried: bool, last
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = once(shared, _same)
         for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
-                batch = whole.slice(at, 1000)
+            for at in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(at, ROWS)
                 texts = [tokens(t) for t in raw_texts(batch.column("text"))]
                 ends = np.cumsum([len(t) for t in texts]) - 1
                 h = np.concatenate(texts)
