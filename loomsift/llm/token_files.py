@@ -170,7 +170,7 @@ def write(docs: DataFrame, vocabulary: str, path: str, end: int, id_col: str = "
     rows = bounded_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     size = input_bytes(rows, "text")
     # Ranges of the id: few enough for full chunks, many enough to spread.
-    n = partitions or max(spark.sparkContext.defaultParallelism * 2, -(-size // RANGE_BYTES))
+    n = partitions or max(spark.sparkContext.defaultParallelism * 4, -(-size // RANGE_BYTES))
     dealt = rows.repartitionByRange(n, F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first(), "text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
