@@ -1,4 +1,4 @@
-"""The ten registered queries and the SQL of those that SQL can express.
+"""The registered queries of the numbered operators and the SQL of those that SQL can express.
 
 Each query runs over its whole table. Parameters are the production ones.
 """
@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table, work_path
-from . import bpe, chat, decontaminate, jaccard_join, language, ngram_lm, shards, token_files, topk, url_filter
+from . import bpe, chat, decontaminate, embedding_dedup, hard_negatives, jaccard_join, language, ngram_lm, shards, token_files, topk, url_filter
 from .common import crc_fold, free_name
 
 #: Vocabulary files of public tokenizers; a parameter of every operator that needs one.
@@ -200,6 +200,55 @@ FROM doc LEFT JOIN size USING (rid) LEFT JOIN least USING (rid) LEFT JOIN linked
 """
 
 
+def op11_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.link(table(spark, sf_dir, "embeddings"), 0.95)
+
+
+OP11_SQL = """
+WITH RECURSIVE whole AS (
+  SELECT vec_id, row_number() OVER (ORDER BY vec_id) AS rid,
+    CASE WHEN len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+      THEN CAST(embedding AS DOUBLE[]) END AS v FROM embeddings
+), link AS (
+  SELECT a.rid AS x, b.rid AS y FROM whole a JOIN whole b ON a.rid <> b.rid AND a.v IS NOT NULL AND b.v IS NOT NULL AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.95
+), reach AS (SELECT x, y FROM link UNION SELECT r.x, l.y FROM reach r JOIN link l ON r.y = l.x
+), least AS (SELECT x AS rid, min(vec_id) AS component_id FROM reach JOIN whole ON whole.rid = y GROUP BY x
+), linked AS (SELECT x AS rid, count(*) AS n_links FROM link GROUP BY x)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, coalesce(component_id, vec_id) AS component_id, vec_id = coalesce(component_id, vec_id) AS kept
+FROM whole LEFT JOIN least USING (rid) LEFT JOIN linked USING (rid)
+"""
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh row's label is noise; every fiftieth row is an anchor."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", noisy), F.col("id") % 50 == 0)
+
+
+OP13_SQL = """
+WITH whole AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+    CAST(list_dot_product(CAST(a.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+  FROM whole a JOIN whole c ON a.vec_id % 50 = 0 AND c.vec_id <> a.vec_id AND len(a.v) = len(c.v)
+), positive AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score, CAST(place AS INTEGER) AS positive_rank
+  FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place FROM scored WHERE same) WHERE place <= 5
+), ranked AS (
+  SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, positive_rank ORDER BY s.score DESC, s.vec_id) AS rank
+  FROM positive p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score
+)
+SELECT anchor_id, positive_rank, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 3
+"""
+
+
 QUERIES = {
     "op1_language": op1_language,
     "op3_url_filter": op3_url_filter,
@@ -211,5 +260,7 @@ QUERIES = {
     "op8_topk": op8_topk,
     "op9_shards": op9_shards,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_embedding_dedup": op11_embedding_dedup,
+    "op13_hard_negatives": op13_hard_negatives,
 }
-ORACLES = {"op3_url_filter": OP3_SQL, "op5_decontaminate": OP5_SQL, "op7_chat": OP7_SQL, "op8_topk": OP8_SQL, "op9_shards": OP9_SQL, "op10_jaccard_join": OP10_SQL}
+ORACLES = {"op3_url_filter": OP3_SQL, "op5_decontaminate": OP5_SQL, "op7_chat": OP7_SQL, "op8_topk": OP8_SQL, "op9_shards": OP9_SQL, "op10_jaccard_join": OP10_SQL, "op11_embedding_dedup": OP11_SQL, "op13_hard_negatives": OP13_SQL}
