@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table, work_path
-from . import bpe, chat, decontaminate, embedding_dedup, hard_negatives, jaccard_join, language, ngram_lm, shards, token_files, topk, url_filter
+from . import bpe, chat, decontaminate, embedding_dedup, hard_negatives, jaccard_join, language, ngram_lm, shards, spelling_variants, token_files, topk, url_filter
 from .common import crc_fold, free_name
 
 #: Vocabulary files of public tokenizers; a parameter of every operator that needs one.
@@ -220,6 +220,10 @@ FROM whole LEFT JOIN least USING (rid) LEFT JOIN linked USING (rid)
 """
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.variants(table(spark, sf_dir, "documents"))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every seventh row's label is noise; every fiftieth row is an anchor."""
     rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
@@ -261,6 +265,7 @@ QUERIES = {
     "op9_shards": op9_shards,
     "op10_jaccard_join": op10_jaccard_join,
     "op11_embedding_dedup": op11_embedding_dedup,
+    "op12_spelling_variants": op12_spelling_variants,
     "op13_hard_negatives": op13_hard_negatives,
 }
 ORACLES = {"op3_url_filter": OP3_SQL, "op5_decontaminate": OP5_SQL, "op7_chat": OP7_SQL, "op8_topk": OP8_SQL, "op9_shards": OP9_SQL, "op10_jaccard_join": OP10_SQL, "op11_embedding_dedup": OP11_SQL, "op13_hard_negatives": OP13_SQL}
