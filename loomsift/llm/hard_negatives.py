@@ -55,7 +55,7 @@ def quantised(vectors: np.ndarray) -> np.ndarray:
 
 def products(anchors: np.ndarray, tile: np.ndarray) -> np.ndarray:
     """Integer inner products, anchors by tile."""
-    limit = np.abs(anchors).max(initial=0) * np.abs(tile).max(initial=0) * max(1, tile.shape[1])
+    limit = float(np.abs(anchors).max(initial=0)) * float(np.abs(tile).max(initial=0)) * tile.shape[1]
     if limit < 2**53:
         return (anchors @ tile.T).astype(np.int64)
     big = np.vectorize(int, otypes=[object])
