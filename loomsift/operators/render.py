@@ -5,12 +5,14 @@ Wording is a parameter (``ReportStyle``); structure, order and limits are the en
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import head
+from .dedup import first_wins, per_group
 
 # How many lines a report shows, and how much of a summary.
 NEWS, PAPERS, AUTHORS, NEWS_SUMMARY = 15, 10, 3, 200
@@ -111,6 +113,30 @@ def journal_prompt(items: DataFrame, order: str, date: str, style: ReportStyle =
     return counts.crossJoin(text).select(prompt.alias("prompt"))
 
 
+def weekly(items: DataFrame, day: str, item: Sequence[str], rank: Sequence[Column], days: int = 7, most: int | None = None) -> DataFrame:
+    """The journal's material for each day that has rows: the best ``most`` items of the
+    ``days`` days up to it, an item once however often it occurs. Adds ``journal_day``,
+    ``place`` and ``n_rows``, the rows of those days by a RANGE frame over the days.
+
+    An item's best row stands for it; ``rank`` must put rows in one order. The best of a
+    period are among the best of each of its days, so a day sends ``most`` items to each
+    journal at most and no task sees a whole period. Rows without a day are left out;
+    items that are null are one item."""
+    most = JOURNAL if most is None else most
+    rows = items.where(F.col(day).isNotNull()).withColumn("_day", F.datediff(F.col(day).cast("date"), F.lit("1970-01-01").cast("date")))
+    counts = rows.groupBy("_day").agg(F.count("*").alias("_n"))  # one row a day
+    frame = Window.orderBy("_day").rangeBetween(1 - days, Window.currentRow)
+    journals = counts.select(F.col("_day").alias("_journal"), F.sum("_n").over(frame).alias("n_rows"))
+    best = first_wins(rows, [F.col("_day"), *map(F.col, item)], rank)
+    best = per_group(best, [F.col("_day")], rank, most)
+    sent = best.withColumn("_journal", F.explode(F.sequence(F.col("_day"), F.col("_day") + (days - 1))))
+    sent = sent.join(F.broadcast(journals), "_journal")  # one row a day
+    once = first_wins(sent, [F.col("_journal"), *map(F.col, item)], rank)
+    place = F.row_number().over(Window.partitionBy("_journal").orderBy(*rank))
+    listed = once.withColumn("place", place).where(F.col("place") <= most)
+    return listed.withColumn("journal_day", F.date_add(F.lit("1970-01-01").cast("date"), F.col("_journal"))).drop("_day", "_journal")
+
+
 def report(title: str, date: str, total: int, sources: int, body: str) -> str:
     """A finished report as Markdown: a header, then the body."""
     return f"# {title}\n**Date:** {date}\n**Signals:** {total} items from {sources} sources\n\n---\n\n{body}"
