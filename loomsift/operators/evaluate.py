@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
+from typing import Protocol
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.score import exact_match, length_ratio
 from ..functions.text import count_any
@@ -31,8 +34,12 @@ def predicted(df: DataFrame, predict: Callable | None, instruction: str, out: st
     return df.withColumn(out, apply(F.col(instruction)))
 
 
-def results(df: DataFrame, prediction: Column, reference: Column, run_id: str, model: str, timestamp: str, metrics: Mapping[str, Metric] | None = None, keep: list[str] | None = None) -> DataFrame:
-    """One row per input row and metric; nothing is averaged."""
+def results(df: DataFrame, prediction: Column, reference: Column, run_id: str, model: str, timestamp: str, metrics: Mapping[str, Metric] | Scorer | None = None, keep: list[str] | None = None) -> DataFrame:
+    """One row per input row and metric; nothing is averaged. ``metrics`` are columns by
+    name, or a scorer of whole batches."""
+    if metrics is not None and not isinstance(metrics, Mapping):
+        rows = scored(df.withColumns({"_said": prediction, "_wanted": reference}), metrics, "_said", "_wanted", keep or [])
+        return rows.select(*(keep or []), F.lit(run_id).alias("run_id"), F.lit(model).alias("model"), "metric", "score", F.lit(1).cast("long").alias("samples"), F.lit(timestamp).alias("timestamp"))
     scores = F.create_map(*[x for name, m in (metrics or METRICS).items() for x in (F.lit(name), m(prediction, reference))])
     return df.select(*(keep or []), F.explode(scores).alias("metric", "score")).select(
         *(keep or []), F.lit(run_id).alias("run_id"), F.lit(model).alias("model"), "metric", "score",
@@ -40,6 +47,36 @@ def results(df: DataFrame, prediction: Column, reference: Column, run_id: str, m
     )
 
 
+class Scorer(Protocol):
+    """Scores batches by any rule: a dict of metric names and values for each pair. Pairs
+    may have different metrics, or none; a value may be None."""
+
+    def score(self, predictions: list[str | None], references: list[str | None]) -> Iterable[Mapping[str, float | None]]: ...
+
+
+def scored(df: DataFrame, scorer: Scorer, prediction: str, reference: str, keep: Sequence[str] = ()) -> DataFrame:
+    """One row per input row and metric that ``scorer`` gives for it: the ``keep`` columns,
+    metric and score. An Arrow table function scores a batch at a time, where its rows
+    lie; pairs that the scorer has nothing to say of have no rows."""
+    kept = T.StructType([df.schema[c] for c in keep])
+    schema = T.StructType([*kept, T.StructField("metric", T.StringType()), T.StructField("score", T.DoubleType())])
+    size = len(kept)
+
+    @F.arrow_udtf(returnType=schema)
+    class Scores:
+        def eval(self, batch: pa.RecordBatch) -> Iterator[pa.Table]:
+            told = list(scorer.score(*(batch.column(size + i).to_pylist() for i in range(2))))
+            if len(told) != batch.num_rows:
+                raise ValueError(f"the scorer gave {len(told)} results for {batch.num_rows} pairs")
+            row = pa.array([i for i, scores in enumerate(told) for _ in scores], pa.int64())
+            columns = [batch.column(i).take(row) for i in range(size)]
+            metric = pa.array([name for scores in told for name in scores], pa.string())
+            score = pa.array([None if x is None else float(x) for scores in told for x in scores.values()], pa.float64())
+            yield pa.table([*columns, metric, score], names=schema.names)
+
+    return Scores(df.select(*keep, F.col(prediction).alias("_prediction"), F.col(reference).alias("_reference")).asTable())
+
+
 def averaged(rows: DataFrame) -> DataFrame:
     """Mean score and samples by run, model and metric; an addition."""
     return rows.groupBy("run_id", "model", "metric").agg(F.avg("score").alias("score"), F.sum("samples").alias("samples"))

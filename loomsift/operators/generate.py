@@ -1,9 +1,13 @@
 """Text generation behind a small protocol, in two tiers, with retries.
 
 A generator is any picklable object with ``complete(prompt, max_tokens)``; ``Http`` asks
-a server. Calls run in ``mapInArrow``, a few at a time in each task. Since a task that
-is run again calls again, either tier's results are written, keyed by the prompt's hash,
-before anything reads them, and each distinct prompt is asked for once.
+a server. Calls run in ``mapInArrow``, a few at a time in each task. Each distinct prompt
+is asked for once: answers go to files of a store, keyed by the prompt's hash, while the
+job runs, and a later run, or a task that is run again, asks for what the store lacks.
+
+A fatal answer (a bad key, no credit) ends the run: the task that gets it leaves a mark,
+the others stop at their next prompts and keep what they have, the driver interrupts what
+is left of the job by its tag, and ``Stopped`` tells how far it came.
 """
 
 from __future__ import annotations
@@ -12,19 +16,24 @@ import hashlib
 import json
 import os
 import re
+import threading
 import time
 import urllib.error
 import urllib.request
+import uuid
 from collections.abc import Callable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Any, Protocol
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.fs
+import pyarrow.parquet as pq
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import written
+from ..session import work_path, written
+from ..sources.hashed import file_system
 
 
 class GenerationError(Exception):
@@ -140,7 +149,22 @@ def attempt(call: Callable[[], str], least: int, retries: int = RETRIES, sleep:
 
 #: Calls that one task has open at a time.
 CALLS = 8
+#: Answers that a task gathers before it writes them, and rounds of calls between looks
+#: for a mark.
+GATHERED, ROUNDS = 1000, 4
+#: Seconds between the driver's looks, and those it gives tasks to write what they have.
+LOOK, GRACE = 0.2, 10.0
+_ANSWERS = pa.schema([("prompt_key", pa.string()), ("text", pa.string()), ("attempts", pa.int32()), ("error", pa.string())])
 _ASKED = "prompt_key string, text string, attempts int, error string"
+_FATAL = "fatal: "
+
+
+class Stopped(GenerationError):
+    """A run that a fatal answer ended; the store has what was answered."""
+
+    def __init__(self, message: str, answered: int, cancelled: int):
+        super().__init__(0, f"{message} ({answered} prompts answered, {cancelled} cancelled)")
+        self.answered, self.cancelled = answered, cancelled
 
 
 def prompt_key(prompt: Column, max_tokens: Column, min_len: Column) -> Column:
@@ -148,26 +172,130 @@ def prompt_key(prompt: Column, max_tokens: Column, min_len: Column) -> Column:
     return F.sha2(F.concat_ws(":", max_tokens.cast("string"), min_len.cast("string"), prompt), 256)
 
 
-def generate(df: DataFrame, generator: Generator, prompt: str = "prompt", max_tokens: str = "max_tokens", min_len: str = "min_len", retries: int = RETRIES, calls: int = CALLS) -> DataFrame:
-    """Adds text (null without one of more than half of min_len characters), attempts
-    and error. Each distinct prompt is asked for once, and what came is written, so
-    reading the result again asks nobody."""
-    keyed = df.withColumn("prompt_key", prompt_key(F.col(prompt), F.col(max_tokens), F.col(min_len)))
-    wanted = keyed.groupBy("prompt_key").agg(*(F.first(c).alias(n) for c, n in ((prompt, "prompt"), (max_tokens, "most"), (min_len, "least"))))
-
+class Store:
+    """Answers in files below a shared folder, and the mark that stops a run."""
+
+    def __init__(self, path: str):
+        self.path = path
+
+    def marked(self) -> str | None:
+        files, folder = file_system(self.path)
+        mark = f"{folder}/stopped"
+        if files.get_file_info(mark).type != pyarrow.fs.FileType.File:
+            return None
+        with files.open_input_stream(mark) as told:
+            return told.read().decode()
+
+    def mark(self, message: str) -> None:
+        files, folder = file_system(self.path)
+        files.create_dir(folder)
+        with files.open_output_stream(f"{folder}/stopped") as out:
+            out.write(message.encode())
+
+    def clear(self) -> None:
+        files, folder = file_system(self.path)
+        if self.marked() is not None:
+            files.delete_file(f"{folder}/stopped")
+
+    def add(self, rows: list[tuple]) -> None:
+        """A file of answers; it has its name only once it is whole."""
+        files, folder = file_system(self.path)
+        files.create_dir(f"{folder}/answers")
+        name = uuid.uuid4().hex
+        columns = zip(*rows, strict=True)
+        pq.write_table(pa.table([pa.array(c, f.type) for c, f in zip(columns, _ANSWERS, strict=True)], schema=_ANSWERS), f"{folder}/_{name}", filesystem=files)
+        files.move(f"{folder}/_{name}", f"{folder}/answers/{name}.parquet")
+
+    def answers(self, spark: SparkSession) -> DataFrame:
+        """One answer for each prompt; of a prompt that two attempts of a task asked, one."""
+        files, folder = file_system(self.path)
+        if files.get_file_info(f"{folder}/answers").type != pyarrow.fs.FileType.Directory:
+            return spark.createDataFrame([], _ASKED)
+        rows = spark.read.schema(_ASKED).parquet(f"{self.path}/answers")
+        return rows.groupBy("prompt_key").agg(F.min(F.struct("text", "attempts", "error")).alias("a")).select("prompt_key", "a.*")
+
+
+def _asking(generator: Generator, retries: int, calls: int, store: Store) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        over = threading.Event()
+
+        def ask(row: dict) -> tuple | None:
+            if over.is_set():
+                return None
+            told = attempt(lambda: generator.complete(row["prompt"], row["most"]), row["least"] // 2, retries)
+            if told[2] is not None and told[2].startswith(_FATAL):
+                over.set()
+                store.mark(told[2])
+                return None
+            return (row["prompt_key"], *told)
+
+        held: list[tuple] = []
+        count = 0
         with ThreadPoolExecutor(calls) as pool:
-            ask = lambda row: attempt(lambda: generator.complete(row["prompt"], row["most"]), row["least"] // 2, retries)
             for batch in batches:
-                rows = batch.to_pylist()
-                done = [(row["prompt_key"], *told) for row, told in zip(rows, pool.map(ask, rows), strict=True)]
-                columns = list(zip(*done, strict=True)) if done else [()] * 4
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(columns[0], pa.string()), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.int32()), pa.array(columns[3], pa.string())],
-                    ["prompt_key", "text", "attempts", "error"],
-                )
-
-    asked = written(wanted.where(F.col("prompt").isNotNull()).mapInArrow(run, _ASKED), "completions")
+                for at in range(0, batch.num_rows, calls * ROUNDS):
+                    if over.is_set() or store.marked() is not None:
+                        break
+                    done = [x for x in pool.map(ask, batch.slice(at, calls * ROUNDS).to_pylist()) if x is not None]
+                    held, count = held + done, count + len(done)
+                    if len(held) >= GATHERED:
+                        store.add(held)
+                        held = []
+        if held:
+            store.add(held)
+        yield pa.RecordBatch.from_arrays([pa.array([count], pa.int64())], ["n"])
+
+    return run
+
+
+def _until_marked(job: DataFrame, store: Store) -> None:
+    """Run a job to its end, or, once there is a mark, end it: tasks have ``GRACE`` seconds
+    to write what they have, then what carries the job's tag is interrupted."""
+    spark, tag, failure = job.sparkSession, f"generate-{uuid.uuid4().hex}", []
+
+    def work() -> None:
+        spark.addTag(tag)
+        try:
+            job.write.format("noop").mode("overwrite").save()
+        except Exception as error:  # told below, unless a mark explains it
+            failure.append(error)
+        finally:
+            spark.removeTag(tag)
+
+    thread = threading.Thread(target=work, daemon=True)
+    thread.start()
+    while thread.is_alive():
+        thread.join(LOOK)
+        if thread.is_alive() and store.marked() is not None:
+            thread.join(GRACE)
+            if thread.is_alive():
+                spark.interruptTag(tag)
+            thread.join()
+    if failure and store.marked() is None:
+        raise failure[0]
+
+
+def generate(
+    df: DataFrame, generator: Generator, prompt: str = "prompt", max_tokens: str = "max_tokens", min_len: str = "min_len", retries: int = RETRIES,
+    calls: int = CALLS, store: str | None = None,
+) -> DataFrame:
+    """Adds text (null without one of more than half of min_len characters), attempts
+    and error. Each distinct prompt that ``store``, a shared folder, has no answer of is
+    asked for once; reading the result again asks nobody. Raises ``Stopped`` after a fatal
+    answer; the same call with the same store goes on from there. Null prompts aren't
+    asked. A prompt whose retries ran out is answered, by its error."""
+    spark = df.sparkSession
+    kept = Store(store or work_path(spark, "completions"))
+    keyed = df.withColumn("prompt_key", prompt_key(F.col(prompt), F.col(max_tokens), F.col(min_len)))
+    wanted = keyed.where(F.col(prompt).isNotNull()).groupBy("prompt_key").agg(*(F.first(c).alias(n) for c, n in ((prompt, "prompt"), (max_tokens, "most"), (min_len, "least"))))
+    kept.clear()
+    if store is not None:
+        wanted = wanted.join(kept.answers(spark).select("prompt_key"), "prompt_key", "left_anti")
+    _until_marked(wanted.mapInArrow(_asking(generator, retries, calls, kept), "n long"), kept)
+    message, asked = kept.marked(), kept.answers(spark)
+    if message is not None:
+        left = keyed.where(F.col(prompt).isNotNull()).select("prompt_key").distinct().join(asked, "prompt_key", "left_anti").count()
+        raise Stopped(message.removeprefix(_FATAL), asked.count(), left)
     return keyed.join(asked, "prompt_key", "left").select(*df.columns, "text", "attempts", "error")
 
 

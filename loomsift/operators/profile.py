@@ -102,10 +102,11 @@ def tree_digest(df: DataFrame, rank: str, line: Column, by: Sequence[str] = (),
             return rows.select(*by, F.col("_n").alias("n"), F.col("_line").alias("tree_sha256"))
 
 
-def manifest(valid: DataFrame, line: Column, name: str, rejected: Column, all_pairs: DataFrame, paths: Mapping[str, str] | None = None) -> DataFrame:
+def manifest(valid: DataFrame, line: Column, name: str, rejected: Column, all_pairs: DataFrame, paths: Mapping[str, str] | None = None, digests: DataFrame | None = None) -> DataFrame:
     """One row: name, pair_count, count and file digest of either split, rejected, and
-    the splits' paths if they are given. ``valid`` has split and, within it, ``place``."""
-    digests = file_digest(valid, "place", line, ["split"])
+    the splits' paths if they are given. ``valid`` has split and, within it, ``place``.
+    ``digests`` (split, n, sha256) are those of files that have been written."""
+    digests = file_digest(valid, "place", line, ["split"]) if digests is None else digests
     of = lambda split, what: F.max(F.when(F.col("split") == split, F.col(what)))
     sides = digests.agg(*[of(s, c).alias(f"{s}_{c}") for s in ("train", "eval") for c in ("n", "sha256")])
     empty = F.sha2(F.lit(""), 256)

@@ -287,10 +287,10 @@ def story_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feeds.stories(rows).select(F.col("place").alias("rank"), F.col("place").alias("id"), "title", "score")
 
 
-@query("SELECT doc_id, source, CAST(length(text) AS BIGINT) AS n FROM documents WHERE trim(text) <> ''")
+@query("SELECT doc_id, source, CAST(length(text) AS BIGINT) AS n FROM documents")
 def jsonl_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_path(spark, "jsonl")
-    write_jsonl(table(spark, sf_dir, "documents").select("doc_id", "source", "text").where(F.trim("text") != ""), path)
+    write_jsonl(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), path)
     rows = parsed(lines(spark, [path, path + "-missing"]), "doc_id long, source string, text string")
     return rows.select("record.doc_id", "record.source", F.length("record.text").cast("long").alias("n"))
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators.render import report
 from ..session import table, work_path
-from ..sources import jsonl
+from ..sources import hashed, jsonl
 from ..streaming.incremental import append_new, appended, resume_counts, run_once
 from ..transforms import built_in, evaluating, manufacturing
 from .base import PAIRS_SQL, pairs, query
@@ -79,6 +79,20 @@ def hashed_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.text(path).agg(F.count("*").alias("read_back")).select(F.lit(told.n).cast("long").alias("n"), F.lit(told.sha256).alias("sha256"), "read_back")
 
 
+@query("""
+SELECT coalesce(source, 'none') AS source, count(*) AS n, CAST(sum(octet_length(encode(line)) + 1) AS BIGINT) AS bytes, sha256(string_agg(line || chr(10), '' ORDER BY doc_id)) AS sha256,
+  count(*) AS read_back
+FROM (SELECT source, doc_id, '{"doc_id":' || doc_id || ',"text":' || to_json(text) || '}' AS line FROM documents) GROUP BY source
+""")
+def files_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file of documents for each source, hashed while it is written; its digest and size
+    from the manifest, and its lines as they are read back."""
+    docs, path = table(spark, sf_dir, "documents"), work_path(spark, "by-source")
+    told = hashed.write_by(docs, path, F.col("source"), F.to_json(F.struct("doc_id", "text")), ["doc_id"])
+    back = spark.read.text(path, pathGlobFilter="*.jsonl").groupBy(F.element_at(F.split("_metadata.file_name", "/"), -1).alias("file")).agg(F.count("*").alias("read_back"))
+    return told.join(back, "file").select(F.coalesce("name", F.lit("none")).alias("source"), F.col("rows").alias("n"), "bytes", "sha256", "read_back")
+
+
 @query("SELECT user_id, min(event_id) AS event_id FROM events GROUP BY user_id")
 def append_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First event of each user over appends that overlap, the last one empty."""
@@ -127,9 +141,12 @@ def split_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = {split: work_path(spark, split) for split in ("train", "eval")}
     keyed = pairs(spark, sf_dir).select(F.col("pair_id").alias("ordinal"), "line")
     made = manufacturing(paths=paths)(lines=keyed)
-    ids = made["train"].union(made["eval"]).select(F.col("ordinal").alias("pair_id"), "line")
-    back = [spark.read.text(path).select(F.col("value").alias("line"), F.lit(split).alias("split")) for split, path in paths.items()]
-    return ids.join(back[0].union(back[1]), "line").select("pair_id", "line", "split")
+    ids = made["train"].withColumn("split", F.lit("train")).unionByName(made["eval"].withColumn("split", F.lit("eval")))
+    back = None
+    for split, path in paths.items():
+        rows = jsonl.in_order(spark, path).select(F.lit(split).alias("split"), "place", F.col("line").alias("found"))
+        back = rows if back is None else back.union(rows)
+    return ids.join(back, ["split", "place"]).select(F.col("ordinal").alias("pair_id"), F.col("found").alias("line"), "split")
 
 
 @query("SELECT * FROM (VALUES ('assemble', 1), ('collect', 1), ('cook', 1), ('evaluate', 1), ('factory', 1)) v(name, inputs)")

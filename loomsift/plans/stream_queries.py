@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.evaluate import results
+from ..operators.generate import GenerationError, Stopped, generate
 from ..session import table, work_path
 from ..sources import jsonl
 from ..sources.commit_log import CommitLog
 from ..streaming.incremental import result
 from ..streaming.stateful import run_stateful
-from .base import query
+from .base import PAIRS_SQL, pairs, query
 
 
 @query("SELECT user_id, min(event_id) AS event_id FROM events GROUP BY user_id")
@@ -72,3 +76,63 @@ def shared_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     writer().commit(even)
     writer().append(events, *told)
     return writer().read()
+
+
+@dataclass(frozen=True)
+class Refusing:
+    """A stub that repeats its prompt, and has no credit for some of them."""
+
+    refuses: bool
+
+    def complete(self, prompt: str, max_tokens: int) -> str:
+        if self.refuses and len(prompt) % 20 == 7:
+            raise GenerationError(403)
+        return f"> {prompt}"
+
+
+@query("""
+WITH p AS (SELECT DISTINCT text FROM conversations WHERE text IS NOT NULL), n AS (SELECT count(*) AS n, count(*) FILTER (WHERE length(text) % 20 = 7) AS bad FROM p)
+SELECT n AS prompts, bad > 0 AS stopped, bad > 0 AS cancelled, n AS answered, CAST(0 AS BIGINT) AS twice, n AS in_parts, (SELECT CAST(sum(length(text) + 2) AS BIGINT) FROM conversations) AS chars FROM n
+""")
+def fatal_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns as prompts of a run that a refusal ends, and the run that takes it up: what
+    either answered makes up the whole, and nothing was asked for twice."""
+    store = work_path(spark, "answers")
+    prompts = table(spark, sf_dir, "conversations").select("text").withColumnRenamed("text", "prompt").withColumns({"max_tokens": F.lit(10), "min_len": F.lit(0)})
+    answered = cancelled = 0
+    try:
+        generate(prompts, Refusing(True), store=store)
+    except Stopped as told:
+        answered, cancelled = told.answered, told.cancelled
+    made = generate(prompts, Refusing(False), store=store)
+    files = spark.read.schema("prompt_key string").parquet(f"{store}/answers").agg(F.count("*").alias("rows"), F.count_distinct("prompt_key").alias("answered")).first()
+    whole = made.agg(F.count_distinct("prompt").alias("prompts"), F.sum(F.length("text")).cast("long").alias("chars"))
+    return whole.select(
+        "prompts", F.lit(cancelled > 0).alias("stopped"), F.lit(cancelled > 0).alias("cancelled"), F.lit(files.answered).cast("long").alias("answered"),
+        F.lit(files.rows - files.answered).cast("long").alias("twice"), F.lit(answered + cancelled if cancelled else files.answered).cast("long").alias("in_parts"), "chars",
+    )
+
+
+class Overlap:
+    """Shared words of prediction and reference, lengths, and, of short ones, equality."""
+
+    def score(self, predictions: list[str | None], references: list[str | None]) -> Iterator[dict[str, float]]:
+        for said, wanted in zip(predictions, references, strict=True):
+            a, b = set((said or "").split(" ")), set((wanted or "").split(" "))
+            out = {"shared": len(a & b) / len(a | b), "longer": float(len(said or "") > len(wanted or ""))}
+            if len(wanted or "") < 500:
+                out["exact"] = float(said == wanted)
+            yield out
+
+
+@query(f"""
+WITH {PAIRS_SQL}, w AS (SELECT pair_id, instruction, response, list_distinct(string_split(instruction, ' ')) AS a, list_distinct(string_split(response, ' ')) AS b FROM pairs),
+s AS (SELECT pair_id, 'shared' AS metric, len(list_intersect(a, b)) / len(list_distinct(list_concat(a, b))) AS score FROM w
+  UNION ALL SELECT pair_id, 'longer', CASE WHEN length(instruction) > length(response) THEN 1.0 ELSE 0.0 END FROM w
+  UNION ALL SELECT pair_id, 'exact', CASE WHEN instruction = response THEN 1.0 ELSE 0.0 END FROM w WHERE length(response) < 500)
+SELECT pair_id, metric, round(CAST(score AS DOUBLE), 9) AS score FROM s
+""")
+def own_scorer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs scored by a scorer of three metrics, one of which long answers don't have."""
+    rows = results(pairs(spark, sf_dir), F.col("instruction"), F.col("response"), "run", "model", "now", metrics=Overlap(), keep=["pair_id"])
+    return rows.select("pair_id", "metric", F.round("score", 9).alias("score"))

@@ -6,12 +6,13 @@ import hashlib
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import strip
 from ..operators.profile import file_digest
+from . import hashed
 
 
 def _fs(spark: SparkSession, path: str):
@@ -48,6 +49,19 @@ def lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return out.where(strip(F.col("line")) != "")
 
 
+def in_order(spark: SparkSession, path: str) -> DataFrame:
+    """(place, line) of a folder of part files, joined by name; places start at 1. Lines
+    are counted by file and block, a row for each, and numbered within them."""
+    read = spark.read.text(path).select(
+        F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"), F.col("value").alias("line"),
+    )
+    sizes = read.groupBy("file", "block").agg(F.count("*").alias("n"), F.min("row").alias("first"))
+    before = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)  # one row a block
+    bases = sizes.select("file", "block", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    return read.join(F.broadcast(bases), ["file", "block"]).select((F.col("base") + F.col("row") - F.col("first") + 1).alias("place"), "line")
+
+
 def parsed(rows: DataFrame, schema: T.StructType | str, on_malformed: str = "fail") -> DataFrame:
     """Adds ``record``; a line that doesn't parse fails the job, or stays with a null
     record under ``on_malformed='quarantine'``."""
@@ -97,12 +111,16 @@ def write_jsonl(df: DataFrame, path: str, line: Column | None = None, order: Seq
 
 def write_hashed(df: DataFrame, path: str, rank: str, line: Column, files: int = 1) -> Row:
     """Lines in rank order, as ``files`` part files that make up one JSONL file when they
-    are joined by name; (n, sha256, path) of that file."""
-    rows = df.select(F.col(rank).alias("rank"), line.alias("value"))
-    rows.repartitionByRange(files, "rank").sortWithinPartitions("rank").select("value").write.mode("overwrite").text(path)
-    none = Row(n=0, sha256=hashlib.sha256().hexdigest())
-    found = file_digest(rows, "rank", F.col("value")).first() or none
-    return Row(n=found.n, sha256=found.sha256, path=path)
+    are joined by name; (n, sha256, path) of that file. One file is hashed as it is
+    written; what several hold is read back, since a SHA-256 can't be joined."""
+    spark = df.sparkSession
+    rows = df.select(F.col(rank).alias("rank"), line.alias("line")).repartitionByRange(files, "rank").sortWithinPartitions("rank")
+    hashed.save(rows.select(F.format_string("part-%05d", F.spark_partition_id()).alias("file"), "line"), path)
+    told = hashed.manifest(spark, path).agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n"), F.count("*").alias("files"), F.first("sha256").alias("sha256")).first()
+    if told.files == 1:
+        return Row(n=told.n, sha256=told.sha256, path=path)
+    found = file_digest(in_order(spark, path), "place", F.col("line")).first() if told.files else None
+    return Row(n=told.n, sha256=found.sha256 if found else hashlib.sha256().hexdigest(), path=path)
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:

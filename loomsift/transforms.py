@@ -16,15 +16,16 @@ from pyspark.sql import functions as F
 
 from .functions.text import fingerprint, title_key
 from .operators.contracts import good_pair, validated
-from .operators.dedup import first_wins, per_group
+from .operators.dedup import first_wins
 from .operators.evaluate import averaged, predicted, results
 from .operators.gates import FIRST, GateProfile, passing
 from .operators.generate import Echo, Generator, generate, two_tier
 from .operators.profile import count_by, length_stats, manifest
 from .operators.split import EVAL_SHARE, assembler_split, factory_split
+from .operators.waves import in_waves
 from .runtime import Catalogue, Frames, Step, catalogue, step
 from .sources.feeds import TOPIC, on_topic
-from .sources.jsonl import write_jsonl
+from .sources.jsonl import write_hashed, write_jsonl
 
 # What the assembler asks of a record.
 LEAST_MESSAGES, LEAST_ANSWER = 3, 300
@@ -43,15 +44,21 @@ def collecting(allowed: Sequence[str] = (), topic: Sequence[str] = TOPIC) -> Ste
     return collect
 
 
-def cooking(first: Generator = Echo(), second: Generator = Echo(tier="rewrite"), profile: GateProfile = FIRST, target: int = 1000, recheck: bool = False) -> Step:
-    """Texts for scenarios in two tiers behind a gate, up to a quota for each category."""
+def cooking(first: Generator = Echo(), second: Generator = Echo(tier="rewrite"), profile: GateProfile = FIRST, target: int = 1000, recheck: bool = False, store: str | None = None) -> Step:
+    """Texts for scenarios in two tiers behind a gate, in waves up to a quota for each
+    category, so that a full category asks for no more. With ``store``, a shared folder,
+    a run that a fatal answer ended goes on where it was."""
 
     @step("cook", scenarios="category string, idx bigint, prompt string, min_len int, max_tokens int")
     def cook(scenarios: DataFrame) -> Frames:
         passes = passing(F.col("text"), F.col("category"), profile)
-        done = two_tier(scenarios, lambda df: generate(df, first), lambda df: generate(df, second), passes, recheck)
-        kept = per_group(done.where("tier <> 'failed'"), [F.col("category")], [F.col("idx")], target)
-        return {"texts": kept, "tiers": count_by(done, F.col("tier"), "tier")}
+        tier = lambda generator, name: lambda df: generate(df, generator, store=store and f"{store}/{name}")
+        make = lambda df: two_tier(df, tier(first, "first"), tier(second, "second"), passes, recheck)
+        names = [r[0] for r in scenarios.select("category").distinct().collect() if r[0] is not None]  # the quotas' names
+        kept, quotas = in_waves(scenarios, make, F.col("tier") != "failed", dict.fromkeys(sorted(names), target))
+        told = [(name, q.target, q.asked, q.sent, q.passed) for name, q in quotas.items()]
+        told = scenarios.sparkSession.createDataFrame(told, "category string, target long, asked long, sent long, passed long")
+        return {"texts": kept, "tiers": count_by(kept, F.col("tier"), "tier"), "quotas": told}
 
     return cook
 
@@ -90,9 +97,9 @@ def manufacturing(name: str = "pairs", seed: int = 42, share: float = EVAL_SHARE
         head = F.greatest(F.lit(1), F.floor(F.col("total") * F.lit(1 - share)))
         placed = cut.withColumn("place", F.col("rank") - F.when(F.col("split") == "eval", head).otherwise(0))
         side = lambda split: placed.where(F.col("split") == split).select("place", "ordinal", "line")
-        for split, path in (paths or {}).items():
-            write_jsonl(side(split), path, F.col("line"), ["place"])
-        told = manifest(placed, F.col("line"), name, ~F.col("good"), judged, paths)
+        files = [(split, write_hashed(side(split), path, "place", F.col("line"))) for split, path in (paths or {}).items()]  # hashed as they are written
+        digests = lines.sparkSession.createDataFrame([(split, f.n, f.sha256) for split, f in files], "split string, n long, sha256 string") if files else None
+        told = manifest(placed, F.col("line"), name, ~F.col("good"), judged, paths, digests)
         return {"train": side("train"), "eval": side("eval"), "rejected": judged.where("NOT good").drop("good"), "manifest": told}
 
     return factory
