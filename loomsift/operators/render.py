@@ -28,10 +28,10 @@ class ReportStyle:
     counted: str = "Signals of the day ({n} from {sources} sources):"
     news: str = "## News"
     papers: str = "## Papers"
-    closing: str = "Rate the mood from 1 to 10, name the trends and one overlooked story."
+    closing: str = "Write for a reader with ten minutes: facts first, sources named, doubts marked as doubts."
     journal_opening: str = "Write the weekly journal for the week ending {date}."
     journal_counted: str = "Signals of the week ({n}):"
-    journal_closing: str = "Cover the market, two or three deep dives, a contrarian view and three predictions."
+    journal_closing: str = "Write it as one argument: what changed, what it costs, and whom to ask about it next week."
 
 
 def _filled(text: str, **values: Column) -> Column:

@@ -39,15 +39,15 @@ FORMAT_LIMITS = {
 }
 # End of fixed values.
 
-#: What a format asks for, in our words; the structured ones name the headers of their gate.
+#: What a format asks for, from its purpose; the structured ones name the headers of their gate.
 OUTLINES = {
-    "TREND_ANALYSIS": "Form: a headline, a summary, then sections that argue one position.",
-    "BRIEFING": "Form: short items with a comment each, a mood from 1 to 10, one overlooked story.",
-    "MARKET_BRIEF": "Form: a headline, the deals with their numbers, a thesis and its opposite.",
-    "COMPANY_PROFILE": "Form: what it makes, who pays, what threatens it, a verdict.",
-    "DEEP_DIVE": "Form: a question, how the thing works, measurements, limits, advice.",
-    "CULTURE_REPORT": "Form: what people say, what lies below it, one forecast.",
-    "JOURNAL": "Form: the week's pulse, two or three long pieces, a dissent, three forecasts.",
+    "TREND_ANALYSIS": "Form: state the change, date its start, show who gains and loses, say what would prove you wrong.",
+    "BRIEFING": "Form: numbered items, each a fact with its source and one line on its use; end with what to check tomorrow.",
+    "MARKET_BRIEF": "Form: a table of sums and parties, then one paragraph on the price of being wrong.",
+    "COMPANY_PROFILE": "Form: product, customer, cost, dependence on others, next twelve months.",
+    "DEEP_DIVE": "Form: a worked example first, the general rule after it, figures with units, known failures.",
+    "CULTURE_REPORT": "Form: three voices in their own words, what they agree on, what none of them says.",
+    "JOURNAL": "Form: entries by day, links between them, one mistake of the week owned up to.",
     "SIGNAL_EXTRACTION": "Answer under SIGNAL:, WHY IT MATTERS:, DATA OPPORTUNITY:, CURATION SCORE:",
     "GAP_DETECTION": "Answer under CURRENT CAPABILITIES:, KNOWN WEAKNESSES:, DATA GAP:, CURATION OBJECT:",
     "TREND_SYNTHESIS": "Answer under NAME:, DESCRIPTION:, WHY NOW:, TARGET PAIRS:, EXPECTED MODEL IMPACT:",
@@ -101,71 +101,65 @@ class Branch:
     template: str
 
 
-def _branches(family: str, category: str, *rows: tuple[str, str]) -> list[Branch]:
-    """Branches in turn, from formats (by initials, below) and templates."""
-    return [Branch(family, category, sub, tuple(_INITIALS[i] for i in formats), f"{text}\n\n{{outline}}") for sub, (formats, text) in enumerate(rows)]
-
-
-_INITIALS = {"t": "TREND_ANALYSIS", "b": "BRIEFING", "m": "MARKET_BRIEF", "p": "COMPANY_PROFILE", "d": "DEEP_DIVE", "c": "CULTURE_REPORT", "j": "JOURNAL", "S": "SIGNAL_EXTRACTION", "G": "GAP_DETECTION", "T": "TREND_SYNTHESIS"}
-
-#: Own branches: one for each category of the daily set, several of the themed set,
-#: one for each kind of the cascade.
-BRANCHES: list[Branch] = [
-    *_branches("daily", "briefing", ("b", "Brief us for {days}, {months} {1..28}.\n\nSeeds:\n{firms=events*3}\n{themes*2}\n{domains*2}")),
-    *_branches("daily", "trends", ("t", "Where are {themes} heading in {cities}?\n\nSeen in: {domains:2}")),
-    *_branches("daily", "company", ("p", "Profile {firms}, which {events}.\n\nRivals: {firms:2}\nField: {domains}")),
-    *_branches("daily", "culture", ("c", "People are {moods}. Report from {cities}.\n\nIn the air: {themes:2}")),
-    *_branches("daily", "market", ("m", "Read the week's money.\n\nDeals:\n{firms=deals*3}\n\nMachines: {machines}")),
-    *_branches("daily", "journal", ("j", "Journal of week {1..4} of {months}.\n\nWeek:\n{firms=events*3}\n{themes*2}\n\nTalk: {moods:2}")),
-    *_branches(
-        "themed", "infra",
-        ("tbd", "Judge the release of {releases}.\n\nBuilt on: {architectures}"),
-        ("td", "Explain {architectures}.\n\nFound in: {releases:2}"),
-        ("tdb", "When does {methods} pay?\n\nRun on: {machines}"),
-        ("tdp", "Examine {serving}.\n\nMeasured by: {measures}"),
-        ("td", "Does {measures} measure anything?\n\nAsked of: {releases:3}"),
-        ("d", "Plan {methods} on {machines}, then {serving}."),
-        ("t", "Two stacks, one budget: {serving:2}.\n\nFor: {domains}"),
-        ("d", "Trace a request through {serving} and {architectures}."),
-    ),
-    *_branches(
-        "themed", "industry",
-        ("p", "What is {firms} for, now that it {events}?\n\nBeside: {firms:2}"),
-        ("mt", "Who follows {investors}?\n\nDeals:\n{firms=deals*2}"),
-        ("mb", "Read {policies} as {firms} would."),
-        ("tm", "Price {themes} in {cities}.\n\nAgainst: {machines}"),
-        ("b", "Ten lines on {investors} and {policies}."),
-        ("m", "Rank these moves:\n{firms=events*4}"),
-        ("t", "What ends when {themes} win?\n\nWitness: {firms}"),
-    ),
-    *_branches(
-        "themed", "curation",
-        ("dt", "How would you build {datasets}?\n\nWatch for: {cleaning}"),
-        ("dt", "Measure {cleaning} in {datasets}."),
-        ("dtb", "What do {measures} say of {datasets}?"),
-        ("G", "Name what is missing for {gaps}.\n\nAt hand: {datasets:2}"),
-        ("S", "Find the signal in {signals}.\n\nStock: {datasets}"),
-        ("T", "{contexts} What data follows?\n\nAt hand: {datasets:3}"),
-    ),
+#: Own branches, as rows: set, category, the formats to choose from, what is asked. A
+#: category's branches take turns in the order of their rows. One for each category of the
+#: daily set, several of the themed set, one for each kind of the cascade.
+_ROWS: tuple[tuple[str, str, tuple[str, ...], str], ...] = (
+    ("daily", "briefing", ("BRIEFING",), "Brief us for {days}, {months} {1..28}.\n\nSeeds:\n{firms=events*3}\n{themes*2}\n{domains*2}"),
+    ("daily", "trends", ("TREND_ANALYSIS",), "Where are {themes} heading in {cities}?\n\nSeen in: {domains:2}"),
+    ("daily", "company", ("COMPANY_PROFILE",), "Profile {firms}, which {events}.\n\nRivals: {firms:2}\nField: {domains}"),
+    ("daily", "culture", ("CULTURE_REPORT",), "People are {moods}. Report from {cities}.\n\nIn the air: {themes:2}"),
+    ("daily", "market", ("MARKET_BRIEF",), "Read the week's money.\n\nDeals:\n{firms=deals*3}\n\nMachines: {machines}"),
+    ("daily", "journal", ("JOURNAL",), "Journal of week {1..4} of {months}.\n\nWeek:\n{firms=events*3}\n{themes*2}\n\nTalk: {moods:2}"),
+    ("themed", "infra", ("DEEP_DIVE",), "A port town of {cities} wants {serving}. What must it buy?\n\nOffered: {machines:3}"),
+    ("themed", "infra", ("BRIEFING", "DEEP_DIVE"), "List what broke when {policies} met {serving}.\n\nReported by: {firms:2}"),
+    ("themed", "infra", ("MARKET_BRIEF",), "Rent or own {machines} for a year of {methods}?\n\nLenders: {investors:2}"),
+    ("themed", "infra", ("TREND_ANALYSIS",), "Will {architectures} outlive {architectures}?\n\nTried in: {domains:2}"),
+    ("themed", "infra", ("DEEP_DIVE", "JOURNAL"), "Keep a log of moving {releases} to {machines}."),
+    ("themed", "infra", ("CULTURE_REPORT",), "Operators on call are {moods}. Hear them out.\n\nOn call for: {serving}"),
+    ("themed", "infra", ("BRIEFING",), "Three outages in {cities}, one cause?\n\nRunning: {releases:3}"),
+    ("themed", "infra", ("COMPANY_PROFILE", "DEEP_DIVE"), "{firms} sells {serving}. Take it apart.\n\nClaims: {measures:2}"),
+    ("themed", "industry", ("BRIEFING",), "What will {domains} buy next spring?\n\nSellers:\n{firms=events*2}"),
+    ("themed", "industry", ("COMPANY_PROFILE",), "{firms} and {firms} share a floor in {cities}. Who needs whom?"),
+    ("themed", "industry", ("TREND_ANALYSIS", "BRIEFING"), "Count the jobs that {themes} change.\n\nWhere: {domains:3}"),
+    ("themed", "industry", ("DEEP_DIVE",), "Follow one invoice for {machines} from order to scrap."),
+    ("themed", "industry", ("MARKET_BRIEF", "JOURNAL"), "A quarter in figures.\n\n{firms=deals*5}\n\nUnder: {policies}"),
+    ("themed", "industry", ("COMPANY_PROFILE", "MARKET_BRIEF"), "Would you lend to {firms}? It {events}.\n\nAlso asked: {investors}"),
+    ("themed", "industry", ("CULTURE_REPORT",), "A trade fair in {cities}: everyone is {moods}.\n\nStands: {firms:4}"),
+    ("themed", "curation", ("GAP_DETECTION",), "A reader fails at {gaps}. What should it have read?\n\nOn the shelf: {datasets:2}"),
+    ("themed", "curation", ("BRIEFING",), "Write the handover note for {datasets}.\n\nStill open: {cleaning:2}"),
+    ("themed", "curation", ("SIGNAL_EXTRACTION",), "Is there anything in {signals}, or is it noise?"),
+    ("themed", "curation", ("DEEP_DIVE",), "Find {cleaning} without reading everything.\n\nSizes: {1..900} million rows of {datasets}"),
+    ("themed", "curation", ("TREND_SYNTHESIS",), "{contexts} Which {datasets} should be gathered first?"),
+    ("themed", "curation", ("JOURNAL", "CULTURE_REPORT"), "A week of labelling {datasets} with {makers}."),
     # The first branch has three of six turns.
-    *[Branch("themed", "sovereign", sub, ("TREND_ANALYSIS", "DEEP_DIVE", "MARKET_BRIEF"), "Should {sharing} be run at home?\n\nOn: {machines}\nUnder: {policies}\n\n{outline}") for sub in range(3)],
-    *[Branch("themed", "sovereign", sub + 3, (name,), f"{text}\n\n{{outline}}") for sub, (name, text) in enumerate((
-        ("DEEP_DIVE", "Set up {sharing} on {machines}."),
-        ("TREND_ANALYSIS", "Who pays for {sharing} in {cities}?"),
-        ("BRIEFING", "Sum up {policies} for people with {sharing}."),
-    ))],
-    *_branches(
-        "themed", "culture",
-        ("cj", "Visit {makers}.\n\nTheir subject: {datasets+sharing}"),
-        ("cj", "Argue both sides: {debates}.\n\nHeard from: {makers}"),
-        ("c", "Why are people {moods}?"),
-        ("j", "A month with {makers}.\n\nTalk: {moods:2}"),
-        ("c", "What would settle {debates}?\n\nIn: {cities}"),
-    ),
-    *_branches("cascade", "signal_extraction", ("S", "Read this for what it foretells:\n{signals}")),
-    *_branches("cascade", "gap_detection", ("G", "Say where models fail at this:\n{gaps}")),
-    *_branches("cascade", "trend_synthesis", ("T", "Draw the plan from this:\n{contexts}")),
-]
+    *(("themed", "sovereign", ("BRIEFING", "COMPANY_PROFILE"), "Who holds the keys to {sharing} in {cities}?\n\nWritten down in: {policies:2}"),) * 3,
+    ("themed", "sovereign", ("MARKET_BRIEF",), "Cost out {sharing} for {1..40} schools."),
+    ("themed", "sovereign", ("CULTURE_REPORT",), "Neighbours argue about {sharing}. Write it down.\n\nTheir quarrel: {debates}"),
+    ("themed", "sovereign", ("DEEP_DIVE", "TREND_ANALYSIS"), "Can {releases} run on {machines} when the line is cut?"),
+    ("themed", "culture", ("CULTURE_REPORT",), "Dinner with {makers}, who are {moods}."),
+    ("themed", "culture", ("TREND_ANALYSIS",), "How did {debates} become a subject in {cities}?"),
+    ("themed", "culture", ("JOURNAL",), "Diary of {makers} in {months}.\n\nAt hand: {datasets+sharing}"),
+    ("themed", "culture", ("BRIEFING", "CULTURE_REPORT"), "Five letters to the editor on {debates}.\n\nOccasion: {themes}"),
+    ("themed", "culture", ("DEEP_DIVE",), "Explain {architectures} to {makers}."),
+    ("cascade", "signal_extraction", ("SIGNAL_EXTRACTION",), "Read this for what it foretells:\n{signals}"),
+    ("cascade", "gap_detection", ("GAP_DETECTION",), "Say where models fail at this:\n{gaps}"),
+    ("cascade", "trend_synthesis", ("TREND_SYNTHESIS",), "Draw the plan from this:\n{contexts}"),
+)
+
+
+def branches_of(rows: Iterable[tuple[str, str, tuple[str, ...], str]]) -> list[Branch]:
+    """Branches whose turns within their category are the order of their rows; each ends
+    with its format's outline."""
+    turns: dict[tuple[str, str], int] = {}
+    out = []
+    for family, category, formats, text in rows:
+        turn = turns[family, category] = turns.get((family, category), -1) + 1
+        out.append(Branch(family, category, turn, formats, f"{text}\n\n{{outline}}"))
+    return out
+
+
+BRANCHES = branches_of(_ROWS)
 
 _SLOT = re.compile(r"\{(?:(?P<low>\d+)\.\.(?P<high>\d+)|(?P<pool>\w+)(?:(?P<join>[+=])(?P<also>\w+))?(?:(?P<mark>[:*])(?P<n>\d+))?)\}")
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -68,9 +69,18 @@ def written(df: DataFrame, name: str, by: str | None = None, **options: str) ->
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Least seconds between collections of garbage; short stages leave little behind.
+RECLAIM_EVERY = 2.0
+_reclaimed = 0.0
+
+
 def reclaim(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of plans that nobody holds any more: it does
     so when the driver collects garbage, which may be long after a stage was written."""
+    global _reclaimed
+    if time.monotonic() - _reclaimed < RECLAIM_EVERY:
+        return
+    _reclaimed = time.monotonic()
     gc.collect()
     spark._jvm.System.gc()
 
