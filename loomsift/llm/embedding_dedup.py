@@ -47,7 +47,7 @@ from ..session import written
 from .bpe import forget
 from .common import binaries, mix, slices_for
 from .components import components
-from .jaccard_join import _cuts, forest, paired, rooted
+from .jaccard_join import _cuts, forest, paired, rooted, thinned
 
 #: Cells of a projection, in lengths of the vectors.
 WIDTH = 2.0
@@ -149,18 +149,6 @@ def _rows(contents: list[bytes]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     return {int(n): (own := np.flatnonzero(size == n), np.frombuffer(b"".join(contents[i] for i in own), np.float64).reshape(len(own), n)) for n in np.unique(size)}
 
 
-def thinned(signature: np.ndarray, key: np.ndarray, few: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Signatures and keys of a batch with at most ``few`` + 1 members of a bucket, and
-    edges that chain the others to the first of their bucket."""
-    order = np.lexsort((key, signature))
-    signature, key = signature[order], key[order]
-    start = np.flatnonzero(np.append(True, signature[1:] != signature[:-1])) if len(key) else np.zeros(0, np.int64)
-    size = np.diff(np.append(start, len(key)))
-    place = np.arange(len(key)) - np.repeat(start, size)
-    rest = place > few
-    return signature[~rest], key[~rest], np.stack([np.repeat(key[start], size)[rest], key[rest]], axis=1)
-
-
 #: Of kind 0: low halves of signatures, places of their classes among the keys, keys. Of
 #: kind 1: edges of chains.
 _PACKED = "slice int, kind int, a binary, b binary, c binary"
@@ -170,6 +158,7 @@ def _signed(classes: DataFrame, plan: Plan, tables: range, slices: int) -> DataF
     """Signatures of some tables, and chains of what a batch holds too much of, by slice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hot: dict[int, int] = {}
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 part = batch.slice(at, ROWS)
@@ -178,16 +167,17 @@ def _signed(classes: DataFrame, plan: Plan, tables: range, slices: int) -> DataF
                 for own, rows in _rows(part.column(1).to_pylist()).values():
                     signature.append(buckets(rows, plan, tables).ravel())
                     key.append(np.repeat(keys[own], len(tables)))
-                signature, key, edges = thinned(np.concatenate(signature), np.concatenate(key), FEW)
-                order, cuts = _cuts(slices, signature)
+                signature, key, edges = thinned(np.concatenate(signature), np.concatenate(key), FEW, hot)
+                order, cuts = _cuts(slices, signature) if len(signature) else (None, [])
                 packed = []
                 for number, s, e in cuts:
                     known, place = np.unique(key[order[s:e]], return_inverse=True)
                     packed.append((number, 0, signature[order[s:e]].astype(np.uint32).tobytes(), place.astype(np.uint16).tobytes(), known.tobytes()))
                 if len(edges):
-                    edges = np.unique(edges, axis=0)
                     order, cuts = _cuts(slices, mix(edges[:, 1].astype(_U)))
                     packed += [(number, 1, edges[order[s:e], 0].tobytes(), edges[order[s:e], 1].tobytes(), b"") for number, s, e in cuts]
+                if not packed:
+                    continue
                 columns = list(zip(*packed, strict=True))
                 yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int32()) for c in columns[:2]), *map(binaries, columns[2:])], ["slice", "kind", "a", "b", "c"])
 

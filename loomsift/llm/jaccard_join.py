@@ -1,7 +1,8 @@
 """Jaccard self-join of shingle sets by PartEnum signatures, and its components.
 
 1. A document becomes the set of its distinct n-word shingles (64-bit hashes);
-   equal sets are one set from here on, so exact copies cost one row.
+   equal sets are one set from here on, so exact copies cost one row. A set is signed
+   once a task, and the rows of documents are dealt evenly, whatever they hold.
 2. Sizes fall into bands of ratio 1/threshold; sets that can link lie in the same
    band or neighbouring ones, so a set signs for its own band and the one below.
    Linked sets of such a pair of bands differ in at most k shingles. The hash
@@ -16,7 +17,9 @@
 3. A bucket of equal signatures that holds at most ``FEW`` sets gives its pairs. The
    sets of fuller buckets (families of copies, passages that many texts share) sign
    again by the next, more selective entry of ``ROUNDS``, which is complete in itself;
-   buckets that are still full after the last one are chained, never paired.
+   buckets that are still full after the last one are chained, never paired. No task
+   sees all of a hot bucket: one sends on ``FEW`` + 1 of its sets, which tell that it is
+   full, and chains the others to the first.
 4. Each set has a sketch: its hashes added up in parts, half a byte each. Two sets differ
    in as many hashes at least as their sketches do in parts, so sets whose sketches
    differ too much have no link. That rules out most pairs; and the sets that chains
@@ -47,12 +50,13 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import written
 from .bpe import forget
-from .common import ASCII_LOWER, binaries, bounded_batches, fetched, input_bytes, marked, mix, raw_texts, slices_for, small_batches
+from .common import ASCII_LOWER, binaries, bounded_batches, input_bytes, marked, mix, raw_texts, slices_for, small_batches
 from .components import components
 
 #: How sets sign, round by round: second-level parts, how many of them a subset leaves
@@ -71,6 +75,10 @@ BLOCK = 256
 COLUMNS = 4096
 #: Input bytes for each slice of the signature space.
 SLICE_BYTES = 4 << 20
+#: Documents that travel together.
+PIECE = 100
+#: Hot signatures that a task remembers.
+HOT = 1 << 16
 #: Bytes to count for each shingle that signs again, which makes two or three signatures.
 SIGNED_BYTES = 10
 
@@ -261,7 +269,7 @@ def _near(left: np.ndarray, right: np.ndarray, keys: list[int], rows: dict, size
 
 #: Of kind 0: ids, set keys, sizes, hashes of the texts. Of kind 1: low halves of
 #: signatures, places of their sets among the keys, keys. Of kind 2: keys, sizes,
-#: lengths of sketches, sketches.
+#: lengths of sketches, sketches. Of kind 3: edges of chains, as two lists of keys.
 _PACKED = "slice int, kind int, a binary, b binary, c binary, d binary"
 #: Of kind 0: id, set key, size, hash of the text. Of kind 1 a pair, of kind 2 an edge
 #: of a chain, as set keys. Of kind 3: set key, size, sketch.
@@ -277,17 +285,41 @@ def _cuts(slices: int, where: np.ndarray) -> tuple[np.ndarray, list[tuple[int, i
     return order, [(int(number[s]), int(s), int(e)) for s, e in zip(starts, [*starts[1:], len(number)], strict=True)]
 
 
-def _pack_signatures(signed: list[np.ndarray], keys: list[int], slices: int) -> list[tuple]:
-    """One row per slice, holding its signatures."""
-    every, owner = np.concatenate(signed), np.repeat(np.arange(len(signed)), [len(s) for s in signed])
-    order, cuts = _cuts(slices, every)
-    low, owner, table = every[order].astype(np.uint32), owner[order], np.array(keys, np.int64)
+def thinned(signature: np.ndarray, key: np.ndarray, few: int, hot: dict[int, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Signatures and keys, each signature with at most ``few`` + 1 keys, which tell that
+    its bucket is full, and edges that chain the other keys to the first of it. ``hot``
+    remembers such signatures for the task's later batches, which send none of them."""
+    order = np.lexsort((key, signature))
+    signature, key = signature[order], key[order]
+    new = np.append(True, (signature[1:] != signature[:-1]) | (key[1:] != key[:-1])) if len(key) else np.zeros(0, bool)
+    signature, key = signature[new], key[new]
+    start = np.flatnonzero(np.append(True, signature[1:] != signature[:-1])) if len(key) else np.zeros(0, np.int64)
+    size = np.diff(np.append(start, len(key)))
+    first, most = key[start].copy(), np.full(len(start), few + 1)
+    if hot:
+        names = np.array(list(hot), _U)
+        for at in np.flatnonzero(np.isin(signature[start], names)).tolist():
+            first[at], most[at] = hot[int(signature[start[at]])], 0
+    for at in np.flatnonzero((size > most) & (most > 0)).tolist():
+        if len(hot) < HOT:
+            hot[int(signature[start[at]])] = int(first[at])
+    place = np.arange(len(key)) - np.repeat(start, size)
+    rest = place >= np.repeat(most, size)
+    edges = np.stack([np.repeat(first, size)[rest], key[rest]], axis=1)
+    return signature[~rest], key[~rest], np.unique(edges[edges[:, 0] != edges[:, 1]], axis=0)
+
+
+def _pack_signatures(signed: list[np.ndarray], keys: list[int], slices: int, hot: dict[int, int]) -> list[tuple]:
+    """Rows for the slices: one with each one's signatures, and one with edges of chains."""
+    every, owner = np.concatenate(signed), np.repeat(np.array(keys, np.int64), [len(s) for s in signed])
+    every, owner, edges = thinned(every, owner, FEW, hot)
+    order, cuts = _cuts(slices, every) if len(every) else (None, [])
     out = []
     for number, s, e in cuts:
-        new = np.diff(owner[s:e], prepend=-1) > 0  # owners ascend within a slice
-        place = (np.cumsum(new) - 1).astype(np.uint16)
-        out.append((number, 1, low[s:e].tobytes(), place.tobytes(), table[owner[s:e][new]].tobytes(), b""))
-    return out
+        table, place = np.unique(owner[order[s:e]], return_inverse=True)
+        out.append((number, 1, every[order[s:e]].astype(np.uint32).tobytes(), place.astype(np.uint16).tobytes(), table.tobytes(), b""))
+    order, cuts = _cuts(slices, mix(edges[:, 1].astype(_U))) if len(edges) else (None, [])
+    return out + [(number, 3, edges[order[s:e], 0].tobytes(), edges[order[s:e], 1].tobytes(), b"", b"") for number, s, e in cuts]
 
 
 def _packed_batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -300,6 +332,8 @@ def _signed(docs: DataFrame, n: int, rule: Rule, slices: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
+        turn = itertools.count(TaskContext.get().partitionId() * 7919)
+        hot: dict[int, int] = {}
         done: set[int] = set()  # sets that this task has signed, so that copies sign once
         for rows in small_batches(batches):
             if not rows.num_rows:
@@ -317,17 +351,17 @@ def _signed(docs: DataFrame, n: int, rule: Rule, slices: int) -> DataFrame:
                     fresh.append(at)
             key_array, sizes = np.array(keys, np.int64), np.array([len(s) for s in sets], np.int64)
             sketches = {at: sketch(sets[at], rule) for at in fresh}
-            order, cuts = _cuts(slices, key_array.view(_U))
             packed = []
+            for at in range(0, len(ids), PIECE):  # only passed on, so any slice will do
+                own = slice(at, at + PIECE)
+                packed.append((next(turn) % slices, 0, *(c[own].tobytes() for c in (ids, key_array, sizes, texts))))
+            order, cuts = _cuts(slices, key_array[fresh].view(_U)) if fresh else (None, [])
             for number, s, e in cuts:
-                own = order[s:e]
-                packed.append((number, 0, *(c[own].tobytes() for c in (ids, key_array, sizes, texts))))
-                drawn = [at for at in own.tolist() if at in sketches]
-                if drawn:
-                    lengths = np.array([len(sketches[at]) for at in drawn], np.int64)
-                    packed.append((number, 2, key_array[drawn].tobytes(), sizes[drawn].tobytes(), lengths.tobytes(), b"".join(sketches[at] for at in drawn)))
+                drawn = [fresh[i] for i in order[s:e].tolist()]
+                lengths = np.array([len(sketches[at]) for at in drawn], np.int64)
+                packed.append((number, 2, key_array[drawn].tobytes(), sizes[drawn].tobytes(), lengths.tobytes(), b"".join(sketches[at] for at in drawn)))
             if fresh:
-                packed += _pack_signatures([signatures(sets[at], rule) for at in fresh], [keys[at] for at in fresh], slices)
+                packed += _pack_signatures([signatures(sets[at], rule) for at in fresh], [keys[at] for at in fresh], slices, hot)
             yield _packed_batch(packed)
 
     return docs.mapInArrow(run, _PACKED)
@@ -338,11 +372,12 @@ def _signed_again(texts: DataFrame, n: int, rule: Rule, number: int, slices: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
+        hot: dict[int, int] = {}
         for rows in small_batches(batches, 100):
             sets = zip(rows.column("key").to_pylist(), (shingles(t, n) for t in raw_texts(rows.column("text"))), strict=True)
             known = {key: hashes for key, hashes in sets if set_key(hashes) == key}
             if known:
-                yield _packed_batch(_pack_signatures([signatures(s, rule, number) for s in known.values()], list(known), slices))
+                yield _packed_batch(_pack_signatures([signatures(s, rule, number) for s in known.values()], list(known), slices, hot))
 
     return texts.mapInArrow(run, _PACKED)
 
@@ -404,6 +439,9 @@ def _meeting(few: int):
         signature = np.frombuffer(b"".join(pick(a, 1)), np.uint32)
         keys = [np.frombuffer(t, np.int64)[np.frombuffer(p, np.uint16)] for p, t in zip(pick(b, 1), pick(c, 1), strict=True)]
         pairs, chains = paired(signature, np.concatenate(keys) if keys else np.zeros(0, np.int64), few)
+        sent = np.stack([_long(pick(a, 3)), _long(pick(b, 3))], axis=1)
+        if len(sent):
+            chains = rooted(np.concatenate([chains, sent]))
         drawn_keys, first = np.unique(_long(pick(a, 2)), return_index=True)
         sizes, lengths, drawn = _long(pick(b, 2))[first], _long(pick(c, 2)), b"".join(pick(d, 2))
         ends = np.cumsum(lengths)
@@ -544,7 +582,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
         total = again.agg(F.sum("size")).first()[0]
         if not total:
             break
-        texts = fetched(docs, again, ["id", "h"]).select("key", "text")
+        texts = _once(docs, again).select("key", "text")
         found = _signed_again(texts, words, rule, number, slices_for(total * SIGNED_BYTES, SLICE_BYTES))
         found = written(found.groupBy("slice").applyInArrow(_meeting(FEW), _FOUND), "met-again")
         pairs, chains = pairs.union(found.where("kind = 1")), found.where("kind = 2")
@@ -575,9 +613,16 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
     )
 
 
+def _once(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Texts of the wanted rows, one for all rows that repeat an id and a text: a task drops
+    repeats before anything is shuffled."""
+    may = marked(docs, wanted, ["id", "h"], "may").where("may").select("id", "h", "text")
+    return may.withColumn("h2", F.xxhash64(F.lit(1), "text")).dropDuplicates(["id", "h", "h2"]).join(wanted, ["id", "h"])
+
+
 def _contents(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """The hashes of the wanted sets, once for each block pair they take part in."""
-    texts = fetched(docs, wanted, ["id", "h"]).select("key", "component", "blocks", "copies", "text")
+    texts = _once(docs, wanted).select("key", "component", "blocks", "copies", "text")
     names = ["key", "component", "i", "j", "block", "copies", "hashes"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from loomsift.llm import embedding_dedup, hard_negatives
+from loomsift.llm import embedding_dedup, hard_negatives, jaccard_join
 from loomsift.llm.embedding_dedup import Plan
 
 ODD = [None, [], [0.0, 0.0, 0.0], [math.inf, 1.0, 2.0], [math.nan, 1.0, 2.0], [None, 1.0, 2.0], [1e300, 1e300, 0.0], [1e-310, 1e-310, 0.0], [1.0, 1.0], [2.0, 2.0], [-0.0, 1.0, 0.0], [0.0, 3.0, 0.0]]
@@ -69,10 +69,13 @@ def test_hot_groups(spark):
 
 
 def test_full_buckets_are_thinned_in_the_map_pass():
-    signature, key = np.array([5] * 100 + [6] * 3, np.uint64), np.arange(103)
-    signature, key, edges = embedding_dedup.thinned(signature, key, 8)
-    assert (signature == 5).sum() == 9 and (signature == 6).sum() == 3 and len(edges) == 91 and set(edges[:, 0]) == {0}
-    assert set(edges[:, 1]) | set(key[signature == 5]) == set(range(100))
+    signature, key, hot = np.array([5] * 100 + [6] * 3, np.uint64), np.arange(103), {}
+    kept, keys, edges = jaccard_join.thinned(signature, key, 8, hot)
+    assert (kept == 5).sum() == 9 and (kept == 6).sum() == 3 and len(edges) == 91 and set(edges[:, 0]) == {0} and hot == {5: 0}
+    assert set(edges[:, 1]) | set(keys[kept == 5]) == set(range(100))
+    kept, keys, edges = jaccard_join.thinned(signature, key + 200, 8, hot)  # the task's next batch
+    assert (kept == 5).sum() == 0 and len(edges) == 100 and set(edges[:, 0]) == {0} and (kept == 6).sum() == 3
+    assert all(len(x) == 0 for x in jaccard_join.thinned(signature[:0], key[:0], 8, hot))
 
 
 def test_recall_at_the_threshold():
