@@ -10,6 +10,10 @@ The windows are measured before they are collected. An automaton has a node for
 of their bytes at most, and takes some 50 bytes a node in a worker, so above ``NODES``
 distinct windows are dealt by hash into groups of that many bytes, each with its own
 automaton, and the documents are scanned once per group with the hits carried along.
+The ids of a window's items lie in the automaton where there are at most ``NAMED`` of
+them. A window that more items share has a number there; the items of such windows are
+joined to the documents that hold them afterwards, so no list of items is broadcast or
+gathered for its window.
 
 Rows, defined: a null or empty text has no words and no hits; an item without an
 id or without words takes no part; items that repeat an id count once; repeated
@@ -26,17 +30,19 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import written
 from .bpe import once
-from .common import binaries, bounded_batches, raw_texts, small_batches
+from .common import binaries, bounded_batches, free_name, raw_texts, small_batches
 
 WINDOW = 13
 #: Nodes of one automaton: distinct windows are dealt into groups of so many bytes.
 NODES = 6_000_000
+#: Items of a window whose ids are broadcast with it.
+NAMED = 16
 
 _KEPT = b"0123456789abcdefghijklmnopqrstuvwxyz"
 #: Byte to its normal form: A-Z to a-z, other ASCII that isn't a word to a space.
@@ -113,20 +119,43 @@ def find(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: st
     spans (character offsets of each run of hit words)."""
     spark = docs.sparkSession
     known = items.select(F.col(item_col).cast("string").alias("item"), F.col(item_text).alias("text")).where("item IS NOT NULL AND text IS NOT NULL")
-    windows = _windows(known, window).groupBy("window").agg(F.array_sort(F.collect_set("item")).alias("items"))
-    total = windows.agg(F.sum(F.octet_length("window") + 2)).first()[0] or 0
-    groups = -(-total // NODES) or 1
+    pairs = _windows(known, window).distinct()
+    place = F.row_number().over(Window.partitionBy("window").orderBy("item"))
+    named = pairs.withColumn("place", place).where(F.col("place") <= NAMED + 1)  # a limit before the shuffle, too
+    windows = named.groupBy("window").agg(F.array_sort(F.collect_list("item")).alias("items")).withColumn("wide", F.size("items") > NAMED)
+    windows = windows.withColumn("items", F.when(F.col("wide"), F.array(F.concat(F.lit(WIDE), F.sha2("window", 256)))).otherwise(F.col("items")))
+    names = F.aggregate("items", F.lit(0), lambda total, item: total + F.octet_length(item))
+    told = windows.agg(F.sum(F.octet_length("window") + 2 + names).alias("size"), F.count_if("wide").alias("wide")).first()
+    groups = -(-(told["size"] or 0) // NODES) or 1
     if groups > 1:
         windows = written(windows.withColumn("group", F.pmod(F.xxhash64("window"), F.lit(groups))), "windows", by="group")
     kept = [c for c in docs.columns if c not in STATE.names]
     out = bounded_batches(docs).select(*kept)
     for group in range(groups):
-        own = (windows.where(F.col("group") == group) if groups > 1 else windows).collect()  # windows of about NODES bytes
+        own = (windows.where(F.col("group") == group) if groups > 1 else windows).collect()  # windows and names of about NODES bytes
         shared = spark.sparkContext.broadcast([(bytes(r.window), r["items"]) for r in own])
         out = _scan(out, shared, text_col, kept, group > 0)
         if group + 1 < groups:  # one automaton at a time in a worker
             out = written(out, "decontaminate")
-    return out
+    return _widened(out, pairs, kept) if told.wide else out
+
+
+#: What a number in the place of items begins with; no id of an item holds it.
+WIDE = "\x00window:"
+
+
+def _widened(found: DataFrame, pairs: DataFrame, kept: list[str]) -> DataFrame:
+    """The items of windows that many share, in the place of the windows' numbers."""
+    number = F.concat(F.lit(WIDE), F.sha2("window", 256)).alias("number")
+    at = free_name("at", [*found.columns, "item", "number", "listed"])
+    found = written(found.withColumn(at, F.monotonically_increasing_id()), "wide")  # the numbers stay as written
+    is_wide = lambda x: F.startswith(x, F.lit(WIDE))
+    some = found.where(F.exists("items", is_wide))
+    links = some.select(at, F.explode(F.filter("items", is_wide)).alias("number")).join(pairs.select(number, "item"), "number").select(at, "item")
+    links = links.union(some.select(at, F.explode(F.filter("items", lambda x: ~is_wide(x))).alias("item"))).distinct()
+    listed = links.groupBy(at).agg(F.array_sort(F.collect_list("item")).alias("listed"))  # the items of one document, as its result has them
+    out = found.join(listed, at, "left").withColumn("items", F.coalesce(listed["listed"], found["items"]))
+    return out.select(*kept, *STATE.names)
 
 
 def _windows(items: DataFrame, size: int) -> DataFrame:

@@ -5,8 +5,9 @@ marks, hashed to ``buckets``); a softmax layer over that average gives the
 languages. Both are trained by stochastic gradient descent in numpy on at most
 ``Settings.sample`` labelled rows (by default 800 a language, fewer for each where
 there are more than 256 languages, but never none; chosen by a hash of key and text,
-exact copies once) and ``Settings.entries`` subwords of theirs. Part of that sample, never all rows of a language, is held
-back to fit the temperature that calibrates the probabilities and the threshold
+exact copies once). Rows are learned from whole; where they are so long that their
+subwords exceed ``Settings.room``, fewer are drawn. Part of that sample, never all rows
+of a language, is held back to fit the temperature that calibrates the probabilities and the threshold
 below which a prediction is rejected.
 
 As the layers are linear, embeddings and softmax weights fold into one score
@@ -48,7 +49,7 @@ class Settings:
     longest: int = 4
     per_label: int = 800  #: labelled rows to learn from, for each label
     sample: int = 800 * 256  #: labelled rows to learn from in all, or one for each label
-    entries: int = 1 << 26  #: distinct subwords of all sampled rows; long rows keep their most frequent ones
+    room: int = 1 << 26  #: distinct subwords of the rows drawn, in all; a label's share holds one row at least
     labels: int | None = None  #: more distinct labels than this raise an error, if given
     folded: int = 256  #: labels up to which the layers are folded
     cells: int = 1 << 22  #: rows times labels scored at once
@@ -103,23 +104,25 @@ def subwords(pieces: list[str], settings: Settings) -> tuple[np.ndarray, np.ndar
     return np.concatenate(buckets), np.concatenate(owners)
 
 
-def _bags(labelled: DataFrame, settings: Settings, most: int) -> list[tuple[str, np.ndarray, np.ndarray]]:
-    """Label, distinct buckets and their weights of each row; of a row with more than
-    ``most`` buckets, the most frequent ones."""
+def _bags(labelled: DataFrame, settings: Settings, room: int) -> list[tuple[str, np.ndarray, np.ndarray]]:
+    """Label, distinct buckets and their weights of each row, whole; of a label's rows, by
+    place, the first that have ``room`` for their buckets, and one at least."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, 200):
-            out = []
-            for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                found, n = np.unique(subwords(text.split(), settings)[0], return_counts=True)
-                if len(found) > most:
-                    keep = np.sort(np.lexsort((found, -n))[:most])
-                    found, n = found[keep], n[keep]
-                out.append((label, found.astype("<i4").tobytes(), n.astype("<i4").tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)] if out else [pa.array([], t) for t in (pa.string(), pa.binary(), pa.binary())], ["label", "found", "n"])
+            found, n, size = [], [], []
+            for text in batch.column(1).to_pylist():
+                own, count = np.unique(subwords(text.split(), settings)[0], return_counts=True)
+                found.append(own.astype("<i4").tobytes())
+                n.append(count.astype("<i4").tobytes())
+                size.append(len(own))
+            made = [pa.array(found, pa.binary()), pa.array(n, pa.binary()), pa.array(size, pa.int64())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *made, batch.column(2)], ["label", "found", "n", "size", "place"])
 
-    rows = labelled.mapInArrow(run, "label string, found binary, n binary").collect()
-    return [(r.label, np.frombuffer(r.found, "<i4"), np.frombuffer(r.n, "<i4")) for r in sorted(rows, key=lambda r: (r.label, r.found, r.n)) if r.found]
+    rows = labelled.select("label", "text", "place").mapInArrow(run, "label string, found binary, n binary, size long, place long").where("size > 0")
+    order = Window.partitionBy("label").orderBy("place", "found", "n").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    drawn = rows.withColumn("held", F.sum("size").over(order)).where(F.col("held") <= F.greatest(F.lit(room), F.col("size")))
+    return [(r.label, np.frombuffer(r.found, "<i4"), np.frombuffer(r.n, "<i4")) for r in sorted(drawn.collect(), key=lambda r: (r.label, r.found, r.n))]
 
 
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang", settings: Settings = Settings(), usable: Column | None = None) -> Model | None:
@@ -153,8 +156,8 @@ def _learned(rows: DataFrame, each: int, labels: int, settings: Settings) -> lis
     lettered = rows.where(F.col("text").rlike(r"\p{L}"))
     order = Window.partitionBy("label").orderBy("place", "text")
     picked = lettered.withColumn("rank", F.dense_rank().over(order)).where(F.col("rank") <= each).select("label", "text", "place")
-    picked = picked.dropDuplicates(["label", "text"]).select("label", "text")
-    return _bags(picked, settings, max(1, settings.entries // (each * labels)))
+    picked = picked.groupBy("label", "text").agg(F.min("place").alias("place"))
+    return _bags(picked, settings, settings.room // labels)
 
 
 def train(bags: list[tuple[str, np.ndarray, np.ndarray]], settings: Settings) -> Model:

@@ -17,8 +17,12 @@ whole or absent; ``chunks`` also lists each document's id and length.
 Ids are those of the library's ``encode`` without its post-processor: an added token
 of the vocabulary file that a text holds is that token, not ordinary text.
 
+A folder of ``chunks`` holds one range; its name ascends with the ids, so a reader who
+takes the files by name meets the documents in order. Rows that share an id may fill
+several ranges.
+
 Rows, defined: a null or empty text has only the end id; repeated rows and ids are
-written one by one, equal ids in the order of their texts; null ids come first;
+written one by one, equal ids in the order of their texts' hashes; null ids come first;
 empty tables give no rows. Only the id and text columns are read.
 """
 
@@ -171,7 +175,10 @@ def write(docs: DataFrame, vocabulary: str, path: str, end: int, id_col: str = "
     size = input_bytes(rows, "text")
     # Ranges of the id: few enough for full chunks, many enough to spread.
     n = partitions or max(spark.sparkContext.defaultParallelism * 4, -(-size // RANGE_BYTES))
-    dealt = rows.repartitionByRange(n, F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first(), "text")
+    # An id, or none, that most rows have is split by the texts' hashes, and copies by turn.
+    rows = rows.withColumns({"h": F.xxhash64("text"), "turn": F.monotonically_increasing_id()})
+    order = [F.col("id").asc_nulls_first(), F.col("h"), F.col("turn")]
+    dealt = rows.repartitionByRange(n, *order).sortWithinPartitions(*order).select("id", "text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = once(shared, MarkedEncoder)
@@ -223,7 +230,8 @@ def write(docs: DataFrame, vocabulary: str, path: str, end: int, id_col: str = "
             payload = [coder.encode(np.frombuffer(x, narrow)) for x in batch.column("payload").to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], binaries(payload)], batch.schema.names)
 
-    plain.mapInArrow(compress, _CHUNKS).write.option("compression", "none").parquet(f"{path}/chunks")
+    coded = plain.mapInArrow(compress, _CHUNKS).withColumn("range", F.format_string("%08d", "shard"))
+    coded.sortWithinPartitions("range", "chunk").write.option("compression", "none").partitionBy("range").parquet(f"{path}/chunks")
     folder = spark._jvm.org.apache.hadoop.fs.Path(plain.inputFiles()[0]).getParent() if plain.inputFiles() else None
     if folder is not None:  # the plain ids have served
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
@@ -234,7 +242,7 @@ def read(spark: SparkSession, path: str, id_col: str = "doc_id") -> DataFrame:
     before), ids (little-endian u32, binary)."""
     table = spark.read.parquet(f"{path}/table").first()["content"]
     shared = spark.sparkContext.broadcast(bytes(table))
-    chunks = spark.read.schema(_CHUNKS).parquet(f"{path}/chunks")
+    chunks = spark.read.schema(_CHUNKS).parquet(f"{path}/chunks").drop("range")
     # One row for each range of RANGE_BYTES: few enough for one window, and to broadcast.
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     bases = chunks.groupBy("shard").agg(F.sum("total").alias("total")).select("shard", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))

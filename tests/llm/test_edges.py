@@ -4,6 +4,7 @@ import hashlib
 import struct
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -38,11 +39,17 @@ def test_language_sample_is_bounded_by_key_and_text(spark, monkeypatch):
     word = F.translate(F.format_string("%04d", F.col("id").cast("int")), "0123456789", "abcdefghij")
     rows = spark.range(900).select(F.when(F.col("id") < 300, 7).otherwise(F.col("id")).alias("doc_id"), F.when(F.col("id") < 600, word).otherwise("the same").alias("text"), (F.col("id") / 300).cast("int").cast("string").alias("lang"))
     copies = spark.range(3000).select(F.lit(5).cast("long").alias("doc_id"), F.lit("one text").alias("text"), F.lit("copies").alias("lang"))
-    settings = language.Settings(per_label=20, sample=2000, entries=20 * 4 * 6)
+    settings = language.Settings(per_label=20, sample=2000, room=20 * 4 * 16)
     language.fit(rows.union(copies), settings=settings)
     (bags,) = seen
     count = {label: sum(b[0] == label for b in bags) for label in ("0", "1", "2", "copies")}
-    assert count == {"0": 20, "1": 20, "2": 1, "copies": 1} and max(len(b[1]) for b in bags) == 6
+    assert count == {"0": 20, "1": 20, "2": 1, "copies": 1} and max(len(b[1]) for b in bags) == 26
+    language.fit(rows.union(copies), settings=language.Settings(per_label=20, sample=2000, room=4 * 7 * 16))
+    count = {label: sum(b[0] == label for b in seen[1]) for label in ("0", "1", "2", "copies")}
+    assert 7 <= count["0"] <= 9 and 7 <= count["1"] <= 9 and count["2"] == count["copies"] == 1  # fewer rows, none of them cut
+    assert {(b[0], bytes(b[1])) for b in seen[1]} <= {(b[0], bytes(b[1])) for b in bags}
+    language.fit(rows, settings=language.Settings(per_label=20, sample=2000, room=1))
+    assert len(seen[2]) == 3 and all(len(b[1]) >= 10 for b in seen[2])
 
 
 def test_token_files(spark, odd_docs, no_docs, json_vocabulary):
@@ -55,6 +62,27 @@ def test_token_files(spark, odd_docs, no_docs, json_vocabulary):
     assert token_files.round_trip(no_docs, json_vocabulary, 2).count() == 0
 
 
+def test_token_files_ascend_by_name(spark, json_vocabulary, tmp_path):
+    """A reader that takes the files by their names meets the documents in order, also
+    where most of them share an id."""
+    docs = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 500).when(F.col("id") % 50 == 1, F.lit(None)).otherwise(F.col("id")).alias("doc_id"), F.concat(F.lit("some words "), F.col("id") % 40).alias("text"))
+    token_files.write(docs.repartition(6), json_vocabulary, f"{tmp_path}/f", 2, partitions=12)
+    table = spark.read.parquet(f"{tmp_path}/f/table").first()["content"]
+    coder = token_files.Coder(bytes(table))
+    files = sorted(p for p in (tmp_path / "f" / "chunks").rglob("*.parquet"))
+    keys, sizes, content = [], [], []
+    for file in files:
+        for row in pq.read_table(file, partitioning=None).to_pylist():
+            keys += row["ids"]
+            sizes.append(len(row["ids"]))
+            content.append(coder.decode(row["payload"]))
+    assert len(files) > 6 and max(sizes) < 1500  # the hot id lies in several ranges
+    assert keys == sorted(keys, key=lambda k: (k is not None, k)) and len(keys) == 3000
+    found = sorted(token_files.read(spark, f"{tmp_path}/f").collect(), key=lambda r: r.start)
+    assert b"".join(bytes(r.ids) for r in found) == np.concatenate(content).astype("<u4").tobytes()
+    assert [r.doc_id for r in found] == keys
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.integers(0, 300), max_size=400), st.integers(0, 60_000))
 def test_coder(head, repeat):
