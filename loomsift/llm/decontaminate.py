@@ -147,14 +147,15 @@ WIDE = "\x00window:"
 def _widened(found: DataFrame, pairs: DataFrame, kept: list[str]) -> DataFrame:
     """The items of windows that many share, in the place of the windows' numbers."""
     number = F.concat(F.lit(WIDE), F.sha2("window", 256)).alias("number")
-    at = free_name("at", [*found.columns, "item", "number", "listed"])
+    at = free_name("at", [*found.columns, "item", "number"])
+    listing = free_name("listed", [*found.columns, at])
     found = written(found.withColumn(at, F.monotonically_increasing_id()), "wide")  # the numbers stay as written
     is_wide = lambda x: F.startswith(x, F.lit(WIDE))
     some = found.where(F.exists("items", is_wide))
     links = some.select(at, F.explode(F.filter("items", is_wide)).alias("number")).join(pairs.select(number, "item"), "number").select(at, "item")
     links = links.union(some.select(at, F.explode(F.filter("items", lambda x: ~is_wide(x))).alias("item"))).distinct()
-    listed = links.groupBy(at).agg(F.array_sort(F.collect_list("item")).alias("listed"))  # the items of one document, as its result has them
-    out = found.join(listed, at, "left").withColumn("items", F.coalesce(listed["listed"], found["items"]))
+    listed = links.groupBy(at).agg(F.array_sort(F.collect_list("item")).alias(listing))  # the items of one document, as its result has them
+    out = found.join(listed, at, "left").withColumn("items", F.coalesce(listing, "items"))
     return out.select(*kept, *STATE.names)
 
 
