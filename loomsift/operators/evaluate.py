@@ -7,7 +7,7 @@ from typing import Protocol
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -82,13 +82,38 @@ def averaged(rows: DataFrame) -> DataFrame:
     return rows.groupBy("run_id", "model", "metric").agg(F.avg("score").alias("score"), F.sum("samples").alias("samples"))
 
 
+# Least characters of a sanity answer by kind, and the headers of the
+# structured kinds. Answers off the subject are described in words, not tested.
+SANITY_LENGTHS = {
+    "BRIEFING": 600, "CULTURE_REPORT": 500, "TREND_ANALYSIS": 1000, "COMPANY_PROFILE": 600, "MARKET_BRIEF": 500, "JOURNAL": 1500,
+    "SIGNAL_EXTRACTION": 300, "GAP_DETECTION": 500, "TREND_SYNTHESIS": 800, "OFF_DOMAIN": None,
+}
+SANITY_HEADERS = {
+    "SIGNAL_EXTRACTION": ("SIGNAL:", "WHY IT MATTERS:", "DATA OPPORTUNITY:", "CURATION SCORE:"),
+    "GAP_DETECTION": ("CURRENT CAPABILITIES:", "KNOWN WEAKNESSES:", "DATA GAP:", "CURATION OBJECT:"),
+    "TREND_SYNTHESIS": ("NAME:", "WHY NOW:", "TARGET PAIRS:", "EXPECTED MODEL IMPACT:"),
+}
+# End of fixed values.
+#: What the other kinds must mention, by default; a caller may name other words.
+SANITY_WORDS = {"BRIEFING": ("today",), "CULTURE_REPORT": ("people",), "TREND_ANALYSIS": ("because",), "COMPANY_PROFILE": ("customers",), "MARKET_BRIEF": ("price",), "JOURNAL": ("week",)}
+
+
+def expected(spark: SparkSession, words: Mapping[str, Sequence[str]] = SANITY_WORDS, headers: Mapping[str, Sequence[str]] = SANITY_HEADERS, lengths: Mapping[str, int | None] = SANITY_LENGTHS) -> DataFrame:
+    """A row for each kind: kind, min_length, must_contain, no_banned; nulls where a kind
+    expects nothing."""
+    rows = [(kind, least, [*headers.get(kind, ()), *words.get(kind, ())] or None, None if least is None else True) for kind, least in lengths.items()]
+    return spark.createDataFrame(rows, "kind string, min_length int, must_contain array<string>, no_banned boolean")
+
+
 def expectations(outputs: DataFrame, expected: DataFrame, text: str, kind: str) -> DataFrame:
     """Check outputs against (kind, min_length, must_contain, no_banned) rows, a table
-    with a row per kind: which of them hold."""
-    joined = outputs.join(expected.withColumnRenamed("kind", kind), kind)
-    x = F.col(text)
+    with a row per kind: which of them hold. What a kind doesn't expect holds; a null
+    text is an empty one; outputs of unknown kinds are left out."""
+    joined = outputs.join(F.broadcast(expected.withColumnRenamed("kind", kind)), kind)  # one row a kind
+    x = F.coalesce(F.col(text), F.lit(""))
+    holds = lambda check: F.coalesce(check, F.lit(True))
     return joined.withColumns({
-        "long_enough": F.length(x) >= F.col("min_length"),
-        "contains_all": F.forall("must_contain", lambda s: F.contains(x, s)),
-        "clean": ~F.col("no_banned") | (count_any(x, BANNED) == 0),
+        "long_enough": holds(F.length(x) >= F.col("min_length")),
+        "contains_all": holds(F.forall("must_contain", lambda s: F.contains(x, s))),
+        "clean": ~F.coalesce("no_banned", F.lit(False)) | (count_any(x, BANNED) == 0),
     }).drop("min_length", "must_contain", "no_banned")

@@ -36,9 +36,9 @@ def latest_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
 def merged_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A file of lines for each event type, merged in the types' order, read in order."""
     events = table(spark, sf_dir, "events").select("event_type", "event_id", F.to_json(F.struct("event_type", "event_id")).alias("line"))
-    types = [r[0] for r in events.select("event_type").distinct().orderBy("event_type").collect()]  # a handful
-    path = work_path(spark, "merged")
-    jsonl.merge_in_order([events.where(F.col("event_type") == t) for t in types], path, ["event_id"])
+    parts, path = jsonl.write_parts(events, work_path(spark, "types"), "event_type", F.col("line"), ["event_id"]), work_path(spark, "merged")
+    frames = [jsonl.lines(spark, [folder]) for _, folder in sorted(parts.items())]  # each type's own files
+    jsonl.merge_in_order([f.drop("source_ord") for f in frames], path, ["file", "block", "row"])
     rows = jsonl.parsed(jsonl.lines(spark, [path]), "event_type string, event_id long")
     arrival = Window.partitionBy("event_type").orderBy("source_ord", "file", "block", "row")
     return rows.select("record.*", "source_ord", "file", "block", "row").select("event_type", "event_id", F.row_number().over(arrival).cast("long").alias("place"))
@@ -49,10 +49,8 @@ def resume_line_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines already written for each category, one of which has no file."""
     events = table(spark, sf_dir, "events")
     folder = work_path(spark, "written")
-    types = [r[0] for r in events.select("event_type").distinct().orderBy("event_type").collect()]  # a handful
-    for t in types:
-        jsonl.write_jsonl(events.where(F.col("event_type") == t).select("event_id"), f"{folder}/{t}")
-    counts = resume_counts(spark, {t: f"{folder}/{t}" for t in [*types, "none"]})
+    parts = jsonl.write_parts(events, folder, "event_type", F.to_json(F.struct("event_id")), ["event_id"])
+    counts = resume_counts(spark, parts | {"none": f"{folder}/none"})
     return spark.createDataFrame(list(counts.items()), "category string, written long")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
@@ -109,6 +110,15 @@ def write_jsonl(df: DataFrame, path: str, line: Column | None = None, order: Seq
     rows.select(text.alias("value")).write.mode(mode).text(path)
 
 
+def write_parts(df: DataFrame, folder: str, by: str, line: Column, order: Sequence[str]) -> dict[str, str]:
+    """Lines in a folder for each value of ``by``, in ``order`` when its files are taken by
+    name, in one pass; the folders by value. Values must be few."""
+    rows = df.select(by, line.alias("value"), *(F.col(o).alias(f"_o{i}") for i, o in enumerate(order)))
+    keys = [by, *(f"_o{i}" for i in range(len(order)))]
+    rows.repartitionByRange(*keys).sortWithinPartitions(*keys).select(by, "value").write.mode("overwrite").partitionBy(by).text(folder)
+    return {unquote(name.partition("=")[2]): f"{folder}/{name}" for name in listed(df.sparkSession, folder) if name.startswith(f"{by}=")}
+
+
 def write_hashed(df: DataFrame, path: str, rank: str, line: Column, files: int = 1) -> Row:
     """Lines in rank order, as ``files`` part files that make up one JSONL file when they
     are joined by name; (n, sha256, path) of that file. One file is hashed as it is

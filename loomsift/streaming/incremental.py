@@ -35,10 +35,9 @@ def run_once(spark: SparkSession, source: str, schema: T.StructType, output: str
         earlier = _ledger(spark, output, number)
         if earlier is not None:
             rows = against_ledger(rows, earlier, "_key")
-        first = first_wins(rows, [F.col("_key")], order).persist()
+        first = written(first_wins(rows, [F.col("_key")], order), "batch")
         _counted(first.select("_key"), new).write.mode("overwrite").parquet(f"{output}/keys/batch={number}")
         _counted(keep(first.drop("_key")), kept).write.mode("overwrite").parquet(f"{output}/rows/batch={number}")
-        first.unpersist()
         if snapshot is not None:
             snapshot({"batch": number, **{name: seen.get["rows"] for name, seen in (("read", read), ("new", new), ("kept", kept))}})
 
@@ -89,5 +88,11 @@ def result(spark: SparkSession, output: str) -> DataFrame:
 
 
 def resume_counts(spark: SparkSession, paths: dict[str, str]) -> dict[str, int]:
-    """Non-blank lines already written for each category."""
-    return {c: spark.read.text(p).where(F.trim("value") != "").count() if exists(spark, p) else 0 for c, p in paths.items()}
+    """Non-blank lines already written for each category, by one job over all their files."""
+    rows = None
+    for category, path in paths.items():
+        if exists(spark, path):
+            own = spark.read.text(path).where(F.trim("value") != "").select(F.lit(category).alias("category"))
+            rows = own if rows is None else rows.union(own)
+    found = {r.category: r["n"] for r in rows.groupBy("category").agg(F.count("*").alias("n")).collect()} if rows is not None else {}
+    return {category: found.get(category, 0) for category in paths}
