@@ -317,7 +317,7 @@ _HOLDS = {
     "BRIEFING": ("the", "ing"), "CULTURE_REPORT": ("a", "e"), "TREND_ANALYSIS": ("tion",), "COMPANY_PROFILE": ("er ", "s "), "MARKET_BRIEF": ("and",),
     "JOURNAL": ("of the",), "SIGNAL_EXTRACTION": ("de ", "la"), "GAP_DETECTION": ("st",), "TREND_SYNTHESIS": ("en", "ar", "or"),
 }
-_KINDS = ", ".join(f"('{kind}', {least if least is not None else 'NULL'}, {list(_HOLDS.get(kind, []))})" for kind, least in SANITY_LENGTHS.items())
+_SANITY = ", ".join(f"('{kind}', {least if least is not None else 'NULL'}, {list(_HOLDS.get(kind, []))})" for kind, least in SANITY_LENGTHS.items())
 
 
 @query(f"""
@@ -326,7 +326,7 @@ d AS (SELECT doc_id, kinds[CAST(doc_id % 10 AS INTEGER) + 1] AS kind, coalesce(t
 m AS (SELECT *, {ASCII_WORDS} AS t FROM d)
 SELECT doc_id, kind, m.least IS NULL OR length(text) >= m.least AS long_enough, len(list_filter(holds, lambda h: NOT contains(text, h))) = 0 AS contains_all,
   m.least IS NULL OR NOT regexp_matches(t, '(?i)\\b(boundless synergy|quantum leap forward|seamlessly empower|next[- ]level value)\\b') AS clean
-FROM (SELECT doc_id, kind, text, t, e.least, e.holds FROM m JOIN (VALUES {_KINDS}) e(name, least, holds) ON kind = name) m
+FROM (SELECT doc_id, kind, text, t, e.least, e.holds FROM m JOIN (VALUES {_SANITY}) e(name, least, holds) ON kind = name) m
 """)
 def sanity_expectations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ten kinds of sanity answers, with words that occur in the data."""
