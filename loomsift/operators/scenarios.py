@@ -228,25 +228,53 @@ def _value(slot: Column, place: Column, pools: Column, outline: Column, seed: in
     )
 
 
+def chosen_branches(branches: Iterable[Branch] = BRANCHES, families: Sequence[str] | None = None, categories: Sequence[str] | None = None) -> list[Branch]:
+    return [b for b in branches if (families is None or b.family in families) and (categories is None or b.category in categories)]
+
+
+def turns_of(branches: Iterable[Branch]) -> dict[tuple[str, str], int]:
+    """How many branches take turns in each (family, category)."""
+    turns: dict[tuple[str, str], int] = {}
+    for b in branches:
+        turns[b.family, b.category] = max(turns.get((b.family, b.category), 0), b.sub + 1)
+    return turns
+
+
+def dealt(rows: DataFrame, key: Column, branches: Iterable[Branch]) -> DataFrame:
+    """A work list of one scenario for each row: keys are dealt to the categories in turn,
+    and what a category gets is numbered by the rounds. A null key gets no number; equal
+    keys get equal scenarios. Nothing is shuffled."""
+    names = sorted(turns_of(branches))
+    if not names:
+        raise ValueError("no branches to deal to")
+    stock = F.array(*[F.struct(F.lit(f).alias("family"), F.lit(c).alias("category")) for f, c in names])
+    place = F.pmod(key, F.lit(len(names)))
+    own = F.when(key.isNotNull(), F.element_at(stock, (place + 1).cast("int")))
+    return rows.select(own["family"].alias("family"), own["category"].alias("category"), F.call_function("div", key - place, F.lit(len(names))).alias("idx"))
+
+
 def scenarios(
-    spark: SparkSession, n: int, seed: int = 42, branches: Sequence[Branch] = BRANCHES, pools: Mapping[str, Sequence[str]] = POOLS,
+    spark: SparkSession, n: int | DataFrame, seed: int = 42, branches: Sequence[Branch] = BRANCHES, pools: Mapping[str, Sequence[str]] = POOLS,
     limits: Mapping[str, tuple[int, int]] = FORMAT_LIMITS, outlines: Mapping[str, str] = OUTLINES,
     families: Sequence[str] | None = None, categories: Sequence[str] | None = None,
 ) -> DataFrame:
-    """n numbered scenarios of every category: family, category, idx, sub, format, prompt,
-    min_len, max_tokens. Branches take turns; a pool that is missing leaves its slot
-    empty."""
-    chosen = [b for b in branches if (families is None or b.family in families) and (categories is None or b.category in categories)]
-    turns: dict[tuple[str, str], int] = {}
-    for b in chosen:
-        turns[b.family, b.category] = max(turns.get((b.family, b.category), 0), b.sub + 1)
+    """Numbered scenarios: family, category, idx, sub, format, prompt, min_len, max_tokens.
+    ``n`` of every category, or one for each row (family, category, idx) of a work list,
+    such as ``dealt`` makes of a table's keys; rows of an unknown category or without a
+    number make none. Branches take turns; a pool that is missing leaves its slot empty."""
+    chosen = chosen_branches(branches, families, categories)
+    turns = turns_of(chosen)
     rows = template_rows(spark, chosen)
     counts = spark.createDataFrame([(*k, v) for k, v in turns.items()], "family string, category string, turns long")
     specs = spark.createDataFrame([(f, outlines.get(f, ""), *limits[f]) for f in limits], "format string, outline string, min_len int, max_tokens int")
     stock = F.create_map(*[x for name, members in pools.items() for x in (F.lit(name), F.array(*map(F.lit, members)))])
     key = [F.col("family"), F.col("category"), F.col("idx")]
     # The three small tables have a row for each category, branch and format.
-    numbered = spark.range(n).withColumnRenamed("id", "idx").join(F.broadcast(counts)).withColumn("sub", round_robin(F.col("idx"), F.col("turns")))
+    if isinstance(n, int):
+        wanted = spark.range(n).withColumnRenamed("id", "idx").join(F.broadcast(counts))
+    else:
+        wanted = n.where("idx IS NOT NULL").select("family", "category", "idx").join(F.broadcast(counts), ["family", "category"])
+    numbered = wanted.withColumn("sub", round_robin(F.col("idx"), F.col("turns")))
     told = numbered.join(F.broadcast(rows), ["family", "category", "sub"]).withColumn("format", _one(F.col("formats"), _number(*key, F.lit("format"), seed=seed)))
     told = told.join(F.broadcast(specs), "format")
     values = F.transform("slots", lambda slot, place: F.coalesce(_value(slot, place, stock, F.col("outline"), seed, key), F.lit("")))

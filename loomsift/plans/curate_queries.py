@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import render as R
@@ -196,37 +196,44 @@ def _prompt_sql(branch: C.Branch) -> str:
     return " || ".join([x for i, slot in enumerate(slots) for x in (text(parts[i]), _slot_sql(slot, i))] + [text(parts[-1])])
 
 
-def _scenarios_sql(n: int, families: tuple[str, ...] | None = None, categories: tuple[str, ...] | None = None) -> str:
+def _work(spark: SparkSession, sf_dir: str, families: list[str] | None = None, categories: list[str] | None = None) -> DataFrame:
+    """One scenario for each document, dealt to the categories in turn."""
+    branches = C.chosen_branches(families=families, categories=categories)
+    return C.scenarios(spark, C.dealt(table(spark, sf_dir, "documents"), F.col("doc_id"), branches), families=families, categories=categories)
+
+
+def _scenarios_sql(families: tuple[str, ...] | None = None, categories: tuple[str, ...] | None = None) -> str:
     own = [b for b in C.BRANCHES if (families is None or b.family in families) and (categories is None or b.category in categories)]
     turns = {(b.family, b.category): max(x.sub for x in own if (x.family, x.category) == (b.family, b.category)) + 1 for b in own}
-    rows = ", ".join(f"('{f}', '{c}', {k})" for (f, c), k in turns.items())
+    rows = ", ".join(f"('{f}', '{c}', {place}, {k})" for place, ((f, c), k) in enumerate(sorted(turns.items())))
     at = lambda b: f"WHEN family = '{b.family}' AND category = '{b.category}' AND sub = {b.sub} THEN"
     formats = " ".join(f"{at(b)} {_one_sql(b.formats, 'format')}" for b in own)
     prompts = " ".join(f"{at(b)} {_prompt_sql(b)}" for b in own)
     specs = ", ".join(f"('{f}', {_listed([C.OUTLINES[f]])}[1], {least}, {most})" for f, (least, most) in C.FORMAT_LIMITS.items())
-    return f"""t(family, category, k) AS (VALUES {rows}),
-i AS (SELECT family, category, range AS idx, range % k AS sub FROM t, range({n})),
+    return f"""t(family, category, place, k) AS (VALUES {rows}),
+i AS (SELECT family, category, doc_id // {len(turns)} AS idx, doc_id // {len(turns)} % k AS sub FROM documents JOIN t ON place = doc_id % {len(turns)}),
 f AS (SELECT *, CASE {formats} END AS format FROM i),
 o(format, outline, min_len, max_tokens) AS (VALUES {specs}),
 scenario AS (SELECT family, category, idx, sub, format, CASE {prompts} END AS prompt, CAST(min_len AS INTEGER) AS min_len, CAST(max_tokens AS INTEGER) AS max_tokens FROM f JOIN o USING (format))"""
 
 
-@query(f"WITH {_scenarios_sql(40)} SELECT * FROM scenario")
+@query(f"WITH {_scenarios_sql()} SELECT * FROM scenario")
 def prompt_scenarios(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.scenarios(spark, 40)
+    """All sets' scenarios, one for each document."""
+    return _work(spark, sf_dir)
 
 
-@query(f"WITH {_scenarios_sql(30, families=('cascade',))} SELECT family, category, idx, prompt FROM scenario ORDER BY family, category, idx LIMIT 20")
+@query(f"WITH {_scenarios_sql(families=('cascade',))} SELECT family, category, idx, prompt FROM scenario ORDER BY family, category, idx LIMIT 20")
 def dry_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The head that a trial run would ask for."""
-    return C.head(C.scenarios(spark, 30, families=["cascade"]), most=1000, dry_run=20).select("family", "category", "idx", "prompt")
+    """The head that a trial run over the documents would ask for."""
+    return C.head(_work(spark, sf_dir, families=["cascade"]), most=1000, dry_run=20).select("family", "category", "idx", "prompt")
 
 
 _ECHO = Echo()
 
 
 _STUB_SQL = f"""
-WITH {_scenarios_sql(10, categories=('culture', 'market', 'gap_detection'))}, s AS (SELECT *, sha256('gen:' || prompt) AS h FROM scenario),
+WITH {_scenarios_sql(categories=('culture', 'market', 'gap_detection'))}, s AS (SELECT *, sha256('gen:' || prompt) AS h FROM scenario),
 e AS (SELECT *, least(max_tokens, 40 + CAST('0x' || left(h, 2) AS BIGINT)) AS n FROM s),
 w AS (SELECT *, CAST(list_sum(list_transform(range(0, n), lambda i: length({_listed(_ECHO.words)}[CAST(CAST('0x' || substr(h, CAST(i % 32 * 2 + 1 AS INTEGER), 2) AS BIGINT) % {len(_ECHO.words)} AS INTEGER) + 1]))) + n - 1 AS BIGINT) AS size FROM e),
 stub AS (SELECT family, category, idx, CASE WHEN size > min_len // 2 THEN 1 ELSE 4 END AS attempts, CASE WHEN size > min_len // 2 THEN NULL ELSE 'too short' END AS error,
@@ -234,41 +241,72 @@ stub AS (SELECT family, category, idx, CASE WHEN size > min_len // 2 THEN 1 ELSE
 """
 
 
-def _stub(spark: SparkSession) -> DataFrame:
-    return generate(C.scenarios(spark, 10, categories=["culture", "market", "gap_detection"]), _ECHO)
+def _stub(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return generate(_work(spark, sf_dir, categories=["culture", "market", "gap_detection"]), _ECHO)
 
 
 @query(f"{_STUB_SQL} SELECT * FROM stub")
 def generated_stub(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scenarios completed by the deterministic Python stub; attempts and errors."""
-    return _stub(spark).select("family", "category", "idx", "attempts", "error", F.length("text").alias("n_chars"))
+    """The documents' scenarios completed by the deterministic Python stub; attempts and errors."""
+    return _stub(spark, sf_dir).select("family", "category", "idx", "attempts", "error", F.length("text").alias("n_chars"))
 
 
 @query(f"{_STUB_SQL} SELECT CAST(sum(attempts) AS BIGINT) AS total, count(error) AS error, count(n_chars) AS completed FROM stub")
 def call_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Calls of the stub in all, rows that ended with an error, rows with a text."""
-    return calls_by_kind(_stub(spark))
+    return calls_by_kind(_stub(spark, sf_dir))
 
 
-RSS = """<rss version="2.0"><channel><item><title> First </title><link>http://a/1</link><description>&lt;p&gt;Hi &lt;b&gt;there&lt;/b&gt;&lt;/p&gt;</description><pubDate>Mon</pubDate></item>
-<item><title>Second</title><link>http://a/2</link><description>neural nets</description></item></channel></rss>"""
-ATOM = """<feed xmlns="http://www.w3.org/2005/Atom"><entry><title>One</title><link href="http://b/1"/><summary>s</summary><updated>2024</updated></entry>
-<entry><title>One</title><link href="http://b/2"/></entry><entry><title>  </title></entry></feed>"""
-PAPERS = """<feed xmlns="http://www.w3.org/2005/Atom"><entry><id>http://p/1</id><title>A
-  paper</title><summary>On  neural
- things</summary><published>2024</published><author><name>X</name></author><author><name>Y</name></author><link href="http://p/1.html" type="text/html"/><category term="cs.AI"/><category term="cs.CL"/></entry></feed>"""
+def _payloads(spark: SparkSession, sf_dir: str, kind: int) -> DataFrame:
+    """Documents as feeds, a line an item: every third as RSS, as Atom, as a paper feed.
+    Payloads of ids that end in 9 are cut off. Titles hold the white space of the line."""
+    escaped = lambda x: F.replace(F.replace(F.replace(x, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    feed, joined = F.col("doc_id").cast("string"), lambda *parts: F.concat(*(F.lit(p) if isinstance(p, str) else p for p in parts))
 
+    def rss(line: Column, place: Column) -> Column:
+        body = joined("<p>Of <b>", line, "</b></p>")
+        return joined("<item><title> ", escaped(line), " </title><link>http://a/", feed, "/", place.cast("string"), "</link><description>", escaped(body), "</description><pubDate>Mon</pubDate></item>")
 
-@query("""
-SELECT * FROM (VALUES
-  (0, 'a', 0, 'First', 'http://a/1', 'Hi there', 'Mon', NULL), (0, 'a', 1, 'Second', 'http://a/2', 'neural nets', '', NULL),
-  (1, 'b', 0, 'One', 'http://b/1', 's', '2024', NULL), (2, 'arxiv', 0, 'A paper', 'http://p/1.html', 'On neural things', '2024', 'X,Y')
-) v(source_ord, source, place, title, url, summary, published, authors)
+    def atom(line: Column, place: Column) -> Column:
+        dated = F.when(place % 2 == 0, "<updated>2024</updated>").otherwise("<published>2023</published><updated>2024</updated>")
+        return joined("<entry><title>", escaped(line), "</title><link href=\"http://b/", feed, "/", place.cast("string"), "\"/><summary>", escaped(line), "</summary>", dated, "</entry>")
+
+    def paper(line: Column, place: Column) -> Column:
+        at = joined("http://p/", feed, "/", place.cast("string"))
+        page = F.when(place % 2 == 0, joined("<link href=\"", at, ".html\" type=\"text/html\"/>")).otherwise("<link href=\"x\" type=\"application/pdf\"/>")
+        names = F.array_join(F.transform(F.sequence(F.lit(1), (place % 7 + 1).cast("int")), lambda i: joined("<author><name>A", i.cast("string"), "</name></author>")), "")
+        return joined("<entry><id>", at, "</id><title>", escaped(line), "\n  end</title><summary>On  ", escaped(line), "\n </summary><published>2024</published>", names, page, "<category term=\"cs.CL\"/></entry>")
+
+    opening, closing, item = (
+        ("<rss version=\"2.0\"><channel>", "</channel></rss>", rss),
+        ("<feed xmlns=\"http://www.w3.org/2005/Atom\">", "</feed>", atom),
+        ("<feed xmlns=\"http://www.w3.org/2005/Atom\">", "</feed>", paper),
+    )[kind]
+    found = F.transform(F.split(F.col("text"), "\n", -1), item)
+    ending = F.when(F.col("doc_id") % 10 == 9, "").otherwise(closing)
+    rows = table(spark, sf_dir, "documents").where(F.col("doc_id") % 3 == kind)
+    return rows.select(feed.alias("source"), joined(opening, F.array_join(found, ""), ending).alias("body"))
+
+
+_LINE_STRIP = r"regexp_replace({}, '^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$', '', 'g')"
+_LINE_FLAT = r"regexp_replace({}, '[\s\x1c-\x1f]+', ' ', 'g')"
+
+
+@query(f"""
+WITH line AS (SELECT doc_id, CAST(doc_id AS VARCHAR) AS feed, unnest(string_split(text, chr(10))[1:20]) AS line, CAST(generate_subscripts(string_split(text, chr(10))[1:20], 1) - 1 AS INTEGER) AS place
+  FROM documents WHERE doc_id % 10 <> 9),
+item AS (SELECT *, {_LINE_STRIP.format('line')} AS title FROM line),
+entry AS (SELECT *, row_number() OVER (PARTITION BY doc_id, title ORDER BY place) AS rn FROM item WHERE doc_id % 3 = 1 AND title <> '')
+SELECT 0 AS source_ord, feed AS source, place, title, 'http://a/' || feed || '/' || place AS url, left({_LINE_STRIP.format("regexp_replace('Of ' || line, '<[^>]+>', '', 'g')")}, 500) AS summary, 'Mon' AS published, CAST(NULL AS VARCHAR) AS authors
+FROM item WHERE doc_id % 3 = 0
+UNION ALL SELECT 1, feed, place, title, 'http://b/' || feed || '/' || place, left({_LINE_STRIP.format("regexp_replace(title, '<[^>]+>', '', 'g')")}, 500), CASE place % 2 WHEN 0 THEN '2024' ELSE '2023' END, NULL FROM entry WHERE rn = 1
+UNION ALL SELECT 2, 'arxiv', place, {_LINE_FLAT.format(_LINE_STRIP.format("line || ' end'"))}, 'http://p/' || feed || '/' || place || CASE place % 2 WHEN 0 THEN '.html' ELSE '' END,
+  left({_LINE_FLAT.format(_LINE_STRIP.format("'On ' || line"))}, 500), '2024', array_to_string(list_transform(range(1, least(place % 7 + 1, 5) + 1), lambda i: 'A' || i), ',') FROM item WHERE doc_id % 3 = 2
 """)
 def xml_feed_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Literal payloads of each kind, one of them broken."""
-    rows = lambda *r: spark.createDataFrame(list(r), "source string, body string")
-    found = feeds.union_in_order([feeds.rss(rows(("a", RSS), ("broken", "<rss><channel>"))), feeds.atom(rows(("b", ATOM))), feeds.papers(rows(("p", PAPERS)))])
+    """Payloads of each kind made of whole documents, some of them broken. A feed's first
+    twenty items count, and an Atom feed's first of each title."""
+    found = feeds.union_in_order([parse(_payloads(spark, sf_dir, kind)) for kind, parse in enumerate((feeds.rss, feeds.atom, feeds.papers))])
     return found.select("source_ord", "source", "place", "title", "url", "summary", "published", F.array_join("authors", ",").alias("authors"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.scenarios import scenarios
+from ..operators.scenarios import chosen_branches, dealt, scenarios
 from ..session import table
 from ..transforms import assembling, built_in, collecting, evaluating
 from .base import CHATS_SQL, ITEMS_SQL, PAIRS_SQL, TOPIC, chats, items, pairs, query
@@ -75,7 +75,8 @@ def entry_evaluate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def entry_cook(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scenarios of the daily set by the deterministic stub, gated; no twin, as the stub's
-    second tier is Python. ``generated_stub`` compares its texts."""
-    made = built_in()["cook"](scenarios=scenarios(spark, 20, families=["daily"]))
+    """Scenarios of the daily set, one for each document, by the deterministic stub, gated;
+    no twin, as the stub's second tier is Python. ``generated_stub`` compares its texts."""
+    work = dealt(table(spark, sf_dir, "documents"), F.col("doc_id"), chosen_branches(families=["daily"]))
+    made = built_in()["cook"](scenarios=scenarios(spark, work, families=["daily"]))
     return made["texts"].select("category", "idx", "tier", "attempts", F.length("text").cast("long").alias("n"))

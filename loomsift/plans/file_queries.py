@@ -147,7 +147,22 @@ def split_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ids.join(back, ["split", "place"]).select(F.col("ordinal").alias("pair_id"), F.col("found").alias("line"), "split")
 
 
-@query("SELECT * FROM (VALUES ('assemble', 1), ('collect', 1), ('cook', 1), ('evaluate', 1), ('factory', 1)) v(name, inputs)")
+#: Frames that a table's rows ask a transform of; the last name is nobody's.
+_ASKED = ("cook", "factory", "collect", "evaluate", "assemble", "publish")
+
+
+@query(f"""
+SELECT name, CASE name WHEN 'publish' THEN NULL ELSE rank() OVER (ORDER BY name) END AS place,
+  CASE name WHEN 'assemble' THEN 'records' WHEN 'collect' THEN 'items' WHEN 'cook' THEN 'scenarios' WHEN 'evaluate' THEN 'pairs' WHEN 'factory' THEN 'lines' END AS inputs,
+  CASE WHEN name = 'evaluate' THEN '' WHEN name <> 'publish' THEN 'missing' END AS problems, n
+FROM (SELECT ({list(_ASKED)})[CAST(event_id % {len(_ASKED)} AS INTEGER) + 1] AS name, count(*) AS n FROM events GROUP BY 1)
+""")
 def transform_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The catalogue of built-in transforms, in the order of their names."""
-    return spark.createDataFrame([(name, len(step.inputs)) for name, step in built_in().items()], "name string, inputs int")
+    """Names that events ask for, looked up in the catalogue of built-in transforms: its
+    order, the inputs declared, and whether a frame of pairs would do."""
+    known, frames = built_in(), {"pairs": pairs(spark, sf_dir)}
+    rows = [(name, place, ",".join(step.inputs), "; ".join(p.split(": ")[1] for p in step.problems(frames))) for place, (name, step) in enumerate(known.items(), 1)]
+    steps = spark.createDataFrame(rows, "name string, place long, inputs string, problems string")
+    name = F.element_at(F.array(*map(F.lit, _ASKED)), (F.col("event_id") % len(_ASKED) + 1).cast("int"))
+    asked = table(spark, sf_dir, "events").groupBy(name.alias("name")).agg(F.count("*").alias("n"))
+    return asked.join(F.broadcast(steps), "name", "left")  # a row for each transform

@@ -229,44 +229,99 @@ def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest_of(placed, F.col("pair_id").cast("string"), "pairs", ~F.col("good"), judged)
 
 
-_MANIFESTS = [
-    '{"name":"a","version":"v1","vertical":"signal","pair_count":3,"splits":{"train":{"path":"p","count":3,"sha256":"' + "a" * 64 + '"}}}',
-    '{"name":"a","version":"1","vertical":"other","pair_count":0,"splits":{}}',
-    '{"name":5,"version":"v2","vertical":"core","pair_count":1,"splits":{"train":{"path":"p","count":1,"sha256":"zz"},"more":1},"format_distribution":{"x":1.5}}',
-    "not json",
-]
-_EVALS = ['{"run_id":"r","model":"m","metric":"loss","score":0.5}', '{"run_id":"r","model":"m","metric":"length_ratio","score":"x","samples":0}']
+#: What is wrong with a document's manifest, by doc_id % 7, and with a label's evaluation
+#: record, by doc_id % 5; the rest depends on the text's length and the label.
+_CONTRACTS = """
+WITH m AS (SELECT doc_id, doc_id % 7 AS kind, coalesce(length(text), 0) AS n FROM documents),
+e AS (SELECT doc_id, doc_id % 5 AS kind, toxic FROM labels),
+said AS (
+  SELECT 'manifest' AS contract, doc_id, CASE kind WHEN 3 THEN ['malformed'] ELSE [
+    CASE WHEN kind = 1 OR n < 1 THEN 'Field ''pair_count'': below minimum 1' END,
+    CASE WHEN kind = 1 THEN 'Field ''version'': does not match the pattern' END,
+    CASE WHEN kind = 1 THEN 'Field ''vertical'': not one of the allowed values' END,
+    CASE WHEN kind = 1 THEN 'Missing required field: splits.train' END,
+    CASE WHEN kind <> 1 AND n < 1 THEN 'Field ''splits.train.count'': below minimum 1' END,
+    CASE WHEN kind = 2 THEN 'Field ''name'': expected string' END,
+    CASE WHEN kind = 2 THEN 'Field ''splits.train.sha256'': does not match the pattern' END,
+    CASE WHEN kind = 2 THEN 'Unexpected field: splits.more' END,
+    CASE WHEN kind = 2 AND n > 1000 THEN 'Field ''format_distribution.x'': out of bounds' END,
+    CASE WHEN kind = 4 AND n < 501 THEN 'Field ''splits.eval.count'': below minimum 1' END,
+    CASE WHEN kind = 5 THEN 'Missing required field: name' END,
+    CASE WHEN kind = 5 THEN 'Unexpected field: title' END] END AS errors FROM m
+  UNION ALL SELECT 'eval', doc_id, [
+    CASE WHEN kind = 1 THEN 'Field ''metric'': not one of the allowed values' END,
+    CASE WHEN kind = 1 THEN 'Field ''score'': expected number' END,
+    CASE WHEN kind = 2 THEN 'Missing required field: score' END,
+    CASE WHEN kind = 3 THEN 'Field ''vertical'': not one of the allowed values' END,
+    CASE WHEN kind <> 4 AND toxic < 1 THEN 'Field ''samples'': below minimum 1' END,
+    CASE WHEN kind = 4 THEN 'Unexpected field: label' END] FROM e)
+SELECT contract, doc_id, array_to_string(list_sort(list_filter(errors, lambda x: x IS NOT NULL)), '; ') AS errors FROM said
+"""
 
 
-@query("""
-SELECT * FROM (VALUES ('manifest', 0, ''),
-  ('manifest', 1, 'Field ''pair_count'': below minimum 1; Field ''version'': does not match the pattern; Field ''vertical'': not one of the allowed values; Missing required field: splits.train'),
-  ('manifest', 2, 'Field ''format_distribution.x'': out of bounds; Field ''name'': expected string; Field ''splits.train.sha256'': does not match the pattern; Unexpected field: splits.more'),
-  ('manifest', 3, 'malformed'), ('eval', 0, ''),
-  ('eval', 1, 'Field ''metric'': not one of the allowed values; Field ''samples'': below minimum 1; Field ''score'': expected number')) v(contract, i, errors)
-""")
+def _manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A manifest line for each document."""
+    text = F.coalesce("text", F.lit(""))
+    n, kind = F.length(text), F.col("doc_id") % 7
+    named = lambda **fields: F.struct(*(F.lit(v).alias(k) for k, v in fields.items()))
+    side = lambda count, **more: named(path="part", count=count, sha256=F.sha2(text, 256), **more)
+    line = lambda splits, **fields: F.to_json(named(**({"name": F.coalesce("source", F.lit("none")), "version": "v1", "vertical": "core", "pair_count": n, "splits": splits} | fields)))
+    train = named(train=side(n))
+    kinds = [
+        line(train), line(named(), version="1", vertical="other", pair_count=0),
+        line(named(train=named(path="part", count=n, sha256="zz"), more=1), name=5, format_distribution=named(x=n / 1000)), F.concat(F.lit("{"), text),
+        line(named(train=side(n), eval=side(n - 500))), F.to_json(named(title="t", version="v2", vertical="signal", pair_count=n, splits=train)),
+        line(train, created_at="2024-01-01", format_distribution=named(x=0.5), metadata=named(note="x")),
+    ]
+    return table(spark, sf_dir, "documents").select("doc_id", F.coalesce(*[F.when(kind == i, made) for i, made in enumerate(kinds)]).alias("line"))
+
+
+def _evaluations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A line of an evaluation log for each label."""
+    kind = F.col("doc_id") % 5
+    told = lambda **fields: F.to_json(F.struct(F.lit("r").alias("run_id"), F.lit("m").alias("model"), *(F.lit(v).alias(k) for k, v in fields.items())))
+    score, samples = F.col("quality").cast("double"), F.col("toxic")
+    kinds = [
+        told(metric="accuracy", score=score, samples=samples), told(metric="length_ratio", score="x", samples=samples), told(metric="loss", samples=samples),
+        told(metric="structure", score=score, samples=samples, vertical="none", timestamp="2024"), told(metric="relevance", score=F.col("quality"), label=samples),
+    ]
+    return table(spark, sf_dir, "labels").select("doc_id", F.coalesce(*[F.when(kind == i, made) for i, made in enumerate(kinds)]).alias("line"))
+
+
+@query(_CONTRACTS)
 def contract_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Manifest and evaluation contracts over literal documents."""
-    lines = lambda rows: spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, line string")
-    told = lambda rows, contract, name: lines(rows).select(F.lit(name).alias("contract"), "i", F.array_join(errors(F.col("line"), contract), "; ").alias("errors"))
-    return told(_MANIFESTS, MANIFEST, "manifest").union(told(_EVALS, EVAL, "eval"))
+    """Manifests of all documents and evaluation records of all labels against their contracts."""
+    told = lambda rows, contract, name: rows.select(F.lit(name).alias("contract"), "doc_id", F.array_join(errors(F.col("line"), contract), "; ").alias("errors"))
+    return told(_manifests(spark, sf_dir), MANIFEST, "manifest").union(told(_evaluations(spark, sf_dir), EVAL, "eval"))
 
 
-@query("""
-SELECT * FROM (VALUES ('core/a.py', true), ('docs/core/x', false), ('tests/t.py', true), ('./core/x', false), ('contracts/p.json', true), ('src/a', false)) v(path, protected)
+_PLACES = ("core", "docs/core", "tests", "./core", "contracts", "src", "Core", "core.d")
+
+
+@query(f"""
+WITH p AS (SELECT page_id, ({list(_PLACES)})[CAST(page_id % {len(_PLACES)} AS INTEGER) + 1] || '/' || regexp_extract(url, '://[^/]*/([^?#]*)', 1) AS path FROM pages)
+SELECT page_id, path, starts_with(path, 'core/') OR starts_with(path, 'contracts/') OR starts_with(path, 'tests/') AS protected FROM p
 """)
 def protected_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    paths = ["core/a.py", "docs/core/x", "tests/t.py", "./core/x", "contracts/p.json", "src/a"]
-    return spark.createDataFrame([(p,) for p in paths], "path string").select("path", protected(F.col("path")).alias("protected"))
+    """The pages' paths below folders of which some are protected and some only look so."""
+    folder = F.element_at(F.array(*map(F.lit, _PLACES)), (F.col("page_id") % len(_PLACES) + 1).cast("int"))
+    path = F.concat(folder, F.lit("/"), F.regexp_extract("url", "://[^/]*/([^?#]*)", 1))
+    return table(spark, sf_dir, "pages").select("page_id", path.alias("path"), protected(path).alias("protected"))
 
 
 @query("""
-SELECT * FROM (VALUES (0, ''), (1, 'dataset not found; learning_rate out of range'), (2, 'lora_r out of range; batch_size below 1')) v(i, issues)
+WITH c AS (SELECT d.doc_id, l.doc_id IS NOT NULL AS there, length(text) % 320 AS r, d.doc_id % 13 / 1000 AS lr, d.doc_id % 4 AS b FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)
+SELECT doc_id, array_to_string(list_filter([
+  CASE WHEN NOT there THEN 'dataset not found' END, CASE WHEN r NOT BETWEEN 8 AND 256 THEN 'lora_r out of range' END,
+  CASE WHEN lr <= 0 OR lr > 0.01 THEN 'learning_rate out of range' END, CASE WHEN b < 1 THEN 'batch_size below 1' END], lambda x: x IS NOT NULL), '; ') AS issues FROM c
 """)
 def config_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.createDataFrame([(0, True, 64, 5e-5, 4), (1, False, 8, 0.5, 1), (2, True, 4, 1e-2, 0)], "i int, there boolean, r int, lr double, b int")
-    issues = config_issues(F.col("there"), F.col("r"), F.col("lr"), F.col("b"))
-    return rows.select("i", F.array_join(issues, "; ").alias("issues"))
+    """A training configuration for each document; its data set is there if it has a label."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", (F.length("text") % 320).alias("r"))  # no text in the join
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.lit(True).alias("there"))
+    rows = docs.join(labels, "doc_id", "left")
+    issues = config_issues(F.coalesce("there", F.lit(False)), F.col("r"), F.col("doc_id") % 13 / 1000, F.col("doc_id") % 4)
+    return rows.select("doc_id", F.array_join(issues, "; ").alias("issues"))
 
 
 @query("SELECT source, CAST(count(*) // 32 * 3 AS BIGINT) AS steps, CAST(floor(count(*) // 32 * 3 * 0.05) AS BIGINT) AS warm_up FROM documents GROUP BY source")

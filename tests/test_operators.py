@@ -285,7 +285,7 @@ def test_briefing_hides_what_is_missing(spark):
 
 
 def test_feeds(spark):
-    from loomsift.plans.curate_queries import ATOM, PAPERS, RSS
+    from payloads import ATOM, PAPERS, RSS
 
     rows = lambda body: spark.createDataFrame([("s", body)], "source string, body string")
     assert [(r.title, r.summary) for r in feeds.rss(rows(RSS)).orderBy("place").collect()] == [("First", "Hi there"), ("Second", "neural nets")]
