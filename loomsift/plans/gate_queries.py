@@ -84,11 +84,32 @@ bad AS (SELECT DISTINCT rid FROM unit JOIN line USING (lid) WHERE substr(line, i
 """
 
 
-#: Twins that are too slow for whole tables; tests run them on the smallest.
+#: The same by the distance of a window to the next equal one, for windows of 40, 80, 160,
+#: ... characters: a stretch of smallest period d shows as a run of distances d as soon as
+#: the windows are as long as d. Lines without equal windows go no further. Windows are
+#: cut from blocks, since a cut far into a text takes as long as the way there.
+_RUNS = """
+WITH RECURSIVE numbered AS MATERIALIZED (SELECT doc_id, text, row_number() OVER () AS rid FROM documents),
+line AS (SELECT rid, row_number() OVER () AS lid, line FROM (SELECT rid, unnest(string_split(text, chr(10))) AS line FROM numbered) WHERE length(line) >= 120),
+block AS (SELECT lid, b * 500 AS base, substr(line, b * 500 + 1, 539) AS s FROM (SELECT lid, line, unnest(range(0, (length(line) + 499) // 500)) AS b FROM line)),
+place AS (SELECT lid, base + i AS i, hash(substr(s, i, 40)) AS h FROM (SELECT lid, base, s, unnest(range(1, least(501, length(s) - 38))) AS i FROM block)),
+step AS (
+  SELECT lid, i, h, lead(i) OVER (PARTITION BY lid, h ORDER BY i) - i AS lag, CAST(40 AS BIGINT) AS size FROM place
+  UNION ALL
+  SELECT lid, i, h, lead(i) OVER (PARTITION BY lid, h ORDER BY i) - i AS lag, 2 * size FROM (
+    SELECT lid, i, size, hash(h, lead(h, CAST(size AS INTEGER)) OVER (PARTITION BY lid ORDER BY i)) AS h, lead(i, CAST(size AS INTEGER)) OVER (PARTITION BY lid ORDER BY i) AS other
+    FROM (SELECT *, max(lag) OVER (PARTITION BY lid) AS recurs FROM step) WHERE recurs IS NOT NULL) WHERE other IS NOT NULL),
+run AS (SELECT lid, size, lag, count(*) AS n FROM (SELECT lid, size, lag, i - row_number() OVER (PARTITION BY lid, size, lag ORDER BY i) AS part FROM step WHERE lag <= size) GROUP BY lid, size, lag, part),
+bad AS (SELECT DISTINCT rid FROM run JOIN line USING (lid) WHERE n + size - 1 + lag >= 3 * lag * CAST(ceil(40 / lag) AS BIGINT))
+"""
+
+
+#: Twins by comparing every pair of equal windows, too slow for whole tables; tests run
+#: them on the smallest beside the registered ones.
 SLOW = {"gate_degenerate": f"{_DEGENERATE} SELECT doc_id, rid IN (SELECT rid FROM bad) AS degenerate FROM (SELECT doc_id, row_number() OVER () AS rid FROM documents)"}
 
 
-@query()
+@query(f"{_RUNS} SELECT doc_id, rid IN (SELECT rid FROM bad) AS degenerate FROM numbered")
 def gate_degenerate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs(spark, sf_dir).select("doc_id", G.degenerate(F.col("text")).alias("degenerate"))
 
@@ -122,14 +143,14 @@ def gate_verdict_v2_loose(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.gated(docs(spark, sf_dir, CATEGORIES_2), F.col("text"), F.col("category"), LOOSE).select("doc_id", "passed", "reason")
 
 
-SLOW["gate_verdict_full"] = (
-    f"{_DEGENERATE}, named AS (SELECT doc_id, row_number() OVER () AS rid FROM documents), "
-    + _verdict_sql(_DOCS, G.FIRST_LENGTHS, 500, G.FIRST_SPECIFICS, 5, G.SPECIFIC, 2, None, 3, "category IN ('briefing', 'journal')").strip().removeprefix("WITH")
+_FULL = (
+    _verdict_sql(_DOCS, G.FIRST_LENGTHS, 500, G.FIRST_SPECIFICS, 5, G.SPECIFIC, 2, None, 3, "category IN ('briefing', 'journal')").strip().removeprefix("WITH")
     .replace("WHEN n_banned >", "WHEN doc_id IN (SELECT doc_id FROM named WHERE rid IN (SELECT rid FROM bad)) THEN 'degenerate' WHEN n_banned >", 1)
 )
+SLOW["gate_verdict_full"] = f"{_DEGENERATE}, named AS (SELECT doc_id, row_number() OVER () AS rid FROM documents), {_FULL}"
 
 
-@query()
+@query(f"{_RUNS}, named AS (SELECT doc_id, rid FROM numbered), {_FULL}")
 def gate_verdict_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole first gate, degeneration included."""
     return G.gated(docs(spark, sf_dir), F.col("text"), F.col("category"), replace(FIRST, degenerate=True)).select("doc_id", "passed", "reason")
