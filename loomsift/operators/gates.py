@@ -137,14 +137,64 @@ def degenerate_line(line: str) -> bool:
     return False
 
 
+def _recurring(texts: list[str]) -> list[list[str]]:
+    """Lines of each text in which a window of ``UNIT`` characters occurs twice, the
+    first time at a place that ``UNIT`` divides; no other line can be degenerate, as of
+    ``UNIT`` places in a row one is such, and its window comes again a unit later.
+
+    All texts are hashed at once. The windows at those places mark a table, and only
+    windows that meet a mark are sorted.
+    """
+    joined = "\n".join(texts)
+    code = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4")
+    if len(code) < UNIT * TIMES:
+        return [[] for _ in texts]
+    breaks = np.flatnonzero(code == 10)
+    line = np.cumsum(code == 10)  # a break counts to the line that follows
+    whole = line[: len(code) - UNIT + 1] == line[UNIT - 1 :]
+    whole &= code[: len(whole)] != 10
+    h = _windows(code, UNIT) + _spread(line[: len(whole)] + 1)  # equal windows of two lines differ
+    key = h * np.uint64(0x9E3779B97F4A7C15)
+    anchors = np.arange(0, len(whole), UNIT)
+    bits = max(int(64 * len(anchors)).bit_length(), 8)
+    key >>= np.uint64(64 - bits)
+    marked = np.zeros(1 << bits, bool)
+    marked[key[anchors[whole[anchors]]]] = True
+    met = np.flatnonzero(marked[key] & whole)
+    met = met[np.argsort(h[met], kind="stable")]
+    twice = np.unique(line[met[1:][h[met[1:]] == h[met[:-1]]]])
+    out: list[list[str]] = [[] for _ in texts]
+    firsts = np.cumsum([0] + [t.count("\n") + 1 for t in texts])  # each text's first line
+    for n in twice:
+        begin, end = (breaks[n - 1] + 1 if n else 0), (breaks[n] if n < len(breaks) else len(code))
+        out[int(np.searchsorted(firsts, n, "right")) - 1].append(joined[begin:end])
+    return out
+
+
+#: Characters that are hashed at once; a longer text goes alone.
+AT_ONCE = 1 << 20
+
+
+def degenerate_texts(texts: Sequence[str | None]) -> list[bool]:
+    out: list[bool] = []
+    begin = size = 0
+    for i, text in enumerate(texts):
+        size += len(text or "")
+        if size >= AT_ONCE or i + 1 == len(texts):
+            part = [t or "" for t in texts[begin : i + 1]]
+            out += [any(map(degenerate_line, lines)) for lines in _recurring(part)]
+            begin, size = i + 1, 0
+    return out
+
+
 def _degenerate(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for batch in texts:
-        yield batch.map(lambda t: t is not None and any(map(degenerate_line, t.split("\n")))).astype(bool)
+        yield pd.Series(degenerate_texts(batch.astype(object).where(batch.notna(), None).tolist()), dtype=bool)
 
 
 def degenerate(text: Column) -> Column:
     """An Arrow UDF: a regular expression with a back-reference takes the square of
-    a line's length, this one a few sorts."""
+    a line's length, this one a hash of every place and sorts of the few that recur."""
     return F.pandas_udf(_degenerate, "boolean")(F.when(F.length(text) >= UNIT * TIMES, text))
 
 

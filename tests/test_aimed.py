@@ -1,13 +1,19 @@
 """Cases by hand of what the queries over feeds, contracts, policies and work lists show."""
 
+import random
+import re
+
+import duckdb
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from payloads import ATOM, PAPERS, RSS
 from pyspark.sql import functions as F
 
-from loomsift.operators import scenarios
+from loomsift.operators import gates, scenarios
 from loomsift.operators.contracts import EVAL, MANIFEST, errors
 from loomsift.operators.policy import config_issues, protected
-from loomsift.plans.catalogue import QUERIES
+from loomsift.plans.catalogue import ORACLES, QUERIES
 from loomsift.sources import feeds
 
 def test_payloads_of_each_kind(spark):
@@ -76,3 +82,38 @@ def test_feeds_of_awkward_documents(spark, tmp_path):
     assert [u for u in sorted(by_url) if u.startswith("http://b/4/")] == ["http://b/4/0", "http://b/4/3"]  # first of a title, none without
     assert len([u for u in by_url if u.startswith("http://a/12/")]) == 20 == len([u for u in by_url if u.startswith("http://p/5/")])
     assert not [u for u in by_url if "/9/" in u or "/1/" in u and "//b" in u] and by_url["http://a/0/0"].title == ""
+
+
+_UNIT = st.text(alphabet="abé", min_size=1, max_size=90)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.lists(st.builds(lambda head, unit, times, tail: head + unit * times + tail, st.text("ab\n", max_size=50), _UNIT, st.integers(1, 50), st.text("ab", max_size=50)), max_size=3).map("\n".join)), max_size=6))
+def test_whole_batches_are_degenerate_where_the_pattern_matches(texts):
+    assert gates.degenerate_texts(texts) == [bool(re.search(r"(.{40,})\1{2,}", t or "")) for t in texts]
+
+
+def test_batches_are_cut_between_texts(monkeypatch):
+    rng = random.Random(3)
+    words = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    texts = [words(rng.randrange(400)) + (words(60) * 3 if i % 4 == 0 else "") + "\n" * (i % 3) for i in range(60)] + ["", None, "\ud800" * 130]
+    found = gates.degenerate_texts(texts)
+    assert found == [i % 4 == 0 for i in range(60)] + [False, False, True]
+    for size in (1, 100, 5000):
+        monkeypatch.setattr(gates, "AT_ONCE", size)
+        assert gates.degenerate_texts(texts) == found
+    shared = words(200)
+    assert gates.degenerate_texts([shared, shared + "\n" + shared, shared, shared]) == [False] * 4  # equal lines are no repetition
+    assert gates.degenerate_texts([]) == []
+
+
+def test_the_quick_twin_is_the_pattern():
+    rng = random.Random(5)
+    words = lambda n: "".join(rng.choice("abé") for _ in range(n))
+    texts = [words(rng.randrange(300)) + words(rng.choice([1, 7, 39, 40, 41, 79, 90, 300])) * rng.choice([2, 3, 4, 60]) + words(rng.randrange(9)) for _ in range(300)]
+    inner = words(50)
+    texts += [(inner + words(30) + inner + words(20)) * n for n in (2, 3)] + ["x" * 119, "x" * 120, "", None, words(60) * 3 + "\n" + words(60)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents AS SELECT * FROM (SELECT unnest($1::BIGINT[]) AS doc_id, unnest($2::VARCHAR[]) AS text)", [list(range(len(texts))), texts])
+    found = dict(con.execute(ORACLES["gate_degenerate"]).fetchall())
+    assert [found[i] for i in range(len(texts))] == [bool(re.search(r"(.{40,})\1{2,}", t or "")) for t in texts] == gates.degenerate_texts(texts)
