@@ -231,9 +231,23 @@ def _reason(of: Mapping[str, Column], profile: GateProfile) -> Column:
 
 
 def gated(df: DataFrame, text: Column, category: Column, profile: GateProfile) -> DataFrame:
-    """``df`` with passed and reason. Each count is a column of its own, computed once."""
+    """``df`` with passed and reason. Each count is a column of its own, computed once and
+    only for rows that no earlier check has rejected."""
     counts = measures(text, category, profile)
-    measured = df.withColumns(counts).withColumn("reason", _reason({name: F.col(name) for name in counts}, profile))
+    late = ["n_banned", "n_generic", "n_specifics", "n_structure"]
+    measured = df.withColumns({name: count for name, count in counts.items() if name not in late})
+    left = (F.col("n_chars_") >= F.col("need_chars")) & ~F.col("is_degenerate")
+    holds = [
+        F.col("n_banned") <= profile.banned_most, F.col("n_generic") <= (profile.generic_most or 0), F.col("n_specifics") >= F.col("need_specifics"),
+    ]
+    for name, passed in zip(late, [*holds, None]):
+        if name == "n_generic" and profile.generic_most is None:
+            continue
+        wanted = left & F.col("needs_structure") if name == "n_structure" else left
+        measured = measured.withColumn(name, F.when(wanted, counts[name]))
+        left = passed  # null, and so no, where the count wasn't made
+    counts = {name: F.col(name) for name in counts if name in measured.columns}
+    measured = measured.withColumn("reason", _reason(counts, profile))
     return measured.select(*df.columns, (F.col("reason") == "pass").alias("passed"), "reason")
 
 
