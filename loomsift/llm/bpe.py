@@ -16,9 +16,11 @@ Texts may be of any length.
 from __future__ import annotations
 
 import base64
+import codecs
 import contextlib
 import ctypes
 import gc
+import itertools
 import json
 import os
 import re
@@ -27,6 +29,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -229,6 +232,215 @@ class MarkedEncoder(Encoder):
         return out
 
 
+#: Pieces that a ``ColumnEncoder`` remembers between batches, and bytes of their ids;
+#: beyond that it forgets all but those met again.
+PIECES, STORE = 200_000, 32 << 20
+#: The parts of Latin texts as bytes, where what is not of ASCII is a letter.
+_BYTE_PARTS = re.compile(
+    rb"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z\x80-\xff]+| ?[0-9]+| ?[^\sA-Za-z0-9\x80-\xff]+|\s+(?!\S)|\s+"
+).findall
+_LATIN_BYTES = re.compile(rb"(?:[\x00-\x7f]+|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|[\xc4-\xc8][\x80-\xbf]|\xc9[\x80-\x8f])*+").fullmatch
+#: Pieces that are one part.
+_SINGLE = re.compile(
+    rb" ?(?:(?:[A-Za-z]+|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|[\xc4-\xc8][\x80-\xbf])++|[0-9]++|[^\sA-Za-z0-9'\x80-\xff]++)|[\t-\r]"
+).fullmatch
+_SPACES = b" \t\n\r\x0b\x0c"
+#: Classes of bytes: of a character beyond ASCII or a separator, letter, digit, mark,
+#: apostrophe, white space, space.
+_ELSE, _LETTER, _DIGIT, _MARK, _QUOTE, _WHITE, _SPACE = range(7)
+_CLASS = np.full(256, _MARK, np.uint8)
+for _kind, _own in {
+    _ELSE: [*range(28, 32), *range(128, 256)], _LETTER: [*range(65, 91), *range(97, 123)], _DIGIT: range(48, 58), _QUOTE: [39], _WHITE: range(9, 14), _SPACE: [32],
+}.items():
+    _CLASS[list(_own)] = _kind
+#: Where a part ends for certain between two classes; behind white space only if it is
+#: one character, and a space behind ``_ELSE`` is looked at more closely.
+_BETWEEN = np.zeros((8, 8), np.uint8)
+for _before, _behind in {
+    _LETTER: [_DIGIT, _MARK, _QUOTE, _WHITE, _SPACE], _DIGIT: [_LETTER, _MARK, _QUOTE, _WHITE, _SPACE], _MARK: [_LETTER, _DIGIT, _WHITE, _SPACE],
+    _QUOTE: [_DIGIT, _WHITE, _SPACE], _WHITE: [_LETTER, _DIGIT, _MARK, _QUOTE], _ELSE: [_SPACE],
+}.items():
+    _BETWEEN[_before, _behind] = {_WHITE: 2, _ELSE: 3}.get(_before, 1)
+
+
+def cuts(data: np.ndarray, valid: bool = True) -> np.ndarray:
+    """Places in UTF-8 where a text may be cut, so that its pieces, encoded one by one,
+    give its ids. Not all such places; only those before a space, unless ``valid``."""
+    kind = _CLASS[data]
+    if valid:
+        lead = np.flatnonzero((data >= 0xC3) & (data <= 0xC8))  # letters, but for two signs
+        lead = lead[(data[lead] != 0xC3) | ((data[lead + 1] != 0x97) & (data[lead + 1] != 0xB7))]
+        kind[lead] = kind[lead + 1] = _LETTER
+    rule = _BETWEEN.ravel()[(kind[:-1] << 3) | kind[1:]]
+    if not valid:
+        rule[kind[1:] != _SPACE] = 0
+    at = np.flatnonzero(rule) + 1
+    rule = rule[at - 1]
+    white = np.flatnonzero(rule == 2)
+    two = kind[np.maximum(at[white] - 2, 0)]
+    several = white[(at[white] < 2) | (two == _ELSE) | (two >= _WHITE)]
+    doubtful = np.flatnonzero(rule == 3)
+    one, two, three = (data[np.maximum(at[doubtful] - n, 0)] for n in (1, 2, 3))
+    blank = (one < 0x80) | ((two == 0xC2) & ((one == 0x85) | (one == 0xA0))) | ((three >= 0xE1) & (three <= 0xE3) & ((two == 0x9A) | (two == 0x80) | (two == 0x81)))
+    return np.delete(at, np.concatenate([several, doubtful[blank]]))
+
+
+def _buffers(texts: pa.BinaryArray) -> tuple[np.ndarray, memoryview]:
+    """Offsets of the texts, and the bytes between the first and the last of them."""
+    _, offsets, content = texts.buffers()
+    bounds = np.frombuffer(offsets, np.int32)[texts.offset : texts.offset + len(texts) + 1] if offsets else np.zeros(1, np.int32)
+    return bounds, memoryview(content or b"")[bounds[0] : bounds[-1]]
+
+
+class ColumnEncoder(MarkedEncoder):
+    """A marked encoder of whole columns: their pieces are told apart and the ids of all
+    put together by array operations, and the parts that are new go to the library's
+    model at once. Ids of remembered pieces lie one behind another in one array."""
+
+    def __init__(self, vocabulary: str):
+        super().__init__(vocabulary)
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.bare = Tokenizer(self.model)
+        self.bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()  # between parts; none has a space in its printable form
+        vocab = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.widths = np.zeros(max(vocab.values(), default=-1) + 1, np.int64)  #: bytes of each id
+        for token, i in vocab.items():
+            self.widths[i] = len(token)
+        self.printable = "".join(self.characters[:255]) + " "  # UTF-8 has no byte 255, so it stands between parts
+        self.mark_bytes = [m.encode() for m in self.mark_ids]
+        self._clear()
+
+    def _clear(self) -> None:
+        self.slots: dict[bytes, int] = {}  #: place of a piece in ``starts`` and ``counts``
+        self.starts, self.counts = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.met = np.zeros(1 << 16, np.int64)  #: batches that had the piece, lately
+        self.used = 0
+        self.store, self.filled = np.zeros(1 << 18, np.uint32), 0
+
+    def _add(self, pieces: list[bytes], ids: np.ndarray, counts: np.ndarray) -> None:
+        """Remember new pieces, whose ids follow each other."""
+        while self.used + len(pieces) > len(self.starts):
+            self.starts, self.counts, self.met = (np.concatenate([x] * 2) for x in (self.starts, self.counts, self.met))
+        while self.filled + len(ids) > len(self.store):
+            self.store = np.concatenate([self.store] * 2)
+        own = slice(self.used, self.used + len(pieces))
+        self.starts[own], self.counts[own], self.met[own] = self.filled + np.cumsum(counts) - counts, counts, 0
+        self.store[self.filled : self.filled + len(ids)] = ids
+        self.slots.update(zip(pieces, range(own.start, own.stop)))
+        self.used, self.filled = own.stop, self.filled + len(ids)
+
+    def _gather(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of these slots in a row, and how many each has."""
+        counts = self.counts[slots]
+        ends = np.cumsum(counts)
+        places = np.repeat(self.starts[slots] - ends + counts, counts)
+        places += np.arange(len(places))
+        return self.store[places], counts
+
+    def _forget(self) -> None:
+        """Above the limits, keep the pieces that most batches had, at most half as many."""
+        if len(self.slots) <= PIECES and self.filled * 4 <= STORE:
+            return
+        slots = np.fromiter(self.slots.values(), np.int64, len(self.slots))
+        met, sizes = self.met[slots], self.counts[slots]
+        least = next(n for n in range(2, met.max(initial=0) + 3) if (m := met >= n).sum() <= PIECES // 2 and sizes[m].sum() * 8 <= STORE)
+        chosen = met >= least
+        kept = list(itertools.compress(self.slots, chosen))
+        ids, counts = self._gather(slots[chosen])
+        self._clear()
+        self._add(kept, ids, counts)
+        self.met[: len(kept)] = met[chosen] // 2
+
+    def _model(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of parts of Latin texts by the library's model."""
+        shown = [codecs.charmap_decode(b"\xff".join(parts[i : i + 1000]), "strict", self.printable)[0] for i in range(0, len(parts), 1000)]
+        found = [x.ids for x in self.bare.encode_batch_fast(shown, add_special_tokens=False)]
+        ids = np.fromiter(itertools.chain.from_iterable(found), np.uint32, sum(map(len, found)))
+        ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))
+        reached = np.cumsum(self.widths[ids])
+        last = np.searchsorted(reached, ends)
+        if not len(ids) or last[-1] != len(ids) - 1 or not np.array_equal(reached[last], ends):  # a vocabulary without some bytes
+            each = [self._ids(part.decode()) for part in parts]
+            return np.frombuffer(b"".join(each), np.uint32), np.array([len(x) // 4 for x in each])
+        return ids, np.diff(last, prepend=-1)
+
+    def _learn(self, pieces: list[bytes]) -> list[bytes]:
+        """Remember pieces that aren't known, and their parts, which are returned."""
+        known = self.slots
+        single, easy, other = [], [], []
+        for piece in pieces:
+            if _SINGLE(piece):
+                single.append(piece)
+            elif piece[0] == 32 and piece[-1] not in _SPACES and _LATIN_BYTES(piece):
+                easy.append(piece)
+            else:
+                other.append(piece)
+        if single:
+            self._add(single, *self._model(single))
+        parts = _BYTE_PARTS(b"".join(easy))  # no part goes beyond its piece, as each begins with a space
+        new = [part for part in dict.fromkeys(parts) if part not in known]
+        if new:
+            self._add(new, *self._model(new))
+        slots = np.fromiter(map(known.__getitem__, parts), np.int64, len(parts))
+        self.met[slots] += 1
+        ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))
+        last = np.searchsorted(ends, np.cumsum(np.fromiter(map(len, easy), np.int64, len(easy))))
+        n = np.diff(last, prepend=-1)
+        several = n > 1
+        ids, counts = self._gather(slots[np.repeat(several, n)])
+        ends, last = np.append(0, np.cumsum(counts)), np.append(0, np.cumsum(n[several]))
+        self._add(list(itertools.compress(easy, several)), ids, np.diff(ends[last]))
+        each = [self._ids(piece.decode("utf-8", "replace")) for piece in other]
+        self._add(other, np.frombuffer(b"".join(each), np.uint32), np.array([len(x) // 4 for x in each], np.int64))
+        return new
+
+    def _unmarked(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        bounds, content = _buffers(texts)
+        if not len(content):
+            return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
+        try:
+            valid = texts.cast(pa.string()) is not None
+        except pa.ArrowInvalid:
+            valid = False
+        data, starts = np.frombuffer(content, np.uint8), bounds[:-1] - bounds[0]
+        begins = np.zeros(len(data) + 1, bool)
+        begins[cuts(data, valid)] = True
+        begins[starts] = True
+        begins[-1] = True
+        places = np.flatnonzero(begins)
+        pieces = pa.Array.from_buffers(pa.binary(), len(places) - 1, [None, pa.py_buffer(places.astype(np.int32)), pa.py_buffer(content)]).dictionary_encode()
+        distinct = pieces.dictionary.to_pylist()
+        self._forget()
+        slots = np.fromiter(map(self.slots.get, distinct, itertools.repeat(-1)), np.int64, len(distinct))
+        self.met[slots[slots >= 0]] += 1
+        unknown = slots < 0
+        new = list(itertools.compress(distinct, unknown))
+        parts = self._learn(new)
+        slots[unknown] = np.fromiter(map(self.slots.__getitem__, new), np.int64, len(new))
+        for piece in itertools.chain(new, parts):
+            if len(piece) > LONG_WORD:
+                self.slots.pop(piece, None)
+        ids, counts = self._gather(slots[pieces.indices.to_numpy()])
+        ends = np.append(0, np.cumsum(counts))[np.searchsorted(places, np.append(starts, len(data)))]
+        return ids, np.diff(ends)
+
+    def flat(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and how many each has; null is empty."""
+        texts = texts.cast(pa.binary()).fill_null(b"")
+        content = bytes(_buffers(texts)[1])
+        if self.cut and not any(mark in content for mark in self.mark_bytes):
+            return self._unmarked(texts)
+        raw = texts.to_pylist()
+        held = np.array([not self.cut or any(mark in text for mark in self.mark_bytes) for text in raw], bool)
+        ids, counts = self._unmarked(pc.if_else(pa.array(held), pa.scalar(b"", pa.binary()), texts))
+        own = np.split(ids, np.cumsum(counts)[:-1])
+        chosen = np.flatnonzero(held).tolist()
+        for i, found in zip(chosen, self.encode([raw[i].decode("utf-8", "replace") for i in chosen]), strict=True):
+            own[i] = np.frombuffer(found, np.uint32)
+        return np.concatenate([ids[:0], *own]), np.array([len(x) for x in own], np.int64)
+
+
 _LOADED: dict[object, object] = {}
 
 
@@ -353,8 +565,6 @@ class Codec:
 def readable(parts: Iterable[bytes]) -> Iterator[str]:
     """Decode a stream of token bytes to text piece by piece: bytes of a
     character that isn't complete yet wait for the next token."""
-    import codecs
-
     reader = codecs.getincrementaldecoder("utf-8")("replace")
     for part in parts:
         yield reader.decode(part)

@@ -6,6 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +36,17 @@ def small_batches(batches: Iterable[pa.RecordBatch], rows: int = 1000) -> Iterat
             yield batch.slice(at, rows)
 
 
+def sized_batches(batches: Iterable[pa.RecordBatch], column: int, size: int) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that one holds ``size`` bytes of this column of texts, or one row."""
+    for batch in batches:
+        ends = np.cumsum([0, *pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)], dtype=np.int64)
+        at = 0
+        while at < batch.num_rows:
+            stop = max(at + 1, int(np.searchsorted(ends, ends[at] + size, "right")) - 1)
+            yield batch.slice(at, stop - at)
+            at = stop
+
+
 def binaries(parts: list[bytes]) -> pa.Array:
     return pa.array(parts, pa.binary())
 

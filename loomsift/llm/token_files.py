@@ -39,12 +39,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import work_path, written
-from .bpe import MarkedEncoder, once, token_bytes
-from .common import binaries, bounded_batches, input_bytes, raw_texts, small_batches
+from .bpe import ColumnEncoder, once, token_bytes
+from .common import binaries, bounded_batches, input_bytes, sized_batches, small_batches
 
 CHUNK, BLOCK, LANES = 1 << 20, 1 << 14, 64
 #: Input bytes of a range of ids, which one task encodes and one base stands for.
 RANGE_BYTES = 64 << 20
+#: Bytes of text that are encoded at a time.
+TEXTS = 8 << 20
 #: Frequencies sum to 2 ** SCALE.
 SCALE = 20
 _U = np.uint64
@@ -80,6 +82,14 @@ def pack_table(frequencies: np.ndarray) -> bytes:
     return body + struct.pack("<I", zlib.crc32(body))
 
 
+def _live(blocks: int, lanes: int) -> list[tuple[slice, slice]]:
+    """The blocks and lanes that have an id at a step, where the last block has
+    ``lanes`` more."""
+    if lanes >= LANES:
+        return [(slice(blocks), slice(LANES))]
+    return [(slice(first, last), slice(n)) for first, last, n in ((0, blocks - 1, LANES), (blocks - 1, blocks, lanes)) if first < last and n > 0]
+
+
 class Coder:
     """Encodes and decodes chunks by a packed table."""
 
@@ -90,28 +100,28 @@ class Coder:
         self.scale = _U(scale)
         self.frequency = np.frombuffer(table[12:-4], "<u4").astype(np.uint64)
         self.first = np.concatenate([[0], np.cumsum(self.frequency)[:-1]]).astype(np.uint64) if n else self.frequency
+        self.both = (self.frequency << _U(32)) | self.first
         self.symbol = np.repeat(np.arange(n, dtype=np.uint32), self.frequency.astype(np.int64))
 
     def encode(self, ids: np.ndarray) -> bytes:
+        if not self.frequency[ids].all():
+            raise ValueError("a symbol that the table doesn't have")
         blocks = -(-len(ids) // BLOCK)
         steps = BLOCK // LANES
-        padded = np.zeros(blocks * BLOCK, np.int64)
+        padded = np.zeros(blocks * BLOCK, ids.dtype)
         padded[: len(ids)] = ids
         padded = padded.reshape(blocks, steps, LANES)
-        live = (np.arange(blocks * BLOCK) < len(ids)).reshape(blocks, steps, LANES)
         state = np.full((blocks, LANES), _LOW)
         spilled = np.zeros((blocks, steps, LANES), bool)
         words = np.zeros((blocks, steps, LANES), np.uint32)
         for t in range(steps - 1, -1, -1):  # a decoder goes the other way
-            f, start, own = self.frequency[padded[:, t]], self.first[padded[:, t]], live[:, t]
-            f = np.where(own, f, _U(1))
-            if not f.all():
-                raise ValueError("a symbol that the table doesn't have")
-            over = own & (state >= (f << _U(63 - int(self.scale))))
-            spilled[:, t], words[:, t] = over, state.astype(np.uint32)
-            state = np.where(over, state >> _U(32), state)
-            quotient = state // f
-            state = np.where(own, (quotient << self.scale) + (state - quotient * f) + start, state)
+            for part in _live(blocks, len(ids) - (blocks - 1) * BLOCK - t * LANES):
+                own, both = state[part], self.both[padded[part[0], t, part[1]]]
+                f, start = both >> _U(32), both & _U(0xFFFFFFFF)
+                over = own >= (f << _U(63 - int(self.scale)))
+                spilled[part[0], t, part[1]], words[part[0], t, part[1]] = over, own
+                own = np.where(over, own >> _U(32), own)
+                state[part] = own + own // f * (_U(1 << int(self.scale)) - f) + start
         index, contents, at = [], [], 0
         for b in range(blocks):
             stream = words[b][spilled[b]]
@@ -144,25 +154,39 @@ class Coder:
         stream = np.concatenate([*streams, np.zeros(1, "<u4")]).astype(np.uint64)
         read = np.concatenate([[0], np.cumsum([len(s) for s in streams])[:-1]]).astype(np.int64)[:, None]
         ids = index["ids"][list(chosen)].astype(np.int64)
+        if (ids[:-1] != BLOCK).any():
+            raise Damaged("block sizes")
         steps = BLOCK // LANES
         out = np.zeros((len(ids), steps, LANES), np.uint32)
         mask = _U((1 << int(self.scale)) - 1)
         for t in range(-(-int(ids.max()) // LANES)):
-            own = ids[:, None] - t * LANES > np.arange(LANES)
-            slot = state & mask
-            symbol = self.symbol[slot.astype(np.int64)]
-            out[:, t] = symbol
-            moved = self.frequency[symbol] * (state >> self.scale) + slot - self.first[symbol]
-            short = own & (moved < _LOW)
-            place = read + np.cumsum(short, axis=1) - 1
-            refilled = (moved << _U(32)) | stream[np.where(short, place, 0)]
-            state = np.where(own, np.where(short, refilled, moved), state)
-            read = read + short.sum(axis=1, keepdims=True)
+            for part in _live(len(ids), int(ids[-1]) - t * LANES):
+                own = state[part]
+                slot = own & mask
+                symbol = self.symbol[slot.astype(np.int64)]
+                out[part[0], t, part[1]] = symbol
+                both = self.both[symbol]
+                moved = (both >> _U(32)) * (own >> self.scale) + slot - (both & _U(0xFFFFFFFF))
+                short = moved < _LOW
+                taken = np.cumsum(short, axis=1)
+                refilled = (moved << _U(32)) | stream[read[part[0]] + taken - 1]
+                state[part] = np.where(short, refilled, moved)
+                read[part[0]] += taken[:, -1:]
         flat = out.reshape(len(ids), -1)
         return np.concatenate([flat[i, :n] for i, n in enumerate(ids.tolist())])
 
 
 _CHUNKS = "shard int, chunk int, first long, total long, ids array<long>, lengths array<long>, payload binary"
+#: Before the coder; a range's last chunk has the counts of all its ids.
+_PLAIN = f"{_CHUNKS}, tally binary"
+
+
+def added(one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """The sum of two counts, of which one may know fewer symbols."""
+    out = np.zeros(max(len(one), len(other)), np.int64)
+    out[: len(one)] += one
+    out[: len(other)] += other
+    return out
 
 
 def write(docs: DataFrame, vocabulary: str, path: str, end: int, id_col: str = "doc_id", text_col: str = "text", partitions: int | None = None) -> None:
@@ -181,42 +205,54 @@ def write(docs: DataFrame, vocabulary: str, path: str, end: int, id_col: str = "
     dealt = rows.repartitionByRange(n, *order).sortWithinPartitions(*order).select("id", "text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = once(shared, MarkedEncoder)
-        shard, stop = TaskContext.get().partitionId(), struct.pack("<I", end)
-        ids, parts, held, first, chunk = [], [], 0, 0, 0
-
-        def flush() -> pa.RecordBatch:
-            lengths = [len(p) // 4 for p in parts]
-            plain = np.frombuffer(b"".join(parts), "<u4").astype(narrow).tobytes()
-            values = [[shard], [chunk], [first], [held], [ids], [lengths], [plain]]
-            types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
-            return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, types, strict=True)], ["shard", "chunk", "first", "total", "ids", "lengths", "payload"])
-
-        for batch in small_batches(batches, 250):
-            texts = [(t or b"").decode("utf-8", "replace") for t in raw_texts(batch.column(1))]
-            for key, content in zip(batch.column(0).to_pylist(), encoder.encode(texts), strict=True):
-                ids.append(key)
-                parts.append(content + stop)
-                held += len(content) // 4 + 1
-                if held >= CHUNK:
-                    yield flush()
-                    ids, parts, first, held, chunk = [], [], first + held, 0, chunk + 1
-        if ids:
-            yield flush()
+        encoder, shard = once(shared, ColumnEncoder), TaskContext.get().partitionId()
+        keys, sizes, parts, held, first, chunk = [], [], [], 0, 0, 0
+        total = np.zeros(0, np.int64)
 
-    plain = written(dealt.mapInArrow(cut, _CHUNKS), "tokens", compression="zstd")
+        def flush(last: bool) -> pa.RecordBatch:
+            nonlocal keys, sizes, parts, held, first, chunk, total
+            payload = np.concatenate(parts)
+            total = added(total, np.bincount(payload))
+            numbers = {"shard": pa.int32(), "chunk": pa.int32(), "first": pa.int64(), "total": pa.int64()}
+            columns = [pa.array([v], t) for v, t in zip((shard, chunk, first, held), numbers.values(), strict=True)]
+            for values in (pa.concat_arrays(keys), pa.array(np.concatenate(sizes), pa.int64())):
+                columns.append(pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values))
+            columns += [binaries([payload.tobytes()]), binaries([total.astype("<i8").tobytes() if last else None])]
+            keys, sizes, parts, first, held, chunk = [], [], [], first + held, 0, chunk + 1
+            return pa.RecordBatch.from_arrays(columns, [*numbers, "ids", "lengths", "payload", "tally"])
+
+        for batch in sized_batches(batches, 1, TEXTS):
+            ids, lengths = encoder.flat(batch.column(1))
+            lengths = lengths + 1
+            ends = np.cumsum(lengths)
+            closed = np.full(ends[-1], end, narrow)
+            own = np.ones(ends[-1], bool)
+            own[ends - 1] = False
+            closed[own] = ids
+            key, at = batch.column(0), 0
+            while at < len(lengths):
+                if held >= CHUNK:
+                    yield flush(False)
+                before = int(ends[at] - lengths[at])
+                stop = min(int(np.searchsorted(ends, before + CHUNK - held)) + 1, len(lengths))
+                keys.append(key.slice(at, stop - at))
+                sizes.append(lengths[at:stop])
+                parts.append(closed[before : ends[stop - 1]])
+                held, at = held + len(parts[-1]), stop
+        if parts:
+            yield flush(True)
+
+    plain = written(dealt.mapInArrow(cut, _PLAIN), "tokens", compression="zstd")
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
             for content in batch.column(0).to_pylist():
-                n = np.bincount(np.frombuffer(content, narrow), minlength=len(total))
-                n[: len(total)] += total
-                total = n
+                total = added(total, np.frombuffer(content, "<i8"))
         found = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(total[found], pa.int64())], ["symbol", "n"])
 
-    counted = plain.select("payload").mapInArrow(tally, "symbol long, n long").groupBy("symbol").agg(F.sum("n").alias("n")).collect()  # one row per symbol
+    counted = plain.where("tally IS NOT NULL").select("tally").mapInArrow(tally, "symbol long, n long").groupBy("symbol").agg(F.sum("n").alias("n")).collect()  # one row per symbol
     counts = np.zeros(max((r.symbol for r in counted), default=-1) + 1, np.int64)
     for r in counted:
         counts[r.symbol] = r.n
@@ -230,7 +266,7 @@ def write(docs: DataFrame, vocabulary: str, path: str, end: int, id_col: str = "
             payload = [coder.encode(np.frombuffer(x, narrow)) for x in batch.column("payload").to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], binaries(payload)], batch.schema.names)
 
-    coded = plain.mapInArrow(compress, _CHUNKS).withColumn("range", F.format_string("%08d", "shard"))
+    coded = plain.drop("tally").mapInArrow(compress, _CHUNKS).withColumn("range", F.format_string("%08d", "shard"))
     coded.sortWithinPartitions("range", "chunk").write.option("compression", "none").partitionBy("range").parquet(f"{path}/chunks")
     folder = spark._jvm.org.apache.hadoop.fs.Path(plain.inputFiles()[0]).getParent() if plain.inputFiles() else None
     if folder is not None:  # the plain ids have served
