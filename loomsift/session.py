@@ -92,10 +92,9 @@ def reclaim(spark: SparkSession) -> None:
 
 def trim(spark: SparkSession) -> None:
     """Give back what the C allocators of the driver's Python and JVM hold of freed
-    memory: the many plans of a long run are compiled and broadcast in native memory,
-    which stays with the process in pieces, some 190 MB of it, whatever the heap's size.
-    The JVM's own command does it (HotSpot on Linux, 17.0.9 or later); elsewhere nothing
-    happens."""
+    memory, which collections of garbage leave with the processes (193 MB of the JVM's
+    after two runs of the pipeline). The JVM's own command does it (HotSpot on Linux,
+    17.0.9 or later); elsewhere its memory stays."""
     with contextlib.suppress(OSError, AttributeError):  # another C library
         ctypes.CDLL(None).malloc_trim(0)
     jvm = spark._jvm
